@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
-                                OneHotEncoder, StringIndexer, VectorAssembler)
+                                OneHotEncoder, StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -32,8 +32,7 @@ def term_stats(df: DataFrame, doc: str, tokens: str) -> DataFrame:
     Counted per (doc, term) first, so both aggregates combine map-side and a
     term that appears everywhere never sits whole in one task.
     """
-    per_doc = (df.select(doc, F.explode(tokens).alias("term"))
-               .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
+    per_doc = term_frequencies(df, doc, tokens)
     return per_doc.groupBy("term").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
 
 
@@ -61,15 +60,31 @@ def tfidf_fit(df: DataFrame, doc: str, tokens: str, max_features: int = 1000) ->
     return TfidfModel(vocab, terms, idf, n_docs)
 
 
-def tfidf_long(df: DataFrame, doc: str, tokens: str, model: TfidfModel) -> DataFrame:
-    """M1 transform, long form: (doc, term, weight) for vocabulary terms only.
+def term_frequencies(df: DataFrame, doc: str, tokens: str) -> DataFrame:
+    """(doc, term, tf): raw counts per document.
 
-    The vocabulary side is bounded by ``max_features`` and is broadcast.
+    ``explode_outer`` + a null filter instead of ``explode``: with the inner
+    form Catalyst infers ``size(tokens) > 0`` and pushes it to the scan, which
+    would evaluate the whole text rule chain twice.
     """
-    tf = (df.select(doc, F.explode(tokens).alias("term"))
-          .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
-    w = (tf.join(F.broadcast(model.vocab.select("term", "idf")), "term")
-         .withColumn("w", F.col("tf") * F.col("idf")))
+    return (df.select(doc, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+            .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def tfidf_long(df: DataFrame, doc: str, tokens: str, max_features: int = 1000) -> DataFrame:
+    """M1 fit + transform in one plan, long form: (doc, term, weight).
+
+    The term frequencies are computed once: the vocabulary (top terms of the
+    aggregated counts, at most ``max_features`` rows, so broadcast is
+    bounded) and the weights both read the same shuffle, which Spark reuses.
+    Only the document count is an action (it reads the key column only).
+    """
+    n_docs = df.select(doc).count()
+    tf = term_frequencies(df, doc, tokens)
+    stats = tf.groupBy("term").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    vocab = (stats.orderBy(F.desc("cnt"), F.asc("term")).limit(max_features)
+             .select("term", (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
+    w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
     return (w.join(norms, doc)
             .select(doc, "term", (F.col("w") / F.col("nrm")).alias("weight")))
@@ -85,11 +100,23 @@ def tfidf_vectors(df: DataFrame, tokens: str, model: TfidfModel, out: str = "tfi
 
 
 def preprocess_tokens(c, stop=True) -> "F.Column":
-    """T1 without stemming: clean -> split -> drop stop words."""
+    """T1 without stemming as one column expression: clean -> split -> drop stop words."""
     toks = T.split_ws(T.clean_text(c))
     return T.drop_stop_words(toks) if stop else toks
 
 
+def preprocess_frame(df: DataFrame, text: str, out: str, stop: bool = True,
+                     words=None) -> DataFrame:
+    """T1 without stemming over a frame: the stop-word step runs in the JVM
+    ``StopWordsRemover`` (hash-set lookups, order and repeats kept)."""
+    toks = df.withColumn(f"__{out}", T.split_ws(T.clean_text(text)))
+    if not stop:
+        return toks.withColumnRenamed(f"__{out}", out)
+    rm = StopWordsRemover(inputCol=f"__{out}", outputCol=out, caseSensitive=True,
+                          stopWords=list(words if words is not None else T.stop_words()))
+    return rm.transform(toks).drop(f"__{out}")
+
+
 # ---------------------------------------------------------------------------
 # Categorical features
 # ---------------------------------------------------------------------------

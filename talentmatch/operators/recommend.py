@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talentmatch.functions import vectors as V
+from talentmatch.operators.partitioning import spread
 
 
 def _check_k(k: int) -> None:
@@ -78,9 +79,7 @@ def recommend_topk(candidates: DataFrame, jobs: DataFrame, k: int = 3,
     cand = candidates.where(F.col(vec).isNotNull() & (F.size(vec) > 0)).select(cand_key, vec)
     cand = V.with_unit(cand, vec, "cu").drop(vec)
     # scoring is compute-bound: spread a narrow input over the cores first
-    parallelism = candidates.sparkSession.sparkContext.defaultParallelism
-    if cand.rdd.getNumPartitions() < parallelism:
-        cand = cand.repartition(parallelism)
+    cand = spread(cand, cand_key)
     # every candidate meets every block once; an equi-join keeps it a hash join
     cand = cand.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
 

@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark, sf_dir) -> DataFrame:
+    """The documents table spread over the cores (text rules are CPU-bound).
+
+    Round-robin, not by key: a later (doc, term) aggregation then shuffles
+    after the text rules ran once, and that shuffle is reused by every branch.
+    """
+    from talentmatch.operators.partitioning import spread
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def job_vectors(spark, sf_dir) -> DataFrame:
     return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") < JOB_ID_LIMIT)
             .select(F.col("vec_id").alias("codigo_vaga"), "embedding"))
@@ -50,7 +60,7 @@ OTHER_TEXT = "Encaminhado ao Requisitante"
 
 
 def documents_with_gaps(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     return d.select(
         "doc_id", "text",
         F.expr("nullif(lang, 'de')").alias("lang"),

@@ -40,13 +40,14 @@ def sql_ngrams(toks):
 
 
 def _docs(spark, sf):
-    return fx.table(spark, sf, "documents")
+    return fx.documents(spark, sf)
 
 
 @query("text_clean", sql=f"SELECT doc_id, array_to_string({sql_tokens()}, ' ') AS text_clean FROM documents")
 def text_clean(spark, sf):
     """T1 without stemming: lower, digits, punctuation, split, stop words, join."""
-    return _docs(spark, sf).select("doc_id", T.join_tokens(FE.preprocess_tokens("text")).alias("text_clean"))
+    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
+    return d.select("doc_id", T.join_tokens("toks").alias("text_clean"))
 
 
 @query("tokens", sql=f"""
@@ -62,7 +63,8 @@ def tokens(spark, sf):
 SELECT doc_id, CAST(len({sql_tokens()}) AS INTEGER) AS n_tokens FROM documents""")
 def tokens_no_stop(spark, sf):
     """tokens left after the stop-word filter (order and repeats kept)."""
-    return _docs(spark, sf).select("doc_id", F.size(FE.preprocess_tokens("text")).alias("n_tokens"))
+    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
+    return d.select("doc_id", F.size("toks").alias("n_tokens"))
 
 
 @query("bow_tokens", sql=f"""
@@ -117,8 +119,7 @@ SELECT doc_id, term, round(w / nrm, 6) AS weight FROM w JOIN nn USING (doc_id)""
 def tfidf_1000(spark, sf):
     """M1: TF-IDF over the 1000 most frequent terms, long form (doc, term, weight)."""
     d = _docs(spark, sf).select("doc_id", T.bow_tokens("text").alias("t"))
-    model = FE.tfidf_fit(d, "doc_id", "t", 1000)
-    return FE.tfidf_long(d, "doc_id", "t", model).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    return FE.tfidf_long(d, "doc_id", "t", 1000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query("tfidf_bigrams", sql=_tfidf_sql("t", 3000, pre=f"""
@@ -127,10 +128,9 @@ g AS (SELECT doc_id, {sql_ngrams('b')} AS t FROM c),
 """))
 def tfidf_bigrams(spark, sf):
     """M2: TF-IDF over the 3000 most frequent 1- and 2-grams of the cleaned text."""
-    clean = T.join_tokens(FE.preprocess_tokens("text"))
-    d = _docs(spark, sf).select("doc_id", T.ngrams_1_2(T.bow_tokens(clean)).alias("t"))
-    model = FE.tfidf_fit(d, "doc_id", "t", 3000)
-    return FE.tfidf_long(d, "doc_id", "t", model).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
+    d = d.select("doc_id", T.ngrams_1_2(T.bow_tokens(T.join_tokens("toks"))).alias("t"))
+    return FE.tfidf_long(d, "doc_id", "t", 3000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 _GAPS_SQL = """

@@ -178,7 +178,7 @@ def assemble_features(df: DataFrame, vector_cols: list[str], array_cols: list[st
     for c in array_cols:
         df = df.withColumn(f"__v_{c}", array_to_vector(F.col(c).cast("array<double>")))
         tmp.append(f"__v_{c}")
-    asm = VectorAssembler(inputCols=tmp + list(vector_cols), outputCol=out, handleInvalid="keep")
+    asm = VectorAssembler(inputCols=tmp + list(vector_cols), outputCol=out)
     return asm.transform(df).drop(*tmp)
 
 

@@ -108,6 +108,8 @@ unified AS (
          CAST(p.p_partkey AS VARCHAR) AS codigo_vaga, p.p_name AS titulo_vaga,
          p.p_type AS nivel_profissional, p.p_brand AS tipo_contratacao, p.p_type AS areas_atuacao,
          p.p_type AS principais_atividades, p.p_brand AS competencias,
+         CASE WHEN d.source = 'src0' THEN 'N/A' ELSE d.source END AS nivel_ingles_y,
+         nullif(d.lang, 'de') AS nivel_espanhol_y,
          CASE WHEN l.toxic = 1 THEN '{HIRED_TEXT}' WHEN l.toxic = 0 THEN '{OTHER_TEXT}' END
            AS situacao_candidato
   FROM documents d

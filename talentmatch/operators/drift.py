@@ -81,7 +81,10 @@ def chi_square(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
     every = Window.partitionBy()
     exp = F.col("p_ref") * F.sum("n_cur").over(every)
     t = s.withColumn("__e", exp)
-    return t.agg(F.sum(F.pow(F.col("n_cur") - F.col("__e"), 2) / F.col("__e")).alias("statistic"),
+    # a category never seen in the reference has expected count 0: statistic +inf
+    term = (F.when(F.col("__e") > 0, F.pow(F.col("n_cur") - F.col("__e"), 2) / F.col("__e"))
+            .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
+    return t.agg(F.sum(term).alias("statistic"),
                  (F.count(F.lit(1)) - 1).alias("dof"))
 
 

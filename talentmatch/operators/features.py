@@ -20,7 +20,7 @@ from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normal
                                 OneHotEncoder, StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talentmatch.functions import text as T
@@ -85,9 +85,11 @@ def tfidf_long(df: DataFrame, doc: str, tokens: str, max_features: int = 1000) -
     vocab = (stats.orderBy(F.desc("cnt"), F.asc("term")).limit(max_features)
              .select("term", (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
     w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    return (w.join(norms, doc)
-            .select(doc, "term", (F.col("w") / F.col("nrm")).alias("weight")))
+    # the L2 norm over a document's (at most max_features) weights: one window,
+    # one shuffle of the weights by document, no second pass over the terms
+    per_doc = Window.partitionBy(doc)
+    return w.select(doc, "term", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc)))
+                    .alias("weight"))
 
 
 def tfidf_vectors(df: DataFrame, tokens: str, model: TfidfModel, out: str = "tfidf") -> DataFrame:

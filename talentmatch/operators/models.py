@@ -63,8 +63,9 @@ def with_emb_vector(df: DataFrame) -> DataFrame:
 
 
 def estimators(label: str, spec: ModelSpec, weight: str | None = "weight") -> dict:
+    # tol 1e-4 is the convergence tolerance of the reproduced solver's default
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=spec.lr_iter,
-                            elasticNetParam=0.0, standardization=False)
+                            elasticNetParam=0.0, standardization=False, tol=1e-4)
     if weight:
         lr.setWeightCol(weight)
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=spec.trees,
@@ -84,7 +85,13 @@ def _prob1(df: DataFrame, col: str = "probability") -> F.Column:
 def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: ModelSpec) -> PipelineModel:
     """Fit feature stages + one estimator (LR gets regParam = 1 / sum(weights))."""
     w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
-    w = w.persist()          # every stage fit and every solver pass reads it
+    # every stage fit and every solver pass reads it: keep it, in no more
+    # partitions than cores (a union of small shuffles can leave dozens of
+    # near-empty ones, and each solver iteration is one job over all of them)
+    cores = w.sparkSession.sparkContext.defaultParallelism
+    if w.rdd.getNumPartitions() > cores:
+        w = w.coalesce(cores)
+    w = w.persist()
     try:
         est = estimators(label, spec)[name]
         if name == "LogisticRegression":
@@ -128,36 +135,59 @@ def predict_any(model, df: DataFrame, key: str) -> DataFrame:
 
 
 def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str], spec: ModelSpec,
-                 k: int = 5, leaky: bool = False) -> DataFrame:
+                 k: int = 5, leaky: bool = False, parallelism: int | None = None) -> DataFrame:
     """F1 of class 1 on each of ``k`` stratified folds (M11), with the
-    training part upsampled (M9) inside each fold. Returns (model, fold, f1)."""
+    training part upsampled (M9) inside each fold. Returns (model, fold, f1).
+
+    Folds are fitted concurrently from ``parallelism`` driver threads (what
+    ``CrossValidator(parallelism=...)`` does): each fit is a series of small
+    Spark jobs, so running them side by side keeps the executors busy.
+    """
     base = S.upsample_minority(df, label, key).drop("slot") if leaky else df
     folded = S.stratified_folds(base, label, key, k=k).persist()
-    rows = []
-    for f in range(k):
+
+    def one(f: int):
         train = folded.where(F.col("fold") != f).drop("fold")
         if not leaky:
             train = S.upsample_minority(train, label, key).drop("slot")
         test = folded.where(F.col("fold") == f)
         pred = predict_any(fit_any(train, name, label, cats, spec), test, key)
         scored = pred.join(test.select(key, label), key)
-        f1 = E.f1_binary(scored, label=label).collect()[0][0]
-        rows.append((name, f, float(f1)))
-    folded.unpersist()
+        return (name, f, float(E.f1_binary(scored, label=label).collect()[0][0]))
+
+    try:
+        rows = _in_threads(one, range(k), parallelism or k)
+    finally:
+        folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, fold int, f1 double")
 
 
+def _in_threads(fn, items, workers: int) -> list:
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        return list(pool.map(fn, items))
+
+
 def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: list[str],
                 spec: ModelSpec, names: list[str] = MODEL_ORDER, k: int = 5) -> DataFrame:
-    """(model, model_order, cv_f1, test_f1) for each candidate model."""
-    rows = []
-    for order, name in enumerate(names):
+    """(model, model_order, cv_f1, test_f1) for each candidate model.
+
+    Models are evaluated concurrently (driver threads); each one's folds too.
+    """
+    bal = S.upsample_minority(train, label, key).drop("slot").persist()
+
+    def one(item):
+        order, name = item
         cv = E.cv_mean(cross_val_f1(train, name, key, label, cats, spec, k)).collect()[0][0]
-        bal = S.upsample_minority(train, label, key).drop("slot")
         model = fit_any(bal, name, label, cats, spec)
         scored = predict_any(model, test, key).join(test.select(key, label), key)
         f1 = E.f1_binary(scored, label=label).collect()[0][0]
-        rows.append((name, order, float(cv), float(f1)))
+        return (name, order, float(cv), float(f1))
+
+    try:
+        rows = _in_threads(one, list(enumerate(names)), len(names))
+    finally:
+        bal.unpersist()
     return train.sparkSession.createDataFrame(
         rows, "model string, model_order int, cv_f1 double, f1 double")
 

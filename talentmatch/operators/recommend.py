@@ -108,6 +108,22 @@ def recommend_topk(candidates: DataFrame, jobs: DataFrame, k: int = 3,
     return ranked.select(cand_key, F.col("rank").cast("int"), job_key, sim.alias("similaridade"))
 
 
+def topk_per_group(df: DataFrame, group: str | list[str], score: str, k: int = 3,
+                   tie: str | list[str] | None = None, rank: str = "rank") -> DataFrame:
+    """O1: the ``k`` highest ``score`` rows of every group, ranked from 1.
+
+    A ``row_number`` filter, which Catalyst plans as a ``WindowGroupLimit``
+    both before and after the shuffle: every map task keeps at most ``k`` rows
+    per group, so a hot group reaches its reducer pre-trimmed. Ties go to the
+    lower ``tie`` columns; null scores rank last.
+    """
+    _check_k(k)
+    groups = [group] if isinstance(group, str) else list(group)
+    ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
+    w = Window.partitionBy(*groups).orderBy(F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in ties])
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= int(k))
+
+
 def _dot_unit(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 

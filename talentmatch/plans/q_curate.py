@@ -397,6 +397,21 @@ def job_text(spark, sf):
     return job_catalog(p, fill_all=False).select("codigo_vaga", "texto_vaga")
 
 
+@query("job_text_filled", sql="""
+SELECT p_partkey AS codigo_vaga,
+       coalesce(CASE WHEN p_size <= 45 THEN p_name END, '') || ' ' || coalesce(p_type, '') || ' ' ||
+       coalesce(p_brand, '') AS texto_vaga
+FROM part""")
+def job_text_filled(spark, sf):
+    """Every part filled with '' first, so a null title still gives a text."""
+    from talentmatch.operators.recommend import job_catalog
+    p = fx.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("codigo_vaga"),
+        F.when(F.col("p_size") <= 45, F.col("p_name")).alias("titulo_vaga"),
+        F.col("p_type").alias("principais_atividades"), F.col("p_brand").alias("competencias"))
+    return job_catalog(p, fill_all=True).select("codigo_vaga", "texto_vaga")
+
+
 @query("preview_text", sql="SELECT doc_id, substring(text, 1, 150) AS preview FROM documents")
 def preview_text(spark, sf):
     """the 150-character preview printed for each recommendation."""

@@ -66,6 +66,21 @@ def job_embeddings(spark, sf):
     return _long(IO.read_vectors(spark, path), "codigo_vaga")
 
 
+@query("embedding_roundtrip", sql="""
+WITH x AS (SELECT vec_id, embedding AS e, unnest(range(len(embedding))) AS i FROM embeddings)
+SELECT vec_id, CAST(i AS INTEGER) AS slot, round(CAST(e[i + 1] AS DOUBLE), 6) AS value,
+       round(sqrt(list_sum(list_transform(e, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
+FROM x""")
+def embedding_roundtrip(spark, sf):
+    """The vector table written keyed by id (with norms) and read back."""
+    e = fx.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    path = IO.write_vectors(e, "vec_id", "embedding", scratch_path(spark, "vectors"))
+    back = IO.read_vectors(spark, path)
+    return back.select("vec_id", F.posexplode("embedding").alias("slot", "value"), "norm").select(
+        "vec_id", F.col("slot").cast("int"), F.round(F.col("value").cast("double"), 6).alias("value"),
+        F.round("norm", 6).alias("norm"))
+
+
 @query("csv_roundtrip", sql="SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_roundtrip(spark, sf):
     """S5 + S2: documents (multi-line, quoted text) written as CSV and read back."""
@@ -157,6 +172,18 @@ def lr_train(spark, sf):
     return _train_predict(spark, sf, "LogisticRegression")
 
 
+@query("train_predict")
+def train_predict(spark, sf):
+    """Fit the pipeline once, then predict the class of every document
+    (labelled or not) in one batch transform."""
+    train, _ = split(spark, sf)
+    bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
+    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SMALL)
+    docs = M.feature_frame(fx.documents_with_gaps(spark, sf).select("doc_id", "text", *CATS),
+                           "doc_id", "text", CATS, DIM)
+    return M.predict(model, docs, "doc_id").withColumn("prob", F.round("prob", 6))
+
+
 @query("rf_train")
 def rf_train(spark, sf):
     """L2: random forest (sqrt feature subsets)."""

@@ -8,6 +8,9 @@ from talentmatch.operators import recommend as R
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.registry import query
 
+# linear scorer shared with L7 (linear_score)
+from talentmatch.plans.q_eval import LINEAR_COEF, LINEAR_INTERCEPT  # noqa: E402
+
 _VECTORS_SQL = """
 j AS (SELECT vec_id AS codigo_vaga, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 100),
 c AS (SELECT vec_id AS candidate_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id >= 100),
@@ -78,3 +81,43 @@ WHERE vec_id >= 100 AND (embedding IS NULL OR len(embedding) = 0)""")
 def recommend_empty(spark, sf):
     """Candidates that cannot be scored (null / empty vector) are reported, not scored."""
     return R.reject_invalid_vectors(fx.candidate_vectors(spark, sf)).select("candidate_id")
+
+
+@query("topk_per_group", sql="""
+WITH s AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS revenue
+           FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey
+                                   ORDER BY revenue DESC NULLS LAST, l_orderkey, l_linenumber) AS rk FROM s)
+SELECT l_suppkey, CAST(rk AS INTEGER) AS rank, l_orderkey, l_linenumber, round(revenue, 4) AS revenue
+FROM r WHERE rk <= 3""")
+def topk_per_group(spark, sf):
+    """O1 as a general operator: the 3 highest-revenue lines of every supplier."""
+    li = fx.table(spark, sf, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+    top = R.topk_per_group(li, "l_suppkey", "revenue", k=3, tie=["l_orderkey", "l_linenumber"])
+    return top.select("l_suppkey", F.col("rank").cast("int"), "l_orderkey", "l_linenumber",
+                      F.round("revenue", 4).alias("revenue"))
+
+
+@query("analyze_linear", sql=f"""
+WITH {_VECTORS_SQL}, {_DETAILS_SQL},
+z AS (SELECT candidate_id, {LINEAR_INTERCEPT} + list_sum(list_transform(range(1, len(e) + 1),
+        lambda i: e[i] * (((i - 1) % 7) - 3) / 10.0)) AS z FROM c),
+recs AS (SELECT t.candidate_id,
+                to_json(list({{'codigo': t.codigo_vaga, 'titulo': d.titulo_vaga, 'similaridade': t.similaridade,
+                               'atividades': d.principais_atividades, 'competencias': d.competencias}}
+                             ORDER BY t.rank)) AS vagas_recomendadas
+         FROM top t LEFT JOIN details d USING (codigo_vaga) GROUP BY t.candidate_id)
+SELECT z.candidate_id, round(1 / (1 + exp(-z.z)), 4) AS probabilidade_contratacao, recs.vagas_recomendadas
+FROM z LEFT JOIN recs USING (candidate_id)""")
+def analyze_linear(spark, sf):
+    """R5 with L7's linear scorer: P(hire) and the top-3 jobs of every candidate."""
+    from talentmatch.operators import evaluate as E
+    cands = fx.candidate_vectors(spark, sf)
+    prob = E.linear_score(cands, "embedding", LINEAR_COEF, LINEAR_INTERCEPT).select(
+        "candidate_id", "probabilidade_contratacao")
+    nested = R.recommend_nested(R.attach_details(topk(spark, sf), fx.job_details(spark, sf)))
+    return prob.join(nested, "candidate_id", "left").select(
+        "candidate_id", "probabilidade_contratacao",
+        F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))

@@ -55,3 +55,24 @@ def test_empty_catalogue(spark):
     c = spark.createDataFrame([(1, [1.0])], "candidate_id bigint, embedding array<float>")
     j = spark.createDataFrame([], "codigo_vaga bigint, embedding array<float>")
     assert R.recommend_topk(c, j).count() == 0
+
+
+def test_topk_per_group_matches_sorted_slice(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(g), int(i), float(rng.integers(0, 5))) for i, g in enumerate(rng.integers(0, 6, 200))]
+    rows.append((9, 1000, None))                       # a null score ranks last
+    df = spark.createDataFrame(rows, "g int, id int, s double")
+    got = sorted(tuple(r) for r in R.topk_per_group(df, "g", "s", k=3, tie="id")
+                 .select("g", "rank", "id").collect())
+    want = []
+    for g in sorted({r[0] for r in rows}):
+        grp = sorted((r for r in rows if r[0] == g),
+                     key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))[:3]
+        want += [(g, i + 1, r[1]) for i, r in enumerate(grp)]
+    assert got == sorted(want)
+
+
+def test_topk_per_group_rejects_bad_k(spark):
+    df = spark.createDataFrame([(1, 1.0)], "g int, s double")
+    with pytest.raises(ValueError):
+        R.topk_per_group(df, "g", "s", k=0)

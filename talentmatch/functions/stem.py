@@ -1,0 +1,248 @@
+"""Rule-based Portuguese suffix stripping (F8, T2), one token at a time.
+
+The steps follow the published RSLP algorithm (Orengo & Huyck, 2001): plural,
+feminine, augmentative / diminutive, adverb, noun, then verb (only when no
+noun suffix matched) and vowel (only when neither matched). Within a step the
+first listed rule whose suffix matches, whose remaining stem is long enough and
+whose word is not an exception is applied, and the step ends.
+
+This module is only the per-word helper; the corpus job is in
+``talentmatch.operators.stemming``.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+# A rule is (suffix, minimum stem length, replacement, exceptions).
+Rule = tuple[str, int, str, frozenset]
+
+
+def _rules(rows) -> tuple[Rule, ...]:
+    return tuple((s, n, r, frozenset(ex)) for s, n, r, ex in rows)
+
+
+# ---------------------------------------------------------------------------
+# The algorithm's step tables (suffix, min stem, replacement,
+# exceptions), in the order the steps list them.
+# ---------------------------------------------------------------------------
+
+PLURAL = _rules([
+    ("ns", 1, "m", []),
+    ("ões", 3, "ão", []),
+    ("ães", 1, "ão", ["mães"]),
+    ("ais", 1, "al", ["cais", "mais"]),
+    ("éis", 2, "el", []),
+    ("eis", 2, "el", []),
+    ("óis", 2, "ol", []),
+    ("is", 2, "il", ["lápis", "cais", "mais", "crúcis", "biquínis", "pois", "depois", "dois", "leis"]),
+    ("les", 3, "l", []),
+    ("res", 3, "r", []),
+    ("s", 2, "", ["aliás", "pires", "lápis", "cais", "mais", "mas", "menos", "férias", "fezes",
+                  "pêsames", "crúcis", "gás", "atrás", "moisés", "através", "convés", "ês",
+                  "país", "após", "ambas", "ambos", "messias"]),
+])
+
+FEMININE = _rules([
+    ("ona", 3, "ão", ["abandona", "lona", "iona", "cortisona", "monótona", "maratona", "acetona",
+                      "detona", "carona"]),
+    ("ora", 3, "or", []),
+    ("na", 4, "no", ["carona", "abandona", "lona", "iona", "cortisona", "monótona", "maratona",
+                     "acetona", "detona", "guiana", "campana", "grana", "caravana", "banana",
+                     "paracuana", "ananá"]),
+    ("inha", 3, "inho", ["rainha", "linha", "minha"]),
+    ("esa", 3, "ês", ["mesa", "obesa", "princesa", "turquesa", "ilesa", "pesa", "presa"]),
+    ("osa", 3, "oso", ["mucosa", "prosa"]),
+    ("íaca", 3, "íaco", []),
+    ("ica", 3, "ico", ["dica"]),
+    ("ada", 2, "ado", ["pitada"]),
+    ("ida", 3, "ido", ["vida"]),
+    ("ída", 3, "ido", ["recaída", "saída", "dúvida"]),
+    ("ima", 3, "imo", ["vítima"]),
+    ("iva", 3, "ivo", ["saliva", "oliva"]),
+    ("eira", 3, "eiro", ["beira", "cadeira", "frigideira", "bandeira", "feira", "capoeira",
+                         "barreira", "fronteira", "besteira", "poeira"]),
+])
+
+ADVERB = _rules([
+    ("mente", 4, "", ["experimente"]),
+])
+
+AUGMENTATIVE = _rules([
+    ("díssimo", 5, "", []),
+    ("abilíssimo", 5, "", []),
+    ("íssimo", 3, "", []),
+    ("ésimo", 3, "", []),
+    ("érrimo", 4, "", []),
+    ("zinho", 2, "", []),
+    ("quinho", 4, "c", []),
+    ("uinho", 4, "", []),
+    ("adinho", 3, "", []),
+    ("inho", 3, "", ["caminho", "cominho"]),
+    ("alhão", 4, "", []),
+    ("uça", 4, "", []),
+    ("aço", 4, "", ["antebraço"]),
+    ("aça", 4, "", []),
+    ("adão", 4, "", []),
+    ("idão", 4, "", []),
+    ("ázio", 3, "", ["topázio"]),
+    ("arraz", 4, "", []),
+    ("zarrão", 3, "", []),
+    ("arrão", 4, "", []),
+    ("zão", 2, "", ["coalizão"]),
+    ("ão", 3, "", ["camarão", "chimarrão", "canção", "coração", "embrião", "grotão", "glutão",
+                   "ficção", "fogão", "feição", "furacão", "gamão", "lampião", "leão", "macacão",
+                   "nação", "órfão", "orgão", "patrão", "portão", "quinhão", "rincão", "tração",
+                   "falcão", "espião", "mamão", "folião", "cordão", "aptidão", "campeão",
+                   "colchão", "limão", "leilão", "melão", "barão", "milhão", "bilhão", "fusão",
+                   "cristão", "ilusão", "capitão", "estação", "senão"]),
+])
+
+NOUN = _rules([
+    ("encialista", 4, "", []),
+    ("alista", 5, "", []),
+    ("agem", 3, "", ["coragem", "chantagem", "vantagem", "carruagem"]),
+    ("iamento", 4, "", []),
+    ("amento", 3, "", ["firmamento", "fundamento", "departamento"]),
+    ("imento", 3, "", []),
+    ("mento", 6, "", ["firmamento", "elemento", "complemento", "instrumento", "departamento"]),
+    ("alizado", 4, "", []),
+    ("atizado", 4, "", []),
+    ("tizado", 4, "", ["alfabetizado"]),
+    ("izado", 5, "", ["organizado", "pulverizado"]),
+    ("ativo", 4, "", ["pejorativo", "relativo"]),
+    ("tivo", 4, "", ["relativo"]),
+    ("ivo", 4, "", ["passivo", "possessivo", "pejorativo", "positivo"]),
+    ("ado", 2, "", ["grado"]),
+    ("ido", 3, "", ["cândido", "consolido", "rapido", "decido", "tímido", "duvido", "marido"]),
+    ("ador", 3, "", []),
+    ("edor", 3, "", []),
+    ("idor", 4, "", ["ouvidor"]),
+    ("dor", 4, "", ["ouvidor"]),
+    ("sor", 4, "", ["assessor"]),
+    ("atoria", 5, "", []),
+    ("tor", 3, "", ["benfeitor", "leitor", "editor", "pastor", "produtor", "promotor", "consultor"]),
+    ("ario", 3, "", ["voluntario", "salario", "aniversario", "diario", "lionario", "armario"]),
+    ("atório", 3, "", []),
+    ("rio", 5, "", ["voluntário", "salário", "aniversário", "diário", "compulsório", "lionário",
+                    "próprio", "stério", "armário"]),
+    ("ério", 6, "", []),
+    ("ês", 4, "", []),
+    ("eza", 3, "", []),
+    ("ez", 4, "", []),
+    ("esco", 4, "", []),
+    ("ante", 2, "", ["gigante", "elefante", "adiante", "possante", "instante", "restaurante"]),
+    ("ástico", 4, "", ["eclesiástico"]),
+    ("alístico", 3, "", []),
+    ("áutico", 4, "", []),
+    ("êutico", 4, "", []),
+    ("tico", 3, "", ["político", "eclesiástico", "diagnostico", "prático", "doméstico",
+                     "diagnóstico", "idêntico", "alopático", "artístico", "autêntico", "eclético",
+                     "crítico", "critico"]),
+    ("ico", 4, "", ["tico", "público", "explico"]),
+    ("ividade", 5, "", []),
+    ("idade", 4, "", ["autoridade", "comunidade"]),
+    ("oria", 4, "", ["categoria"]),
+    ("encial", 5, "", []),
+    ("ista", 4, "", []),
+    ("auta", 5, "", []),
+    ("quice", 4, "c", []),
+    ("ice", 4, "", ["cúmplice"]),
+    ("íaco", 3, "", []),
+    ("ente", 4, "", ["freqüente", "alimente", "acrescente", "permanente", "oriente", "aparente"]),
+    ("ense", 5, "", []),
+    ("inal", 3, "", []),
+    ("ano", 4, "", []),
+    ("ável", 2, "", ["afável", "razoável", "potável", "vulnerável"]),
+    ("ível", 3, "", ["possível"]),
+    ("vel", 5, "", ["possível", "vulnerável", "solúvel"]),
+    ("bil", 3, "vel", []),
+    ("ura", 4, "", ["imatura", "acupuntura", "costura"]),
+    ("ural", 4, "", []),
+    ("ual", 3, "", ["bissexual", "virtual", "visual", "pontual"]),
+    ("ial", 3, "", []),
+    ("al", 4, "", ["afinal", "animal", "estatal", "bissexual", "desleal", "fiscal", "formal",
+                   "pessoal", "liberal", "postal", "virtual", "visual", "pontual", "sideral",
+                   "sucursal"]),
+    ("alismo", 4, "", []),
+    ("ivismo", 4, "", []),
+    ("ismo", 3, "", ["cinismo"]),
+])
+
+VOWEL = _rules([
+    ("bil", 2, "vel", []),
+    ("gue", 2, "g", ["gangue", "jegue"]),
+    ("á", 3, "", []),
+    ("ê", 3, "", ["bebê"]),
+    ("a", 3, "", ["ásia"]),
+    ("e", 3, "", []),
+    ("o", 3, "", ["ão"]),
+])
+
+# Verb endings by theme vowel: every ending is tried after each theme vowel of
+# the three conjugations; the stem left before an -a- ending must have at least
+# 2 letters, before -e- / -i- at least 3.
+VERB_THEMES = {"a": 2, "e": 3, "i": 3}
+VERB_ENDINGS = ["ríamo", "ssemo", "ramo", "rei", "remo", "riam", "ríei", "ssei", "ssem", "vamo",
+                "ndo", "ram", "rão", "rde", "rem", "ria", "rmo", "sse", "ste", "vam", "vei",
+                "mo", "va", "r", "u", "i"]
+VERB_OTHER = _rules([
+    ("ondo", 3, "", []),
+    ("tizar", 4, "", ["alfabetizar"]),
+    ("izar", 5, "", ["organizar"]),
+    ("itar", 5, "", ["acreditar", "explicitar", "estreitar"]),
+    ("ear", 4, "", ["alardear", "nuclear"]),
+    ("iona", 3, "", []),
+    ("uía", 5, "u", []),
+    ("guem", 3, "g", []),
+    ("iam", 3, "", ["enfiam", "ampliam", "elogiam", "ensaiam"]),
+    ("eou", 5, "", []),
+    ("uei", 3, "", []),
+    ("am", 2, "", []),
+    ("em", 2, "", ["alem", "virgem"]),
+    ("ai", 2, "", []),
+    ("ei", 3, "", []),
+    ("ia", 3, "", ["estória", "fatia", "acia", "praia", "elogia", "mania", "lábia", "aprecia",
+                   "polícia", "arredia", "cheia", "ásia"]),
+    ("ou", 3, "", []),
+])
+
+
+def _verb_rules() -> tuple[Rule, ...]:
+    """Theme vowel x ending, longest suffix first, then the irregular rules."""
+    built = [(v + e, n, "", frozenset()) for v, n in VERB_THEMES.items() for e in VERB_ENDINGS]
+    merged = {r[0]: r for r in built}
+    for r in VERB_OTHER:
+        merged.setdefault(r[0], r)
+    return tuple(sorted(merged.values(), key=lambda r: (-len(r[0]), r[0])))
+
+
+VERB = _verb_rules()
+
+
+def _apply(word: str, rules: tuple[Rule, ...]) -> str:
+    for suffix, min_stem, repl, exceptions in rules:
+        # a match that is too short or an exception lets the next rule try
+        if word.endswith(suffix) and len(word) - len(suffix) >= min_stem and word not in exceptions:
+            return word[: len(word) - len(suffix)] + repl
+    return word
+
+
+@lru_cache(maxsize=1 << 18)  # per-worker memo: a seen word is a dict hit
+def stem(word: str | None) -> str | None:
+    """The stem of one lower-case token; empty and null tokens pass through."""
+    if not word:
+        return word
+    if word.endswith("s"):
+        word = _apply(word, PLURAL)
+    if word.endswith("a"):
+        word = _apply(word, FEMININE)
+    word = _apply(word, AUGMENTATIVE)
+    word = _apply(word, ADVERB)
+    before = word
+    word = _apply(word, NOUN)
+    if word == before:
+        word = _apply(word, VERB)
+        if word == before:
+            word = _apply(word, VOWEL)
+    return word

@@ -1,0 +1,54 @@
+"""Corpus stemming.
+
+Plan
+----
+Stemming a token is a pure function of the token, so the corpus job is a
+narrow step: every document's token array goes through an Arrow-batched
+pandas UDF that stems each token through a per-worker memo (a word already
+seen by that Python worker is a dictionary hit). No shuffle, no skew: a
+document is one row, order and repeats are kept.
+
+The alternative of stemming the distinct vocabulary and joining it back costs
+two shuffles of the whole token stream (by token for the join, by document to
+rebuild the arrays) to save dictionary hits, so it is only used where the
+vocabulary itself is the output (:func:`stem_vocabulary`, a partial map-side
+``distinct`` before its one shuffle).
+"""
+
+from __future__ import annotations
+
+import functools
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+from talentmatch.functions import stem as ST
+
+
+@functools.cache
+def _udfs():
+    """The two UDFs, built on first use (building one needs a running session)."""
+
+    @pandas_udf("string")
+    def words(tokens: pd.Series) -> pd.Series:
+        return tokens.map(ST.stem)
+
+    @pandas_udf("array<string>")
+    def arrays(arrs: pd.Series) -> pd.Series:
+        return arrs.map(lambda a: None if a is None else [ST.stem(t) for t in a])
+
+    return words, arrays
+
+
+def stem_tokens(tokens) -> Column:
+    """Token array -> stemmed token array (order and repeats kept, null stays null)."""
+    return _udfs()[1](tokens if isinstance(tokens, Column) else F.col(tokens))
+
+
+def stem_vocabulary(df: DataFrame, tokens: str) -> DataFrame:
+    """(token, stem, n): every distinct token of the corpus, its stem and its count."""
+    vocab = (df.select(F.explode(tokens).alias("token"))
+             .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    return vocab.select("token", _udfs()[0]("token").alias("stem"), "n")

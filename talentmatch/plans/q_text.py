@@ -50,6 +50,21 @@ def text_clean(spark, sf):
     return d.select("doc_id", T.join_tokens("toks").alias("text_clean"))
 
 
+@query("text_preprocess")
+def text_preprocess(spark, sf):
+    """T1 in full: lower, digits, punctuation, split, stop words, stem (T2), join."""
+    from talentmatch.operators.stemming import stem_tokens
+    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
+    return d.select("doc_id", T.join_tokens(stem_tokens("toks")).alias("text_prep"))
+
+
+@query("stem_vocab")
+def stem_vocab(spark, sf):
+    """The corpus vocabulary after T1's cleaning, each word's stem and count."""
+    from talentmatch.operators.stemming import stem_vocabulary
+    return stem_vocabulary(FE.preprocess_frame(_docs(spark, sf), "text", "toks"), "toks")
+
+
 @query("tokens", sql=f"""
 SELECT doc_id, CAST(len({sql_tokens(stop=False)}) AS INTEGER) AS n_tokens,
        array_to_string({sql_tokens(stop=False)}, ' ') AS joined FROM documents""")

@@ -1,0 +1,49 @@
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from talentmatch.functions import stem as ST
+from talentmatch.operators import stemming as SM
+
+
+@pytest.mark.parametrize("word,want", [
+    ("bons", "bom"),            # plural ns -> m, then the vowel step leaves 'bom'
+    ("mães", "mãe"),            # plural exception keeps ães; the final s rule still applies
+    ("lápis", "lápis"),         # exception of every plural rule
+    ("felizmente", "feliz"),    # adverb
+    ("casinha", "cas"),         # feminine inha -> inho, diminutive inho removed
+    ("gatos", "gat"),           # plural s, vowel o
+    ("correndo", "corr"),       # verb: e + ndo
+    ("", ""),
+])
+def test_known_steps(word, want):
+    assert ST.stem(word) == want
+
+
+def test_noun_step_blocks_verb_and_vowel_steps():
+    # 'ado' is a noun suffix: once it is removed no verb or vowel rule runs
+    assert ST.stem("amado") == "am"
+
+
+@given(st.text(alphabet="abcdeilmnorstuvzãçéêíóõú", max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_stem_never_grows_past_replacement_and_is_total(word):
+    out = ST.stem(word)
+    assert isinstance(out, str)
+    # the longest replacement adds 2 letters to a suffix it removed
+    assert len(out) <= len(word) + 2
+
+
+def test_array_udf_keeps_order_repeats_and_nulls(spark):
+    rows = [(1, ["gatos", "correndo", "gatos"]), (2, []), (3, None)]
+    df = spark.createDataFrame(rows, "id int, toks array<string>")
+    got = {r["id"]: r["s"] for r in df.select("id", SM.stem_tokens("toks").alias("s")).collect()}
+    assert got[1] == ["gat", "corr", "gat"]
+    assert got[2] == []
+    assert got[3] is None
+
+
+def test_vocabulary_counts_and_stems(spark):
+    rows = [(1, ["gatos", "bons", "gatos"]), (2, ["bons"]), (3, [])]
+    df = spark.createDataFrame(rows, "id int, toks array<string>")
+    got = sorted(tuple(r) for r in SM.stem_vocabulary(df, "toks").collect())
+    assert got == [("bons", "bom", 2), ("gatos", "gat", 2)]

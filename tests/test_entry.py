@@ -20,3 +20,32 @@ def test_stream_equals_batch(spark):
     a = sorted(tuple(r) for r in q["stream_recommend"](spark, SF).collect())
     b = sorted(tuple(r) for r in q["recommend_topk"](spark, SF).collect())
     assert a == b
+
+
+def test_new_queries_match_their_oracles(spark):
+    import duckdb
+    import os
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from check_oracle import TABLES, rows_of
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    q, sql = E.queries(), E.oracle_sql()
+    for name in ["job_text_filled", "topk_per_group", "embedding_roundtrip", "analyze_linear"]:
+        df = q[name](spark, SF)
+        res = con.execute(sql[name])
+        ocols = [d[0] for d in res.description]
+        assert sorted(df.columns) == sorted(ocols), name
+        assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, res.fetchall()), name
+
+
+def test_stemmed_text_has_one_row_per_document(spark):
+    q = E.queries()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").count()
+    prep = q["text_preprocess"](spark, SF)
+    assert prep.count() == docs
+    assert prep.select("doc_id").distinct().count() == docs
+    vocab = q["stem_vocab"](spark, SF)
+    assert vocab.select("token").distinct().count() == vocab.count()

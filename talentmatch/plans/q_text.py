@@ -148,6 +148,16 @@ def tfidf_bigrams(spark, sf):
     return FE.tfidf_long(d, "doc_id", "t", 3000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
+@query("tfidf_stemmed")
+def tfidf_stemmed(spark, sf):
+    """M2 over the full T1 text (stemmed, as the training script feeds it): the 3000
+    most frequent 1- and 2-grams. Rows-only: no SQL engine has the stemmer."""
+    from talentmatch.operators.stemming import stem_tokens
+    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
+    d = d.select("doc_id", T.ngrams_1_2(T.bow_tokens(T.join_tokens(stem_tokens("toks")))).alias("t"))
+    return FE.tfidf_long(d, "doc_id", "t", 3000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
 _GAPS_SQL = """
 g AS (SELECT doc_id, nullif(lang, 'de') AS lang, CASE WHEN source = 'src0' THEN 'N/A' ELSE source END AS source
       FROM documents)"""

@@ -47,3 +47,14 @@ def test_vocabulary_counts_and_stems(spark):
     df = spark.createDataFrame(rows, "id int, toks array<string>")
     got = sorted(tuple(r) for r in SM.stem_vocabulary(df, "toks").collect())
     assert got == [("bons", "bom", 2), ("gatos", "gat", 2)]
+
+
+def test_stemmed_tfidf_rows_are_unit_length_and_vocabulary_bounded(spark):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    from conftest import SF
+    t = E.queries()["tfidf_stemmed"](spark, SF)
+    assert t.select("term").distinct().count() <= 3000
+    norms = t.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("n"))
+    bad = norms.where(F.abs(F.col("n") - 1.0) > 1e-4).count()
+    assert bad == 0

@@ -20,22 +20,38 @@ _LOCAL_FALLBACK: str | None = None
 def get_session(master: str | None = None, app: str = "talentmatch",
                 shuffle_partitions: int | None = None,
                 driver_memory: str | None = None) -> SparkSession:
-    """Session with AQE (coalescing, skew join), UTC and the UI off."""
+    """Session with AQE (coalescing, skew join), UTC and the UI off.
+
+    Settings that the launch already carries (spark-submit, spark-defaults on a
+    cluster: master, shuffle partitions, memory, checkpoint folder) are kept;
+    the local defaults below fill only what is unset, as in tests and the bench.
+    """
+    from pyspark import SparkConf
+
+    preset = dict(SparkConf().getAll())
     cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus) * 2
-    builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory or os.environ.get("TM_DRIVER_MEMORY", "8g"))
-    )
+    builder = SparkSession.builder.appName(app)
+    if master or "spark.master" not in preset:
+        builder = builder.master(master or f"local[{cpus}]")
+    local = (master or preset.get("spark.master", "local")).startswith("local")
+    defaults = {
+        # AQE coalesces the initial partitions to ~advisory size at run time
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    if local:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus) * 2)
+        defaults["spark.driver.memory"] = driver_memory or os.environ.get("TM_DRIVER_MEMORY", "8g")
+    elif shuffle_partitions:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in defaults.items():
+        if key not in preset or (key == "spark.sql.shuffle.partitions" and shuffle_partitions):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)

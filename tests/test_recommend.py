@@ -76,3 +76,17 @@ def test_topk_per_group_rejects_bad_k(spark):
     df = spark.createDataFrame([(1, 1.0)], "g int, s double")
     with pytest.raises(ValueError):
         R.topk_per_group(df, "g", "s", k=0)
+
+
+def test_topk_per_group_hot_group_is_trimmed_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    # group 0 holds a third of all rows
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("g"),
+        F.col("id"), ((F.col("id") * 7919) % 1000).cast("double").alias("s"))
+    top = R.topk_per_group(df, "g", "s", k=2, tie="id")
+    hot = [tuple(r) for r in top.where("g = 0").orderBy("rank").select("rank", "id", "s").collect()]
+    rows = sorted(((-(i * 7919 % 1000), i) for i in range(0, 3000, 3)))[:2]
+    assert hot == [(r + 1, i, float(-neg)) for r, (neg, i) in enumerate(rows)]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -8,10 +8,6 @@ that Java (Spark) and RE2 (the DuckDB oracle) agree: their bare ``\\s``,
 
 from __future__ import annotations
 
-import functools
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +23,7 @@ NA_TOKENS = [
 ]
 
 # Control characters removed by the sanitiser (F5): keeps tab, LF and CR.
-CONTROL_CLASS = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}\x{7F}-\x{9F}]"
+CONTROL_CLASS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"
 
 # Unicode white space (Python's str.split / str.strip set minus U+001C-U+001F,
 # which the sanitiser removes first).
@@ -46,22 +42,27 @@ BOW_TOKEN = r"[\p{L}\p{N}_]{2,}"
 HIRED_STATUS = "contratado pela decision"
 
 
-@functools.lru_cache(maxsize=None)
-def stop_words(language: str = "portuguese") -> tuple[str, ...]:
-    """Spark's bundled stop-word list (read from the ml jar, no JVM needed)."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-            words = []
-            for w in text.decode("utf-8").split():
-                if w not in words:
-                    words.append(w)
-            return tuple(words)
-    raise FileNotFoundError("spark-mllib jar not found")
+# The published Portuguese stop-word list (F7), the one StopWordsRemover ships.
+STOP_WORDS_PT = """
+de a o que e do da em um para com não uma os no se na por mais as dos como mas ao ele das à seu sua
+ou quando muito nos já eu também só pelo pela até isso ela entre depois sem mesmo aos seus quem nas
+me esse eles você essa num nem suas meu às minha numa pelos elas qual nós lhe deles essas esses
+pelas este dele tu te vocês vos lhes meus minhas teu tua teus tuas nosso nossa nossos nossas dela
+delas esta estes estas aquele aquela aqueles aquelas isto aquilo estou está estamos estão estive
+esteve estivemos estiveram estava estávamos estavam estivera estivéramos esteja estejamos estejam
+estivesse estivéssemos estivessem estiver estivermos estiverem hei há havemos hão houve houvemos
+houveram houvera houvéramos haja hajamos hajam houvesse houvéssemos houvessem houver houvermos
+houverem houverei houverá houveremos houverão houveria houveríamos houveriam sou somos são era
+éramos eram fui foi fomos foram fora fôramos seja sejamos sejam fosse fôssemos fossem for formos
+forem serei será seremos serão seria seríamos seriam tenho tem temos tém tinha tínhamos tinham tive
+teve tivemos tiveram tivera tivéramos tenha tenhamos tenham tivesse tivéssemos tivessem tiver
+tivermos tiverem terei terá teremos terão teria teríamos teriam
+""".split()
+
+
+def stop_words() -> tuple[str, ...]:
+    """The Portuguese stop words; a constant, so that importing needs no file and no JVM."""
+    return tuple(STOP_WORDS_PT)
 
 
 def _c(c) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,28 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers (``addPyFile``), once per application.
+
+    Tasks that run Python code import it by name; the workers' path need not
+    hold the repository. Executors that start later fetch the file as well.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="talentmatch-ship-")
+    path = os.path.join(folder, "talentmatch_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, files in os.walk(here):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("talentmatch", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from talentmatch.llm import licenses as LI
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -31,4 +33,49 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLES: dict[str, str] = {"op6_decontamination": OP6.strip()}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _map(entries: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in entries.items()) + "}"
+
+
+def _op1() -> str:
+    """The licence scan: identifiers by sentence, by line where a sentence is unknown, then the rules in order."""
+    def normalised(x):
+        return f"trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g'))"
+
+    def identifier(x):
+        return (f"coalesce((SELECT m.s FROM maps m)[{x}], 'REF-' || (SELECT m.n FROM maps m)[regexp_extract({x}, {_quoted(LI.REFERENCE)}, 1)], "
+                f"CASE WHEN regexp_matches({x}, {_quoted(LI.COPYRIGHT)}) THEN 'COPYRIGHT' END, "
+                f"CASE WHEN regexp_matches({x}, '^[0-9]*$|^[a-z]$') THEN '' ELSE '?' END)")
+
+    matched = "sequence"
+    for licence, ids in LI.RULES:
+        matched = f"replace({matched}, {_quoted(''.join(f'[{i}]' for i in ids))}, {_quoted('{' + licence + '}')})"
+    cut = f"regexp_replace(t, {_quoted(LI.END)}, '\\1\\2' || chr(1), 'g')"
+    return f"""
+WITH maps AS MATERIALIZED (SELECT {_map(LI.SENTENCES)} AS s, {_map(LI.NAMES)} AS n),
+d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{LI.UPPER}', '{LI.LOWER}') AS t FROM documents),
+sentences AS (SELECT r, i, p[i] AS s FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i
+              FROM (SELECT r, string_split({cut}, chr(1)) AS p FROM d WHERE regexp_matches(t, '{LI.MARKS}')))),
+whole AS (SELECT r, i, s, {identifier("n")} AS id FROM (SELECT r, i, s, {normalised("s")} AS n FROM sentences)),
+lines AS (SELECT r, i, j, {identifier("n")} AS id
+          FROM (SELECT r, i, j, {normalised("p[j]")} AS n
+                FROM (SELECT r, i, p, unnest(range(1, len(p) + 1)) AS j FROM (SELECT r, i, string_split(s, chr(10)) AS p FROM whole WHERE id = '?')))),
+ids AS (SELECT r, i, 0 AS j, id FROM whole WHERE id <> '?' UNION ALL SELECT r, i, j, id FROM lines),
+joined AS (SELECT r, regexp_replace(string_agg('[' || id || ']', '' ORDER BY i, j), '(\[\?\])+', '[?]', 'g') AS q
+           FROM ids WHERE id <> '' GROUP BY r),
+q AS (SELECT doc_id, CASE WHEN regexp_matches(q, '\[[^?]') THEN q ELSE '' END AS sequence FROM d LEFT JOIN joined USING (r)),
+m AS (SELECT doc_id, sequence, {matched} AS matched FROM q)
+SELECT doc_id, sequence, array_to_string(regexp_extract_all(matched, '\{{([^}}]+)\}}', 1), ',') AS licences,
+       CAST(len(regexp_extract_all(sequence, '\[[^?\]]')) AS BIGINT) AS n_known,
+       CAST(len(regexp_extract_all(matched, '\[[^?\]]')) AS BIGINT) AS n_unmatched
+FROM m
+"""
+
+
+ORACLES: dict[str, str] = {"op1_licenses": _op1().strip(), "op6_decontamination": OP6.strip()}

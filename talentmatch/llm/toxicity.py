@@ -3,7 +3,8 @@
 Learning (on labelled documents, a bounded sample of them): the log-odds of the label given a word,
 with Dirichlet (two classes: Beta) priors that shrink a word towards its first five bytes, those
 towards its first four, and those towards the base rate. A word's score is its log-odds less a
-drift, so that clean text runs downhill.
+drift, so that clean text runs downhill; a word that only repeats the one before it scores nothing
+but the drift.
 
 Scoring: one linear scan (Ruzzo and Tompa's) finds all maximal segments of a document. A segment's
 raw score S becomes an expected number of chance segments, E = K * words * exp(-lambda * S), with
@@ -88,6 +89,10 @@ class Model:
             found = place >= 0
             scores[open_[found]] = self.value[place[found]]
             open_ = open_[~found]
+        again = np.zeros(len(scores) + 1, dtype=bool)
+        again[1:-1] = words.hash[1:] == words.hash[:-1]
+        again[words.first] = False
+        scores[again[:-1]] = -self.drift
         return scores
 
     def evidence(self, s: float, n: int) -> float:

@@ -7,11 +7,12 @@ or two-proportion z for categories, drift when p < 0.05), otherwise a
 distance (normed Wasserstein for numbers, Jensen-Shannon for categories,
 drift when >= 0.1). The data set drifts when at least half of the columns do.
 
-Numeric tests need the two empirical CDFs on the merged, sorted distinct
-values. A global ordered window would run in one task, so values are counted
-per distinct value (partial aggregate), cut into ``n_buckets`` value ranges
-by approximate quantiles (a bounded list), and cumulated inside each range
-with per-range offsets taken from a small table.
+The values of all columns are counted in one pass (column, value); every
+statistic comes from that table. Numeric tests need the two empirical CDFs on
+the merged, sorted distinct values. An ordered window over a column would run
+in one task, so its values are cut into ``n_buckets`` ranges by approximate
+quantiles (a bounded list) and cumulated inside each range, with per-range
+offsets taken from a small table.
 """
 
 from __future__ import annotations
@@ -62,37 +63,56 @@ def plan(reference: DataFrame, columns: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Categorical statistics
+# Counts of all columns' values, once
 # ---------------------------------------------------------------------------
 
-def category_shares(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
-    """(value, n_ref, n_cur, p_ref, p_cur) over the union of categories."""
-    r = reference.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n_ref"))
-    c = current.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n_cur"))
-    j = r.join(c, "value", "full_outer").na.fill(0, ["n_ref", "n_cur"])
-    every = Window.partitionBy()                 # over the few category rows
-    return (j.withColumn("p_ref", F.col("n_ref") / F.sum("n_ref").over(every))
-            .withColumn("p_cur", F.col("n_cur") / F.sum("n_cur").over(every)))
+def value_counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n_ref, n_cur): how often each side holds each non-null value of each column.
 
+    One pass over both frames: rows are unpivoted and counted map-side first, whatever the column."""
+    def side(df, r, c):
+        pairs = F.explode(F.array(*[F.struct(F.lit(x).alias("column"), F.col(x).cast("string").alias("value")) for x in columns]))
+        return df.select(pairs.alias("p")).select("p.column", "p.value", F.lit(r).alias("r"), F.lit(c).alias("c"))
 
-def chi_square(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
-    """D3: chi-square of current counts against reference shares: (statistic, dof)."""
-    s = category_shares(reference, current, col)
-    every = Window.partitionBy()
-    exp = F.col("p_ref") * F.sum("n_cur").over(every)
-    t = s.withColumn("__e", exp)
+    both = side(reference, 1, 0).unionAll(side(current, 0, 1)).where(F.col("value").isNotNull())
+    return both.groupBy("column", "value").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+
+
+def _with_totals(counts: DataFrame) -> DataFrame:
+    """``counts`` with each column's totals (one row a column, so broadcast)."""
+    totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
+    return counts.join(F.broadcast(totals), "column")
+
+
+def categorical_statistics(counts: DataFrame) -> DataFrame:
+    """Per column: chi2 and dof (D3), js (D5), tot_ref and tot_cur."""
+    p_ref, p_cur = F.col("n_ref") / F.col("tot_ref"), F.col("n_cur") / F.col("tot_cur")
+    expected = p_ref * F.col("tot_cur")
     # a category never seen in the reference has expected count 0: statistic +inf
-    term = (F.when(F.col("__e") > 0, F.pow(F.col("n_cur") - F.col("__e"), 2) / F.col("__e"))
+    term = (F.when(expected > 0, F.pow(F.col("n_cur") - expected, 2) / expected)
             .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-    return t.agg(F.sum(term).alias("statistic"),
-                 (F.count(F.lit(1)) - 1).alias("dof"))
+    middle = (p_ref + p_cur) / 2
+
+    def kl(p):
+        return F.when(p > 0, p * F.log(p / middle)).otherwise(F.lit(0.0))
+
+    s = _with_totals(counts).where("tot_ref > 0 AND tot_cur > 0")
+    return s.groupBy("column").agg(
+        F.sum(term).alias("chi2"), (F.count(F.lit(1)) - 1).alias("dof"),
+        F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl(p_ref)) + 0.5 * F.sum(kl(p_cur)))).alias("js"),
+        F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"), F.min("value").alias("least"))
+
+
+def chi_square(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
+    """D3: chi-square of current counts against reference shares: (statistic, dof)."""
+    s = categorical_statistics(value_counts(reference, current, [col]))
+    return s.select(F.col("chi2").alias("statistic"), "dof")
 
 
 def z_two_proportions(reference: DataFrame, current: DataFrame, flag) -> DataFrame:
-    """D3 binary: pooled two-proportion z statistic of a boolean column."""
-    hit = F.when(flag, 1).otherwise(0)
-    both = (reference.select(F.lit(1).alias("__r"), hit.alias("__k"))
-            .unionByName(current.select(F.lit(0).alias("__r"), hit.alias("__k"))))
+    """D3 binary: pooled two-proportion z statistic of a boolean column; rows where it is null don't count."""
+    both = (reference.select(F.lit(1).alias("__r"), flag.cast("int").alias("__k"))
+            .unionByName(current.select(F.lit(0).alias("__r"), flag.cast("int").alias("__k")))).where("__k IS NOT NULL")
     j = both.agg(F.sum("__r").alias("n1"), F.sum(F.col("__k") * F.col("__r")).alias("k1"),
                  F.sum(1 - F.col("__r")).alias("n2"), F.sum(F.col("__k") * (1 - F.col("__r"))).alias("k2"))
     p = (F.col("k1") + F.col("k2")) / (F.col("n1") + F.col("n2"))
@@ -103,72 +123,58 @@ def z_two_proportions(reference: DataFrame, current: DataFrame, flag) -> DataFra
 
 def jensen_shannon(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
     """Jensen-Shannon distance (natural log) between category shares."""
-    s = category_shares(reference, current, col).withColumn("m", (F.col("p_ref") + F.col("p_cur")) / 2)
-
-    def kl(p):
-        return F.when(F.col(p) > 0, F.col(p) * F.log(F.col(p) / F.col("m"))).otherwise(F.lit(0.0))
-    return s.agg(F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl("p_ref")) + 0.5 * F.sum(kl("p_cur"))))
-                 .alias("statistic"))
+    return categorical_statistics(value_counts(reference, current, [col])).select(F.col("js").alias("statistic"))
 
 
 # ---------------------------------------------------------------------------
 # Numeric statistics
 # ---------------------------------------------------------------------------
 
-def _value_counts(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
-    both = (reference.select(F.col(col).cast("double").alias("x"), F.lit(1).alias("r"), F.lit(0).alias("c"))
-            .unionByName(current.select(F.col(col).cast("double").alias("x"), F.lit(0).alias("r"),
-                                        F.lit(1).alias("c"))))
-    return (both.where(F.col("x").isNotNull()).groupBy("x")
-            .agg(F.sum("r").alias("nr"), F.sum("c").alias("nc")))
-
-
-def empirical_cdfs(reference: DataFrame, current: DataFrame, col: str,
-                   n_buckets: int = 64) -> DataFrame:
-    """(x, fr, fc, nx): both CDFs after each distinct value and the next value.
+def empirical_cdfs(counts: DataFrame, n_buckets: int = 64) -> DataFrame:
+    """(column, x, fr, fc, nx, tot_ref, tot_cur): both CDFs after each distinct value, and the next value.
 
-    Computed per value range: no window ever spans the whole value table.
+    Computed per value range, cut by approximate quantiles: no window ever spans a column's values;
+    the tables of bounds and of ranges have at most ``n_buckets`` rows a column.
     """
-    g = _value_counts(reference, current, col)
+    g = counts.withColumn("x", F.col("value").cast("double")).drop("value").where("x IS NOT NULL")
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = g.agg(F.percentile_approx("x", probs, 10000).alias("b")).collect()[0]["b"] or []
-    bounds = sorted(set(float(b) for b in bounds))          # at most n_buckets - 1 numbers
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    g = g.withColumn("bk", F.size(F.filter(arr, lambda b: b < F.col("x"))))
-    per = g.groupBy("bk").agg(F.sum("nr").alias("br"), F.sum("nc").alias("bc"), F.min("x").alias("bmin"))
-    wb = Window.orderBy("bk")                                 # over <= n_buckets rows
-    wprev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    per = per.select("bk",
-                     F.coalesce(F.sum("br").over(wprev), F.lit(0)).alias("or"),
-                     F.coalesce(F.sum("bc").over(wprev), F.lit(0)).alias("oc"),
-                     F.lead("bmin").over(wb).alias("next_bmin"),
-                     F.sum("br").over(every).alias("tot_r"), F.sum("bc").over(every).alias("tot_c"))
-    w = Window.partitionBy("bk").orderBy("x")
-    cum = (g.join(F.broadcast(per), "bk")
-           .withColumn("fr", (F.col("or") + F.sum("nr").over(w)) / F.col("tot_r"))
-           .withColumn("fc", (F.col("oc") + F.sum("nc").over(w)) / F.col("tot_c"))
+    bounds = g.groupBy("column").agg((F.percentile_approx("x", probs, 10000) if probs else F.array().cast("array<double>")).alias("bounds"))
+    g = (g.join(F.broadcast(bounds), "column")
+         .withColumn("bk", F.size(F.filter(F.array_distinct("bounds"), lambda b: b < F.col("x")))).drop("bounds"))
+    per = g.groupBy("column", "bk").agg(F.sum("n_ref").alias("br"), F.sum("n_cur").alias("bc"), F.min("x").alias("bmin"))
+    ranges = Window.partitionBy("column").orderBy("bk")
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("column")
+    per = per.select("column", "bk", F.coalesce(F.sum("br").over(before), F.lit(0)).alias("or"),
+                     F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("oc"), F.lead("bmin").over(ranges).alias("next_bmin"),
+                     F.sum("br").over(every).alias("tot_ref"), F.sum("bc").over(every).alias("tot_cur"))
+    w = Window.partitionBy("column", "bk").orderBy("x")
+    cum = (g.join(F.broadcast(per), ["column", "bk"])
+           .withColumn("fr", (F.col("or") + F.sum("n_ref").over(w)) / F.col("tot_ref"))
+           .withColumn("fc", (F.col("oc") + F.sum("n_cur").over(w)) / F.col("tot_cur"))
            .withColumn("nx", F.coalesce(F.lead("x").over(w), F.col("next_bmin"))))
-    return cum.select("x", "fr", "fc", "nx")
+    return cum.select("column", "x", "fr", "fc", "nx", "tot_ref", "tot_cur")
+
+
+def numeric_statistics(counts: DataFrame, n_buckets: int = 64) -> DataFrame:
+    """Per column: ks (D4), w1 (D6 before it is divided), tot_ref and tot_cur (non-null rows)."""
+    gap = F.abs(F.col("fr") - F.col("fc"))
+    return empirical_cdfs(counts, n_buckets).groupBy("column").agg(
+        F.max(gap).alias("ks"), F.sum(F.when(F.col("nx").isNotNull(), gap * (F.col("nx") - F.col("x"))).otherwise(0.0)).alias("w1"),
+        F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"))
 
 
 def ks_statistic(reference: DataFrame, current: DataFrame, col: str, n_buckets: int = 64) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov D = max |Fr - Fc|, with sample sizes."""
-    cdf = empirical_cdfs(reference, current, col, n_buckets)
-    return cdf.agg(F.max(F.abs(F.col("fr") - F.col("fc"))).alias("statistic"))
+    """Two-sample Kolmogorov-Smirnov D = max |Fr - Fc|."""
+    return numeric_statistics(value_counts(reference, current, [col]), n_buckets).select(F.col("ks").alias("statistic"))
 
 
 def wasserstein_normed(reference: DataFrame, current: DataFrame, col: str,
                        n_buckets: int = 64) -> DataFrame:
-    """W1(reference, current) / population std of the reference."""
-    cdf = empirical_cdfs(reference, current, col, n_buckets)
-    w1 = cdf.agg(F.sum(F.when(F.col("nx").isNotNull(),
-                              F.abs(F.col("fr") - F.col("fc")) * (F.col("nx") - F.col("x")))
-                       .otherwise(0.0)).alias("w1"))
-    sd = reference.agg(F.stddev_pop(F.col(col).cast("double"))).collect()[0][0]   # one number
-    if not sd:
-        return w1.select(F.col("w1").alias("statistic"))
-    return w1.select((F.col("w1") / F.lit(float(sd))).alias("statistic"))
+    """W1(reference, current) / population std of the reference (undivided if that is 0)."""
+    s = numeric_statistics(value_counts(reference, current, [col]), n_buckets)
+    sd = reference.agg(F.stddev_pop(F.col(col).cast("double"))).first()[0]   # one number
+    return s.select((F.col("w1") / F.lit(float(sd or 1.0))).alias("statistic"))
 
 
 # ---------------------------------------------------------------------------
@@ -181,6 +187,8 @@ def chi2_sf(x: float, k: int) -> float:
         return float("nan")
     if x <= 0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     a, z = k / 2.0, x / 2.0
     if z < a + 1:                                   # series for P, return 1 - P
         term = s = 1.0 / a
@@ -230,35 +238,41 @@ def ks_pvalue(d: float, n: int, m: int) -> float:
 # ---------------------------------------------------------------------------
 
 def column_results(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, test, statistic, p_value, threshold, drifted) for every column."""
-    p = plan(reference, columns)
-    rows = []
-    n_ref = reference.count()
-    n_cur = current.count()
-    for r in p.collect():                               # one row per column
-        c, test = r["column"], r["test"]
-        if test == "wasserstein":
-            stat = wasserstein_normed(reference, current, c).collect()[0][0]
-            pv, drifted = None, stat is not None and stat >= DISTANCE_THRESHOLD
-        elif test == "jensenshannon":
-            stat = jensen_shannon(reference, current, c).collect()[0][0]
-            pv, drifted = None, stat is not None and stat >= DISTANCE_THRESHOLD
-        elif test == "ks":
-            stat = ks_statistic(reference, current, c).collect()[0][0]
-            pv = ks_pvalue(stat, n_ref, n_cur)
-            drifted = pv < P_THRESHOLD
-        elif test == "chisquare":
-            res = chi_square(reference, current, c).collect()[0]
-            stat, pv = res["statistic"], chi2_sf(res["statistic"], int(res["dof"]))
-            drifted = pv < P_THRESHOLD
-        else:
-            first = reference.select(c).where(F.col(c).isNotNull()).limit(1).collect()
-            flag = F.col(c) == F.lit(first[0][0]) if first else F.lit(False)
-            stat = z_two_proportions(reference, current, flag).collect()[0][0]
-            pv = normal_two_sided(stat)
-            drifted = pv < P_THRESHOLD
-        rows.append((c, test, float(stat) if stat is not None else None,
-                     float(pv) if pv is not None else None, float(r["threshold"]), bool(drifted)))
+    """(column, test, statistic, p_value, threshold, drifted) for every column.
+
+    All columns' values are counted in one pass and kept; the categorical and the numeric statistics
+    of all columns are one aggregate each. A column without rows on one side has no statistic and no drift.
+    """
+    plans = plan(reference, columns).collect()                               # one row per column
+    counts = value_counts(reference, current, columns).persist()
+    try:
+        numeric = [r["column"] for r in plans if r["kind"] == "num"]
+        stats = {r["column"]: r.asDict() for r in categorical_statistics(counts.where(~F.col("column").isin(numeric))).collect()}
+        if numeric:
+            stats |= {r["column"]: r.asDict() for r in numeric_statistics(counts.where(F.col("column").isin(numeric))).collect()}
+            sd = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in numeric]).first().asDict()
+        rows = []
+        for r in plans:
+            c, test = r["column"], r["test"]
+            s, pv, stat = stats.get(c), None, None
+            if s and s["tot_ref"] and s["tot_cur"]:
+                if test == "wasserstein":
+                    stat = s["w1"] / (sd[c] or 1.0)
+                elif test == "jensenshannon":
+                    stat = s["js"]
+                elif test == "ks":
+                    stat = s["ks"]
+                    pv = ks_pvalue(stat, s["tot_ref"], s["tot_cur"])
+                elif test == "chisquare":
+                    stat, pv = s["chi2"], chi2_sf(s["chi2"], int(s["dof"]))
+                else:
+                    # the smaller level, so that the sign does not hang on the order of rows
+                    stat = z_two_proportions(reference, current, F.col(c).cast("string") == s["least"]).first()[0]
+                    pv = normal_two_sided(stat)
+            drifted = stat is not None and (pv < r["threshold"] if pv is not None else stat >= r["threshold"])
+            rows.append((c, test, None if stat is None else float(stat), pv, float(r["threshold"]), bool(drifted)))
+    finally:
+        counts.unpersist()
     return reference.sparkSession.createDataFrame(
         rows, "column string, test string, statistic double, p_value double, threshold double, drifted boolean")
 

@@ -2,10 +2,8 @@
 
 ``embed_hash`` is the built-in offline encoder: a signed hashed bag of words
 projected to ``dim`` dimensions and L2-normalised. Token -> (slot, sign) comes
-from the token's md5, computed per token occurrence (no vocabulary join, so a
-word found in every document is no hot key). Counts are summed per
-(document, slot) -- at most ``dim`` groups per document -- and assembled into
-a dense array.
+from the token's md5; a row's tokens are counted by slot inside the row, so no
+row leaves its partition and no word is a hot key.
 
 ``embed_with`` plugs in any batch encoder (e.g. a sentence model loaded once
 per worker) through ``predict_batch_udf``; distinct texts are encoded once and
@@ -14,36 +12,47 @@ joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talentmatch.functions import text as T
 
 
-def hashed_counts(df: DataFrame, key: str, text: str, dim: int = 64) -> DataFrame:
-    """(key, slot, value): signed token counts per hashed slot."""
-    toks = (df.select(key, F.explode_outer(T.bow_tokens(text)).alias("tok"))
-            .where(F.col("tok").isNotNull())
-            .withColumn("__h", F.md5("tok")))
-    slot = F.pmod(F.conv(F.substring("__h", 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
-    sign = F.when(F.conv(F.substring("__h", 9, 1), 16, 10).cast("int") < 8, 1.0).otherwise(-1.0)
-    return (toks.select(key, slot.alias("slot"), sign.alias("s"))
-            .groupBy(key, "slot").agg(F.sum("s").alias("value")))
+def signed_slots(text: str, dim: int) -> Column:
+    """Per token its slot (1 to ``dim``), negative for half of the tokens, from the token's md5."""
+    hashes = F.transform(T.bow_tokens(text), F.md5)
+
+    def slot(h):
+        place = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int") + 1
+        return F.when(F.conv(F.substring(h, 9, 1), 16, 10).cast("int") < 8, place).otherwise(-place)
+
+    return F.transform(hashes, slot)
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def with_hash(df: DataFrame, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
+    """M10 built-in encoder: ``df`` with ``out``, an array<double> of unit length (all zeros for a
+    text without tokens). Row by row: nothing is shuffled or joined."""
+    slots = F.coalesce(signed_slots(text, dim), F.array().cast("array<int>"))
+
+    def counts(s):
+        # tokens of a slot less those of its negative, each counted by what removing it leaves
+        return F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda i: F.size(F.array_remove(s, -i)) - F.size(F.array_remove(s, i)))
+
+    def unit(c):
+        squares = F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x.cast("long") * x.cast("long"))
+        return _bound(F.sqrt(F.greatest(squares, F.lit(1)).cast("double")), lambda n: F.transform(c, lambda x: x.cast("double") / n))
+
+    return df.withColumn(out, _bound(_bound(slots, counts), unit))
 
 
 def embed_hash(df: DataFrame, key: str, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
-    """M10 built-in encoder: (key, embedding array<double>) with unit length
-    (all zeros for a text without tokens). Keys without tokens are kept."""
-    c = hashed_counts(df, key, text, dim)
-    per = c.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "value"))).alias("m"),
-                             F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("n"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))
-                      / F.when(F.col("n") > 0, F.col("n")).otherwise(F.lit(1.0)))
-    emb = per.select(key, vec.alias(out))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return (df.select(key).join(emb, key, "left")
-            .select(key, F.coalesce(F.col(out), zeros).alias(out)))
+    """(key, embedding) by ``with_hash``."""
+    return with_hash(df.select(key, text), text, dim, out).select(key, out)
 
 
 def embed_with(df: DataFrame, key: str, text: str, make_predict_fn, dim: int,

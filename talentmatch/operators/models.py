@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from talentmatch.operators import evaluate as E
 from talentmatch.operators import features as FE
 from talentmatch.operators import sampling as S
-from talentmatch.operators.embed import embed_hash
+from talentmatch.operators.embed import with_hash
 
 MODEL_ORDER = ["LogisticRegression", "RandomForest", "GradientBoostedTrees", "VotingClassifier"]
 
@@ -44,9 +44,8 @@ class ModelSpec:
 
 
 def feature_frame(docs: DataFrame, key: str, text: str, cats: list[str], dim: int = 64) -> DataFrame:
-    """Text embedding (M10) next to the categorical columns, joined by key."""
-    emb = embed_hash(docs.select(key, text), key, text, dim, out="emb")
-    return docs.drop(text).join(emb, key)
+    """Text embedding (M10) next to the other columns (J6), row by row."""
+    return with_hash(docs, text, dim, "emb").drop(text)
 
 
 def feature_stages(cats: list[str]) -> list:
@@ -88,10 +87,7 @@ def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: Mo
     # every stage fit and every solver pass reads it: keep it, in no more
     # partitions than cores (a union of small shuffles can leave dozens of
     # near-empty ones, and each solver iteration is one job over all of them)
-    cores = w.sparkSession.sparkContext.defaultParallelism
-    if w.rdd.getNumPartitions() > cores:
-        w = w.coalesce(cores)
-    w = w.persist()
+    w = w.coalesce(w.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         est = estimators(label, spec)[name]
         if name == "LogisticRegression":
@@ -102,10 +98,10 @@ def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: Mo
         w.unpersist()
 
 
-def predict(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
-    """(key, prob, prediction) of class 1."""
+def predict(model: PipelineModel, df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
+    """(key, *keep, prob, prediction) of class 1; ``keep`` carries columns (the label) along."""
     p = model.transform(with_emb_vector(df))
-    return p.select(key, _prob1(p).alias("prob"), F.col("prediction").cast("int").alias("prediction"))
+    return p.select(key, *(keep or []), _prob1(p).alias("prob"), F.col("prediction").cast("int").alias("prediction"))
 
 
 def fit_vote(train: DataFrame, label: str, cats: list[str], spec: ModelSpec) -> dict:
@@ -117,14 +113,18 @@ def fit_vote(train: DataFrame, label: str, cats: list[str], spec: ModelSpec) ->
     return dict(zip(names, fitted))
 
 
-def predict_vote(members: dict, df: DataFrame, key: str) -> DataFrame:
-    """L4 soft vote: mean of member probabilities, > 0.5 -> 1."""
-    out = None
-    for i, (name, m) in enumerate(members.items()):
-        p = predict(m, df, key).select(key, F.col("prob").alias(f"p{i}"))
-        out = p if out is None else out.join(p, key)
-    v = E.soft_vote(out, [f"p{i}" for i in range(len(members))])
-    return v.select(key, "prob", "prediction")
+def predict_vote(members: dict, df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
+    """L4 soft vote: mean of member probabilities, > 0.5 -> 1. The members score the same rows one
+    after the other; no row is joined back."""
+    rows, probs = with_emb_vector(df), []
+    made = ["features", "rawPrediction", "probability", "prediction"]
+    for i, model in enumerate(members.values()):
+        known = rows.columns
+        out = model.transform(rows)
+        probs.append(f"p{i}")
+        rows = out.withColumn(f"p{i}", _prob1(out)).select(*known, f"p{i}").drop(*made)
+    v = E.soft_vote(rows, probs)
+    return v.select(key, *(keep or []), "prob", "prediction")
 
 
 def fit_any(train: DataFrame, name: str, label: str, cats: list[str], spec: ModelSpec):
@@ -133,8 +133,8 @@ def fit_any(train: DataFrame, name: str, label: str, cats: list[str], spec: Mode
     return fit_model(train, name, label, cats, spec)
 
 
-def predict_any(model, df: DataFrame, key: str) -> DataFrame:
-    return predict_vote(model, df, key) if isinstance(model, dict) else predict(model, df, key)
+def predict_any(model, df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
+    return predict_vote(model, df, key, keep) if isinstance(model, dict) else predict(model, df, key, keep)
 
 
 def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str], spec: ModelSpec,
@@ -154,8 +154,7 @@ def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str]
         if not leaky:
             train = S.upsample_minority(train, label, key).drop("slot")
         test = folded.where(F.col("fold") == f)
-        pred = predict_any(fit_any(train, name, label, cats, spec), test, key)
-        scored = pred.join(test.select(key, label), key)
+        scored = predict_any(fit_any(train, name, label, cats, spec), test, key, [label])
         return (name, f, float(E.f1_binary(scored, label=label).collect()[0][0]))
 
     try:
@@ -183,7 +182,7 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
         order, name = item
         cv = E.cv_mean(cross_val_f1(train, name, key, label, cats, spec, k)).collect()[0][0]
         model = fit_any(bal, name, label, cats, spec)
-        scored = predict_any(model, test, key).join(test.select(key, label), key)
+        scored = predict_any(model, test, key, [label])
         f1 = E.f1_binary(scored, label=label).collect()[0][0]
         return (name, order, float(cv), float(f1))
 

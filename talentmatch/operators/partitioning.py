@@ -1,10 +1,10 @@
-"""Partitioning helpers.
+"""Partitioning helper.
 
 ``spread``: CPU-heavy row work (regexes over whole texts, vector scoring)
-should use every core. A scan of one large row group yields one partition;
-then a hash repartition on the row key spreads the rows before the heavy
-expressions run. On a cluster the scan already has many partitions and the
-helper leaves the plan unchanged (no extra shuffle).
+should use every core. A scan of fewer files than cores yields fewer tasks;
+then a round-robin repartition spreads the rows before the heavy expressions
+run. With files enough (any cluster-size table) the plan is left as it is.
+Only the file listing is consulted: nothing is planned or run for it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,6 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)

@@ -10,8 +10,9 @@ an equi-join on the block id and keeps only its best ``k`` per block with
 ``sort_array`` + ``slice`` (row-local, JVM-side higher-order functions). With
 one block (the usual case: jobs are few next to candidates) the block table is
 a single row and is broadcast after its size is computed from the job count
-and the vector width; past ``broadcast_bytes`` the join is a normal shuffle
-join. With several blocks the per-block winners (``k`` per block) are merged
+and the vector width; past ``broadcast_bytes`` it is joined as a grid: the
+candidates are cut into parts of ``part_rows`` and every (block, part) is a key
+of its own, so no block meets all candidates in one task. With several blocks the per-block winners (``k`` per block) are merged
 with a ranking window that Catalyst turns into a ``WindowGroupLimit``.
 
 No candidate x job row is ever materialised: the output has ``k`` rows per
@@ -21,6 +22,7 @@ candidate.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,35 +57,54 @@ def job_blocks(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embedd
     return blocks, nb
 
 
+@dataclass
+class JobIndex:
+    """The job side of the search: blocks of unit vectors, their number and size in bytes."""
+    blocks: DataFrame
+    n_blocks: int
+    bytes: int
+
+
+def prepare_jobs(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embedding", block_size: int = 4096) -> JobIndex:
+    n, width = catalogue_size(jobs, vec)
+    blocks, nb = job_blocks(jobs, job_key, vec, block_size, n)
+    return JobIndex(blocks, nb, n * (width * 8 + 64))
+
+
 def recommend_topk(candidates: DataFrame, jobs: DataFrame, k: int = 3,
                    cand_key: str = "candidate_id", job_key: str = "codigo_vaga",
                    vec: str = "embedding", digits: int | None = 4,
-                   block_size: int = 4096, broadcast_bytes: int = 256 << 20) -> DataFrame:
+                   block_size: int = 4096, broadcast_bytes: int = 256 << 20,
+                   part_rows: int = 50_000, prepared: JobIndex | None = None) -> DataFrame:
     """(cand_key, rank, job_key, similaridade): the ``k`` most similar jobs.
 
-    Ties are broken by the lower job key. Candidates with a null or empty
+    ``prepared`` (see :func:`prepare_jobs`) spares the work on the jobs' side
+    where several calls meet one catalogue. Ties are broken by the lower job key. Candidates with a null or empty
     vector are left out (see :func:`reject_invalid_vectors`).
     """
     _check_k(k)
-    n_jobs, width = catalogue_size(jobs, vec)
-    blocks, nb = job_blocks(jobs, job_key, vec, block_size, n_jobs)
+    index = prepared or prepare_jobs(jobs, job_key, vec, block_size)
+    blocks, nb = index.blocks, index.n_blocks
     out_schema = (f"{cand_key} {candidates.schema[cand_key].dataType.simpleString()}, rank int, "
                   f"{job_key} {jobs.schema[job_key].dataType.simpleString()}, similaridade double")
     spark = candidates.sparkSession
     if nb == 0:
         return spark.createDataFrame([], out_schema)
 
-    block_bytes = n_jobs * (width * 8 + 64)
-    right = F.broadcast(blocks) if block_bytes <= broadcast_bytes else blocks
-
     cand = candidates.where(F.col(vec).isNotNull() & (F.size(vec) > 0)).select(cand_key, vec)
     cand = V.with_unit(cand, vec, "cu").drop(vec)
     # scoring is compute-bound: spread a narrow input over the cores first
     cand = spread(cand, cand_key)
     # every candidate meets every block once; an equi-join keeps it a hash join
     cand = cand.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    if index.bytes <= broadcast_bytes:
+        met = cand.join(F.broadcast(blocks), "block")
+    else:
+        parts = max(1, math.ceil(candidates.count() / part_rows))
+        cand = cand.withColumn("part", F.pmod(F.xxhash64(cand_key), F.lit(parts)).cast("int"))
+        met = cand.join(blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), ["block", "part"])
 
-    scored = cand.join(right, "block").select(
+    scored = met.select(
         cand_key,
         F.slice(
             F.sort_array(F.transform(
@@ -139,8 +160,9 @@ def attach_details(topk: DataFrame, catalog: DataFrame, job_key: str = "codigo_v
 
 
 def recommend_nested(topk_with_details: DataFrame, cand_key: str = "candidate_id",
-                     job_key: str = "codigo_vaga") -> DataFrame:
-    """One row per candidate with ``vagas_recomendadas`` sorted by rank.
+                     job_key: str = "codigo_vaga", candidates: DataFrame | None = None) -> DataFrame:
+    """One row per candidate with ``vagas_recomendadas`` sorted by rank; with ``candidates``
+    given, those without any recommendation have an empty list (R4).
 
     The group per candidate holds exactly ``k`` rows, so collect_list is bounded.
     """
@@ -151,9 +173,14 @@ def recommend_nested(topk_with_details: DataFrame, cand_key: str = "candidate_id
         F.col("similaridade"),
         F.col("principais_atividades").alias("atividades"),
         F.col("competencias"))
-    return (topk_with_details.groupBy(cand_key)
-            .agg(F.array_sort(F.collect_list(item)).alias("recs"))
-            .select(cand_key, F.transform("recs", lambda r: r.dropFields("rank")).alias("vagas_recomendadas")))
+    nested = (topk_with_details.groupBy(cand_key)
+              .agg(F.array_sort(F.collect_list(item)).alias("recs"))
+              .select(cand_key, F.transform("recs", lambda r: r.dropFields("rank")).alias("vagas_recomendadas")))
+    if candidates is None:
+        return nested
+    empty = F.array().cast(nested.schema["vagas_recomendadas"].dataType)
+    return (candidates.select(cand_key).join(nested, cand_key, "left")
+            .select(cand_key, F.coalesce("vagas_recomendadas", empty).alias("vagas_recomendadas")))
 
 
 def job_catalog(base: DataFrame, key: str = "codigo_vaga", fill_all: bool = True) -> DataFrame:

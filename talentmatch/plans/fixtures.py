@@ -8,10 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed fixture parameters: embeddings below this id are the job catalogue,
-# the others are candidates; events split at half of the event_id range.
-JOB_ID_LIMIT = 100
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,18 +24,17 @@ def documents(spark, sf_dir) -> DataFrame:
 
 
 def job_vectors(spark, sf_dir) -> DataFrame:
-    return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") < JOB_ID_LIMIT)
-            .select(F.col("vec_id").alias("codigo_vaga"), "embedding"))
+    """Every embedding is a job, and every one a candidate, so both sides grow with the data."""
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("codigo_vaga"), "embedding")
 
 
 def candidate_vectors(spark, sf_dir) -> DataFrame:
-    return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") >= JOB_ID_LIMIT)
-            .select(F.col("vec_id").alias("candidate_id"), "embedding", "label"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), "embedding", "label")
 
 
 def job_details(spark, sf_dir) -> DataFrame:
     """Job title / activities / skills from ``part`` (p_partkey = vec_id)."""
-    return (table(spark, sf_dir, "part").where(F.col("p_partkey") < JOB_ID_LIMIT)
+    return (table(spark, sf_dir, "part")
             .select(F.col("p_partkey").alias("codigo_vaga"),
                     F.col("p_name").alias("titulo_vaga"),
                     F.col("p_type").alias("principais_atividades"),
@@ -50,8 +45,8 @@ def job_details(spark, sf_dir) -> DataFrame:
 # Unified application table stand-in (base_tratada before curation)
 # ---------------------------------------------------------------------------
 # documents -> applicant side (cv_pt = text; categories from lang / source),
-# labels -> status text (toxic plays "hired"), part -> job side (jobs with
-# p_size > 40 are missing, so some applications lose their job columns).
+# labels -> status text (toxic plays "hired"), part -> job side (documents in
+# Spanish name no job, so some applications have no job columns).
 # NA tokens and nulls are made on both sides: nullif(lang, 'de') and
 # source 'src0' -> 'N/A'.
 
@@ -71,10 +66,10 @@ def documents_with_gaps(spark, sf_dir) -> DataFrame:
 def unified(spark, sf_dir) -> DataFrame:
     d = documents_with_gaps(spark, sf_dir)
     lab = table(spark, sf_dir, "labels")
-    jobs = (table(spark, sf_dir, "part").where(F.col("p_size") <= 40)
-            .select(F.col("p_partkey").alias("jk"), "p_name", "p_type", "p_brand"))
+    jobs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("jk"), "p_name", "p_type", "p_brand")
+    named = F.when(~d["lang"].eqNullSafe("es"), d["doc_id"])
     status = F.when(F.col("toxic") == 1, F.lit(HIRED_TEXT)).when(F.col("toxic") == 0, F.lit(OTHER_TEXT))
-    return (d.join(lab, "doc_id", "left").join(jobs, d["doc_id"] == jobs["jk"], "left")
+    return (d.join(lab, "doc_id", "left").join(jobs, named == jobs["jk"], "left")
             .select(
                 F.col("doc_id").cast("string").alias("codigo_profissional"),
                 F.col("text").alias("cv_pt"),
@@ -114,7 +109,7 @@ unified AS (
            AS situacao_candidato
   FROM documents d
   LEFT JOIN labels l ON l.doc_id = d.doc_id
-  LEFT JOIN (SELECT * FROM part WHERE p_size <= 40) p ON p.p_partkey = d.doc_id
+  LEFT JOIN part p ON p.p_partkey = CASE WHEN d.lang IS DISTINCT FROM 'es' THEN d.doc_id END
 )"""
 
 

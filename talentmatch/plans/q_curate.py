@@ -10,7 +10,7 @@ from talentmatch.operators import curate as C
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.registry import query
 from talentmatch.session import scratch_path
-from talentmatch.sources.json_keyed import read_keyed_json, write_keyed_json
+from talentmatch.sources.json_keyed import read_json_lines, read_keyed_json, write_keyed_json
 
 # ---------------------------------------------------------------------------
 # Keyed JSON fixtures (written once per call under the shared checkpoint dir)
@@ -105,6 +105,17 @@ def json_keyed_scan(spark, sf):
                     F.size("doc.prospects").alias("n_prospects"))
 
 
+@query("json_lines_scan", sql="""
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nome, CAST(c_nationkey AS VARCHAR) AS telefone FROM customer""")
+def json_lines_scan(spark, sf):
+    """S1 in its splittable form: one {"id": .., "doc": {..}} per line, written and read back."""
+    doc = F.struct(F.struct(F.col("c_name").alias("nome"), F.col("c_nationkey").cast("string").alias("telefone")).alias("infos_basicas"))
+    path = scratch_path(spark, "applicants-jsonl")
+    fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), doc.alias("doc")).write.json(path)
+    rows = read_json_lines(spark, path, APPLICANT_DOC)
+    return rows.select("id", F.col("doc.infos_basicas.nome").alias("nome"), F.col("doc.infos_basicas.telefone").alias("telefone"))
+
+
 @query("prospects_unnest", sql=f"""
 WITH {_CONV_SQL}
 SELECT CAST(c.conv_id AS VARCHAR) AS codigo_vaga, p.titulo AS titulo_vaga_prospect,
@@ -166,12 +177,14 @@ def jobs_flat(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _orders(spark, sf):
+    """Pending orders name no customer here, so that the joins have misses."""
     return fx.table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("custkey"), "o_orderstatus", "o_totalprice", "o_orderdate")
+        "o_orderkey", F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_custkey END").alias("custkey"),
+        "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
 def _customers(spark, sf):
-    return (fx.table(spark, sf, "customer").where(F.col("c_mktsegment") != "AUTOMOBILE")
+    return (fx.table(spark, sf, "customer")
             .select(F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"),
                     F.col("c_nationkey").alias("nationkey"), "c_acctbal"))
 
@@ -182,9 +195,10 @@ def _nations(spark, sf):
 
 
 _JOIN_SQL = """
-o AS (SELECT o_orderkey, o_custkey AS custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders),
+o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS custkey, o_orderstatus, o_totalprice, o_orderdate
+      FROM orders),
 c AS (SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey, c_acctbal
-      FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'),
+      FROM customer),
 n AS (SELECT n_nationkey AS nationkey, n_name AS name, n_regionkey FROM nation),
 j AS (SELECT o.o_orderkey, o.custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
              c.name AS name_x, c.nationkey, c.c_acctbal, n.name AS name_y, n.n_regionkey
@@ -192,9 +206,9 @@ j AS (SELECT o.o_orderkey, o.custkey, o.o_orderstatus, o.o_totalprice, o.o_order
 
 
 @query("join_applicants", sql="""
-SELECT o.o_orderkey, o.o_custkey AS custkey, c.c_name AS name, c.c_acctbal
-FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') c
-  ON o.o_custkey = c.c_custkey""")
+SELECT o.o_orderkey, o.custkey, c.c_name AS name, c.c_acctbal
+FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS custkey FROM orders) o
+LEFT JOIN customer c ON o.custkey = c.c_custkey""")
 def join_applicants(spark, sf):
     """Left join, right key unique (no fan-out); misses keep the left row."""
     j = C.left_join_suffix(_orders(spark, sf), _customers(spark, sf), "custkey")
@@ -421,13 +435,15 @@ def preview_text(spark, sf):
 def _candidates(spark, sf):
     d = fx.documents_with_gaps(spark, sf)
     return d.select(
-        "doc_id", F.col("text").alias("cv_pt"),
+        "doc_id", F.when(F.col("source") == "src4", F.lit(" \t ")).otherwise(F.col("text")).alias("cv_pt"),
         F.when(F.col("lang") == "en", "Mestrado").when(F.col("lang") == "fr", "Doutorado")
          .when(F.col("lang") == "es", "Pós").otherwise(F.col("lang")).alias("nivel_academico"),
-        F.lit("Fluente").alias("nivel_ingles"), F.lit("Nenhum").alias("nivel_espanhol"),
+        F.when(F.col("source") == "src2", "Nenhum").otherwise("Fluente").alias("nivel_ingles"),
+        F.expr("nullif(source, 'src3')").isNotNull().alias("__es"),
         F.when(F.col("source") == "src1", "CLT").when(F.col("source") == "N/A", "N/A")
          .otherwise("PJ").alias("tipo_contratacao"),
-        F.lit("Dados").alias("area_atuacao"))
+        F.when(F.col("lang") == "fr", "Vendas").otherwise("Dados").alias("area_atuacao")
+    ).withColumn("nivel_espanhol", F.when(F.col("__es"), "Nenhum")).drop("__es")
 
 
 def _allowed_sql(col):
@@ -437,17 +453,24 @@ def _allowed_sql(col):
 @query("validate_candidates", sql=f"""
 WITH d AS (SELECT doc_id, text AS cv_pt, nullif(lang, 'de') AS lang,
                   CASE WHEN source = 'src0' THEN 'N/A' ELSE source END AS source FROM documents),
-c AS (SELECT doc_id, cv_pt,
+c AS (SELECT doc_id, CASE WHEN source = 'src4' THEN chr(32) || chr(9) || chr(32) ELSE cv_pt END AS cv_pt,
+             CASE WHEN source = 'src2' THEN 'Nenhum' ELSE 'Fluente' END AS nivel_ingles,
+             CASE WHEN nullif(source, 'src3') IS NOT NULL THEN 'Nenhum' END AS nivel_espanhol,
+             CASE WHEN lang = 'fr' THEN 'Vendas' ELSE 'Dados' END AS area_atuacao,
              CASE WHEN lang = 'en' THEN 'Mestrado' WHEN lang = 'fr' THEN 'Doutorado'
                   WHEN lang = 'es' THEN 'Pós' ELSE lang END AS nivel_academico,
              CASE WHEN source = 'src1' THEN 'CLT' WHEN source = 'N/A' THEN 'N/A' ELSE 'PJ' END
                AS tipo_contratacao FROM d),
 v AS (SELECT doc_id, list_filter([
         CASE WHEN nivel_academico IS NULL THEN 'nivel_academico:missing' END,
+        CASE WHEN nivel_espanhol IS NULL THEN 'nivel_espanhol:missing' END,
         CASE WHEN nivel_academico IS NOT NULL AND nivel_academico NOT IN ({_allowed_sql('nivel_academico')})
              THEN 'nivel_academico:not_allowed' END,
+        CASE WHEN nivel_ingles NOT IN ({_allowed_sql('nivel_ingles')}) THEN 'nivel_ingles:not_allowed' END,
         CASE WHEN tipo_contratacao NOT IN ({_allowed_sql('tipo_contratacao')})
-             THEN 'tipo_contratacao:not_allowed' END], lambda x: x IS NOT NULL) AS violations FROM c)
+             THEN 'tipo_contratacao:not_allowed' END,
+        CASE WHEN area_atuacao NOT IN ({_allowed_sql('area_atuacao')}) THEN 'area_atuacao:not_allowed' END,
+        CASE WHEN trim(cv_pt, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'cv_pt:blank' END], lambda x: x IS NOT NULL) AS violations FROM c)
 SELECT doc_id, len(violations) = 0 AS valid, array_to_string(violations, ',') AS violations FROM v""")
 def validate_candidates(spark, sf):
     """Required fields, closed value lists, blank CV -> violations and a valid flag."""

@@ -38,23 +38,24 @@ def drift_prepare(spark, sf):
         c.select(F.lit("current").alias("side"), *c.columns))
 
 
-@query("drift_plan", sql=f"""
-WITH {_SIDES_SQL},
-s AS (SELECT count(*) AS n, count(DISTINCT event_type) AS u_t, count(DISTINCT value) AS u_v,
-             count(DISTINCT user_id) AS u_u FROM ref)
-SELECT 'event_type' AS "column", 'cat' AS kind, n AS n_ref, u_t AS n_unique,
-       CASE WHEN n <= 1000 THEN (CASE WHEN u_t <= 2 THEN 'z' ELSE 'chisquare' END) ELSE 'jensenshannon' END AS test,
-       CAST(CASE WHEN n <= 1000 THEN 0.05 ELSE 0.1 END AS DOUBLE) AS threshold FROM s
-UNION ALL
-SELECT 'value', CASE WHEN u_v > 5 THEN 'num' ELSE 'cat' END, n, u_v,
-       CASE WHEN n <= 1000 THEN 'ks' ELSE 'wasserstein' END, CAST(CASE WHEN n <= 1000 THEN 0.05 ELSE 0.1 END AS DOUBLE) FROM s
-UNION ALL
-SELECT 'user_id', CASE WHEN u_u > 5 THEN 'num' ELSE 'cat' END, n, u_u,
-       CASE WHEN n <= 1000 THEN 'ks' ELSE 'wasserstein' END, CAST(CASE WHEN n <= 1000 THEN 0.05 ELSE 0.1 END AS DOUBLE) FROM s""")
+# every column of events, and whether it is a number
+_COLUMNS = {"event_id": True, "ts": False, "user_id": True, "event_type": False, "value": True, "props": False}
+
+
+def _plan_sql(c: str, numeric: bool) -> str:
+    kind = f"CASE WHEN count(DISTINCT {c}) > 5 THEN 'num' ELSE 'cat' END" if numeric else "'cat'"
+    return f"""SELECT "column", kind, n_ref, n_unique,
+       CASE WHEN n_ref > 1000 THEN (CASE WHEN kind = 'num' THEN 'wasserstein' ELSE 'jensenshannon' END)
+            WHEN kind = 'num' THEN 'ks' WHEN n_unique <= 2 THEN 'z' ELSE 'chisquare' END AS test,
+       CAST(CASE WHEN n_ref <= 1000 THEN 0.05 ELSE 0.1 END AS DOUBLE) AS threshold
+FROM (SELECT '{c}' AS "column", {kind} AS kind, count(*) AS n_ref, count(DISTINCT {c}) AS n_unique FROM ref)"""
+
+
+@query("drift_plan", sql=f"WITH {_SIDES_SQL} " + " UNION ALL ".join(_plan_sql(c, n) for c, n in _COLUMNS.items()))
 def drift_plan(spark, sf):
-    """Test per column from type, cardinality and reference size."""
+    """Test per column from type, cardinality and reference size, over every column."""
     ref, _ = sides(spark, sf)
-    return D.plan(ref, ["event_type", "value", "user_id"])
+    return D.plan(ref, ref.columns)
 
 
 _SHARES_SQL = f"""
@@ -127,19 +128,41 @@ def drift_wasserstein(spark, sf):
     return D.wasserstein_normed(ref, cur, "value").select(F.round("statistic", 6).alias("statistic"))
 
 
-@query("drift_dataset")
+def _distance_sql(c: str, numeric: bool) -> str:
+    """(column, test, statistic) of a large reference: normed Wasserstein or Jensen-Shannon."""
+    if numeric:
+        return f"""SELECT '{c}' AS "column", 'wasserstein' AS test, sum(CASE WHEN nx IS NOT NULL THEN abs(fr - fc) * (nx - x) ELSE 0 END)
+         / (SELECT stddev_pop({c}) FROM ref) AS statistic FROM (
+  SELECT x, sum(nr) OVER (ORDER BY x) / sum(nr) OVER () AS fr, sum(nc) OVER (ORDER BY x) / sum(nc) OVER () AS fc, lead(x) OVER (ORDER BY x) AS nx
+  FROM (SELECT x, sum(r) AS nr, sum(c) AS nc FROM (SELECT CAST({c} AS DOUBLE) AS x, 1 AS r, 0 AS c FROM ref
+        UNION ALL SELECT CAST({c} AS DOUBLE), 0, 1 FROM cur) WHERE x IS NOT NULL GROUP BY x))"""
+    return f"""SELECT '{c}', 'jensenshannon', sqrt(greatest(0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END)
+         + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END))) FROM (
+  SELECT sum(r) / sum(sum(r)) OVER () AS p, sum(c) / sum(sum(c)) OVER () AS q
+  FROM (SELECT {c} AS v, 1 AS r, 0 AS c FROM ref UNION ALL SELECT {c}, 0, 1 FROM cur) WHERE v IS NOT NULL GROUP BY v)"""
+
+
+# the SQL knows the distances, which references of over 1,000 rows get
+_RESULTS_SQL = f"WITH {_SIDES_SQL}, results AS (" + " UNION ALL ".join(_distance_sql(c, n) for c, n in _COLUMNS.items()) + ")"
+
+
+@query("drift_dataset", sql=f"""{_RESULTS_SQL}
+SELECT count(*) AS n_columns, CAST(count(*) FILTER (WHERE statistic >= 0.1) AS BIGINT) AS n_drifted,
+       count(*) FILTER (WHERE statistic >= 0.1) / count(*) AS share_drifted,
+       count(*) FILTER (WHERE statistic >= 0.1) / count(*) >= 0.5 AS dataset_drift FROM results""")
 def drift_dataset(spark, sf):
-    """Per-column tests (chosen by D2) and the share-of-drifted-columns verdict."""
+    """Per-column tests (chosen by D2) over every column and the share-of-drifted-columns verdict."""
     ref, cur = sides(spark, sf)
-    res = D.column_results(ref, cur, ["event_type", "value", "user_id"])
-    return D.dataset_drift(res)
+    return D.dataset_drift(D.column_results(ref, cur, ref.columns))
 
 
-@query("drift_columns")
+@query("drift_columns", sql=f"""{_RESULTS_SQL}
+SELECT "column", test, round(statistic, 6) AS statistic, CAST(NULL AS DOUBLE) AS p_value, CAST(0.1 AS DOUBLE) AS threshold,
+       statistic >= 0.1 AS drifted FROM results""")
 def drift_columns(spark, sf):
-    """The drift report as a table (one row per column with statistic and p-value)."""
+    """The drift report as a table: one row for every column with statistic and p-value."""
     ref, cur = sides(spark, sf)
-    return D.column_results(ref, cur, ["event_type", "value", "user_id"])
+    return D.column_results(ref, cur, ref.columns).withColumn("statistic", F.round("statistic", 6))
 
 
 # ---------------------------------------------------------------------------

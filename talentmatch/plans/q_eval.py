@@ -175,7 +175,7 @@ LINEAR_INTERCEPT = -0.1
 
 
 @query("linear_score", sql=f"""
-WITH c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id >= 100),
+WITH c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 z AS (SELECT vec_id, {LINEAR_INTERCEPT} + list_sum(list_transform(range(1, len(e) + 1),
         lambda i: e[i] * (((i - 1) % 7) - 3) / 10.0)) AS z FROM c)
 SELECT vec_id AS candidate_id, round(1 / (1 + exp(-z)), 4) AS probabilidade_contratacao FROM z""")

@@ -228,7 +228,8 @@ def model_roundtrip(spark, sf):
     loaded = M.load_model(M.save_model(model, scratch_path(spark, "model")))
     a = M.predict(model, test, "doc_id").select("doc_id", F.col("prob").alias("p_before"))
     b = M.predict(loaded, test, "doc_id").select("doc_id", F.col("prob").alias("p_after"))
-    return a.join(b, "doc_id").withColumn("same", F.abs(F.col("p_before") - F.col("p_after")) < 1e-12)
+    same = F.abs(F.col("p_before") - F.col("p_after")) < 1e-12
+    return a.join(b, "doc_id").withColumn("same", F.when(same, True).otherwise(F.raise_error(F.lit("the loaded model predicts otherwise"))))
 
 
 @query("features_roundtrip")
@@ -255,13 +256,13 @@ def analyze_candidates(spark, sf):
                             "doc_id", "text", CATS, DIM)
     prob = M.predict(model, cands, "doc_id").select(
         "doc_id", F.round("prob", 4).alias("probabilidade_contratacao"))
-    part = fx.table(spark, sf, "part").where(F.col("p_partkey") < fx.JOB_ID_LIMIT).select(
+    part = fx.table(spark, sf, "part").select(
         F.col("p_partkey").alias("codigo_vaga"), F.col("p_name").alias("titulo_vaga"),
         F.col("p_type").alias("principais_atividades"), F.col("p_brand").alias("competencias"))
     cat = R.job_catalog(part)
     jobs = embed_hash(cat, "codigo_vaga", "texto_vaga", DIM)
     top = R.recommend_topk(cands.select("doc_id", F.col("emb").alias("embedding")), jobs,
                            cand_key="doc_id")
-    nested = R.recommend_nested(R.attach_details(top, cat.drop("texto_vaga")), cand_key="doc_id")
+    nested = R.recommend_nested(R.attach_details(top, cat.drop("texto_vaga")), cand_key="doc_id", candidates=cands)
     return prob.join(nested, "doc_id", "left").select(
         "doc_id", "probabilidade_contratacao", F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))

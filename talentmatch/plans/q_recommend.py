@@ -12,8 +12,8 @@ from talentmatch.plans.registry import query
 from talentmatch.plans.q_eval import LINEAR_COEF, LINEAR_INTERCEPT  # noqa: E402
 
 _VECTORS_SQL = """
-j AS (SELECT vec_id AS codigo_vaga, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 100),
-c AS (SELECT vec_id AS candidate_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id >= 100),
+j AS (SELECT vec_id AS codigo_vaga, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+c AS (SELECT vec_id AS candidate_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 s AS (SELECT c.candidate_id, j.codigo_vaga, list_cosine_similarity(c.e, j.e) AS sim FROM c, j),
 r AS (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY sim DESC, codigo_vaga) AS rk FROM s),
 top AS (SELECT candidate_id, CAST(rk AS INTEGER) AS rank, codigo_vaga, round(sim, 4) AS similaridade
@@ -21,7 +21,7 @@ top AS (SELECT candidate_id, CAST(rk AS INTEGER) AS rank, codigo_vaga, round(sim
 
 _DETAILS_SQL = """
 details AS (SELECT p_partkey AS codigo_vaga, p_name AS titulo_vaga, p_type AS principais_atividades,
-                   p_brand AS competencias FROM part WHERE p_partkey < 100)"""
+                   p_brand AS competencias FROM part)"""
 
 
 def topk(spark, sf, k=3):
@@ -75,12 +75,28 @@ def job_catalog(spark, sf):
     return R.job_catalog(part, fill_all=True)
 
 
-@query("recommend_empty", sql="""
-SELECT vec_id AS candidate_id FROM embeddings
-WHERE vec_id >= 100 AND (embedding IS NULL OR len(embedding) = 0)""")
+@query("recommend_empty", sql="SELECT vec_id AS candidate_id, '[]' AS vagas_recomendadas FROM embeddings")
 def recommend_empty(spark, sf):
-    """Candidates that cannot be scored (null / empty vector) are reported, not scored."""
-    return R.reject_invalid_vectors(fx.candidate_vectors(spark, sf)).select("candidate_id")
+    """Against an empty catalogue every candidate has an empty list."""
+    cands = fx.candidate_vectors(spark, sf)
+    top = R.recommend_topk(cands, fx.job_vectors(spark, sf).where("false"))
+    n = R.recommend_nested(R.attach_details(top, fx.job_details(spark, sf)), candidates=cands)
+    return n.select("candidate_id", F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))
+
+
+@query("recommend_invalid", sql="""
+SELECT vec_id AS candidate_id FROM embeddings WHERE label = 3 OR embedding IS NULL OR len(embedding) = 0""")
+def recommend_invalid(spark, sf):
+    """Candidates that cannot be scored (null or empty vector, made so for a label) are reported."""
+    cands = fx.candidate_vectors(spark, sf).withColumn("embedding", F.when(F.col("label") != 3, F.col("embedding")))
+    return R.reject_invalid_vectors(cands).select("candidate_id")
+
+
+@query("recommend_blocks", sql=f"WITH {_VECTORS_SQL} SELECT * FROM top")
+def recommend_blocks(spark, sf):
+    """R3 past the broadcast limit: many job blocks, joined as a grid of blocks and candidate parts."""
+    return R.recommend_topk(fx.candidate_vectors(spark, sf), fx.job_vectors(spark, sf), k=3,
+                            block_size=64, broadcast_bytes=0, part_rows=128)
 
 
 @query("topk_per_group", sql="""

@@ -52,4 +52,4 @@ def stream_recommend(spark, sf):
     """Candidates arrive as a file stream; top-3 jobs per micro-batch."""
     schema = fx.table(spark, sf, "embeddings").schema
     return X.run_stream_recommend(spark, f"{sf.rstrip('/')}/embeddings.parquet", schema,
-                                  fx.job_vectors(spark, sf), where=f"vec_id >= {fx.JOB_ID_LIMIT}")
+                                  fx.job_vectors(spark, sf))

@@ -50,21 +50,6 @@ def text_clean(spark, sf):
     return d.select("doc_id", T.join_tokens("toks").alias("text_clean"))
 
 
-@query("text_preprocess")
-def text_preprocess(spark, sf):
-    """T1 in full: lower, digits, punctuation, split, stop words, stem (T2), join."""
-    from talentmatch.operators.stemming import stem_tokens
-    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
-    return d.select("doc_id", T.join_tokens(stem_tokens("toks")).alias("text_prep"))
-
-
-@query("stem_vocab")
-def stem_vocab(spark, sf):
-    """The corpus vocabulary after T1's cleaning, each word's stem and count."""
-    from talentmatch.operators.stemming import stem_vocabulary
-    return stem_vocabulary(FE.preprocess_frame(_docs(spark, sf), "text", "toks"), "toks")
-
-
 @query("tokens", sql=f"""
 SELECT doc_id, CAST(len({sql_tokens(stop=False)}) AS INTEGER) AS n_tokens,
        array_to_string({sql_tokens(stop=False)}, ' ') AS joined FROM documents""")
@@ -148,16 +133,6 @@ def tfidf_bigrams(spark, sf):
     return FE.tfidf_long(d, "doc_id", "t", 3000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
-@query("tfidf_stemmed")
-def tfidf_stemmed(spark, sf):
-    """M2 over the full T1 text (stemmed, as the training script feeds it): the 3000
-    most frequent 1- and 2-grams. Rows-only: no SQL engine has the stemmer."""
-    from talentmatch.operators.stemming import stem_tokens
-    d = FE.preprocess_frame(_docs(spark, sf), "text", "toks")
-    d = d.select("doc_id", T.ngrams_1_2(T.bow_tokens(T.join_tokens(stem_tokens("toks")))).alias("t"))
-    return FE.tfidf_long(d, "doc_id", "t", 3000).select("doc_id", "term", F.round("weight", 6).alias("weight"))
-
-
 _GAPS_SQL = """
 g AS (SELECT doc_id, nullif(lang, 'de') AS lang, CASE WHEN source = 'src0' THEN 'N/A' ELSE source END AS source
       FROM documents)"""

@@ -8,7 +8,10 @@ we create one under the local temp folder.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -18,44 +21,44 @@ from pyspark.sql import SparkSession
 _LOCAL_FALLBACK: str | None = None
 
 
+#: Options of this package's queries, set where the launch leaves them open.
+RUNTIME_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def _launched() -> bool:
+    """Whether spark-submit or PYSPARK_SUBMIT_ARGS has chosen the master."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+
+
 def get_session(master: str | None = None, app: str = "talentmatch",
                 shuffle_partitions: int | None = None,
                 driver_memory: str | None = None) -> SparkSession:
-    """Session with AQE (coalescing, skew join), UTC and the UI off.
+    """The running session, or a new one.
 
-    Settings that the launch already carries (spark-submit, spark-defaults on a
-    cluster: master, shuffle partitions, memory, checkpoint folder) are kept;
-    the local defaults below fill only what is unset, as in tests and the bench.
+    A launch by spark-submit keeps its master, memory, partitions and folders:
+    only SQL options that it leaves open are set, on the running session. A
+    plain Python process (tests, the bench) gets a local master.
     """
-    from pyspark import SparkConf
-
-    preset = dict(SparkConf().getAll())
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master or "spark.master" not in preset:
-        builder = builder.master(master or f"local[{cpus}]")
-    local = (master or preset.get("spark.master", "local")).startswith("local")
-    defaults = {
-        # AQE coalesces the initial partitions to ~advisory size at run time
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-    }
-    if local:
-        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus) * 2)
-        defaults["spark.driver.memory"] = driver_memory or os.environ.get("TM_DRIVER_MEMORY", "8g")
-    elif shuffle_partitions:
-        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    for key, value in defaults.items():
-        if key not in preset or (key == "spark.sql.shuffle.partitions" and shuffle_partitions):
-            builder = builder.config(key, value)
+    if master:
+        builder = builder.master(master)
+    if not _launched() and SparkSession.getActiveSession() is None:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = (builder.master(master or f"local[{cpus}]")
+                   .config("spark.driver.memory", driver_memory or os.environ.get("TM_DRIVER_MEMORY", "8g"))
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
+                   .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     spark = builder.getOrCreate()
+    launch = spark.sparkContext.getConf()
+    for key, value in RUNTIME_DEFAULTS.items():
+        if not launch.contains(key):
+            spark.conf.set(key, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
@@ -63,7 +66,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir); sets a local one only where none is configured.
+    checkpoint dir). Without one, a local master gets a temporary folder of
+    this process, removed at its end; any other master is an error, as its
+    executors would write where nobody else can read.
     """
     global _LOCAL_FALLBACK
     sc = spark.sparkContext
@@ -71,17 +76,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="talentmatch-ckpt-")
+            atexit.register(shutil.rmtree, _LOCAL_FALLBACK, ignore_errors=True)
         root = _LOCAL_FALLBACK
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all that ``scratch_path`` has named so far; call it when no result is read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 _SHIPPED: dict[str, str] = {}

@@ -45,18 +45,9 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def export_unified(df: DataFrame, path: str, cell_limit: int | None = None) -> str:
-    """S6 re-aimed: sanitise every string (P17) and write Parquet.
-
-    ``cell_limit`` cuts strings to a spreadsheet cell's 32,767 characters for
-    consumers that need it; off by default (whole texts are kept).
-    """
-    out = sanitize_frame(df)
-    if cell_limit:
-        strings = [f.name for f in out.schema.fields if f.dataType.simpleString() == "string"]
-        out = out.select(*[F.substring(c, 1, cell_limit).alias(c) if c in strings else F.col(c)
-                           for c in out.columns])
-    return write_parquet(out, path)
+def export_unified(df: DataFrame, path: str) -> str:
+    """S6 re-aimed: sanitise every string (P17), whole, and write Parquet."""
+    return write_parquet(sanitize_frame(df), path)
 
 
 def write_vectors(df: DataFrame, key: str, vec: str, path: str) -> str:

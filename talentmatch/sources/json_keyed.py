@@ -4,7 +4,7 @@ A keyed document cannot be split inside (it is one JSON value), so the unit of
 parallelism is the file: a data set is a folder of such documents ("shards"),
 each parsed by one task with ``from_json`` into ``map<string, struct>`` and
 exploded to one row per id. The writer produces as many shards as the data
-needs (``rows_per_shard``), so no task ever holds more than one shard. JSON
+needs (``shard_bytes``), so no task ever holds more than one shard. JSON
 Lines ``{"id": .., "doc": {..}}`` is accepted as the row-splittable form.
 
 Duplicate ids: a Python ``dict`` keeps the last value of a repeated key. The
@@ -23,12 +23,15 @@ from pyspark.sql.types import MapType, StringType, StructType
 
 def read_keyed_json(spark: SparkSession, path: str, value_schema: StructType,
                     key_name: str = "id", dedupe: bool = True) -> DataFrame:
-    """One row per id: ``(key_name, doc struct, _pos)``; unparsable shards give no rows."""
-    raw = spark.read.text(path, wholetext=True)
-    parsed = raw.select(
-        F.input_file_name().alias("_file"),
-        F.from_json("value", MapType(StringType(), value_schema),
-                    {"mode": "PERMISSIVE"}).alias("m"))
+    """One row per id: ``(key_name, doc struct, _pos)``. An empty shard gives no rows; one that is
+    not a whole JSON object fails the job and is named: no id is lost silently."""
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_file"), "value")
+    # the end is looked at, too: a shard cut short may still parse up to the cut
+    cut = ~F.trim(F.regexp_replace("value", r"\s+$", "")).endswith("}")
+    m = F.from_json("value", MapType(StringType(), value_schema), {"mode": "PERMISSIVE"})
+    whole = F.when(F.col("value").rlike(r"\S"),
+                   F.when(m.isNull() | cut, F.raise_error(F.concat(F.lit("no JSON object: "), "_file"))).otherwise(m))
+    parsed = raw.select("_file", whole.alias("m"))
     rows = parsed.select("_file", F.posexplode("m").alias("_pos", key_name, "doc"))
     if not dedupe:
         return rows.drop("_file")
@@ -45,19 +48,20 @@ def read_json_lines(spark: SparkSession, path: str, value_schema: StructType,
 
 
 def write_keyed_json(df: DataFrame, key: str, doc: str, path: str,
-                     rows_per_shard: int = 50_000, n_rows: int | None = None) -> str:
+                     shard_bytes: int = 32 << 20) -> str:
     """Write ``(key, doc struct)`` rows as keyed JSON shards under ``path``.
 
-    Rows are hashed into ``ceil(n / rows_per_shard)`` shards; each shard is one
-    ``collect_list`` of a bounded number of rows turned into one JSON object.
+    Rows are hashed into shards of about ``shard_bytes`` of JSON text; each shard is one
+    ``collect_list`` of so many bytes turned into one JSON object.
     Null fields are left out, as a missing key in the source documents.
     """
-    n = df.count() if n_rows is None else n_rows
-    shards = max(1, math.ceil(n / rows_per_shard))
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.col(doc))).cast("long"))).first()[0] or 0
+    shards = max(1, math.ceil(size / shard_bytes))
     out = (df.select(F.col(key).cast("string").alias("k"), F.col(doc).alias("v"))
            .withColumn("shard", F.pmod(F.xxhash64("k"), F.lit(shards)))
            .groupBy("shard")
            .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "v")))).alias("value"))
            .select("value"))
-    out.write.mode("overwrite").text(path)
+    # one shard a file, however many one task writes
+    out.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path

@@ -2,8 +2,9 @@
 
 Both read a file source with an explicit schema and run with the
 ``availableNow`` trigger (everything present is processed, then the query
-stops), writing to a file sink whose checkpoint lives under the shared
-checkpoint folder, so a restarted query resumes where it stopped.
+stops), writing to a file sink. Output and checkpoint are parameters: a query
+started again with the same two resumes where it stopped; without them it gets
+fresh folders under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -31,24 +32,30 @@ def window_counts(events: DataFrame, ts: str = "ts", key: str = "event_type", id
                   window: str = "1 day", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
     """Counts per (event-time window, key) with a watermark.
 
-    ``ts`` arrives as timestamp_ntz and is cast to a timestamp (watermarks need
-    one). Duplicates of an id inside the watermark are dropped; rows later than
+    ``ts`` arrives as timestamp_ntz and is read as UTC, whatever the session's time zone (watermarks
+    need a timestamp); windows are given back as UTC wall-clock times. Duplicates of an id inside the watermark are dropped; rows later than
     the watermark are dropped by the aggregation.
     """
-    e = (events.withColumn("__ts", F.col(ts).cast("timestamp"))
+    e = (events.withColumn("__ts", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts)).cast("timestamp"))
          .withWatermark("__ts", delay)
          .dropDuplicatesWithinWatermark([id_col]))
     w = F.window("__ts", window, slide) if slide else F.window("__ts", window)
     agg = e.groupBy(w.alias("w"), F.col(key)).agg(F.count(F.lit(1)).alias("n"),
                                                    F.sum("value").alias("total_value"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), key, "n", "total_value")
+
+    def wall_clock(c):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+    return agg.select(wall_clock("w.start").alias("window_start"), wall_clock("w.end").alias("window_end"),
+                      key, "n", "total_value")
 
 
 def run_window_counts(spark: SparkSession, events_path: str, schema, window: str = "1 day",
-                      slide: str | None = None, delay: str = "1 hour") -> DataFrame:
+                      slide: str | None = None, delay: str = "1 hour", out: str | None = None,
+                      checkpoint: str | None = None) -> DataFrame:
     """Run X2 to completion (append mode, availableNow) and read the sink back."""
-    out, ckpt = scratch_path(spark, "window-counts"), scratch_path(spark, "window-counts-ckpt")
+    out = out or scratch_path(spark, "window-counts")
+    ckpt = checkpoint or scratch_path(spark, "window-counts-ckpt")
     stream = window_counts(file_stream(spark, events_path, schema), window=window, slide=slide, delay=delay)
     q = (stream.writeStream.outputMode("append").format("parquet")
          .option("path", out).option("checkpointLocation", ckpt)
@@ -59,28 +66,34 @@ def run_window_counts(spark: SparkSession, events_path: str, schema, window: str
 
 def run_stream_recommend(spark: SparkSession, candidates_path: str, schema, jobs: DataFrame,
                          k: int = 3, where: str | None = None, cand_key: str = "candidate_id",
-                         id_col: str = "vec_id") -> DataFrame:
-    """Score arriving candidates against a static job catalogue.
+                         id_col: str = "vec_id", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Score arriving candidates against a static job catalogue, prepared once.
 
     Each micro-batch is ranked with the batch operator (R3) inside
     ``foreachBatch`` -- ranking windows are not allowed on a stream -- and
     written to ``<out>/batch=<id>`` with overwrite, so a replayed batch
     replaces its own output (idempotent sink).
     """
-    out, ckpt = scratch_path(spark, "stream-recommend"), scratch_path(spark, "stream-recommend-ckpt")
+    out = out or scratch_path(spark, "stream-recommend")
+    ckpt = checkpoint or scratch_path(spark, "stream-recommend-ckpt")
+    index = R.prepare_jobs(jobs)
+    index.blocks = index.blocks.persist()
     src = file_stream(spark, candidates_path, schema)
     if where:
         src = src.where(where)
     src = src.select(F.col(id_col).alias(cand_key), "embedding")
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        top = R.recommend_topk(batch, jobs, k=k, cand_key=cand_key)
+        top = R.recommend_topk(batch, jobs, k=k, cand_key=cand_key, prepared=index)
         top.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (src.writeStream.foreachBatch(score).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
-    q.awaitTermination()
     try:
-        return spark.read.parquet(out).drop("batch")
-    except Exception:  # noqa: BLE001 - no batch produced (empty source)
-        return spark.createDataFrame([], f"{cand_key} bigint, rank int, codigo_vaga bigint, similaridade double")
+        q.awaitTermination()
+    finally:
+        index.blocks.unpersist()
+    # an empty source starts no batch; the empty table makes the folder readable, and gives the schema
+    empty = R.recommend_topk(spark.createDataFrame([], src.schema), jobs, k=k, cand_key=cand_key, prepared=index)
+    empty.write.mode("overwrite").parquet(f"{out}/batch=-1")
+    return spark.read.schema(empty.schema).parquet(out).drop("batch")

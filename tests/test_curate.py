@@ -79,3 +79,24 @@ def test_validate_candidates(spark):
     assert [r.valid for r in out] == [True, False, False]
     assert out[1].violations == ["cv_pt:blank"]
     assert sorted(out[2].violations) == ["nivel_academico:not_allowed", "nivel_ingles:missing"]
+
+
+def test_keyed_json_cut_short_is_an_error(spark, tmp_path):
+    import pytest
+    folder = write(tmp_path, "cut", '{"1": {"cv_pt": "a"}}')
+    for bad in ('{"2": {"cv_pt": "b"}, "3": {"cv_', "nothing", '{"2": {"cv_pt": "b"}'):
+        (tmp_path / "cut" / "part-1.json").write_text(bad)
+        with pytest.raises(Exception, match="no JSON object"):
+            read_keyed_json(spark, folder, APPLICANT_DOC).collect()
+    (tmp_path / "cut" / "part-1.json").write_text(" \n")
+    assert [r.id for r in read_keyed_json(spark, folder, APPLICANT_DOC).collect()] == ["1"]
+
+
+def test_keyed_json_shards_are_bounded_by_bytes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from talentmatch.sources.json_keyed import write_keyed_json
+    df = spark.range(40).select("id", F.struct(F.repeat(F.lit("x"), 1000).alias("cv_pt")).alias("doc"))
+    path = write_keyed_json(df, "id", "doc", str(tmp_path / "shards"), shard_bytes=4000)
+    assert spark.read.text(path, wholetext=True).count() >= 5
+    assert read_keyed_json(spark, path, APPLICANT_DOC).count() == 40

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from talentmatch.operators import drift as D
 
@@ -60,3 +61,40 @@ def test_plan_and_dataset_verdict(spark):
     res = D.column_results(ra, rb, ["value", "cat"])
     verdict = D.dataset_drift(res).first()
     assert verdict.n_columns == 2 and verdict.dataset_drift == (verdict.n_drifted >= 1)
+
+
+def test_category_unseen_in_the_reference_is_drift(spark):
+    ref = spark.createDataFrame([(c,) for c in "aabbbcc" * 3], "cat string")
+    cur = spark.createDataFrame([(c,) for c in "aabbbcd" * 3], "cat string")
+    r = D.column_results(ref, cur, ["cat"]).first()
+    assert r.test == "chisquare" and r.statistic == float("inf") and r.p_value == 0.0 and r.drifted
+
+
+def test_nulls_do_not_count_as_observations(spark):
+    ref = [float(i) for i in range(10)] + [None] * 10
+    cur = [float(i) + 2 for i in range(10)]
+    a = D.column_results(spark.createDataFrame([(x,) for x in ref], "v double"), spark.createDataFrame([(x,) for x in cur], "v double"), ["v"]).first()
+    b = D.column_results(spark.createDataFrame([(x,) for x in ref[:10]], "v double"), spark.createDataFrame([(x,) for x in cur], "v double"), ["v"]).first()
+    assert a.test == "ks" and (a.statistic, a.p_value) == (b.statistic, b.p_value) == (b.statistic, D.ks_pvalue(b.statistic, 10, 10))
+
+
+def test_z_takes_the_smaller_level(spark):
+    ref = spark.createDataFrame([(c,) for c in "yyyyn" * 4], "flag string")
+    cur = spark.createDataFrame([(c,) for c in "yynnn" * 4], "flag string")
+    for r in (ref, ref.orderBy(F.desc("flag")), ref.orderBy("flag")):
+        got = D.column_results(r, cur, ["flag"]).first()
+        assert got.test == "z" and got.statistic > 2.5
+
+
+def test_no_window_over_a_whole_column(spark):
+    _, _, ra, rb = frames(spark)
+    s = D.categorical_statistics(D.value_counts(ra, rb, ["value", "cat"]))
+    assert "SinglePartition" not in s._jdf.queryExecution().executedPlan().toString()
+    assert {r["column"] for r in s.collect()} == {"value", "cat"}
+
+
+def test_column_without_rows_on_one_side(spark):
+    ref = spark.createDataFrame([(1.0,), (2.0,)], "v double")
+    cur = spark.createDataFrame([(None,)], "v double")
+    r = D.column_results(ref, cur, ["v"]).first()
+    assert r.statistic is None and not r.drifted

@@ -74,3 +74,27 @@ def test_mode_ties_to_smallest(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "x"), ("b", None), ("a", None), (None, None)], "p string, q string")
     got = {r.column: r.mode for r in FE.mode_per_column(df, ["p", "q"]).collect()}
     assert got == {"p": "a", "q": "x"}
+
+
+def test_embedding_is_row_local_and_unit(spark):
+    from talentmatch.operators.embed import embed_hash
+    df = spark.createDataFrame([(1, "um dois dois tr\u00eas"), (2, ""), (3, None)], "id int, t string")
+    e = embed_hash(df, "id", "t", 16)
+    assert "Exchange" not in e._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: r["embedding"] for r in e.collect()}
+    assert abs(sum(x * x for x in got[1]) - 1) < 1e-12 and got[2] == got[3] == [0.0] * 16
+
+
+def test_leaky_folds_keep_one_prediction_a_row(spark):
+    from talentmatch.operators import models as M
+    rows = [(i, [float(i % 5), float(i % 3)], "ab"[i % 2], int(i % 4 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, emb array<double>, cat string, label int")
+    spec = M.ModelSpec(lr_iter=5)
+    model = M.fit_model(df, "LogisticRegression", "label", ["cat"], spec)
+    assert M.predict(model, df.unionAll(df), "id", ["label"]).count() == 120
+    vote = {"a": model, "b": model}
+    one = {r["id"]: r["prob"] for r in M.predict(model, df, "id").collect()}
+    both = M.predict_vote(vote, df.unionAll(df), "id", ["label"]).collect()
+    assert len(both) == 120 and all(abs(r["prob"] - one[r["id"]]) < 1e-12 for r in both)
+    folds = M.cross_val_f1(df, "LogisticRegression", "id", "label", ["cat"], spec, k=3, leaky=True).collect()
+    assert len(folds) == 3 and all(0 <= r["f1"] <= 1 for r in folds)

@@ -38,6 +38,12 @@ def test_topk_matches_brute_force(spark, block_size):
     assert got == brute(cands, jobs, 3)
 
 
+def test_grid_of_blocks_and_parts_matches_brute_force(spark):
+    c, j, cands, jobs = frames(spark)
+    got = sorted(tuple(r) for r in R.recommend_topk(c, j, k=3, block_size=4, broadcast_bytes=0, part_rows=7).collect())
+    assert got == brute(cands, jobs, 3)
+
+
 def test_topk_rejects_bad_k(spark):
     c, j, _, _ = frames(spark)
     with pytest.raises(ValueError):

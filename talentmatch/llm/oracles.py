@@ -57,7 +57,7 @@ def _op1() -> str:
     for licence, ids in LI.RULES:
         matched = f"replace({matched}, {_quoted(''.join(f'[{i}]' for i in ids))}, {_quoted('{' + licence + '}')})"
     cut = f"regexp_replace(t, {_quoted(LI.END)}, '\\1\\2' || chr(1), 'g')"
-    return f"""
+    return rf"""
 WITH maps AS MATERIALIZED (SELECT {_map(LI.SENTENCES)} AS s, {_map(LI.NAMES)} AS n),
 d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{LI.UPPER}', '{LI.LOWER}') AS t FROM documents),
 sentences AS (SELECT r, i, p[i] AS s FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i

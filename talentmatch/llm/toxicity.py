@@ -9,7 +9,8 @@ but the drift.
 Scoring: one linear scan (Ruzzo and Tompa's) finds all maximal segments of a document. A segment's
 raw score S becomes an expected number of chance segments, E = K * words * exp(-lambda * S), with
 lambda from the scores of clean labelled text (Karlin and Altschul). Segments with E <= ``max_e``
-are passages; their summed evidence becomes a probability by a logistic curve fitted to the labels.
+are passages. The evidence -ln E of all segments with E < 1 is summed, so that several weak ones add
+up, and becomes a probability by a logistic curve fitted to the labels.
 
 Defined results: an empty or null text has no passages and the score of no evidence; repeated rows
 score alike; without a toxic (or without a clean) labelled document every score is the share of
@@ -138,9 +139,9 @@ def passages(model: Model, words: Words, max_e: float = MAX_E):
         kept = []
         for s, first, last in segments(p, scores[p], total[p]):
             e = model.evidence(s, int(counts[d]))
+            evidence[d] += max(e, 0.0)
             if e >= -np.log(max_e):
                 kept.append((first, last, s, float(np.exp(-min(e, 700)))))
-                evidence[d] += e
         if kept:
             found[d] = kept
     return evidence, found

@@ -4,7 +4,7 @@ Base rules find e-mail addresses, IPv4 addresses, card numbers and phone numbers
 chain of transducers then rewrites what hides them (look-alike letters and digits, invisible
 characters, spelled digits, "(at)" and "dot") and keeps, for every character it puts out, the
 source characters it came from. The base rules run on the rewritten text, and what they find is
-mapped back; a span that overlaps none found as written is added.
+mapped back; a span is added if it meets none found as written, or extends it.
 
 Defined results: an empty or null text has no spans; rows are judged one by one, so repeated rows
 and ids don't matter; places are code points, ends exclusive. Every rule is linear in the text.
@@ -184,7 +184,8 @@ def _word(m: re.Match) -> str:
 
 
 def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that only the rewritten text shows, in places of the source, none overlapping ``base``."""
+    """Spans that only the rewritten text shows, in places of the source. One that meets spans of
+    ``base`` counts only if they are parts of it, of its kind."""
     strange = not text.isascii() and _strange(text)
     if not strange and not _hinted(text):
         return []
@@ -192,14 +193,19 @@ def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
     if strange:
         traced.rewrite(_STRANGE, lambda m: _ascii(m.group()))
     traced.rewrite(_WORDS, _word)
-    taken = sorted((a, b) for _, a, b in base)
-    out, k = [], 0
+    taken, out, k = sorted((a, b, kind) for kind, a, b in base), [], 0
     for kind, a, b in base_spans(traced.text):
-        a, b = traced.start[a], traced.end[b - 1]
         # blanks that a rewritten sign has swallowed are inside the span; none stands at its ends
+        a, b = traced.start[a], traced.end[b - 1]
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if not any(x < b and a < y for x, y in taken[k:k + 8]):
+        met, i = [], k
+        while i < len(taken) and taken[i][0] < b:
+            if taken[i][1] > a:
+                met.append(taken[i])
+            i += 1
+        # of what was found as written, only a part of the same kind may be inside
+        if all(a <= x and y <= b and other == kind and (a, b) != (x, y) for x, y, other in met):
             out.append((kind, a, b))
     return out
 

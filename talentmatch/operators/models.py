@@ -30,12 +30,17 @@ from talentmatch.operators.embed import with_hash
 MODEL_ORDER = ["LogisticRegression", "RandomForest", "GradientBoostedTrees", "VotingClassifier"]
 
 
+#: Training rows that are worth a task of their own.
+ROWS_PER_PARTITION = 4000
+
+
 @dataclass
 class ModelSpec:
-    """Sizes of the candidate models (the scripts use 150 trees / rounds)."""
-    lr_iter: int = 100
+    """Sizes of the candidate models: those of the reproduced scripts. Their trees grow without a
+    bound; 30 levels are the most that Spark's have."""
+    lr_iter: int = 1000
     trees: int = 150
-    depth: int = 10
+    depth: int = 30
     gbt_rounds: int = 150
     gbt_depth: int = 6
     vote_trees: int = 100
@@ -84,10 +89,9 @@ def _prob1(df: DataFrame, col: str = "probability") -> F.Column:
 def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: ModelSpec) -> PipelineModel:
     """Fit feature stages + one estimator (LR gets regParam = 1 / sum(weights))."""
     w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
-    # every stage fit and every solver pass reads it: keep it, in no more
-    # partitions than cores (a union of small shuffles can leave dozens of
-    # near-empty ones, and each solver iteration is one job over all of them)
-    w = w.coalesce(w.sparkSession.sparkContext.defaultParallelism).persist()
+    # every stage fit and every solver pass reads it: keep it, in no more partitions than
+    # its rows fill (each solver iteration and each level of a tree is a job over all of them)
+    w = w.coalesce(max(1, -(-train.count() // ROWS_PER_PARTITION))).persist()
     try:
         est = estimators(label, spec)[name]
         if name == "LogisticRegression":

@@ -18,8 +18,8 @@ from talentmatch.sources import files as IO
 
 DIM = 64
 CATS = ["lang", "source"]
-# model sizes for the registered queries (the scripts' sizes are ModelSpec defaults)
-SMALL = M.ModelSpec(lr_iter=50, trees=10, depth=5, gbt_rounds=10, gbt_depth=3, vote_trees=10)
+# the scripts' model sizes
+SPEC = M.ModelSpec()
 
 
 def _sql_embed(table, key, text):
@@ -162,7 +162,7 @@ def feature_pipeline(spark, sf):
 def _train_predict(spark, sf, name):
     train, test = split(spark, sf)
     bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_any(bal, name, "label", CATS, SMALL)
+    model = M.fit_any(bal, name, "label", CATS, SPEC)
     return M.predict_any(model, test, "doc_id").withColumn("prob", F.round("prob", 6))
 
 
@@ -178,7 +178,7 @@ def train_predict(spark, sf):
     (labelled or not) in one batch transform."""
     train, _ = split(spark, sf)
     bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SMALL)
+    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
     docs = M.feature_frame(fx.documents_with_gaps(spark, sf).select("doc_id", "text", *CATS),
                            "doc_id", "text", CATS, DIM)
     return M.predict(model, docs, "doc_id").withColumn("prob", F.round("prob", 6))
@@ -206,14 +206,14 @@ def vote_train(spark, sf):
 def cv_f1(spark, sf):
     """5-fold stratified F1 of the logistic regression (upsampled inside folds)."""
     train, _ = split(spark, sf)
-    return M.cross_val_f1(train, "LogisticRegression", "doc_id", "label", CATS, SMALL)
+    return M.cross_val_f1(train, "LogisticRegression", "doc_id", "label", CATS, SPEC)
 
 
 @query("model_leaderboard")
 def model_leaderboard(spark, sf):
     """L8 + A9: four models compared by CV and hold-out F1; the best one flagged."""
     train, test = split(spark, sf)
-    board = M.leaderboard(train, test, "doc_id", "label", CATS, SMALL)
+    board = M.leaderboard(train, test, "doc_id", "label", CATS, SPEC)
     best = board.where(F.col("f1") > 0).orderBy(F.desc("f1"), "model_order").limit(1) \
         .select("model", F.lit(True).alias("best"))
     return board.join(best, "model", "left").na.fill({"best": False})
@@ -224,7 +224,7 @@ def model_roundtrip(spark, sf):
     """A fitted pipeline saved and loaded gives the same predictions."""
     train, test = split(spark, sf)
     bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SMALL)
+    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
     loaded = M.load_model(M.save_model(model, scratch_path(spark, "model")))
     a = M.predict(model, test, "doc_id").select("doc_id", F.col("prob").alias("p_before"))
     b = M.predict(loaded, test, "doc_id").select("doc_id", F.col("prob").alias("p_after"))
@@ -251,7 +251,7 @@ def analyze_candidates(spark, sf):
     """P(hire) from the trained model plus the top-3 jobs for every candidate."""
     train, _ = split(spark, sf)
     bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SMALL)
+    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
     cands = M.feature_frame(fx.documents_with_gaps(spark, sf).select("doc_id", "text", *CATS),
                             "doc_id", "text", CATS, DIM)
     prob = M.predict(model, cands, "doc_id").select(

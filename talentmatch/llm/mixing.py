@@ -193,7 +193,8 @@ def mix(docs: DataFrame, weights: list[float] | None = None, share: float = 1.5,
         F.col("size") > 0, F.sequence(F.floor(F.col("first") / block_words), F.floor((F.col("last") - 1) / block_words)))))
     parts = parts.withColumn("start", F.greatest(F.col("first"), F.col("block") * block_words) - F.col("first")).withColumn(
         "end", F.least(F.col("last"), (F.col("block") + 1) * block_words) - F.col("first"))
-    rows = parts.join(slots(spark, sources, seed), ["sid", "block"], "left")
+    # Spark sees a short range behind the slots and would broadcast them; they grow with the words
+    rows = parts.join(slots(spark, sources, seed).hint("merge"), ["sid", "block"], "left")
     return rows.select("id", "size", "sid", "chunk", "rank", "start", "end", "shard", "position"), sources
 
 

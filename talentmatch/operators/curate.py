@@ -143,6 +143,14 @@ def left_join_suffix(left: DataFrame, right: DataFrame, on: str | list[str],
     return joined.drop(*[f"__r_{k}" for k in keys])
 
 
+def build_unified(applicants: DataFrame, prospects: DataFrame, jobs: DataFrame, key: str = "id") -> DataFrame:
+    """The whole preparation: the three document tables flattened (P1-P3), applications joined to their
+    applicant (J1) and their job (J2), strings sanitised (P17). An application whose applicant or job
+    is missing keeps its row; ``curate`` makes the base table of it."""
+    joined = left_join_suffix(unnest_prospects(prospects, key), flatten_applicants(applicants, key), "codigo_profissional")
+    return sanitize_frame(left_join_suffix(joined, flatten_jobs(jobs, key), "codigo_vaga"))
+
+
 def semi_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``left`` with at least one match in ``right``."""
     return left.join(right.select(on if isinstance(on, str) else list(on)), on, "left_semi")

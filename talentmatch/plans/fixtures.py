@@ -55,7 +55,10 @@ OTHER_TEXT = "Encaminhado ao Requisitante"
 
 
 def documents_with_gaps(spark, sf_dir) -> DataFrame:
-    d = documents(spark, sf_dir)
+    return with_gaps(documents(spark, sf_dir))
+
+
+def with_gaps(d: DataFrame) -> DataFrame:
     return d.select(
         "doc_id", "text",
         F.expr("nullif(lang, 'de')").alias("lang"),

@@ -257,6 +257,25 @@ def job_catalog_semi(spark, sf):
     return C.semi_join(part, base, "codigo_vaga")
 
 
+@query("etl_curated", sql="""
+WITH per AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)
+SELECT CAST(c.turn AS VARCHAR) AS codigo_profissional, a.c_name || ' ' || a.c_mktsegment AS cv_pt,
+       a.c_mktsegment AS nivel_academico, CAST(a.c_nationkey AS VARCHAR) AS nivel_ingles,
+       CAST(NULL AS VARCHAR) AS nivel_espanhol, a.c_mktsegment AS area_atuacao,
+       a.c_mktsegment AS objetivo_profissional, CAST(NULL AS VARCHAR) AS conhecimentos_tecnicos,
+       CAST(c.conv_id AS VARCHAR) AS codigo_vaga, p.p_name AS titulo_vaga, p.p_type AS nivel_profissional,
+       p.p_type AS tipo_contratacao, p.p_type AS areas_atuacao, p.p_name AS principais_atividades,
+       p.p_brand AS competencias, 0 AS foi_contratado
+FROM conversations c JOIN per USING (conv_id)
+JOIN customer a ON a.c_custkey = c.turn AND a.c_acctbal >= 0
+JOIN part p ON p.p_partkey = c.conv_id AND p.p_size > 5 AND p.p_size <= 45""")
+def etl_curated(spark, sf):
+    """The whole preparation: keyed JSON -> flatten -> joins -> sanitise (build_unified) -> curate.
+
+    Conversations play the applications: a turn names the applicant, the conversation the job."""
+    return C.curate(C.build_unified(applicants_docs(spark, sf), prospects_docs(spark, sf), jobs_docs(spark, sf)))
+
+
 # ---------------------------------------------------------------------------
 # Curation (V7) and column rules
 # ---------------------------------------------------------------------------
@@ -432,8 +451,9 @@ def preview_text(spark, sf):
     return fx.table(spark, sf, "documents").select("doc_id", T.preview("text").alias("preview"))
 
 
-def _candidates(spark, sf):
-    d = fx.documents_with_gaps(spark, sf)
+def candidate_forms(documents):
+    """Candidates' forms made of documents: each rule has rows that break it."""
+    d = fx.with_gaps(documents)
     return d.select(
         "doc_id", F.when(F.col("source") == "src4", F.lit(" \t ")).otherwise(F.col("text")).alias("cv_pt"),
         F.when(F.col("lang") == "en", "Mestrado").when(F.col("lang") == "fr", "Doutorado")
@@ -450,8 +470,8 @@ def _allowed_sql(col):
     return fx.sql_str_list(C.ALLOWED_VALUES[col])
 
 
-@query("validate_candidates", sql=f"""
-WITH d AS (SELECT doc_id, text AS cv_pt, nullif(lang, 'de') AS lang,
+_VALIDATE_SQL = f"""
+d AS (SELECT doc_id, text AS cv_pt, nullif(lang, 'de') AS lang,
                   CASE WHEN source = 'src0' THEN 'N/A' ELSE source END AS source FROM documents),
 c AS (SELECT doc_id, CASE WHEN source = 'src4' THEN chr(32) || chr(9) || chr(32) ELSE cv_pt END AS cv_pt,
              CASE WHEN source = 'src2' THEN 'Nenhum' ELSE 'Fluente' END AS nivel_ingles,
@@ -470,9 +490,13 @@ v AS (SELECT doc_id, list_filter([
         CASE WHEN tipo_contratacao NOT IN ({_allowed_sql('tipo_contratacao')})
              THEN 'tipo_contratacao:not_allowed' END,
         CASE WHEN area_atuacao NOT IN ({_allowed_sql('area_atuacao')}) THEN 'area_atuacao:not_allowed' END,
-        CASE WHEN trim(cv_pt, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'cv_pt:blank' END], lambda x: x IS NOT NULL) AS violations FROM c)
+        CASE WHEN trim(cv_pt, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'cv_pt:blank' END], lambda x: x IS NOT NULL) AS violations FROM c)"""
+
+
+@query("validate_candidates", sql=f"""
+WITH {_VALIDATE_SQL}
 SELECT doc_id, len(violations) = 0 AS valid, array_to_string(violations, ',') AS violations FROM v""")
 def validate_candidates(spark, sf):
     """Required fields, closed value lists, blank CV -> violations and a valid flag."""
-    v = C.validate_candidates(_candidates(spark, sf))
+    v = C.validate_candidates(candidate_forms(fx.documents(spark, sf)))
     return v.select("doc_id", "valid", F.array_join("violations", ",").alias("violations"))

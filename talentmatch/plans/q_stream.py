@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from talentmatch.plans import fixtures as fx
+from talentmatch.plans.q_analyze import ANALYZE_SQL, candidate_forms, linear_probability
 from talentmatch.plans.q_recommend import _VECTORS_SQL
 from talentmatch.plans.registry import query
 from talentmatch.streaming import streams as X
@@ -29,7 +32,6 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'"""
 
 
 def _rounded(df):
-    from pyspark.sql import functions as F
     return df.withColumn("total_value", F.round("total_value", 6))
 
 
@@ -47,6 +49,20 @@ def stream_sliding_counts(spark, sf):
     return _rounded(X.run_window_counts(spark, _events_path(sf), schema, slide="12 hours"))
 
 
+@query("stream_analyze", sql=ANALYZE_SQL)
+def stream_analyze(spark, sf):
+    """X1 whole: candidates arrive as a file stream; each micro-batch is validated, scored and matched."""
+    job_vectors, details = fx.job_vectors(spark, sf), fx.job_details(spark, sf)
+    vectors = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+
+    def prepare(batch):
+        return candidate_forms(batch).join(vectors, "doc_id", "left").withColumnRenamed("doc_id", "candidate_id")
+
+    out = X.run_stream_analyze(spark, f"{sf.rstrip('/')}/documents.parquet", fx.table(spark, sf, "documents").schema,
+                               prepare, linear_probability, job_vectors, details)
+    return out.withColumn("violations", F.array_join("violations", ",")).withColumn("vagas_recomendadas", F.to_json("vagas_recomendadas"))
+
+
 @query("stream_recommend", sql=f"WITH {_VECTORS_SQL} SELECT * FROM top")
 def stream_recommend(spark, sf):
     """Candidates arrive as a file stream; top-3 jobs per micro-batch."""

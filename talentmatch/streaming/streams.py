@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentmatch.operators import recommend as R
+from talentmatch.operators.analyze import analyze_candidates
 from talentmatch.session import scratch_path
 
 
@@ -64,36 +65,47 @@ def run_window_counts(spark: SparkSession, events_path: str, schema, window: str
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_stream_recommend(spark: SparkSession, candidates_path: str, schema, jobs: DataFrame,
-                         k: int = 3, where: str | None = None, cand_key: str = "candidate_id",
-                         id_col: str = "vec_id", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Score arriving candidates against a static job catalogue, prepared once.
+def _each_batch(spark: SparkSession, src: DataFrame, jobs: DataFrame, work, out: str, checkpoint: str) -> DataFrame:
+    """Run ``work(batch, index)`` over every micro-batch and read all results.
 
-    Each micro-batch is ranked with the batch operator (R3) inside
-    ``foreachBatch`` -- ranking windows are not allowed on a stream -- and
-    written to ``<out>/batch=<id>`` with overwrite, so a replayed batch
-    replaces its own output (idempotent sink).
+    The jobs are prepared once. Results go to ``<out>/batch=<id>`` with overwrite, so a replayed
+    batch replaces its own output (idempotent sink).
     """
-    out = out or scratch_path(spark, "stream-recommend")
-    ckpt = checkpoint or scratch_path(spark, "stream-recommend-ckpt")
     index = R.prepare_jobs(jobs)
     index.blocks = index.blocks.persist()
-    src = file_stream(spark, candidates_path, schema)
-    if where:
-        src = src.where(where)
-    src = src.select(F.col(id_col).alias(cand_key), "embedding")
 
-    def score(batch: DataFrame, batch_id: int) -> None:
-        top = R.recommend_topk(batch, jobs, k=k, cand_key=cand_key, prepared=index)
-        top.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        work(batch, index).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    q = (src.writeStream.foreachBatch(score).option("checkpointLocation", ckpt)
+    q = (src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     try:
         q.awaitTermination()
+        # an empty source starts no batch; the empty table makes the folder readable, and gives the schema
+        empty = work(spark.createDataFrame([], src.schema), index)
+        empty.write.mode("overwrite").parquet(f"{out}/batch=-1")
     finally:
         index.blocks.unpersist()
-    # an empty source starts no batch; the empty table makes the folder readable, and gives the schema
-    empty = R.recommend_topk(spark.createDataFrame([], src.schema), jobs, k=k, cand_key=cand_key, prepared=index)
-    empty.write.mode("overwrite").parquet(f"{out}/batch=-1")
     return spark.read.schema(empty.schema).parquet(out).drop("batch")
+
+
+def run_stream_recommend(spark: SparkSession, candidates_path: str, schema, jobs: DataFrame,
+                         k: int = 3, where: str | None = None, cand_key: str = "candidate_id",
+                         id_col: str = "vec_id", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """X1, vectors only: rank arriving candidates' jobs with the batch operator (R3) inside
+    ``foreachBatch`` (ranking windows are not allowed on a stream)."""
+    src = file_stream(spark, candidates_path, schema)
+    if where:
+        src = src.where(where)
+    src = src.select(F.col(id_col).alias(cand_key), "embedding")
+    return _each_batch(spark, src, jobs, lambda batch, index: R.recommend_topk(batch, jobs, k=k, cand_key=cand_key, prepared=index),
+                       out or scratch_path(spark, "stream-recommend"), checkpoint or scratch_path(spark, "stream-recommend-ckpt"))
+
+
+def run_stream_analyze(spark: SparkSession, path: str, schema, prepare, score, jobs: DataFrame, details: DataFrame,
+                       key: str = "candidate_id", k: int = 3, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Arriving forms through ``analyze_candidates`` (validation, P(hire), top jobs). ``prepare``
+    makes candidates with their vectors of a micro-batch."""
+    return _each_batch(spark, file_stream(spark, path, schema), jobs,
+                       lambda batch, index: analyze_candidates(prepare(batch), score, jobs, details, key=key, k=k, prepared=index),
+                       out or scratch_path(spark, "stream-analyze"), checkpoint or scratch_path(spark, "stream-analyze-ckpt"))

@@ -37,9 +37,3 @@ def with_unit(df, vec: str, out: str = "u"):
     """``df`` plus ``out`` = unit vector of ``vec`` (norm computed once per row)."""
     tmp = f"__norm_{out}"
     return df.withColumn(tmp, l2_norm(vec)).withColumn(out, unit(vec, tmp)).drop(tmp)
-
-
-def cosine(a, b) -> Column:
-    """a.b / (|a| |b|); 0 when either norm is 0."""
-    den = l2_norm(a) * l2_norm(b)
-    return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
-                                OneHotEncoder, StopWordsRemover, StringIndexer, VectorAssembler)
+                                OneHotEncoder, SQLTransformer, StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
@@ -92,13 +92,24 @@ def tfidf_long(df: DataFrame, doc: str, tokens: str, max_features: int = 1000) -
                     .alias("weight"))
 
 
-def tfidf_vectors(df: DataFrame, tokens: str, model: TfidfModel, out: str = "tfidf") -> DataFrame:
-    """M1 transform as ml sparse vectors: counts x (idf) then L2 normalise."""
-    cv = CountVectorizerModel.from_vocabulary(model.terms, inputCol=tokens, outputCol=f"{out}_tf")
-    ep = ElementwiseProduct(scalingVec=Vectors.dense(model.idf), inputCol=f"{out}_tf",
-                            outputCol=f"{out}_w")
-    nz = Normalizer(p=2.0, inputCol=f"{out}_w", outputCol=out)
-    return nz.transform(ep.transform(cv.transform(df))).drop(f"{out}_tf", f"{out}_w")
+def tabular_stages(train: DataFrame, doc: str, tokens: str, cats: list[str], max_features: int = 1000,
+                   out: str = "features") -> list:
+    """M5: stages fitted on ``train`` alone: TF-IDF of ``tokens`` (M1), the train's modes for null
+    categories (M3), one-hot (M4; unseen levels are all zeros) and one vector of all (M7).
+
+    All are ml stages, so a pipeline of them can be stored whole (S8)."""
+    tfidf = tfidf_fit(train, doc, tokens, max_features)
+    modes = {r["column"]: r["mode"] for r in mode_per_column(train, cats).collect()}
+    filled = []
+    for c in cats:
+        mode = "NULL" if modes.get(c) is None else "'" + modes[c].replace("\\", "\\\\").replace("'", "\\'") + "'"
+        filled.append(f"coalesce(`{c}`, {mode}) AS `{c}_filled`")
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"),
+              CountVectorizerModel.from_vocabulary(tfidf.terms, inputCol=tokens, outputCol="tfidf_tf"),
+              ElementwiseProduct(scalingVec=Vectors.dense(tfidf.idf), inputCol="tfidf_tf", outputCol="tfidf_w"),
+              Normalizer(p=2.0, inputCol="tfidf_w", outputCol="tfidf")]
+    names = [f"{c}_filled" for c in cats]
+    return stages + one_hot_stages(names) + [VectorAssembler(inputCols=["tfidf"] + [f"oh_{c}" for c in names], outputCol=out)]
 
 
 def preprocess_tokens(c, stop=True) -> "F.Column":

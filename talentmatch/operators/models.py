@@ -102,9 +102,23 @@ def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: Mo
         w.unpersist()
 
 
+def fit_tfidf(train: DataFrame, name: str, key: str, label: str, tokens: str, cats: list[str], spec: ModelSpec,
+              max_features: int = 3000) -> PipelineModel:
+    """M2/L1-L3: TF-IDF, imputed categories and one estimator, all fitted on ``train`` (balanced weights)."""
+    w = S.class_weights(train, label).withColumn(label, F.col(label).cast("double"))
+    w = w.coalesce(max(1, -(-train.count() // ROWS_PER_PARTITION))).persist()
+    try:
+        est = estimators(label, spec)[name]
+        if name == "LogisticRegression":
+            est = est.setRegParam(1.0 / float(w.agg(F.sum("weight")).first()[0] or 1.0))
+        return Pipeline(stages=FE.tabular_stages(w, key, tokens, cats, max_features) + [est]).fit(w)
+    finally:
+        w.unpersist()
+
+
 def predict(model: PipelineModel, df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
     """(key, *keep, prob, prediction) of class 1; ``keep`` carries columns (the label) along."""
-    p = model.transform(with_emb_vector(df))
+    p = model.transform(with_emb_vector(df) if "emb" in df.columns else df)
     return p.select(key, *(keep or []), _prob1(p).alias("prob"), F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -175,25 +189,34 @@ def _in_threads(fn, items, workers: int) -> list:
 
 
 def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: list[str],
-                spec: ModelSpec, names: list[str] = MODEL_ORDER, k: int = 5) -> DataFrame:
-    """(model, model_order, cv_f1, test_f1) for each candidate model.
+                spec: ModelSpec, names: list[str] = MODEL_ORDER, k: int = 5, store: str | None = None,
+                threads: int = 8) -> DataFrame:
+    """(model, model_order, cv_f1, f1) for each candidate model.
 
-    Models are evaluated concurrently (driver threads); each one's folds too.
+    Models are evaluated concurrently (at most ``threads`` driver threads, folds included). With
+    ``store`` the model of the best hold-out F1 (the first of equals) is saved there, its
+    transformers and its classification report (a table, ``<store>/report``) with it.
     """
+    at_once = max(1, min(len(names), threads // k))
     bal = S.upsample_minority(train, label, key).drop("slot").persist()
 
     def one(item):
         order, name = item
-        cv = E.cv_mean(cross_val_f1(train, name, key, label, cats, spec, k)).collect()[0][0]
+        cv = E.cv_mean(cross_val_f1(train, name, key, label, cats, spec, k, parallelism=max(1, threads // at_once))).collect()[0][0]
         model = fit_any(bal, name, label, cats, spec)
         scored = predict_any(model, test, key, [label])
         f1 = E.f1_binary(scored, label=label).collect()[0][0]
-        return (name, order, float(cv), float(f1))
+        return (name, order, float(cv), float(f1)), model, scored
 
     try:
-        rows = _in_threads(one, list(enumerate(names)), len(names))
+        found = _in_threads(one, list(enumerate(names)), at_once)
+        if store:
+            _, model, scored = max(found, key=lambda x: (x[0][3], -x[0][1]))
+            save_any(model, f"{store}/model")
+            E.classification_report(scored, label=label).write.mode("overwrite").parquet(f"{store}/report")
     finally:
         bal.unpersist()
+    rows = [x[0] for x in found]
     return train.sparkSession.createDataFrame(
         rows, "model string, model_order int, cv_f1 double, f1 double")
 
@@ -204,5 +227,12 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
+def save_any(model, path: str) -> str:
+    """S8 of a single model, or of every member of a vote (in a folder of its name)."""
+    for name, m in model.items() if isinstance(model, dict) else [("", model)]:
+        save_model(m, f"{path}/{name}".rstrip("/"))
+    return path
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)

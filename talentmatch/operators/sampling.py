@@ -92,17 +92,6 @@ def upsample_minority(df: DataFrame, label: str, key: str, seed: int = 42,
     return base.unionByName(drawn.select(*base.columns))
 
 
-def upsample_fast(df: DataFrame, label: str, seed: int = 42, minority: int = 1,
-                  majority: int = 0) -> DataFrame:
-    """M9 fast mode: Poisson sampling, size only approximately len(majority)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    n0, m = counts.get(majority, 0), counts.get(minority, 0)
-    mino = df.where(F.col(label) == minority)
-    frac = n0 / m if m else 0.0
-    return df.where(F.col(label) == majority).unionByName(
-        mino.sample(withReplacement=True, fraction=frac, seed=seed))
-
-
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """A10: balanced weights n / (k * n_c) joined back as a weight column."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))

@@ -98,3 +98,29 @@ def test_leaky_folds_keep_one_prediction_a_row(spark):
     assert len(both) == 120 and all(abs(r["prob"] - one[r["id"]]) < 1e-12 for r in both)
     folds = M.cross_val_f1(df, "LogisticRegression", "id", "label", ["cat"], spec, k=3, leaky=True).collect()
     assert len(folds) == 3 and all(0 <= r["f1"] <= 1 for r in folds)
+
+
+def test_plugged_in_encoder(spark):
+    from talentmatch.operators.embed import embed_with
+
+    def make():
+        import numpy as np
+        return lambda texts: np.array([[float(len(t)), 1.0] for t in texts], dtype=np.float32)
+
+    df = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "ab"), (4, None)], "id int, t string")
+    got = {r["id"]: r["embedding"] for r in embed_with(df, "id", "t", make, 2).collect()}
+    assert got == {1: [2.0, 1.0], 2: [3.0, 1.0], 3: [2.0, 1.0], 4: None}
+
+
+def test_winner_is_stored_with_its_report(spark, tmp_path):
+    from talentmatch.operators import models as M
+    rows = [(i, [float(i % 5), float(i % 3)], "ab"[i % 2], int(i % 5 == 0)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, emb array<double>, cat string, label int")
+    spec = M.ModelSpec(lr_iter=20, trees=3, depth=3)
+    board = M.leaderboard(df.where("id % 3 > 0"), df.where("id % 3 = 0"), "id", "label", ["cat"], spec,
+                          names=M.MODEL_ORDER[:2], k=2, store=str(tmp_path / "w")).collect()
+    best = max(board, key=lambda r: (r["f1"], -r["model_order"]))
+    model = M.load_model(str(tmp_path / "w" / "model"))
+    assert type(model.stages[-1]).__name__.startswith(best["model"].replace("RandomForest", "RandomForestClassification"))
+    report = {r["row"]: r for r in spark.read.parquet(str(tmp_path / "w" / "report")).collect()}
+    assert abs(report["1"]["f1"] - best["f1"]) < 1e-9

@@ -38,4 +38,4 @@ def analyze_validated(spark, sf):
     vectors = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     forms = candidate_forms(fx.table(spark, sf, "documents")).join(vectors, "doc_id", "left").withColumnRenamed("doc_id", "candidate_id")
     out = A.analyze_candidates(forms, linear_probability, fx.job_vectors(spark, sf), fx.job_details(spark, sf))
-    return out.withColumn("violations", F.array_join("violations", ",")).withColumn("vagas_recomendadas", F.to_json("vagas_recomendadas"))
+    return out.withColumn("violations", F.array_join("violations", ",")).withColumn("vagas_recomendadas", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}))

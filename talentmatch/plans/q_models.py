@@ -313,4 +313,4 @@ def analyze_candidates(spark, sf):
                            cand_key="doc_id")
     nested = R.recommend_nested(R.attach_details(top, cat.drop("texto_vaga")), cand_key="doc_id", candidates=cands)
     return prob.join(nested, "doc_id", "left").select(
-        "doc_id", "probabilidade_contratacao", F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))
+        "doc_id", "probabilidade_contratacao", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))

@@ -58,7 +58,7 @@ def recommend_nested(spark, sf):
     """R3 nested: one row per candidate, recommendations as a JSON array (API shape)."""
     t = R.attach_details(topk(spark, sf), fx.job_details(spark, sf))
     n = R.recommend_nested(t)
-    return n.select("candidate_id", F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))
+    return n.select("candidate_id", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))
 
 
 @query("job_catalog", sql="""
@@ -81,7 +81,7 @@ def recommend_empty(spark, sf):
     cands = fx.candidate_vectors(spark, sf)
     top = R.recommend_topk(cands, fx.job_vectors(spark, sf).where("false"))
     n = R.recommend_nested(R.attach_details(top, fx.job_details(spark, sf)), candidates=cands)
-    return n.select("candidate_id", F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))
+    return n.select("candidate_id", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))
 
 
 @query("recommend_invalid", sql="""
@@ -136,4 +136,4 @@ def analyze_linear(spark, sf):
     nested = R.recommend_nested(R.attach_details(topk(spark, sf), fx.job_details(spark, sf)))
     return prob.join(nested, "candidate_id", "left").select(
         "candidate_id", "probabilidade_contratacao",
-        F.to_json("vagas_recomendadas").alias("vagas_recomendadas"))
+        F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))

@@ -60,7 +60,7 @@ def stream_analyze(spark, sf):
 
     out = X.run_stream_analyze(spark, f"{sf.rstrip('/')}/documents.parquet", fx.table(spark, sf, "documents").schema,
                                prepare, linear_probability, job_vectors, details)
-    return out.withColumn("violations", F.array_join("violations", ",")).withColumn("vagas_recomendadas", F.to_json("vagas_recomendadas"))
+    return out.withColumn("violations", F.array_join("violations", ",")).withColumn("vagas_recomendadas", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}))
 
 
 @query("stream_recommend", sql=f"WITH {_VECTORS_SQL} SELECT * FROM top")

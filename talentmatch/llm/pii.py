@@ -84,8 +84,8 @@ LOOKALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "Υ": "Y",
     "ı": "i", "ɡ": "g", "ɑ": "a", "ⅼ": "l", "ℓ": "l",
     "․": ".", "。": ".", "．": ".", "‧": ".", "﹒": ".", "﹫": "@", "＠": "@",
-    "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "﹣": "-", "﹢": "+", " ": " ", " ": " ", " ": " ",
-    "​": "", "‌": "", "‍": "", "⁠": "", "﻿": "", "­": "",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "﹣": "-", "﹢": "+", "\u00a0": " ", "\u2009": " ", "\u202f": " ",
+    "\u200b": "", "\u200c": "", "\u200d": "", "\u2060": "", "\ufeff": "", "\u00ad": "",
 }
 # The digits 0 to 9 in words, by language.
 SPELLED = (

@@ -156,7 +156,7 @@ def impute_mode(train: DataFrame, apply_to: DataFrame, cols: list[str]) -> DataF
 
 
 def category_levels(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, level, index) with levels sorted ascending, nulls left out."""
+    """The distinct (column, level) pairs, nulls left out."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                                   F.col(c).cast("string").alias("level"))
                                          for c in cols])).alias("kv")).select("kv.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talentmatch.llm.words import _powers, _room, chunks, mix64
+from talentmatch.llm.words import _powers, _room, chunks, mix64, slices
 from talentmatch.session import ship_package
 
 #: Documents learned from, at most (about; the sample is by hash of the id).
@@ -146,7 +146,7 @@ def _counts(languages: list[str]):
     """(level, language, feature, n) over each task's documents."""
     def run(batches):
         held: dict[tuple[int, int], list] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             langs = batch.column("lang").to_pylist()
             for number, name in enumerate(languages):
                 texts = batch.column("text").filter(pa.array([x == name for x in langs]))
@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                            T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for low, high, data, offsets in chunks(_lowered(batch.column(1))):
                 names, share = sent.value.predict(read(data, offsets))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(names, pa.string()), pa.array(share)],

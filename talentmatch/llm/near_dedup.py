@@ -131,8 +131,8 @@ def _unpack(bands: int):
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
-            one, two = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
-            ok = [jaccard_at_least(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(one, two, strict=True)]
+            pairs = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            ok = [jaccard_at_least(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in pairs]
             kept = batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
             if kept.num_rows:
                 yield kept
@@ -200,7 +200,7 @@ def _compared(bands: int, rows: int, percent: int):
     with that component are not needed."""
     def run(batches):
         for table in _groups(batches, "pair"):
-            sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["set"]]
             number, root = table["id"].to_numpy(), table["root"].to_numpy()
             up: dict[int, int] = {}
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talentmatch.llm.words import slices
 from talentmatch.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -235,7 +236,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                            T.StructField("added", T.ArrayType(SPAN))])
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             base = [base_spans(t) for t in _texts(batch.column(1))]
             added = [disguised_spans(t, b) for t, b in zip(_texts(batch.column(1)), base, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_listed(x) for x in base], _ARROW),
@@ -261,7 +262,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             new = pa.array([None if x.as_py() is None else masked(x.as_py()) for x in batch.column(at)], batch.column(at).type)
             yield batch.set_column(at, batch.schema.field(at), new)
 

@@ -341,6 +341,8 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_co
         for batch in batches:
             for low, high, data, offsets in chunks(batch.column(at)):
                 evidence, _ = passages(sent.value, words_of(data, offsets, ALNUM))
-                yield batch.slice(low, high - low).filter(pa.array(sent.value.probability(evidence) < threshold))
+                kept = batch.slice(low, high - low).filter(pa.array(sent.value.probability(evidence) < threshold))
+                if kept.num_rows:
+                    yield kept
 
     return docs.mapInArrow(run, docs.schema)

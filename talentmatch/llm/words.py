@@ -80,16 +80,25 @@ def _room(n: int) -> int:
     return max(CHUNK_BYTES, 1 << max(0, int(n)).bit_length())
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in parts of a few rows, where work makes objects of them."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def chunks(texts: pa.Array, max_bytes: int = CHUNK_BYTES):
     """(low, high, bytes, offsets) of runs of whole documents of about ``max_bytes`` together;
     a null is an empty text, a longer document is a run of its own."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.fill_null("").cast(pa.large_string())
+    if texts.null_count:
+        texts = texts.fill_null("")
     n = len(texts)
     if not n:
         return
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + n + 1]
+    # the bytes are read where they lie, without a copy
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1], dtype=width)[texts.offset:texts.offset + n + 1].astype(np.int64)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
     low = 0

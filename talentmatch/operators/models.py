@@ -126,9 +126,7 @@ def fit_vote(train: DataFrame, label: str, cats: list[str], spec: ModelSpec) ->
     small = ModelSpec(lr_iter=spec.lr_iter, trees=spec.vote_trees, depth=spec.depth,
                       gbt_rounds=spec.vote_trees, gbt_depth=spec.gbt_depth, seed=spec.seed)
     names = MODEL_ORDER[:3]
-    # the members are independent fits: run them side by side like the folds
-    fitted = _in_threads(lambda n: fit_model(train, n, label, cats, small), names, len(names))
-    return dict(zip(names, fitted))
+    return {n: fit_model(train, n, label, cats, small) for n in names}
 
 
 def predict_vote(members: dict, df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
@@ -155,6 +153,16 @@ def predict_any(model, df: DataFrame, key: str, keep: list[str] | None = None) -
     return predict_vote(model, df, key, keep) if isinstance(model, dict) else predict(model, df, key, keep)
 
 
+def _fold_f1(folded: DataFrame, f: int, name: str, key: str, label: str, cats: list[str], spec: ModelSpec, leaky: bool) -> float:
+    """F1 on fold ``f`` of a model fitted on the others."""
+    train = folded.where(F.col("fold") != f).drop("fold")
+    if not leaky:
+        train = S.upsample_minority(train, label, key).drop("slot")
+    test = folded.where(F.col("fold") == f)
+    scored = predict_any(fit_any(train, name, label, cats, spec), test, key, [label])
+    return float(E.f1_binary(scored, label=label).collect()[0][0])
+
+
 def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str], spec: ModelSpec,
                  k: int = 5, leaky: bool = False, parallelism: int | None = None) -> DataFrame:
     """F1 of class 1 on each of ``k`` stratified folds (M11), with the
@@ -166,17 +174,8 @@ def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str]
     """
     base = S.upsample_minority(df, label, key).drop("slot") if leaky else df
     folded = S.stratified_folds(base, label, key, k=k).persist()
-
-    def one(f: int):
-        train = folded.where(F.col("fold") != f).drop("fold")
-        if not leaky:
-            train = S.upsample_minority(train, label, key).drop("slot")
-        test = folded.where(F.col("fold") == f)
-        scored = predict_any(fit_any(train, name, label, cats, spec), test, key, [label])
-        return (name, f, float(E.f1_binary(scored, label=label).collect()[0][0]))
-
     try:
-        rows = _in_threads(one, range(k), parallelism or k)
+        rows = _in_threads(lambda f: (name, f, _fold_f1(folded, f, name, key, label, cats, spec, leaky)), range(k), parallelism or k)
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, fold int, f1 double")
@@ -193,29 +192,34 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
                 threads: int = 8) -> DataFrame:
     """(model, model_order, cv_f1, f1) for each candidate model.
 
-    Models are evaluated concurrently (at most ``threads`` driver threads, folds included). With
-    ``store`` the model of the best hold-out F1 (the first of equals) is saved there, its
-    transformers and its classification report (a table, ``<store>/report``) with it.
+    All fits (every model on every fold, and on all training rows) run side by side, at most
+    ``threads`` at once. With ``store`` the model of the best hold-out F1 (the first of equals) is
+    saved there, its transformers and its classification report (a table, ``<store>/report``) with it.
     """
-    at_once = max(1, min(len(names), threads // k))
     bal = S.upsample_minority(train, label, key).drop("slot").persist()
+    folded = S.stratified_folds(train, label, key, k=k).persist()
 
-    def one(item):
-        order, name = item
-        cv = E.cv_mean(cross_val_f1(train, name, key, label, cats, spec, k, parallelism=max(1, threads // at_once))).collect()[0][0]
+    def one(task):
+        name, fold = task
+        if fold is not None:
+            return _fold_f1(folded, fold, name, key, label, cats, spec, False)
         model = fit_any(bal, name, label, cats, spec)
         scored = predict_any(model, test, key, [label])
-        f1 = E.f1_binary(scored, label=label).collect()[0][0]
-        return (name, order, float(cv), float(f1)), model, scored
+        return model, scored, float(E.f1_binary(scored, label=label).collect()[0][0])
 
     try:
-        found = _in_threads(one, list(enumerate(names)), at_once)
+        # the later models are the dearer ones: they start first
+        tasks = [(name, fold) for name in reversed(names) for fold in [None, *range(k)]]
+        done = dict(zip(tasks, _in_threads(one, tasks, threads)))
+        found = [((name, order, sum(done[name, f] for f in range(k)) / k, done[name, None][2]), *done[name, None][:2])
+                 for order, name in enumerate(names)]
         if store:
             _, model, scored = max(found, key=lambda x: (x[0][3], -x[0][1]))
             save_any(model, f"{store}/model")
             E.classification_report(scored, label=label).write.mode("overwrite").parquet(f"{store}/report")
     finally:
         bal.unpersist()
+        folded.unpersist()
     rows = [x[0] for x in found]
     return train.sparkSession.createDataFrame(
         rows, "model string, model_order int, cv_f1 double, f1 double")

@@ -68,18 +68,43 @@ def initial(seed: int = 7) -> np.ndarray:
     return flat
 
 
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exp(x), its sums by row); hidden units lie in [-1, 1], so a sane net never meets the bound."""
+    if x.size and x.max() > 80:
+        np.minimum(x, 80, out=x)
+    e = np.exp(x)
+    return e, e @ np.ones(e.shape[1], dtype=e.dtype)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+    e, total = _exp(x)
+    e /= total[:, None]
+    return e
 
 
 def _by_class(target: np.ndarray):
     """(order, bounds): places of the targets, class by class."""
-    group = target // IN_CLASS
+    group = (target // IN_CLASS).astype(np.uint8)
     order = np.argsort(group, kind="stable")
-    return order, np.searchsorted(group[order], np.arange(CLASSES + 1))
+    return order, np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES))])
+
+
+def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = np.take(p["embedding"], context, axis=0).reshape(len(context), -1)
+    h = x @ p["hidden"]
+    h += p["hidden_bias"]
+    return x, np.tanh(h, out=h)
+
+
+def _word_logits(p: dict[str, np.ndarray], h: np.ndarray, group: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each row the logits of the words of its class; rows are in order of class."""
+    z = np.empty((len(h), IN_CLASS), dtype=h.dtype)
+    for c in range(CLASSES):
+        a, b = bounds[c], bounds[c + 1]
+        if a < b:
+            np.matmul(h[a:b], p["word"][c], out=z[a:b])
+    z += np.take(p["word_bias"], group, axis=0)
+    return z
 
 
 def log_probs(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -87,15 +112,13 @@ def log_probs(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
     n = len(target)
     order, bounds = _by_class(target)
     context, target = context[order], target[order]
-    h = np.tanh(p["embedding"][context].reshape(n, -1) @ p["hidden"] + p["hidden_bias"])
-    own = _softmax(h @ p["class"] + p["class_bias"])[np.arange(n), target // IN_CLASS]
-    for c in range(CLASSES):
-        a, b = bounds[c], bounds[c + 1]
-        if a < b:
-            q = _softmax(h[a:b] @ p["word"][c] + p["word_bias"][c])
-            own[a:b] *= q[np.arange(b - a), target[a:b] % IN_CLASS]
+    _, h = _hidden(p, context)
+    group, rows = target // IN_CLASS, np.arange(n)
+    z = h @ p["class"] + p["class_bias"]
+    w = _word_logits(p, h, group, bounds)
+    own = z[rows, group] + w[rows, target % IN_CLASS] - np.log(_exp(z)[1]) - np.log(_exp(w)[1])
     out = np.empty(n, dtype=np.float64)
-    out[order] = np.log(np.maximum(own, 1e-30))
+    out[order] = own
     return out
 
 
@@ -106,27 +129,27 @@ def gradients(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
     g = views(flat)
     order, bounds = _by_class(target)
     context, target = context[order], target[order]
-    x = p["embedding"][context].reshape(n, -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
+    x, h = _hidden(p, context)
+    group, rows = target // IN_CLASS, np.arange(n)
     q = _softmax(h @ p["class"] + p["class_bias"])
-    q[np.arange(n), target // IN_CLASS] -= 1
+    q[rows, group] -= 1
     q /= n
     g["class"][...], g["class_bias"][...] = h.T @ q, q.sum(axis=0)
     dh = q @ p["class"].T
+    q = _softmax(_word_logits(p, h, group, bounds))
+    q[rows, target % IN_CLASS] -= 1
+    q /= n
     for c in range(CLASSES):
         a, b = bounds[c], bounds[c + 1]
         if a < b:
-            q = _softmax(h[a:b] @ p["word"][c] + p["word_bias"][c])
-            q[np.arange(b - a), target[a:b] % IN_CLASS] -= 1
-            q /= n
-            g["word"][c], g["word_bias"][c] = h[a:b].T @ q, q.sum(axis=0)
-            dh[a:b] += q @ p["word"][c].T
+            g["word"][c], g["word_bias"][c] = h[a:b].T @ q[a:b], q[a:b].sum(axis=0)
+            dh[a:b] += q[a:b] @ p["word"][c].T
     dh *= 1 - h * h
     g["hidden"][...], g["hidden_bias"][...] = x.T @ dh, dh.sum(axis=0)
-    dx = (dh @ p["hidden"].T).reshape(-1, EMBEDDING)
+    dx = np.ascontiguousarray((dh @ p["hidden"].T).reshape(-1, EMBEDDING).T)
     ids = context.ravel()
     for k in range(EMBEDDING):
-        g["embedding"][:, k] = np.bincount(ids, dx[:, k], VOCABULARY + 1)
+        g["embedding"][:, k] = np.bincount(ids, dx[k], VOCABULARY + 1)
     return flat
 
 
@@ -283,8 +306,8 @@ def score(encoded: DataFrame, flat: np.ndarray) -> DataFrame:
         for batch, texts in _read(batches, 4 * BATCH):
             context, target, doc = windows(texts)
             total = np.zeros(len(texts))
-            for at in range(0, len(target), BATCH):
-                part = slice(at, at + BATCH)
+            for at in range(0, len(target), 4 * BATCH):
+                part = slice(at, at + 4 * BATCH)
                 total += np.bincount(doc[part], log_probs(p, context[part], target[part]), len(texts))
             n = np.array([len(t) for t in texts], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(total)], schema.names)

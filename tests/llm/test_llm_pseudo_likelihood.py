@@ -2,6 +2,7 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
 from talentmatch.llm import pseudo_likelihood as PL
 from talentmatch.llm.words import hash_words
@@ -74,3 +75,39 @@ def test_edge_rows_and_empty_table(documents):
     assert len({x for x in got[7] if x[0] == 2}) == 1 and got[None][0][1] < 0
     assert PL.pseudo_likelihood(documents([])).count() == 0
     assert [r["n_words"] for r in PL.pseudo_likelihood(documents([(1, ""), (2, None)])).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("sent", [0, 1, 1000])
+def test_every_word_is_predicted_not_only_its_bucket(documents, sent):
+    rng = random.Random(5)
+    rare = [f"rare{i}" for i in range(300)]
+    rows = [(i, " ".join([*rng.choices(rare[:40], k=6), rare[i], "the", "and"])) for i in range(300)] + [(900, None), (901, "the")]
+    docs = documents(rows)
+    counted = PL.count_words(docs)
+    n = {w: k for t in (t or "" for _, t in rows) for w, k in [(w, 0) for w in t.split()]}
+    for _, t in rows:
+        for w in (t or "").split():
+            n[w] += 1
+    words, hashed = PL.most_frequent(counted, 20), {w: h[0] for w, h in zip(n, hash_words(list(n)), strict=True)}
+    counts = PL.unigrams(counted, words, sent)
+    assert len(counts.sent.words) <= sent and (counts.rest is None) == (sent == 1000)
+    encoder, flat = PL.Encoder(words), PL.initial(3)
+    number = {w: int(encoder(np.array([h]))[0]) for w, h in hashed.items()}
+    total = collections.Counter()
+    for w, k in n.items():
+        total[number[w]] += k
+    tests = [(r[0], r[1]) for r in rows] + [(1000, "the neverseen")]
+    got = {r["id"]: r["log_prob"] for r in PL.score(PL.encode(documents(tests), words, counts=counts), flat).collect()}
+    for i, t in rows:
+        of = (t or "").split()
+        want = 0.0
+        if of:
+            context, target, _ = PL.windows([np.array([number[w] for w in of])])
+            want = PL.log_probs(PL.views(flat), context, target).sum()
+            want += sum(np.log(n[w] / (total[number[w]] + 1)) for w in of if number[w] >= PL.VOCABULARY - PL.BUCKETS)
+        assert abs(got[i] - want) < 1e-3, (i, got[i], want)
+    assert got[1000] < -38
+    # the counted words of a bucket and one count for all others make up the bucket
+    for b in set(number.values()):
+        if b >= PL.VOCABULARY - PL.BUCKETS:
+            assert abs(sum(k / (total[b] + 1) for w, k in n.items() if number[w] == b) + 1 / (total[b] + 1) - 1) < 1e-12

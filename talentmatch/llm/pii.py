@@ -105,20 +105,26 @@ _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
 _SIGNS = re.compile(rf"{_OPEN}\s{{0,3}}(?:{_AT}|{_DOT}|@|\.)\s{{0,3}}{_CLOSE}|\s@|@\s", re.I)
 
 
+_WORD = re.compile(r"\w+")
+_HINTS = frozenset((*DIGIT_WORDS, *DOT_WORDS, "plus"))
+# what re.I takes for an ASCII letter, but lower() doesn't
+_FOLDED = {0x130: "i", 0x131: "i", 0x17F: "s"}
+
+
+def _lowered(text: str) -> str:
+    """Lower case as re.I compares letters."""
+    return text.lower() if text.isascii() else text.translate(_FOLDED).lower()
+
+
 def _hinted(text: str) -> bool:
-    """Whether a text may hold something disguised by words or signs; never False if it does."""
+    """Whether a text may hold something disguised by words or signs: True wherever ``_WORDS`` finds
+    anything. Its signs are in ``_SIGNS``; all else but a lone "at", which needs a dot, has a whole
+    word of ``_HINTS``."""
     if any(c in text for c in "([{<@") and _SIGNS.search(text):
         return True
-    words = text.replace("-", " ").lower().split()
-    if not _DOT_SET.isdisjoint(words):
-        return True
-    if _DIGIT_SET.isdisjoint(words):
-        return False
-    # nothing found has fewer than three spelled digits on end
-    return any(words[i] in DIGIT_WORDS and words[i + 1] in DIGIT_WORDS for i in range(len(words) - 1))
+    return not _HINTS.isdisjoint(_WORD.findall(_lowered(text)))
 
 
-_DOT_SET, _DIGIT_SET = frozenset(DOT_WORDS), frozenset(DIGIT_WORDS)
 _WORDS = re.compile(
     rf"(?P<at>\s{{0,3}}{_OPEN}\s{{0,3}}(?:{_AT}|@)\s{{0,3}}{_CLOSE}\s{{0,3}}"
     rf"|(?<=[A-Za-z0-9])\s{{1,3}}@\s{{0,3}}(?=[A-Za-z0-9])|@\s{{1,3}}(?=[A-Za-z0-9])"
@@ -181,7 +187,7 @@ def _word(m: re.Match) -> str:
         return "."
     if m.group("plus") is not None:
         return "+"
-    return DIGIT_WORDS[m.group("digit")[:len(m.group("digit")) - len(m.group("gap") or "")].lower()]
+    return DIGIT_WORDS[_lowered(m.group("digit")[:len(m.group("digit")) - len(m.group("gap") or "")])]
 
 
 def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

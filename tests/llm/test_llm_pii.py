@@ -92,3 +92,41 @@ def test_query_digest(spark):
         assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
         assert [r[f"n_{k}"] for k in PI.KINDS] == [sum(s[0] == i for s in spans) for i in range(4)]
         assert set(listed.split(",")) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("text, kind, source", [
+    ("call plus 1 202 555 0123", "phone", "plus 1 202 555 0123"),
+    ("call +1 (four one five) 555-2671", "phone", "+1 (four one five) 555-2671"),
+    ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("card 4111 1111 1111 111-one,", "card", "4111 1111 1111 111-one"),
+    ("call +1 202 555 01 two 3", "phone", "+1 202 555 01 two 3"),
+    ("call +1 202 555 01 \u017fix 3", "phone", "+1 202 555 01 \u017fix 3"),
+])
+def test_single_words_among_digits_are_found(text, kind, source):
+    base = PI.base_spans(text)
+    assert [(PI.KINDS[k], text[a:b]) for k, a, b in PI.disguised_spans(text, base)] == [(kind, source)]
+    assert PI.masked(text) == text.replace(source, f"[{kind.upper()}]")
+
+
+def unfiltered(text, base, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(PI, "_hinted", lambda _: True)
+        return PI.disguised_spans(text, base)
+
+
+def test_the_filter_hides_nothing_that_the_transducers_find(monkeypatch):
+    rng = random.Random(6)
+    parts = ["plus", "+1", "+", "one", "One", "\u017fix", "s\u0130x", "zéro", "FÜNF", "two", "(four", "five)", "555", "0123", "2671", "4111", "1111", "10", ".", "-", "(", ")",
+             "[at]", "( At )", "at", "@", "dot", "(dot)", "{.}", "punto", "john", "example", "com", "_one", "one_", "uno,", "x"]
+    for _ in range(30_000):
+        text = "".join(rng.choice(parts) + rng.choice([" ", " ", " ", "", "-", "\n", "\u2003"]) for _ in range(rng.randint(1, 12)))
+        assert PI._hinted(text) or not PI._WORDS.search(text), text
+        base = PI.base_spans(text)
+        assert PI.disguised_spans(text, base) == unfiltered(text, base, monkeypatch), text
+
+
+def test_the_filter_hides_nothing_in_the_given_texts(spark, monkeypatch):
+    from conftest import SF
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect():
+        base = PI.base_spans(r["text"] or "")
+        assert PI.disguised_spans(r["text"] or "", base) == unfiltered(r["text"] or "", base, monkeypatch)

@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 from talentmatch.llm.words import _powers, _room, chunks, mix64, slices
 from talentmatch.session import ship_package
 
-#: Documents learned from, at most (about; the sample is by hash of the id).
+#: Documents learned from, at most (about; the sample is by hash of the id and text, with a rate
+#: for each language: those with fewer documents than an even share are learned whole).
 MAX_DOCS = 20_000
-#: Words, and n-grams of each length, that the model keeps: the most frequent.
+#: Words, and n-grams of each length, that the model keeps: those of the largest share of any language.
 MAX_FEATURES = 200_000
 LENGTHS = (5, 4, 3, 2, 1)
 PENALTY = 7.0     # as if seen once in ten million
@@ -166,6 +167,15 @@ def _counts(languages: list[str]):
     return run
 
 
+def quotas(sizes: dict[str, int], max_docs: int) -> dict[str, float]:
+    """Documents to learn by language: ``max_docs`` in even shares; what a language lacks goes to the larger ones."""
+    out, left = {}, float(max_docs)
+    for done, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[lang] = min(float(sizes[lang]), left / (len(sizes) - done))
+        left -= out[lang]
+    return out
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_docs: int = MAX_DOCS, max_features: int = MAX_FEATURES) -> Model:
     """Learn from (a bounded sample of) the rows of ``docs`` that name a language. What comes to the
@@ -174,19 +184,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
-    if total > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 32)) < int((1 << 32) * max_docs / total))
+    if sum(sizes.values()) > max_docs:
+        below = [(x, int((1 << 32) * q / sizes[x])) for x, q in quotas(sizes, max_docs).items()]
+        rates = docs.sparkSession.createDataFrame(below, "lang string, below long")
+        rows = rows.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 32)) < F.col("below"))
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     counted = rows.select("text", "lang").mapInArrow(_counts(languages), "level int, number int, f long, n long")
     counted = counted.groupBy("level", "number", "f").agg(F.sum("n").alias("n")).persist()
     try:
         all_ = {(r["level"], r["number"]): r["n"] for r in counted.groupBy("level", "number").agg(F.sum("n").alias("n")).collect()}
         known, cost = [], []
+        sums = docs.sparkSession.createDataFrame([(*k, n) for k, n in all_.items()], "level int, number int, total long")
+        shares = counted.join(F.broadcast(sums), ["level", "number"]).withColumn("share", F.col("n") / F.col("total"))
         for level in range(len(LENGTHS) + 1):
-            top = (counted.where(F.col("level") == level).groupBy("f").agg(F.sum("n").alias("n"), F.map_from_entries(
+            top = (shares.where(F.col("level") == level).groupBy("f").agg(F.sum("n").alias("n"), F.max("share").alias("share"), F.map_from_entries(
                 F.collect_list(F.struct("number", "n"))).alias("by")).where(F.col("n") >= LEAST)
-                .orderBy(F.desc("n"), "f").limit(max_features).select("f", F.map_keys("by").alias("number"), F.map_values("by").alias("n")))
+                .orderBy(F.desc("share"), "f").limit(max_features).select("f", F.map_keys("by").alias("number"), F.map_values("by").alias("n")))
             table = top.toArrow()
             f = table["f"].to_numpy().view(np.uint64)
             place = np.repeat(np.arange(len(f)), pc.list_value_length(table["n"]).to_numpy()) if len(f) else np.zeros(0, int)

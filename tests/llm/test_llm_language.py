@@ -106,3 +106,19 @@ def test_sample_is_bounded(spark):
     rows = corpus(300)
     model = LG.train(spark.createDataFrame(rows, DOCS), max_docs=60, max_features=50)
     assert all(len(k) <= 50 for k in model.known) and len(model.languages) == 3
+
+
+def test_small_languages_are_learned_whole_next_to_a_hot_one(spark):
+    assert LG.quotas({"a": 1000, "b": 10, "c": 400}, 300) == {"b": 10, "c": 145, "a": 145}
+    assert LG.quotas({"a": 3, "b": 2}, 300) == {"a": 3, "b": 2}
+    hot = [(i, t, "aa", "s", None) for i, t, lang, _, _ in corpus(3000, seed=3) if lang == "aa"]
+    rare = [(10_000 + i, t, lang, "s", None) for i, t, lang, _, _ in corpus(60, seed=4) if lang != "aa"]
+    df = spark.createDataFrame(hot + rare, DOCS)
+    model = LG.train(df, max_docs=100, max_features=300)
+    assert all(len(k) <= 300 for k in model.known) and model.languages[0] == "aa"
+    tests = [r for r in corpus(90, seed=5)]
+    got = {r["id"]: r["lang_pred"] for r in LG.identify(spark.createDataFrame(tests, DOCS), model).collect()}
+    assert all(got[r[0]] == r[2] for r in tests)
+    # rare languages keep words of their own under the cut by features
+    small = LG.train(df, max_docs=100, max_features=60)
+    assert all((small.cost[0][:, k] < LG.PENALTY).sum() >= 10 for k in range(3))

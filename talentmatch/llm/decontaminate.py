@@ -95,12 +95,52 @@ class Phrases:
         self.flat = flat
 
 
+def _windows(lists: list[np.ndarray], first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the smallest window, the leftmost of them, around each place in ``lists[0]`` that
+    holds a place of each list, in one document; windows of more than ``size`` words are left out."""
+    base = lists[0]
+    doc = np.searchsorted(first, base, side="right")
+    low, high = np.maximum(first[doc - 1], base - size + 1), np.minimum(first[doc], base + size)
+    near = np.ones(len(base), dtype=bool)
+    for places in lists[1:]:
+        near &= np.append(places, first[-1])[np.searchsorted(places, low)] < high
+    base, low = base[near], low[near]
+    if not len(base):
+        return base, base
+    # windows may start at the terms' places not after a base; ``to`` is where one from there holds every term
+    behind = [base[np.minimum(np.searchsorted(base, x), len(base) - 1)] - x for x in lists]
+    begin = np.unique(np.concatenate([x[(d >= 0) & (d < size)] for x, d in zip(lists, behind, strict=True)]))
+    out = int(first[-1]) + 1
+    to = np.full(len(begin), 0)
+    for places in lists:
+        to = np.maximum(to, np.append(places + 1, out)[np.searchsorted(places, begin)])
+    far = first[np.searchsorted(first, begin, side="right")]
+    # those complete at the base: the last of them, up to the base; the others: the shortest
+    a, b = np.searchsorted(begin, low), np.searchsorted(begin, base, side="right")
+    cut = np.searchsorted(to, base + 1, side="right")
+    k = np.minimum(cut, b) - 1
+    start, length = base.copy(), np.full(len(base), size + 1)
+    whole = k >= a
+    start[whole], length[whole] = begin[k[whole]], (base + 1 - begin[k])[whole]
+    a = np.maximum(a, cut)
+    open_ = np.flatnonzero(a < b)
+    if len(open_):
+        # length and place in one number, so that the least is the leftmost of the shortest
+        key = np.append(np.where(to <= far, to - begin, size + 1) * len(begin) + np.arange(len(begin)), 0)
+        least = np.minimum.reduceat(key, np.stack([a[open_], b[open_]], axis=1).ravel())[::2]
+        at, shortest = least % len(begin), least // len(begin)
+        better = shortest < length[open_]
+        start[open_[better]], length[open_[better]] = begin[at[better]], shortest[better]
+    within = length <= size
+    return start[within], (start + length)[within]
+
+
 def phrase_hits(phrases: Phrases, first, terms, bounds, places, slop: int | None = None):
     """(phrase, start, end) of all matches in one segment, in words of the segment.
 
-    ``slop`` None: exact phrases. Otherwise proximity: an occurrence of the phrase's rarest term
-    with the nearest occurrence of every other term in the same document, all within the phrase's
-    length plus ``slop`` words.
+    ``slop`` None: exact phrases. Otherwise proximity: by occurrence of the phrase's rarest term, the
+    smallest window of its document that holds it and every other term, if it has at most the
+    phrase's length plus ``slop`` words.
     """
     if not len(terms) or not len(phrases.terms):
         return
@@ -123,15 +163,8 @@ def phrase_hits(phrases: Phrases, first, terms, bounds, places, slop: int | None
                     break
             end = start + n
         else:
-            start, end = base, base + 1
-            for term in dict.fromkeys(own[order[1:]]):
-                lists = places[bounds[term]:bounds[term + 1]].astype(np.int64)
-                k = np.searchsorted(lists, base)
-                right, left = lists[np.minimum(k, len(lists) - 1)], lists[np.maximum(k - 1, 0)]
-                near = np.where(np.abs(right - base) < np.abs(base - left), right, left)
-                start, end = np.minimum(start, near), np.maximum(end, near + 1)
-            within = end - start <= n + slop
-            start, end = start[within], end[within]
+            lists = [places[bounds[term]:bounds[term + 1]].astype(np.int64) for term in dict.fromkeys(own[order])]
+            start, end = _windows(lists, first, n + slop)
         if len(start):
             same = (start >= 0) & (np.searchsorted(first, start, side="right") == np.searchsorted(first, end - 1, side="right"))
             for s, e in zip(start[same].tolist(), end[same].tolist(), strict=True):

@@ -82,3 +82,33 @@ def test_query_digest(spark):
     rows_ = op6_decontamination(spark, SF).collect()
     clean = [r for r in rows_ if not r["contaminated"]]
     assert clean and all(r["items_sha256"] == hashlib.sha256(b"").hexdigest() for r in clean)
+
+
+def brute_near(text, phrase, slop):
+    """Words inside the smallest windows around the places of the rarest term."""
+    w, p, hit = words(text), words(phrase), set()
+    terms = set(p)
+    for k in range(len(w)):
+        for s, e in sorted(((s, e) for s in range(k + 1) for e in range(k + 1, min(len(w), s + len(p) + slop) + 1) if terms <= set(w[s:e])),
+                           key=lambda x: (x[1] - x[0], x[0]))[:1]:
+            hit.add((k, s, e))
+    return hit
+
+
+def test_proximity_matches_brute_force_with_neighbours(spark, documents):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice("a b c d e f g h".split()) for _ in range(rng.randint(0, 25))) for _ in range(150)]
+    # the nearer "b" stands in the next document; the nearest of each term are not the smallest window
+    texts += ["x1 o o x2", "x2 x3", "o o o o o o o o y2 o y1 o o y2 y3", ""]
+    phrases = ["a b c", "c a", "a b c d", "b b a", "h", "x1 x2", "y1 y2 y3", "z a", "a b c d e f"]
+    index = DC.build_index(documents(list(enumerate(texts))).coalesce(1))
+    assert index.count() == 1
+    count = {t: sum(words(x).count(t) for x in texts) for p in phrases for t in words(p)}
+    for slop in (0, 2, 5):
+        got = {r["id"]: r["matches"] for r in DC.search(index, frame(spark, list(enumerate(phrases))), size=None, slop=slop).collect()}
+        for i, text in enumerate(texts):
+            for j, phrase in enumerate(phrases):
+                p = words(phrase)
+                rarest = min(p, key=lambda t: count[t])
+                want = {x for k, s, e in brute_near(text, phrase, slop) if words(text)[k] == rarest for x in range(s, e)}
+                assert {x for m in got[i] if m["item_id"] == str(j) for x in range(m["start"], m["end"])} == want, (text, phrase, slop)

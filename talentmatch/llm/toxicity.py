@@ -109,20 +109,30 @@ class Model:
 
 def segments(place: np.ndarray, score: np.ndarray, total: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, last) in one scan over the positive words:
-    ``place`` and ``score``, with ``total`` the running sum of all words up to and with each."""
-    held: list[list] = []  # low, high, first, last
+    ``place`` and ``score``, with ``total`` the running sum of all words up to and with each.
+
+    Linear (Ruzzo and Tompa): each held segment knows its nearest predecessor of a smaller ``low``,
+    and where there is none, no later segment reaches back, so all held ones are done."""
+    done: list[list] = []
+    held: list[list] = []  # low, high, first, last, predecessor
     for p, high, low in zip(place.tolist(), total.tolist(), (total - score).tolist(), strict=True):
-        new = [low, high, p, p]
+        new = [low, high, p, p, -1]
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
             while j >= 0 and held[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or held[j][1] >= new[1]:
+                j = held[j][4]
+            if j < 0:
+                done += held
+                held = [new]
+                break
+            if held[j][1] >= new[1]:
+                new[4] = j
                 held.append(new)
                 break
-            new = [held[j][0], new[1], held[j][2], new[3]]
-            del held[j:]
-    return [(high - low, first, last) for low, high, first, last in held]
+            new[0], new[2] = held[j][0], held[j][2]
+            last, j = j, held[j][4]
+            del held[last:]
+    return [(high - low, first, last) for low, high, first, last, _ in done + held]
 
 
 def passages(model: Model, words: Words, max_e: float = MAX_E):

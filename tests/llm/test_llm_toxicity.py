@@ -103,3 +103,23 @@ def test_decay_solves_its_equation():
     values, counts = np.array([-1.0, 2.0]), np.array([900, 100])
     x = TX._decay(values, counts, 2.0)
     assert abs(900 / 1001 * np.exp(-x) + 101 / 1001 * np.exp(2 * x) - 1) < 1e-6
+
+
+def test_segments_of_long_texts_are_linear():
+    import time
+    n = 20_000
+    place, score = np.arange(n) * 5, np.full(n, 1.0)
+    # every left sum is smaller than the one before; then rising ones that never merge
+    for total in (-2.0 * np.arange(n), 1e-3 * np.arange(n) + 1.0 - (np.arange(n) % 2) * 1e-2, np.abs(np.arange(n) - n // 2) * -0.5):
+        started = time.monotonic()
+        found = TX.segments(place, score, total)
+        assert time.monotonic() - started < 3 and found == sorted(found, key=lambda x: x[1])
+
+
+def test_longer_segments_match_the_definition():
+    rng = random.Random(8)
+    for _ in range(300):
+        scores = [rng.choice([-4, -3, -1, -1, 2, 3]) + rng.random() / 97 for _ in range(rng.randint(20, 60))]
+        total, place = np.cumsum(scores), np.flatnonzero(np.array(scores) > 0)
+        got = TX.segments(place, np.array(scores)[place], total[place])
+        assert [(a, b) for _, a, b in got] == [(a, b) for _, a, b in brute_segments(scores)]

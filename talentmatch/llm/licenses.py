@@ -6,7 +6,7 @@ reference ("licensed under the ..."). The identifiers in text order, runs of unk
 shortened to one "?", are a sequence; the rules are tried on it in order, and each takes what it
 matches out of the sequence.
 
-A text that holds none of ``MARKS`` has no known sentence, so only the others are cut.
+A text that holds none of ``GATE`` has no known sentence, so only the others are cut.
 
 Defined results: an empty or null text has no sequence and no licences; rows are judged one by one,
 so null and repeated ids and repeated rows don't matter; of the input only id and text are read.
@@ -106,8 +106,10 @@ RULES = (
     ("Proprietary", ("COPYRIGHT", "RESERVED")),
 )
 
-#: Every known sentence, reference and copyright line holds one of these.
+#: Every known sentence, reference and copyright line, once normalised, holds one of these.
 MARKS = "licen|copyright|permission|warrant|liab|redistribut|mpl|gnu|gpl|public domain|rights|under|advertis"
+#: The same before normalisation: without blanks, which may be any other signs there.
+GATE = MARKS.replace("public domain", "domain")
 #: What a reference looks like; the group is the licence's name.
 REFERENCE = r"^(?:.* )?(?:licensed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?(.+?)(?: license)?$"
 COPYRIGHT = r"^copyright( c)?( [0-9].*)?$|^copyright .* [0-9][0-9][0-9][0-9]"
@@ -151,7 +153,7 @@ def sequence(text: Column) -> Column:
     lowered = F.translate(text, UPPER, LOWER)
     parts = F.transform(F.filter(_identifiers(lowered), lambda x: x != ""), lambda x: F.concat(F.lit("["), x, F.lit("]")))
     joined = F.regexp_replace(F.array_join(parts, ""), r"(\[\?\])+", "[?]")
-    return F.when(lowered.rlike(MARKS) & joined.rlike(r"\[[^?]"), joined).otherwise("")
+    return F.when(lowered.rlike(GATE) & joined.rlike(r"\[[^?]"), joined).otherwise("")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

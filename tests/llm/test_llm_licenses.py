@@ -92,3 +92,14 @@ def test_no_python_and_empty_table(documents):
     plan = LI.scan(documents([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
     assert LI.scan(documents([])).count() == 0
+
+
+def test_known_sentences_pass_the_gate_however_they_are_wrapped(documents):
+    import re
+    for sentence in LI.SENTENCES:
+        assert re.search(LI.GATE, sentence.replace(" ", "\n")), sentence
+    texts = {"This work is in the public\ndomain.": ("[PUBLIC-DOMAIN]", "Public-Domain"),
+             "This work is in the public  domain.": ("[PUBLIC-DOMAIN]", "Public-Domain"),
+             "This is free and unencumbered software released into the public-domain.": ("[UNLICENSE-HEAD]", "Unlicense")}
+    got = LI.scan(documents(list(enumerate(texts)))).collect()
+    assert {r["id"]: (r["sequence"], ",".join(r["licences"])) for r in got} == dict(enumerate(texts.values()))

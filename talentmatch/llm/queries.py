@@ -15,6 +15,7 @@ from talentmatch.llm import near_dedup as ND
 from talentmatch.llm import order_minhash as OM
 from talentmatch.llm import pii as PI
 from talentmatch.llm import pseudo_likelihood as PL
+from talentmatch.llm import structure_repair as SR
 from talentmatch.llm import toxicity as TX
 from talentmatch.llm import warc as WA
 
@@ -108,7 +109,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), (_remainder("id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation, after damage: its faults, the cheapest repair's cost and edits, the repaired text's hash."""
+    return SR.repair(SR.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_licenses, op2_warc_index, op3_order_minhash, op4_pseudo_likelihood, op5_pii, op6_decontamination, op7_mixing,
-        op8_toxicity, op9_near_dedup, op10_language)}
+        op8_toxicity, op9_near_dedup, op10_language, op11_structure_repair)}

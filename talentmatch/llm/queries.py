@@ -14,6 +14,7 @@ from talentmatch.llm import mixing as MX
 from talentmatch.llm import near_dedup as ND
 from talentmatch.llm import order_minhash as OM
 from talentmatch.llm import pii as PI
+from talentmatch.llm import prefix_tree as PT
 from talentmatch.llm import pseudo_likelihood as PL
 from talentmatch.llm import structure_repair as SR
 from talentmatch.llm import toxicity as TX
@@ -114,7 +115,19 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SR.repair(SR.damage(_table(spark, sf_dir, "conversations")))
 
 
+#: A conversation whose texts hold the template's own control strings.
+CONTROL = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op12_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation: its turns and the text under its loss mask, read back from the packed prefix trees."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string")
+    return PT.read_back(PT.prefix_trees(rows.unionAll(added)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_licenses, op2_warc_index, op3_order_minhash, op4_pseudo_likelihood, op5_pii, op6_decontamination, op7_mixing,
-        op8_toxicity, op9_near_dedup, op10_language, op11_structure_repair)}
+        op8_toxicity, op9_near_dedup, op10_language, op11_structure_repair,
+        op12_prefix_tree)}

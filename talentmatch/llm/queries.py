@@ -19,6 +19,7 @@ from talentmatch.llm import pseudo_likelihood as PL
 from talentmatch.llm import structure_repair as SR
 from talentmatch.llm import toxicity as TX
 from talentmatch.llm import warc as WA
+from talentmatch.llm import whitening as WH
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,8 +127,15 @@ def op12_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PT.read_back(PT.prefix_trees(rows.unionAll(added)))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and component: its whitened coordinate, fitted on all vectors."""
+    found = WH.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+                        "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_licenses, op2_warc_index, op3_order_minhash, op4_pseudo_likelihood, op5_pii, op6_decontamination, op7_mixing,
         op8_toxicity, op9_near_dedup, op10_language, op11_structure_repair,
-        op12_prefix_tree)}
+        op12_prefix_tree, op13_whitening)}

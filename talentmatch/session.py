@@ -9,6 +9,7 @@ we create one under the local temp folder.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import re
 import shutil
@@ -97,12 +98,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Remove all that ``scratch_path`` has named so far; call it when no result is read any more."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(conf).delete(path, True)
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove all that ``scratch_path`` has named so far (but for the first ``since`` paths); call it
+    when no result is read any more."""
+    while len(_SCRATCH) > since:
+        _delete(spark, _SCRATCH.pop())
+
+
+def release_path(spark: SparkSession, path: str) -> None:
+    """Remove one folder that ``scratch_path`` has named."""
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """What ``scratch_path`` names inside is removed at the end. A result that leaves the scope must
+    have been written to a path named before it."""
+    since = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
 
 
 _SHIPPED: dict[str, str] = {}
@@ -119,6 +142,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     here = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="talentmatch-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     path = os.path.join(folder, "talentmatch_src.zip")
     with zipfile.ZipFile(path, "w") as z:
         for root, _, files in os.walk(here):

@@ -1,3 +1,6 @@
+import os
+import sys
+
 import __spark_entry__ as E
 
 from conftest import SF
@@ -40,3 +43,18 @@ def test_new_queries_match_their_oracles(spark):
         ocols = [d[0] for d in res.description]
         assert sorted(df.columns) == sorted(ocols), name
         assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, res.fetchall()), name
+
+
+def test_entry_works_without_the_training_data_operators(tmp_path):
+    """Deleted wholly, or with an empty folder (or its compiled files) left behind."""
+    import shutil
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for left in ("", "talentmatch/llm", "talentmatch/llm/__pycache__"):
+        at = tmp_path / (left.replace("/", "-") or "none")
+        shutil.copytree(root, at, ignore=lambda d, names: [n for n in names if n in (".git", "tests", "llm", "corpus_pipeline.py", "__pycache__")])
+        if left:
+            (at / left).mkdir(parents=True)
+        code = "import __spark_entry__ as E; q = E.queries(); assert len(q) > 90 and 'pipeline' not in q; E.oracle_sql()"
+        subprocess.run([sys.executable, "-c", code], cwd=at, check=True, env={**os.environ, "PYTHONPATH": str(at)})

@@ -72,3 +72,22 @@ def test_shipped_package_reaches_workers_from_another_folder():
             "    for b in batches:\n        yield pa.RecordBatch.from_arrays([pa.array([len(stop_words())] * b.num_rows)], ['n'])\n"
             "print(s.range(1).mapInArrow(f, 'n long').first()[0])")
     assert run(code, cwd="/tmp").split()[-1] == "203"
+
+
+def test_scratch_scope_removes_what_it_named_only(spark):
+    from talentmatch.session import release_path, scratch_path, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(5).write.parquet(inner)
+        with scratch_scope(spark):
+            deep = scratch_path(spark, "deep")
+            spark.range(2).write.parquet(deep)
+        assert os.path.exists(inner) and not os.path.exists(deep)
+        spark.read.parquet(inner).write.parquet(kept)
+    assert not os.path.exists(inner)
+    assert spark.read.parquet(kept).count() == 5
+    release_path(spark, kept)
+    release_path(spark, kept)
+    assert not os.path.exists(kept)

@@ -6,8 +6,11 @@ characters, spelled digits, "(at)" and "dot") and keeps, for every character it
 source characters it came from. The base rules run on the rewritten text, and what they find is
 mapped back; a span is added if it meets none found as written, or extends it.
 
-Defined results: an empty or null text has no spans; rows are judged one by one, so repeated rows
-and ids don't matter; places are code points, ends exclusive. Every rule is linear in the text.
+Defined results: an empty or null text has no spans; an empty table gives no rows; rows are judged
+one by one, so repeated rows, null and equal ids don't matter; only the id and text columns are read,
+and ``redact`` keeps all others; places are code points, ends exclusive. Every rule is linear in the
+text, however long it or a run of digits in it is (a part of an IP address may have any number of
+leading zeros).
 """
 
 from __future__ import annotations
@@ -61,7 +64,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         return out
     if "." in text:
         out += [(1, m.start(), m.end()) for m in _IP.finditer(text)
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+                if all(len(v) <= 3 and int(v or "0") <= 255 for v in (p.lstrip("0") for p in m.group().split(".")))]
     for m in _CARD.finditer(text):
         if 12 <= m.end() - m.start():
             digits = _NO_DIGIT.sub("", m.group())

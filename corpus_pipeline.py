@@ -1,10 +1,14 @@
 """The corpus pipeline: documents through toxicity, near duplicates, benchmark passages, personal
 data and mixing. Every stage works on all its predecessor kept, written as Parquet in the shared
 folder and read again, so a lost executor costs at most one stage's work. All stages but the last
-return the columns of documents; the last gives each kept document its part of the mix.
+return the columns of documents; the last gives each kept document its part of the mix. What a stage
+itself writes to the shared folder is removed with it, but for tables of ids, and a stage's output
+once its successor's is written.
 
 Rows are told apart by id and text, so repeated ids are no trouble; rows with a null id are judged
-by their text alone and are never near duplicates of others.
+by their text alone and are never near duplicates of others. Further columns, whatever their names,
+are carried along by all stages but the last. An empty table passes all stages and gives no rows;
+texts are taken whole.
 """
 
 from __future__ import annotations
@@ -13,13 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentmatch.llm import decontaminate, mixing, near_dedup, pii, toxicity
-from talentmatch.session import scratch_path
+from talentmatch.session import release_path, scratch_path, scratch_scope
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.3; learned from the labels that op8_toxicity learns from."""
     labels = _table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
@@ -29,7 +41,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group alike by 0.8 in 5-word shingles: that of the smallest id, once."""
     path = scratch_path(spark, "components")
-    near_dedup.near_duplicates(docs, size=5, percent=80).write.parquet(path)
+    with scratch_scope(spark):
+        near_dedup.near_duplicates(docs, size=5, percent=80).write.parquet(path)
     found = spark.read.parquet(path)
     others = found.where("id IS NOT NULL AND id != component_id").select(F.col("id").alias("doc_id")).distinct()
     repeated = found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
@@ -42,10 +55,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any 10-word window of a benchmark item (of shorter items: all their words)."""
-    key = F.xxhash64("doc_id", "text")
-    found = decontaminate.decontaminate(docs.select(key.alias("key"), "text"), _table(spark, sf_dir, "benchmark"), size=10, id_col="key")
-    hit = found.where("contaminated").select(F.col("id").alias("key")).distinct()
-    return docs.withColumn("key", key).join(hit, "key", "left_anti").select(docs.columns)
+    key, name = F.xxhash64("doc_id", "text"), _unused(docs, "key")
+    path = scratch_path(spark, "contaminated")
+    with scratch_scope(spark):
+        found = decontaminate.decontaminate(docs.select(key.alias("key"), "text"), _table(spark, sf_dir, "benchmark"), size=10, id_col="key")
+        found.where("contaminated").select(F.col("id").alias(name)).distinct().write.parquet(path)
+    return docs.withColumn(name, key).join(spark.read.parquet(path), name, "left_anti").select(docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,9 +88,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages, in order, from ``documents``."""
-    docs = _table(spark, sf_dir, "documents")
+    docs, last = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            release_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs

@@ -2,7 +2,7 @@
 
 Every step is a ``min`` aggregate and a join on the node, so a node with a third of all edges is
 combined before the shuffle and its join is split by adaptive execution. Each round is written to
-the shared folder, which cuts the plan and survives lost executors.
+the shared folder, which cuts the plan and survives lost executors; the round before it is removed.
 """
 
 from __future__ import annotations
@@ -10,13 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentmatch.session import scratch_path
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from talentmatch.session import release_path, scratch_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,15 +33,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges with a null end are left out; loops and repeated edges change nothing.
     """
-    current = _written(edges.select("a", "b").where("a != b").distinct(), "edges")
+    spark = edges.sparkSession
 
-    def state(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def written(df):
+        path = scratch_path(spark, "edges")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
+        return path, df, df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
-    before = state(current)
+    path, current, before = written(edges.select("a", "b").where("a != b").distinct())
     while True:
-        current = _written(_small_star(_large_star(current)), "edges")
-        after = state(current)
+        last = path
+        path, current, after = written(_small_star(_large_star(current)))
+        release_path(spark, last)
         if after == before:
             return current.select(F.col("a").alias("id"), F.col("b").alias("root"))
         before = after

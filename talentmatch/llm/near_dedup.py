@@ -18,7 +18,8 @@ A pair at the threshold of 0.8 shares no band of 32 bands of 4 with a probabilit
 
 Defined results: a document without words (or with a null text) has an empty set and is linked with
 nothing; a null id has no component and is not kept; rows that repeat an id are one node of the
-graph; of the input only the id and text columns are read.
+graph; of the input only the id and text columns are read; texts of any length are read whole; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from talentmatch.llm.components import components
 from talentmatch.llm.words import NON_SPACE, chunks, mix64, shingles, words_of
-from talentmatch.session import scratch_path, ship_package
+from talentmatch.session import scratch_path, scratch_scope, ship_package
 
 BANDS, ROWS = 32, 4
 #: Classes of one block in the comparison of what stars left open.
@@ -157,7 +158,7 @@ def _groups(batches, key: str):
         yield pa.Table.from_batches(held)
 
 
-def _open_pairs(table: pa.Table, bands: int, rows: int, percent: int):
+def _open_pairs(table: pa.Table, bands: int, rows: int, percent: int, pass_over: float | None):
     """(i, j) of a group's rows that may still be links: of different components, in the two
     blocks that meet here, first sharing this bucket, not compared as a star, of like sizes."""
     n = table.num_rows
@@ -166,7 +167,7 @@ def _open_pairs(table: pa.Table, bands: int, rows: int, percent: int):
     own, number, root, size, block = (table[c].to_numpy() for c in ("key", "id", "root", "n_shingles", "block"))
     least, one, two = int(table["center"][0].as_py()), int(table["one"][0].as_py()), int(table["two"][0].as_py())
     p = percent / 100
-    cut = bands * rows * (p + (1 - p) / 256) - PASS_OVER * np.sqrt(bands * rows * p * (1 - p))
+    cut = 0 if pass_over is None else bands * rows * (p + (1 - p) / 256) - pass_over * np.sqrt(bands * rows * p * (1 - p))
     this = int(np.flatnonzero((keys == own[0]).all(axis=0))[0])
     for i in range(n):
         if block[i] != one:
@@ -182,12 +183,12 @@ def _open_pairs(table: pa.Table, bands: int, rows: int, percent: int):
             yield i, j
 
 
-def _needed(bands: int, rows: int, percent: int):
+def _needed(bands: int, rows: int, percent: int, pass_over: float | None):
     """The rows of each group that ``_open_pairs`` names."""
     def run(batches):
         for table in _groups(batches, "pair"):
             named: set[int] = set()
-            for i, j in _open_pairs(table, bands, rows, percent):
+            for i, j in _open_pairs(table, bands, rows, percent, pass_over):
                 named.add(i)
                 named.update(j.tolist())
             if named:
@@ -195,7 +196,7 @@ def _needed(bands: int, rows: int, percent: int):
     return run
 
 
-def _compared(bands: int, rows: int, percent: int):
+def _compared(bands: int, rows: int, percent: int, pass_over: float | None):
     """Confirmed links (a, b) of each group; once a row is linked with a component, its other pairs
     with that component are not needed."""
     def run(batches):
@@ -210,7 +211,7 @@ def _compared(bands: int, rows: int, percent: int):
                 return x
 
             a, b = [], []
-            for i, js in _open_pairs(table, bands, rows, percent):
+            for i, js in _open_pairs(table, bands, rows, percent, pass_over):
                 for j in js.tolist():
                     x, y = top(int(root[i])), top(int(root[j]))
                     if x != y and jaccard_at_least(sets[i], sets[j], percent):
@@ -223,18 +224,22 @@ def _compared(bands: int, rows: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, pass_over: float | None = PASS_OVER) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id and kept (id = component_id).
 
     Words are lower-cased (A-Z) runs of non-space; a document's set holds its distinct runs of
     ``size`` words, or all its words as one run if they are fewer. Documents are linked if
-    100 * shared >= percent * union. Ids are whole numbers.
+    100 * shared >= percent * union. Ids are whole numbers. ``pass_over`` None compares every pair
+    of an open bucket on whole sets.
+
+    Three tables of hashes and ids stay in the shared folder for the result to read; all others are
+    removed as soon as they have been used.
     """
     spark = docs.sparkSession
     ship_package(spark)
 
-    def written(df, name):
-        path = scratch_path(spark, name)
+    def written(df, name, path=None):
+        path = path or scratch_path(spark, name)
         df.write.parquet(path)
         return spark.read.parquet(path)
 
@@ -243,8 +248,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = signed.where("n_shingles > 0 AND id IS NOT NULL")
     classes = written(held.groupBy("n_shingles", "h1", "h2").agg(F.min("id").alias("id"), F.min("sig").alias("sig")), "classes")
 
+    path = scratch_path(spark, "roots")
+    with scratch_scope(spark):
+        found = written(_roots(rows_in, classes, written, size, percent, bands, rows, pass_over), "roots", path)
+
+    # a class reaches what its documents' ids reach
+    named = classes.select("n_shingles", "h1", "h2", F.col("id").alias("class"))
+    out = (signed.select("id", "n_shingles", "h1", "h2")
+           .join(named, ["n_shingles", "h1", "h2"], "left")
+           .join(found.select(F.col("id").alias("class"), "root"), "class", "left")
+           .withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("root", "class", "id"))))
+    return out.select("id", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def _roots(rows_in: DataFrame, classes: DataFrame, written, size: int, percent: int, bands: int, rows: int, pass_over: float | None) -> DataFrame:
+    """(id, root) of the classes that are linked with others.
+
+    Aggregates by bucket are written before they are joined: both sides of the join are then plain
+    shuffles, whose hot keys adaptive execution splits."""
     banded = classes.select("id", "sig").mapInArrow(_unpack(bands), "id long, key long")
-    buckets = banded.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("members")).where("members > 1")
+    buckets = written(banded.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("members")).where("members > 1"), "buckets")
     members = written(banded.join(buckets, "key"), "members")
     stars = members.where("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
 
@@ -252,11 +275,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(rows_in.join(wanted, "id", "left_semi").mapInArrow(_set_rows(size, False, bands, rows), "id long, set binary").distinct(), "sets")
     with_b = stars.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     with_both = with_b.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    links = written(with_both.mapInArrow(_confirm(percent), "a long, b long"), "links")
-    found = components(links)
+    found = components(written(with_both.mapInArrow(_confirm(percent), "a long, b long"), "links"))
 
-    rooted = members.where("members > 2").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
+    rooted = written(members.where("members > 2").join(found, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+    split = written(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key"), "split")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     still = (written(rooted.join(split, "key"), "open")
              .join(classes.groupBy("id").agg(F.min("n_shingles").alias("n_shingles"), F.min("sig").alias("sig")), "id")
@@ -266,17 +288,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("pair", F.xxhash64("key", "one", "two"))
              .select("pair", "key", "center", "id", "root", "n_shingles", "sig", "block", "one", "two"))
     grouped = still.repartition("pair").sortWithinPartitions("pair", "id")
-    needed = written(grouped.mapInArrow(_needed(bands, rows, percent), still.schema), "needed")
+    needed = written(grouped.mapInArrow(_needed(bands, rows, percent, pass_over), still.schema), "needed")
     compared = (needed.join(sets, "id").repartition("pair").sortWithinPartitions("pair", "id")
-                .mapInArrow(_compared(bands, rows, percent), "a long, b long"))
+                .mapInArrow(_compared(bands, rows, percent, pass_over), "a long, b long"))
     more = written(compared, "links")
-    if not more.isEmpty():
-        found = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(more))
-
-    # a class reaches what its documents' ids reach
-    named = classes.select("n_shingles", "h1", "h2", F.col("id").alias("class"))
-    out = (signed.select("id", "n_shingles", "h1", "h2")
-           .join(named, ["n_shingles", "h1", "h2"], "left")
-           .join(found.select(F.col("id").alias("class"), "root"), "class", "left")
-           .withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("root", "class", "id"))))
-    return out.select("id", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    if more.isEmpty():
+        return found
+    return components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(more))

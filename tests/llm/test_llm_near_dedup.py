@@ -85,3 +85,31 @@ def test_signature_agreement_estimates_jaccard():
     a, b = pool[:2000], pool[1000:]
     sig = ND.circulant_minhash(np.concatenate([a, b]), np.array([0, 2000, 4000]), 1024)
     assert abs((sig[0] == sig[1]).mean() - 1000 / 3000) < 0.06
+
+
+def test_passing_over_loses_nothing_that_the_exact_mode_finds(documents, monkeypatch):
+    """Signatures of pairs at the threshold, and both modes on buckets that stars leave open."""
+    rng = np.random.default_rng(8)
+    bands, rows, trials, lost = ND.BANDS, ND.ROWS, 400, 0
+    cut = bands * rows * (0.8 + 0.2 / 256) - ND.PASS_OVER * np.sqrt(bands * rows * 0.8 * 0.2)
+    for _ in range(trials):
+        union = rng.integers(0, 2 ** 63, 100, dtype=np.uint64)
+        a, b = np.unique(union[:90]), np.unique(union[10:])      # 80 of 100 are shared
+        sig = ND.circulant_minhash(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), bands * rows) >> np.uint64(56)
+        lost += (sig[0] == sig[1]).sum() < cut
+    assert lost == 0
+    monkeypatch.setattr(ND, "BLOCK", 4)
+    corpus_rows = corpus(seed=9, groups=3, copies=30)
+    want = brute(corpus_rows, 4)
+    assert result(ND.near_duplicates(documents(corpus_rows), size=4, pass_over=None)) == want
+    assert result(ND.near_duplicates(documents(corpus_rows), size=4)) == want
+
+
+def test_scratch_tables_are_removed(spark, documents):
+    import os
+
+    from talentmatch import session as S
+    since = len(S._SCRATCH)
+    out = ND.near_duplicates(documents(corpus()), size=4)
+    left = [os.path.basename(p).rsplit("-", 1)[0] for p in S._SCRATCH[since:]]
+    assert sorted(left) == ["classes", "roots", "signed"] and out.count() == len(corpus())

@@ -130,3 +130,18 @@ def test_the_filter_hides_nothing_in_the_given_texts(spark, monkeypatch):
     for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect():
         base = PI.base_spans(r["text"] or "")
         assert PI.disguised_spans(r["text"] or "", base) == unfiltered(r["text"] or "", base, monkeypatch)
+
+
+def test_long_runs_of_digits(spark):
+    zeros, nines = "0" * 5000, "9" * 5000
+    texts = [".".join(zeros + "1" if i == k else "2" for i in range(4)) for k in range(4)]
+    texts += [zeros + ".1.2.3", f"{zeros}.{zeros}.{zeros}.{zeros}"]
+    bad = [".".join(nines if i == k else "2" for i in range(4)) for k in range(4)] + [f"{zeros}256.1.2.3"]
+    df = spark.createDataFrame([(i, f"at {t} x") for i, t in enumerate(texts + bad)], "doc_id long, text string")
+    base = {r.id: [(s.kind, s.start, s.end) for s in r.base if s.kind == "ip"] for r in PI.find(df).collect()}
+    assert base == {i: [("ip", 3, 3 + len(t))] if i < len(texts) else [] for i, t in enumerate(texts + bad)}
+    masked = {r.doc_id: r.text for r in PI.redact(df).collect()}
+    assert all(masked[i] == "at [IP] x" for i in range(len(texts)))
+    # the same under a disguise
+    disguised = f"at {zeros}1 dot 2 dot 3 dot 4 x"
+    assert PI.masked(disguised) == "at [IP] x"

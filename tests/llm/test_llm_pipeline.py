@@ -102,3 +102,26 @@ def test_empty_documents(spark, folder, tmp_path):
     for _, stage in CP.STAGES:
         frame = stage(spark, frame, sf)
         assert frame.count() == 0
+
+
+def test_columns_with_clashing_names_are_carried_along(spark, folder):
+    from pyspark.sql import functions as F
+    sf, docs, _ = folder
+    frame = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["key", "KEY_", "id", "component_id", "h", "sid", "size", "rank", "segment", "n_words", "matches", "root"]
+    wide = frame.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("text"), F.lit("none"))).alias(n) for n in names])
+    for name, stage in CP.STAGES[:-1]:
+        out, plain = stage(spark, wide, sf), stage(spark, frame, sf)
+        assert out.columns == wide.columns
+        assert rows(out) == rows(plain)
+        if name != "personal data":     # there the text changes, the copies of it do not
+            assert all(r[n] == f"{n} of {'none' if r['text'] is None else r['text']}" for r in out.collect() for n in names)
+    name, stage = CP.STAGES[-1]
+    assert sorted(map(tuple, stage(spark, wide, sf).collect()), key=str) == sorted(map(tuple, stage(spark, frame, sf).collect()), key=str)
+
+
+def test_run_leaves_only_its_result_in_the_shared_folder(spark, folder):
+    from talentmatch import session as S
+    since = len(S._SCRATCH)
+    out = CP.run(spark, folder[0])
+    assert [p.split("/")[-1].rsplit("-", 1)[0] for p in S._SCRATCH[since:]] == ["mixing"] and out.count()

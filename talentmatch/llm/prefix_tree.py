@@ -80,16 +80,20 @@ def turns_in(formatted: str):
         at = end + len(_END)
 
 
+#: Tokens are 32-bit integers, four bytes each, the lowest first.
+WIDTH = 4
+
+
 class CodePoints:
     """A token is a code point."""
 
     @staticmethod
-    def encode(text: str) -> np.ndarray:
-        return np.frombuffer(text.encode("utf-32-le"), np.int32)
+    def encode(text: str) -> bytes:
+        return text.encode("utf-32-le")
 
     @staticmethod
-    def decode(ids: np.ndarray) -> str:
-        return np.asarray(ids, np.int32).tobytes().decode("utf-32-le")
+    def decode(ids: bytes) -> str:
+        return ids.decode("utf-32-le")
 
 
 class Subwords:
@@ -100,11 +104,11 @@ class Subwords:
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.inner.encode(text, add_special_tokens=False).ids, np.int32)
+    def encode(self, text: str) -> bytes:
+        return np.array(self.inner.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
-    def decode(self, ids: np.ndarray) -> str:
-        return self.inner.decode(list(map(int, ids)), skip_special_tokens=False)
+    def decode(self, ids: bytes) -> str:
+        return self.inner.decode(np.frombuffer(ids, "<i4").tolist(), skip_special_tokens=False)
 
 
 @functools.lru_cache(maxsize=4)
@@ -119,8 +123,8 @@ def codec(tokenizer: str | None):
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 SPANS = "array<struct<start:int,end:int>>"
 _ENCODED = pa.schema([("conv_id", pa.int64()), ("seq", pa.int64()), ("whole", pa.bool_()), ("digests", pa.binary()),
-                      ("sizes", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32())), ("loss", _SPAN)])
-ENCODED = f"conv_id long, seq long, whole boolean, digests binary, sizes array<int>, tokens array<int>, loss {SPANS}"
+                      ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()), ("loss", _SPAN)])
+ENCODED = f"conv_id long, seq long, whole boolean, digests binary, sizes array<int>, tokens binary, loss {SPANS}"
 
 
 def _digest(role: str, text: str) -> bytes:
@@ -135,13 +139,14 @@ def _encoded(tokenizer: str | None):
             digests, sizes, pieces, loss, at = [], [], [], [], 0
             for role, text in zip(roles, texts, strict=True):
                 made = [own.encode(p) for p in parts(role, text)]
+                head, body, end = (len(m) // WIDTH for m in made)
                 if role == _LEARNED:
-                    loss.append({"start": at + len(made[0]), "end": at + len(made[0]) + len(made[1])})
-                sizes.append(sum(map(len, made)))
+                    loss.append({"start": at + head, "end": at + head + body})
+                sizes.append(head + body + end)
                 at += sizes[-1]
                 pieces += made
                 digests.append(_digest(role, text))
-            yield conv_id, seq, whole, b"".join(digests), sizes, np.concatenate([np.zeros(0, np.int32), *pieces]), loss
+            yield conv_id, seq, whole, b"".join(digests), sizes, b"".join(pieces), loss
 
     def run(batches):
         for batch in batches:
@@ -216,8 +221,8 @@ def _running(batches):
 _INTERVALS = pa.list_(pa.struct([("branch", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("position", pa.int64())]))
 INTERVALS = "array<struct<branch:bigint,start:bigint,end:bigint,position:bigint>>"
 _PACKED = pa.schema([("tree", pa.int64()), ("branch", pa.int64()), ("conv_id", pa.int64()), ("piece", pa.int64()), ("first", pa.bool_()), ("whole", pa.bool_()),
-                     ("start", pa.int64()), ("position", pa.int64()), ("tokens", pa.list_(pa.int32())), ("loss", _SPAN), ("ancestors", _INTERVALS)])
-PACKED = (f"tree long, branch long, conv_id long, piece long, first boolean, whole boolean, start long, position long, tokens array<int>, loss {SPANS}, "
+                     ("start", pa.int64()), ("position", pa.int64()), ("tokens", pa.binary()), ("loss", _SPAN), ("ancestors", _INTERVALS)])
+PACKED = (f"tree long, branch long, conv_id long, piece long, first boolean, whole boolean, start long, position long, tokens binary, loss {SPANS}, "
           f"ancestors {INTERVALS}")
 
 
@@ -229,8 +234,8 @@ def _emitted(batches):
             if skip == len(sizes) and depth:
                 continue
             cut = sum(sizes[:skip])
-            first_token, own = position + cut, [] if skip == len(sizes) else tokens[cut:]
-            spans = [{"start": s["start"] - cut, "end": s["end"] - cut} for s in loss if s["start"] >= cut] if len(own) else []
+            first_token, own = position + cut, b"" if skip == len(sizes) else tokens[WIDTH * cut:]
+            spans = [{"start": s["start"] - cut, "end": s["end"] - cut} for s in loss if s["start"] >= cut] if own else []
             begins, comes = start or 0, at or 0      # of the whole branch: place in the tree, position id
             attends = list(ancestors or ())
             if first_token > comes and own:
@@ -242,13 +247,19 @@ def _emitted(batches):
         yield from TU.record_batches(rows(batch), _PACKED)
 
 
+def token_ids(tokens: bytes) -> np.ndarray:
+    """The integers of a ``tokens`` cell."""
+    return np.frombuffer(tokens, "<i4")
+
+
 def prefix_trees(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
                  tokenizer: str | None = None, **sizes) -> DataFrame:
     """The packed branches, written to the shared folder, a row per piece:
 
     tree, branch (numbers of conversations), conv_id, piece (in order of turns), first (of its
     conversation), whole (the only piece), start (of its first token in the tree's depth first
-    sequence), position (position id of its first token, those after it count on), tokens, loss
+    sequence), position (position id of its first token, those after it count on), tokens (four bytes
+    each; see ``token_ids``), loss
     (intervals of ``tokens``) and ancestors (intervals of the tree that its tokens attend to besides
     those before them in the piece; each with the branch it lies in and its first position id).
 
@@ -341,14 +352,13 @@ class _Reader:
         self.conv_id, self.turns, self.loss, self.n, self.learned, self.chars = conv_id, hashlib.sha256(), hashlib.sha256(), 0, 0, 0
 
     def take(self, own, tokens, loss) -> None:
-        ids = np.asarray(tokens, np.int32)
-        formatted = own.decode(ids)
+        formatted = own.decode(tokens)
         self.chars += len(formatted)
         for role, text in turns_in(formatted):
             self.n += 1
             self.turns.update(f"{role}\n{text}\n".encode())
         for s in loss:
-            text = unescape(own.decode(ids[s["start"]:s["end"]]))
+            text = unescape(own.decode(tokens[WIDTH * s["start"]:WIDTH * s["end"]]))
             self.learned += len(text)
             self.loss.update(text.encode())
 
@@ -384,14 +394,15 @@ def read_back(packed: DataFrame, tokenizer: str | None = None) -> DataFrame:
     rest = packed.where("NOT (whole AND size(ancestors) = 0)")
     own = rest.select("branch", "conv_id", "position", "tokens", "loss")
     asked = rest.where("first").select("branch", "conv_id", F.explode("ancestors").alias("a")).where("a.branch != branch")
-    pieces = packed.where("size(tokens) > 0").select(F.col("branch").alias("other"), F.col("start").alias("p_start"), "tokens", "loss")
-    meets = (F.col("a.branch") == F.col("other")) & (F.col("p_start") < F.col("a.end")) & (F.col("a.start") < F.col("p_start") + F.size("tokens"))
+    pieces = packed.where("octet_length(tokens) > 0").select(F.col("branch").alias("other"), F.col("start").alias("p_start"), "tokens", "loss")
+    n = (F.octet_length("tokens") / WIDTH).cast("int")
+    meets = (F.col("a.branch") == F.col("other")) & (F.col("p_start") < F.col("a.end")) & (F.col("a.start") < F.col("p_start") + n)
     low = F.greatest(F.col("a.start") - F.col("p_start"), F.lit(0)).cast("int")
-    high = F.least(F.col("a.end") - F.col("p_start"), F.size("tokens")).cast("int")
+    high = F.least(F.col("a.end") - F.col("p_start"), n).cast("int")
     kept = F.transform(F.filter("loss", lambda s: (s["start"] >= F.col("low")) & (s["end"] <= F.col("high"))),
                        lambda s: F.struct((s["start"] - F.col("low")).alias("start"), (s["end"] - F.col("low")).alias("end")))
     taken = (asked.join(pieces, meets).withColumn("low", low).withColumn("high", high)
              .select("branch", "conv_id", (F.col("a.position") + F.col("p_start") + F.col("low") - F.col("a.start")).alias("position"),
-                     F.slice("tokens", F.col("low") + 1, F.col("high") - F.col("low")).alias("tokens"), kept.alias("loss")))
+                     F.substring("tokens", WIDTH * F.col("low") + 1, WIDTH * (F.col("high") - F.col("low"))).alias("tokens"), kept.alias("loss")))
     streamed = own.unionAll(taken).repartition("branch").sortWithinPartitions("branch", "position").select("branch", "conv_id", "tokens", "loss")
     return alone.mapInArrow(_read(tokenizer), READ).unionAll(streamed.mapInArrow(_read(tokenizer), READ))

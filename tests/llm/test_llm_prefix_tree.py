@@ -46,10 +46,10 @@ def check_forest(packed, rows):
     pieces = packed.collect()
     want = conversations(rows)
     nodes = {tuple(turns[:i + 1]) for turns in want.values() for i in range(len(turns))}
-    assert sum(len(p.tokens) for p in pieces) == sum(len("".join(PT.parts(*n[-1]))) for n in nodes)
+    assert sum(len(PT.token_ids(p.tokens)) for p in pieces) == sum(len("".join(PT.parts(*n[-1]))) for n in nodes)
     tokens = {}
     for p in pieces:
-        for i, x in enumerate(p.tokens):
+        for i, x in enumerate(PT.token_ids(p.tokens)):
             assert tokens.setdefault((p.tree, p.start + i), x) == x and p.start + i >= 0
     trees = {}
     for tree, at in tokens:
@@ -59,14 +59,14 @@ def check_forest(packed, rows):
     span, seen_by = {}, {}
     for p in sorted(pieces, key=lambda p: (p.branch, p.piece)):
         whole = "".join("".join(PT.parts(*x)) for x in want[p.conv_id])
-        seen = "".join(PT.CodePoints.decode([tokens[p.tree, i] for a in p.ancestors for i in range(a.start, a.end)]))
+        seen = "".join(chr(tokens[p.tree, i]) for a in p.ancestors for i in range(a.start, a.end))
         if p.tokens:
             assert len(seen) == p.position
-            assert whole.startswith(seen + PT.CodePoints.decode(p.tokens))
+            assert whole.startswith(seen + PT.CodePoints.decode(bytes(p.tokens)))
         elif p.whole:
             assert seen == whole
         assert [a.position for a in p.ancestors] == [sum(b.end - b.start for b in p.ancestors[:k]) for k in range(len(p.ancestors))]
-        seen_by.setdefault(p.conv_id, []).extend([i for a in p.ancestors for i in range(a.start, a.end)] + [p.start + i for i in range(len(p.tokens))])
+        seen_by.setdefault(p.conv_id, []).extend([i for a in p.ancestors for i in range(a.start, a.end)] + [p.start + i for i in range(len(p.tokens) // PT.WIDTH)])
     for conv, turns in want.items():
         places = sorted(set(seen_by[conv]))
         at = 0
@@ -89,7 +89,7 @@ def test_snapshots_of_one_chat_are_one_branch(spark):
     turns = [("user" if i % 2 == 0 else "assistant", f"turn {i}") for i in range(12)]
     rows = [(c, i, *turns[i]) for c in range(12) for i in range(c + 1)]
     packed = PT.prefix_trees(spark.createDataFrame(rows, ROWS))
-    assert packed.where("size(tokens) > 0").count() == 1
+    assert packed.where("octet_length(tokens) > 0").count() == 1
     assert packed.agg(F.max(F.size("ancestors"))).first()[0] == 1
     assert result(PT.read_back(packed)) == brute(rows)
 
@@ -119,7 +119,7 @@ def test_subword_tokens_read_back_alike(spark):
     packed = PT.prefix_trees(spark.createDataFrame(rows, ROWS), tokenizer=path)
     assert result(PT.read_back(packed, tokenizer=path)) == brute(rows)
     plain = PT.prefix_trees(spark.createDataFrame(rows, ROWS))
-    size = F.sum(F.size("tokens"))
+    size = F.sum(F.octet_length("tokens"))
     assert packed.agg(size).first()[0] < plain.agg(size).first()[0]
 
 

@@ -1,34 +1,20 @@
 """Top-k job recommendation by cosine similarity.
 
-Plan
-----
-The reference scores one candidate against every job and sorts all scores.
-Here the job catalogue is cut into blocks of at most ``block_size`` unit
-vectors (hash of the job key, one ``collect_list`` per block, so every group
-is bounded by construction). Each candidate row meets each block once through
-an equi-join on the block id and keeps only its best ``k`` per block with
-``sort_array`` + ``slice`` (row-local, JVM-side higher-order functions). With
-one block (the usual case: jobs are few next to candidates) the block table is
-a single row and is broadcast after its size is computed from the job count
-and the vector width; past ``broadcast_bytes`` it is joined as a grid: the
-candidates are cut into parts of ``part_rows`` and every (block, part) is a key
-of its own, so no block meets all candidates in one task. With several blocks the per-block winners (``k`` per block) are merged
-with a ranking window that Catalyst turns into a ``WindowGroupLimit``.
-
-No candidate x job row is ever materialised: the output has ``k`` rows per
-candidate.
+The scripts score one candidate against every job and sort all scores. Here the catalogue is an index
+of blocks (``vector_index``): candidates meet blocks as matrix products, blocks whose best possible
+cosine is below a candidate's k-th are skipped, and only the k best of a block leave a task. No
+candidate x job row is ever made: the output has ``k`` rows per candidate.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talentmatch.functions import vectors as V
+from talentmatch.operators import vector_index as VI
 from talentmatch.operators.partitioning import spread
+from talentmatch.operators.vector_index import JobIndex, prepare_jobs  # noqa: F401 - part of this interface
+from talentmatch.session import scratch_path
 
 
 def _check_k(k: int) -> None:
@@ -36,97 +22,35 @@ def _check_k(k: int) -> None:
         raise ValueError(f"top_k must be a positive integer, got {k!r}")
 
 
-def catalogue_size(jobs: DataFrame, vec: str = "embedding") -> tuple[int, int]:
-    """(number of scorable jobs, widest vector) in one small aggregate job."""
-    live = jobs.where(F.col(vec).isNotNull() & (F.size(vec) > 0))
-    row = live.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).collect()[0]
-    return int(row["n"]), int(row["d"] or 0)
-
-
-def job_blocks(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embedding",
-               block_size: int = 4096, n_jobs: int | None = None) -> tuple[DataFrame, int]:
-    """Unit job vectors grouped into ``ceil(n/block_size)`` bounded blocks."""
-    live = jobs.where(F.col(vec).isNotNull() & (F.size(vec) > 0))
-    n = catalogue_size(jobs, vec)[0] if n_jobs is None else n_jobs
-    nb = max(1, math.ceil(n / block_size)) if n else 0
-    blocks = (V.with_unit(live.select(F.col(job_key).alias("id"), vec), vec, "u")
-              .drop(vec)
-              .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(nb, 1))).cast("int"))
-              .groupBy("block")
-              .agg(F.collect_list(F.struct("id", "u")).alias("jobs")))
-    return blocks, nb
-
-
-@dataclass
-class JobIndex:
-    """The job side of the search: blocks of unit vectors, their number and size in bytes."""
-    blocks: DataFrame
-    n_blocks: int
-    bytes: int
-
-
-def prepare_jobs(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embedding", block_size: int = 4096) -> JobIndex:
-    n, width = catalogue_size(jobs, vec)
-    blocks, nb = job_blocks(jobs, job_key, vec, block_size, n)
-    return JobIndex(blocks, nb, n * (width * 8 + 64))
-
-
 def recommend_topk(candidates: DataFrame, jobs: DataFrame, k: int = 3,
                    cand_key: str = "candidate_id", job_key: str = "codigo_vaga",
                    vec: str = "embedding", digits: int | None = 4,
-                   block_size: int = 4096, broadcast_bytes: int = 256 << 20,
-                   part_rows: int = 50_000, prepared: JobIndex | None = None) -> DataFrame:
-    """(cand_key, rank, job_key, similaridade): the ``k`` most similar jobs.
-
-    ``prepared`` (see :func:`prepare_jobs`) spares the work on the jobs' side
-    where several calls meet one catalogue. Ties are broken by the lower job key. Candidates with a null or empty
-    vector are left out (see :func:`reject_invalid_vectors`).
+                   block_size: int = 4096, broadcast_bytes: int = 64 << 20, clusters: int | None = None,
+                   part_rows: int = VI.PACK_ROWS, prepared: JobIndex | None = None, met: str | None = None) -> DataFrame:
+    """(cand_key, rank, job_key, similaridade): the ``k`` most similar jobs, exact.
+
+    ``clusters`` (or ``prepared``, see ``prepare_jobs``, which also spares the work on the jobs' side
+    where several calls meet one catalogue) cuts the catalogue by centroids, so that far blocks are
+    skipped. A catalogue of up to ``broadcast_bytes`` is broadcast; a larger one is met block by
+    block, in packs of ``part_rows`` candidates. Ties go to the lower job key. Candidates whose
+    vector is null, empty or not finite are left out (see :func:`reject_invalid_vectors`).
+    Candidate keys are unique. ``met`` adds the number of blocks that each candidate met.
     """
     _check_k(k)
-    index = prepared or prepare_jobs(jobs, job_key, vec, block_size)
-    blocks, nb = index.blocks, index.n_blocks
-    out_schema = (f"{cand_key} {candidates.schema[cand_key].dataType.simpleString()}, rank int, "
-                  f"{job_key} {jobs.schema[job_key].dataType.simpleString()}, similaridade double")
     spark = candidates.sparkSession
-    if nb == 0:
-        return spark.createDataFrame([], out_schema)
-
-    cand = candidates.where(F.col(vec).isNotNull() & (F.size(vec) > 0)).select(cand_key, vec)
-    cand = V.with_unit(cand, vec, "cu").drop(vec)
-    # scoring is compute-bound: spread a narrow input over the cores first
-    cand = spread(cand, cand_key)
-    # every candidate meets every block once; an equi-join keeps it a hash join
-    cand = cand.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    if index.bytes <= broadcast_bytes:
-        met = cand.join(F.broadcast(blocks), "block")
-    else:
-        parts = max(1, math.ceil(candidates.count() / part_rows))
-        cand = cand.withColumn("part", F.pmod(F.xxhash64(cand_key), F.lit(parts)).cast("int"))
-        met = cand.join(blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), ["block", "part"])
-
-    scored = met.select(
-        cand_key,
-        F.slice(
-            F.sort_array(F.transform(
-                "jobs",
-                lambda j: F.struct(
-                    (-_dot_unit(F.col("cu"), j["u"])).alias("neg"),
-                    j["id"].alias("id")))),
-            1, int(k)).alias("top"))
-    # the outer form stops Catalyst from copying the scoring into the join condition
-    exploded = (scored.select(cand_key, F.posexplode_outer("top").alias("pos", "t"))
-                .where(F.col("t").isNotNull()))
-    if nb == 1:
-        ranked = exploded.select(cand_key, (F.col("pos") + 1).alias("rank"),
-                                 F.col("t.id").alias(job_key), (-F.col("t.neg")).alias("sim"))
-    else:
-        w = Window.partitionBy(cand_key).orderBy(F.col("t.neg"), F.col("t.id"))
-        ranked = (exploded.withColumn("rank", F.row_number().over(w))
-                  .where(F.col("rank") <= int(k))
-                  .select(cand_key, "rank", F.col("t.id").alias(job_key),
-                          (-F.col("t.neg")).alias("sim")))
+    index = prepared or prepare_jobs(jobs, job_key, vec, block_size, clusters)
+    if not candidates.isStreaming:
+        # scoring is compute-bound: spread a narrow input over the cores first
+        candidates = spread(candidates.select(cand_key, vec), cand_key)
+
+    def written(df, name):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    top = VI.search(candidates, index, int(k), cand_key, job_key, jobs.schema[job_key].dataType, vec, broadcast_bytes, part_rows, written, met)
     sim = F.round("sim", digits) if digits is not None else F.col("sim")
-    return ranked.select(cand_key, F.col("rank").cast("int"), job_key, sim.alias("similaridade"))
+    return top.select(cand_key, "rank", job_key, sim.alias("similaridade"), *([met] if met else []))
 
 
 def topk_per_group(df: DataFrame, group: str | list[str], score: str, k: int = 3,
@@ -145,13 +69,9 @@ def topk_per_group(df: DataFrame, group: str | list[str], score: str, k: int = 3
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= int(k))
 
 
-def _dot_unit(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
 def reject_invalid_vectors(candidates: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Candidates that cannot be scored (null or empty vector)."""
-    return candidates.where(F.col(vec).isNull() | (F.size(vec) == 0))
+    """Candidates that cannot be scored (null or empty vector, or an entry that is not finite)."""
+    return candidates.where(~F.coalesce(VI.scorable(vec), F.lit(False)))
 
 
 def attach_details(topk: DataFrame, catalog: DataFrame, job_key: str = "codigo_vaga") -> DataFrame:

@@ -94,9 +94,20 @@ def recommend_invalid(spark, sf):
 
 @query("recommend_blocks", sql=f"WITH {_VECTORS_SQL} SELECT * FROM top")
 def recommend_blocks(spark, sf):
-    """R3 past the broadcast limit: many job blocks, joined as a grid of blocks and candidate parts."""
+    """R3 past the broadcast limit: many job blocks, met by packs of candidates in two rounds."""
     return R.recommend_topk(fx.candidate_vectors(spark, sf), fx.job_vectors(spark, sf), k=3,
-                            block_size=64, broadcast_bytes=0, part_rows=128)
+                            block_size=64, broadcast_bytes=0, part_rows=128, clusters=16)
+
+
+@query("recommend_pruned", sql=f"""
+WITH {_VECTORS_SQL}
+SELECT *, true AS within FROM top""")
+def recommend_pruned(spark, sf):
+    """R3 by the cluster index: blocks that cannot hold one of the best are skipped; ``within``: the
+    candidate met at least one block and at most all of them."""
+    index = R.prepare_jobs(fx.job_vectors(spark, sf), block_size=32, clusters=32)
+    top = R.recommend_topk(fx.candidate_vectors(spark, sf), fx.job_vectors(spark, sf), k=3, prepared=index, met="met")
+    return top.withColumn("within", F.col("met").between(1, index.n_blocks)).drop("met")
 
 
 @query("topk_per_group", sql="""

@@ -58,10 +58,18 @@ def run_window_counts(spark: SparkSession, events_path: str, schema, window: str
     out = out or scratch_path(spark, "window-counts")
     ckpt = checkpoint or scratch_path(spark, "window-counts-ckpt")
     stream = window_counts(file_stream(spark, events_path, schema), window=window, slide=slide, delay=delay)
-    q = (stream.writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt)
+    return _to_files(spark, stream, out, ckpt)
+
+
+def _to_files(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Run a stream on all that is there into an append file sink (exactly once, by the sink's log)
+    and read the sink back; a source that never had a file gives an empty table."""
+    q = (stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -72,7 +80,7 @@ def _each_batch(spark: SparkSession, src: DataFrame, jobs: DataFrame, work, out:
     batch replaces its own output (idempotent sink).
     """
     index = R.prepare_jobs(jobs)
-    index.blocks = index.blocks.persist()
+    index.blocks = index.blocks.persist()       # each batch searches it anew
 
     def write(batch: DataFrame, batch_id: int) -> None:
         work(batch, index).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -91,15 +99,26 @@ def _each_batch(spark: SparkSession, src: DataFrame, jobs: DataFrame, work, out:
 
 def run_stream_recommend(spark: SparkSession, candidates_path: str, schema, jobs: DataFrame,
                          k: int = 3, where: str | None = None, cand_key: str = "candidate_id",
-                         id_col: str = "vec_id", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """X1, vectors only: rank arriving candidates' jobs with the batch operator (R3) inside
-    ``foreachBatch`` (ranking windows are not allowed on a stream)."""
+                         id_col: str = "vec_id", out: str | None = None, checkpoint: str | None = None,
+                         broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """X1, vectors only: rank arriving candidates' jobs.
+
+    A catalogue of up to ``broadcast_bytes`` is searched row by row inside the stream, whose file sink
+    writes each candidate exactly once (by its own log). A larger one needs a ranking across blocks,
+    which a stream has not: it is searched batch by batch (``foreachBatch``, idempotent sink).
+    """
     src = file_stream(spark, candidates_path, schema)
     if where:
         src = src.where(where)
     src = src.select(F.col(id_col).alias(cand_key), "embedding")
-    return _each_batch(spark, src, jobs, lambda batch, index: R.recommend_topk(batch, jobs, k=k, cand_key=cand_key, prepared=index),
-                       out or scratch_path(spark, "stream-recommend"), checkpoint or scratch_path(spark, "stream-recommend-ckpt"))
+    out = out or scratch_path(spark, "stream-recommend")
+    checkpoint = checkpoint or scratch_path(spark, "stream-recommend-ckpt")
+    index = R.prepare_jobs(jobs)
+    if index.bytes > broadcast_bytes:
+        return _each_batch(spark, src, jobs, lambda batch, index: R.recommend_topk(batch, jobs, k=k, cand_key=cand_key, prepared=index, broadcast_bytes=broadcast_bytes),
+                           out, checkpoint)
+    stream = R.recommend_topk(src, jobs, k=k, cand_key=cand_key, prepared=index)
+    return _to_files(spark, stream, out, checkpoint)
 
 
 def run_stream_analyze(spark: SparkSession, path: str, schema, prepare, score, jobs: DataFrame, details: DataFrame,

@@ -96,3 +96,40 @@ def test_topk_per_group_hot_group_is_trimmed_before_the_shuffle(spark):
     assert hot == [(r + 1, i, float(-neg)) for r, (neg, i) in enumerate(rows)]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def clustered(spark, n=600, d=16, groups=12, seed=3):
+    rng = np.random.default_rng(seed)
+    hubs = rng.normal(size=(groups, d))
+    rows = [(i, [float(np.float32(x)) for x in hubs[i % groups] + 0.15 * rng.normal(size=d)]) for i in range(n)]
+    rows += [(n, [0.0] * d), (n + 1, rows[5][1]), (n + 2, rows[5][1])]
+    return rows
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_pruned_search_is_exact(spark, broadcast_bytes):
+    jobs = clustered(spark)
+    cands = clustered(spark, n=90, seed=4) + [(500, [0.0] * 16), (501, None), (502, [float("nan")] * 16), (503, [])]
+    j = spark.createDataFrame(jobs, "codigo_vaga bigint, embedding array<float>")
+    c = spark.createDataFrame(cands, "candidate_id bigint, embedding array<float>")
+    got = R.recommend_topk(c, j, k=4, block_size=20, clusters=12, broadcast_bytes=broadcast_bytes, part_rows=16)
+    assert sorted(tuple(r) for r in got.collect()) == brute(cands[:-3], jobs, 4)
+
+
+def test_blocks_are_skipped_and_big_clusters_split(spark):
+    jobs = clustered(spark)
+    j = spark.createDataFrame(jobs, "codigo_vaga bigint, embedding array<float>")
+    c = spark.createDataFrame(jobs[:90], "candidate_id bigint, embedding array<float>")
+    index = R.prepare_jobs(j, block_size=20, clusters=12)
+    assert index.n_blocks >= 600 / 20
+    assert max(len(r.ids) for r in index.blocks.select("ids").collect()) <= 2 * 20
+    met = R.recommend_topk(c, j, k=3, prepared=index, met="met").agg({"met": "avg"}).first()[0]
+    assert met < index.n_blocks / 3
+
+
+def test_text_keys_and_short_vectors(spark):
+    j = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0]), ("c", [0.0, 1.0])], "codigo_vaga string, embedding array<double>")
+    c = spark.createDataFrame([("x", [2.0, 0.0])], "candidate_id string, embedding array<double>")
+    for limit in (64 << 20, 0):
+        got = [tuple(r) for r in R.recommend_topk(c, j, k=2, broadcast_bytes=limit).collect()]
+        assert sorted(got) == [("x", 1, "a", 1.0), ("x", 2, "b", 1.0)]

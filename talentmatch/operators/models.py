@@ -8,8 +8,8 @@ regression with balanced class weights and an L2 penalty equal to C = 1
 (``regParam = 1 / sum(weights)``, no standardisation), a random forest with
 ``sqrt`` feature subsets, gradient-boosted trees standing in for the boosting
 library, and a soft vote of the three. Upsampling (M9) happens inside each
-training fold by default (``leaky=True`` upsamples before folding, as the
-scripts do).
+training fold; its copies are integer weights of one shared frame, and a fold
+is weight 0, so no fold joins, shuffles or copies rows.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassificationModel,
+                                       RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentmatch.operators import evaluate as E
@@ -122,6 +123,19 @@ def predict(model: PipelineModel, df: DataFrame, key: str, keep: list[str] | Non
     return p.select(key, *(keep or []), _prob1(p).alias("prob"), F.col("prediction").cast("int").alias("prediction"))
 
 
+def gradient_norm(model: PipelineModel, train: DataFrame, label: str) -> float:
+    """Length of the gradient of the balanced, penalised log loss at a logistic regression that
+    ``fit_model`` fitted on ``train``: near 0 at the optimum, which is the only one."""
+    w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
+    scored = model.transform(w)
+    off = (_prob1(scored) - F.col(label)) * F.col("weight")
+    each = scored.select(off.alias("off"), "weight", F.posexplode(vector_to_array("features")).alias("i", "x"))
+    sums = each.groupBy("i").agg(F.sum(F.col("off") * F.col("x")).alias("g"), F.sum("off").alias("b"), F.sum("weight").alias("w")).collect()
+    coef = model.stages[-1].coefficients       # as many as features
+    total = sums[0]["w"]
+    return (sum(((r["g"] + coef[r["i"]]) / total) ** 2 for r in sums) + (sums[0]["b"] / total) ** 2) ** 0.5
+
+
 def fit_vote(train: DataFrame, label: str, cats: list[str], spec: ModelSpec) -> dict:
     small = ModelSpec(lr_iter=spec.lr_iter, trees=spec.vote_trees, depth=spec.depth,
                       gbt_rounds=spec.vote_trees, gbt_depth=spec.gbt_depth, seed=spec.seed)
@@ -153,31 +167,129 @@ def predict_any(model, df: DataFrame, key: str, keep: list[str] | None = None) -
     return predict_vote(model, df, key, keep) if isinstance(model, dict) else predict(model, df, key, keep)
 
 
-def _fold_f1(folded: DataFrame, f: int, name: str, key: str, label: str, cats: list[str], spec: ModelSpec, leaky: bool) -> float:
-    """F1 on fold ``f`` of a model fitted on the others."""
-    train = folded.where(F.col("fold") != f).drop("fold")
-    if not leaky:
-        train = S.upsample_minority(train, label, key).drop("slot")
-    test = folded.where(F.col("fold") == f)
-    scored = predict_any(fit_any(train, name, label, cats, spec), test, key, [label])
-    return float(E.f1_binary(scored, label=label).collect()[0][0])
+@dataclass
+class Folds:
+    """Training rows with their folds and weights (``sampling.fold_weights``), and the feature stages of
+    every training part: part ``k`` is all rows."""
+    rows: DataFrame
+    k: int
+    label: str
+    stages: dict
+
+    def frame(self, part: int) -> DataFrame:
+        """(fold, label, features, w): the rows as part ``part`` sees them."""
+        out = self.stages[part].transform(self.rows)
+        return out.select("fold", self.label, "features", F.col("weights")[part].cast("double").alias("w"))
+
+
+def shared_folds(df: DataFrame, key: str, label: str, cats: list[str], k: int = 5, parts: list[int] | None = None,
+                 leaky: bool = False) -> Folds:
+    """One cached, vectorised frame for all folds. The feature stages are fitted once for each training part.
+
+    ``leaky`` upsamples before folding, as the scripts do: copies are rows of their own, and may stand
+    on both sides of a fold.
+
+    The frame has no more partitions than its rows fill: each solver iteration and each level of a
+    tree is a job over all of them."""
+    if leaky:
+        copies = S.stratified_folds(S.upsample_minority(df, label, key).drop("slot"), label, key, k)
+        weighted = copies.withColumn("weights", F.array(*[(F.col("fold") != f).cast("int") for f in range(k)], F.lit(1)))
+    else:
+        weighted = S.fold_weights(df, label, key, k)
+    rows = with_emb_vector(weighted).withColumn(label, F.col(label).cast("double"))
+    rows = rows.select(key, label, "emb_vec", *cats, "fold", "weights")
+    rows = rows.coalesce(max(1, -(-df.count() // ROWS_PER_PARTITION))).persist()
+    fit = lambda part: Pipeline(stages=feature_stages(cats)).fit(rows.where(F.col("weights")[part] > 0))
+    wanted = list(range(k + 1)) if parts is None else parts
+    return Folds(rows, k, label, dict(zip(wanted, _in_threads(fit, wanted, 4))))
+
+
+def fit_part(frame: DataFrame, name: str, label: str, spec: ModelSpec):
+    """One model on the rows of a part that have a weight (after M9 the classes weigh alike)."""
+    est = estimators(label, spec)[name].setWeightCol("w")
+    train = frame.where("w > 0")
+    if name == "LogisticRegression":
+        est = est.setRegParam(1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0))
+    return est.fit(train)
+
+
+def first_trees(model, n: int):
+    """The ensemble of a fitted ensemble's first ``n`` trees: what boosting of ``n`` rounds gives, and a
+    forest of ``n`` trees."""
+    trees = model._java_obj.trees()
+    if n >= len(trees):
+        return model
+    gateway = model._java_obj
+    jvm = SparkSession.active().sparkContext._gateway
+    boosted = isinstance(model, GBTClassificationModel)
+    kind = jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel if boosted else jvm.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel
+    some = jvm.new_array(kind, n)
+    for i in range(n):
+        some[i] = trees[i]
+    package = jvm.jvm.org.apache.spark.ml.classification
+    if boosted:
+        weights = jvm.new_array(jvm.jvm.double, n)
+        for i, w in enumerate(gateway.treeWeights()[:n]):
+            weights[i] = float(w)
+        return GBTClassificationModel(package.GBTClassificationModel(f"{model.uid}_{n}", some, weights, gateway.numFeatures(), gateway.numClasses()))
+    return RandomForestClassificationModel(package.RandomForestClassificationModel(f"{model.uid}_{n}", some, gateway.numFeatures(), gateway.numClasses()))
+
+
+def _scored(models: dict, frame: DataFrame, spec: ModelSpec, names: list[str]) -> DataFrame:
+    """``frame`` plus, for each name, (prob, prediction) as columns p_<i>, y_<i>; models score one after the other."""
+    made = ["rawPrediction", "probability", "prediction"]
+
+    def prob(df, model, out):
+        scored = model.transform(df.drop(*made))
+        return scored.withColumn(out, _prob1(scored))
+
+    members = []
+    for i, name in enumerate(names):
+        if name == "VotingClassifier":
+            for j, n in enumerate(MODEL_ORDER[:3]):
+                small = models[n] if n == "LogisticRegression" else first_trees(models[n], spec.vote_trees)
+                frame = prob(frame, small, f"m_{j}")
+                members.append(f"m_{j}")
+            frame = frame.withColumn(f"p_{i}", sum(F.col(c) for c in members) / float(len(members)))
+        else:
+            frame = prob(frame, models[name], f"p_{i}")
+        frame = frame.withColumn(f"y_{i}", (F.col(f"p_{i}") > 0.5).cast("int"))
+    return frame.drop(*made)
+
+
+def _f1s(scored: DataFrame, label: str, names: list[str]) -> list[float]:
+    """F1 of class 1 for each model, in one pass."""
+    hit, true = [F.col(f"y_{i}") == 1 for i in range(len(names))], F.col(label) == 1
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    row = scored.agg(*[c for i, h in enumerate(hit) for c in (count(h & true).alias(f"tp{i}"), count(h).alias(f"pp{i}"))], count(true).alias("t")).first()
+    return [2 * row[f"tp{i}"] / (row[f"pp{i}"] + row["t"]) if row[f"pp{i}"] + row["t"] else 0.0 for i in range(len(names))]
+
+
+def _fitted(folds: Folds, parts: list[int], names: list[str], spec: ModelSpec, threads: int) -> tuple[dict, dict]:
+    """(models, frames): every needed model of every part, fitted side by side on cached frames."""
+    needed = [n for n in MODEL_ORDER[:3] if n in names or "VotingClassifier" in names]
+    frames = {part: folds.frame(part).persist() for part in parts}
+    # the later models are the dearer ones: they start first
+    tasks = [(part, n) for n in reversed(needed) for part in reversed(parts)]
+    models = dict(zip(tasks, _in_threads(lambda t: fit_part(frames[t[0]], t[1], folds.label, spec), tasks, threads)))
+    return {part: {n: models[part, n] for n in needed} for part in parts}, frames
 
 
 def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str], spec: ModelSpec,
-                 k: int = 5, leaky: bool = False, parallelism: int | None = None) -> DataFrame:
-    """F1 of class 1 on each of ``k`` stratified folds (M11), with the
-    training part upsampled (M9) inside each fold. Returns (model, fold, f1).
+                 k: int = 5, leaky: bool = False, threads: int = 8) -> DataFrame:
+    """F1 of class 1 on each of ``k`` stratified folds (M11), the training part upsampled (M9)
+    inside each fold, as weights of one shared frame. Returns (model, fold, f1).
 
-    Folds are fitted concurrently from ``parallelism`` driver threads (what
-    ``CrossValidator(parallelism=...)`` does): each fit is a series of small
-    Spark jobs, so running them side by side keeps the executors busy.
+    Folds are fitted side by side from ``threads`` driver threads (what ``CrossValidator`` does): each
+    fit is a series of small Spark jobs.
     """
-    base = S.upsample_minority(df, label, key).drop("slot") if leaky else df
-    folded = S.stratified_folds(base, label, key, k=k).persist()
+    folds = shared_folds(df, key, label, cats, k, list(range(k)), leaky)
+    models, frames = _fitted(folds, list(range(k)), [name], spec, threads)
     try:
-        rows = _in_threads(lambda f: (name, f, _fold_f1(folded, f, name, key, label, cats, spec, leaky)), range(k), parallelism or k)
+        rows = [(name, f, _f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, [name]), label, [name])[0]) for f in range(k)]
     finally:
-        folded.unpersist()
+        for df_ in [*frames.values(), folds.rows]:
+            df_.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, fold int, f1 double")
 
 
@@ -192,37 +304,33 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
                 threads: int = 8) -> DataFrame:
     """(model, model_order, cv_f1, f1) for each candidate model.
 
-    All fits (every model on every fold, and on all training rows) run side by side, at most
-    ``threads`` at once. With ``store`` the model of the best hold-out F1 (the first of equals) is
-    saved there, its transformers and its classification report (a table, ``<store>/report``) with it.
+    All parts (the folds, and all training rows) share one cached frame with weights; the vote
+    (L4) is made of the fitted members, of the tree ensembles the first ``spec.vote_trees``. With
+    ``store`` the model of the best hold-out F1 (the first of equals) is saved there, its feature
+    stages and its classification report (a table, ``<store>/report``) with it; where no F1 is
+    above 0 there is no winner, and nothing is stored.
     """
-    bal = S.upsample_minority(train, label, key).drop("slot").persist()
-    folded = S.stratified_folds(train, label, key, k=k).persist()
-
-    def one(task):
-        name, fold = task
-        if fold is not None:
-            return _fold_f1(folded, fold, name, key, label, cats, spec, False)
-        model = fit_any(bal, name, label, cats, spec)
-        scored = predict_any(model, test, key, [label])
-        return model, scored, float(E.f1_binary(scored, label=label).collect()[0][0])
-
+    spark = train.sparkSession
+    folds = shared_folds(train, key, label, cats, k)
+    models, frames = _fitted(folds, list(range(k + 1)), names, spec, threads)
     try:
-        # the later models are the dearer ones: they start first
-        tasks = [(name, fold) for name in reversed(names) for fold in [None, *range(k)]]
-        done = dict(zip(tasks, _in_threads(one, tasks, threads)))
-        found = [((name, order, sum(done[name, f] for f in range(k)) / k, done[name, None][2]), *done[name, None][:2])
-                 for order, name in enumerate(names)]
-        if store:
-            _, model, scored = max(found, key=lambda x: (x[0][3], -x[0][1]))
-            save_any(model, f"{store}/model")
-            E.classification_report(scored, label=label).write.mode("overwrite").parquet(f"{store}/report")
+        cv = [_f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, names), label, names) for f in range(k)]
+        held = folds.stages[k].transform(with_emb_vector(test).withColumn(label, F.col(label).cast("double"))).select(key, label, "features")
+        scored = _scored(models[k], held, spec, names).persist()
+        f1 = _f1s(scored, label, names)
+        best = max(range(len(names)), key=lambda i: (f1[i], -i))
+        if store and f1[best] > 0:
+            members = {n: m if n == "LogisticRegression" else first_trees(m, spec.vote_trees) for n, m in models[k].items()}
+            chosen = members if names[best] == "VotingClassifier" else {"": models[k][names[best]]}
+            for n, m in chosen.items():
+                PipelineModel(stages=[*folds.stages[k].stages, m]).write().overwrite().save(f"{store}/model/{n}".rstrip("/"))
+            report = scored.select(F.col(label).cast("int").alias(label), F.col(f"y_{best}").alias("prediction"))
+            E.classification_report(report, label=label).write.mode("overwrite").parquet(f"{store}/report")
     finally:
-        bal.unpersist()
-        folded.unpersist()
-    rows = [x[0] for x in found]
-    return train.sparkSession.createDataFrame(
-        rows, "model string, model_order int, cv_f1 double, f1 double")
+        for df in [*frames.values(), folds.rows]:
+            df.unpersist()
+    rows = [(n, i, sum(c[i] for c in cv) / k, f1[i]) for i, n in enumerate(names)]
+    return spark.createDataFrame(rows, "model string, model_order int, cv_f1 double, f1 double")
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -92,6 +92,41 @@ def upsample_minority(df: DataFrame, label: str, key: str, seed: int = 42,
     return base.unionByName(drawn.select(*base.columns))
 
 
+def fold_weights(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
+                 minority: int = 1, majority: int = 0) -> DataFrame:
+    """M9 inside M11 without copies: ``df`` plus ``fold`` and ``weights``, an array of ``k + 1`` counts.
+
+    ``weights[f]`` is how often the row stands in the training part of fold ``f`` after
+    ``upsample_minority``: 0 for rows of the fold itself, 1 for other majority rows, the number of
+    slots drawn for a minority row. ``weights[k]`` is the same for all rows as training part.
+    Folds are numbered round-robin in seeded order, so a row's rank within every training part
+    follows from its rank in its class: one ranking and one join of the minority serve all folds.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # a number for each class
+    n0, m = int(counts.get(majority, 0)), int(counts.get(minority, 0))
+    inside = [max(0, -(-(n - f) // k)) for n in (n0, m) for f in range(k)]
+    sizes = [(f, n0 - inside[f], m - inside[k + f]) for f in range(k)] + [(k, n0, m)]
+    ranked = rank_within(df, label, key, seed).withColumn("__r", F.col("rn") - 1).drop("rn")
+    spark = df.sparkSession
+    slots = spark.range(n0).withColumnRenamed("id", "slot").select("slot", hash_to_long(seed_hash("slot", seed)).alias("h"))
+    parts = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(a).alias("n0"), F.lit(b).alias("m")) for f, a, b in sizes])
+    drawn = (slots.select("slot", "h", F.explode(parts).alias("p")).where((F.col("slot") < F.col("p.n0")) & (F.col("p.m") > 0))
+             .groupBy(F.col("p.f").alias("f"), F.pmod("h", "p.m").alias("row")).agg(F.count(F.lit(1)).alias("n")))
+    # rows of the fold that stand before rank r: those q < r with q mod k = f
+    before = F.when(F.col("f") == k, 0).otherwise(F.greatest(F.lit(0), F.floor((F.col("__r") - F.col("f") + k - 1) / k)))
+    places = (ranked.where(F.col(label) == minority).select("__r", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("f"))
+              .where((F.col("f") == k) | (F.col("__r") % k != F.col("f"))).select("__r", "f", (F.col("__r") - before).alias("row")))
+    counted = places.join(drawn, ["f", "row"]).groupBy("__r").agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col("f") == f, F.col("n"))), F.lit(0)).cast("int") for f in range(k + 1)]).alias("__w"))
+    none = F.array(*[F.lit(0)] * (k + 1))
+    once = F.array(*[F.when(F.col("__r") % k == f, 0).otherwise(1) for f in range(k)], F.lit(1))
+    mine = F.when(F.col(label) == minority, F.col("__r"))
+    return (ranked.withColumn("__m", mine).join(counted.withColumnRenamed("__r", "__m"), "__m", "left")
+            .withColumn("fold", (F.col("__r") % k).cast("int"))
+            .withColumn("weights", F.when(F.col(label) == majority, once).otherwise(F.coalesce("__w", none)))
+            .drop("__m", "__w", "__r"))
+
+
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """A10: balanced weights n / (k * n_c) joined back as a weight column."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))

@@ -6,13 +6,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from talentmatch.functions import text as T
+from talentmatch.operators import analyze as A
 from talentmatch.operators import curate as C
+from talentmatch.operators import evaluate as E
 from talentmatch.operators import features as FE
 from talentmatch.operators import models as M
 from talentmatch.operators import recommend as R
 from talentmatch.operators import sampling as S
 from talentmatch.operators.embed import embed_hash
 from talentmatch.plans import fixtures as fx
+from talentmatch.plans.q_analyze import ANALYZE_SQL
+from talentmatch.plans.q_curate import candidate_forms
+from talentmatch.plans.q_eval import _rn_sql
 from talentmatch.plans.registry import query
 from talentmatch.session import scratch_path
 from talentmatch.sources import files as IO
@@ -150,14 +155,29 @@ def assemble_features(spark, sf):
             .select("doc_id", F.col("idx").cast("int"), F.round("value", 6).alias("value")))
 
 
-@query("feature_pipeline")
+# the exact stratified split of labelled documents, and the levels of the training rows
+_SPLIT_SQL = f"""
+lab AS (SELECT l.doc_id, l.toxic AS label, nullif(d.lang, 'de') AS lang,
+               CASE WHEN d.source = 'src0' THEN 'N/A' ELSE d.source END AS source FROM labels l JOIN documents d USING (doc_id)),
+sp AS (SELECT *, {_rn_sql('label')} <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM lab),
+lv AS (SELECT list_sort(list(DISTINCT lang) FILTER (lang IS NOT NULL)) AS langs,
+              list_sort(list(DISTINCT source) FILTER (source IS NOT NULL)) AS sources FROM sp WHERE NOT is_test)"""
+
+
+@query("feature_pipeline", sql=f"""
+WITH g AS (SELECT doc_id, text FROM documents), {_sql_embed('g', 'doc_id', 'text')}, {_SPLIT_SQL}
+SELECT doc_id, label, CAST(slot AS INTEGER) AS idx, round(value, 6) AS value FROM e JOIN sp USING (doc_id) WHERE is_test AND value <> 0
+UNION ALL SELECT doc_id, label, CAST({DIM} + list_position(langs, lang) - 1 AS INTEGER), 1.0 FROM sp, lv
+          WHERE is_test AND list_position(langs, lang) > 0
+UNION ALL SELECT doc_id, label, CAST({DIM} + len(langs) + list_position(sources, source) - 1 AS INTEGER), 1.0 FROM sp, lv
+          WHERE is_test AND list_position(sources, source) > 0""")
 def feature_pipeline(spark, sf):
-    """M5/M6: feature stages fitted on the training split, applied to the test split."""
+    """M5/M6: feature stages fitted on the training split, applied to the test split: the non-zero features."""
     from pyspark.ml import Pipeline
     train, test = split(spark, sf)
     model = Pipeline(stages=M.feature_stages(CATS)).fit(M.with_emb_vector(train))
-    out = model.transform(M.with_emb_vector(test))
-    return out.select("doc_id", "label", F.size(vector_to_array("features")).alias("width"))
+    out = model.transform(M.with_emb_vector(test)).select("doc_id", "label", F.posexplode(vector_to_array("features")).alias("idx", "value"))
+    return out.where(F.col("value") != 0).select("doc_id", "label", F.col("idx").cast("int").alias("idx"), F.round("value", 6).alias("value"))
 
 
 _TRAIN = "NOT (('0x' || substr(md5('42-' || CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT % 10000 < 2000)"
@@ -190,97 +210,151 @@ def tfidf_features(spark, sf):
     return out.where(F.col("value") != 0).select("doc_id", F.get(names, F.col("idx")).alias("feature"), F.round("value", 6).alias("value"))
 
 
-@query("tfidf_train")
+# What SQL can say of a fitted model: which rows it scores, that its scores are probabilities and its
+# classes follow from them; and of a logistic regression that it is the optimum.
+
+def _test_sql(*flags):
+    return f"WITH {_SPLIT_SQL} SELECT doc_id, label, {', '.join(f'true AS {f}' for f in flags)} FROM sp WHERE is_test"
+
+
+def _checked(pred, keep=("doc_id", "label")):
+    return pred.select(*keep, F.col("prob").between(0, 1).alias("prob_ok"), (F.col("prediction") == (F.col("prob") > 0.5).cast("int")).alias("class_ok"))
+
+
+@query("tfidf_train", sql=_test_sql("prob_ok", "class_ok"))
 def tfidf_train(spark, sf):
-    """M2 + L1: balanced logistic regression on 3000 TF-IDF terms and imputed categories; the
-    hold-out's predictions, from the pipeline stored and loaded again."""
-    d = fx.documents_with_gaps(spark, sf).select("doc_id", T.ngrams_1_2(T.bow_tokens("text")).alias("toks"), *CATS)
+    """M2 + L1 on the cleaned text (T1): balanced logistic regression on 3000 TF-IDF terms of one and two
+    words and imputed categories; the hold-out's predictions, from the pipeline stored and loaded again."""
+    d = FE.preprocess_frame(fx.documents_with_gaps(spark, sf), "text", "words").select("doc_id", T.ngrams_1_2(F.col("words")).alias("toks"), *CATS)
     lab = fx.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
     df = S.stratified_split(d.join(lab, "doc_id"), "label", "doc_id").checkpoint(eager=True)
     train, test = (df.where(F.col("is_test") == t).drop("is_test") for t in (False, True))
     bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
     model = M.fit_tfidf(bal, "LogisticRegression", "doc_id", "label", "toks", CATS, SPEC)
     loaded = M.load_model(M.save_model(model, scratch_path(spark, "tfidf-model")))
-    return M.predict(loaded, test, "doc_id", ["label"]).withColumn("prob", F.round("prob", 6))
+    return _checked(M.predict(loaded, test, "doc_id", ["label"]))
+
+
+def _balanced(train):
+    return S.upsample_minority(train, "label", "doc_id").drop("slot")
 
 
 def _train_predict(spark, sf, name):
     train, test = split(spark, sf)
-    bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_any(bal, name, "label", CATS, SPEC)
-    return M.predict_any(model, test, "doc_id").withColumn("prob", F.round("prob", 6))
+    model = M.fit_any(_balanced(train), name, "label", CATS, SPEC)
+    return _checked(M.predict_any(model, test, "doc_id", ["label"]))
 
 
-@query("lr_train")
+@query("lr_train", sql=_test_sql("prob_ok", "class_ok", "optimal"))
 def lr_train(spark, sf):
-    """Balanced logistic regression, predictions on the hold-out split."""
-    return _train_predict(spark, sf, "LogisticRegression")
+    """Balanced logistic regression on the hold-out split; ``optimal``: its penalised loss has
+    (almost) no gradient on the training rows."""
+    train, test = split(spark, sf)
+    bal = _balanced(train)
+    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
+    return _checked(M.predict(model, test, "doc_id", ["label"])).withColumn("optimal", F.lit(M.gradient_norm(model, bal, "label") < 0.01))
 
 
-@query("train_predict")
+@query("train_predict", sql="SELECT doc_id, true AS prob_ok, true AS class_ok FROM documents")
 def train_predict(spark, sf):
     """Fit the pipeline once, then predict the class of every document
     (labelled or not) in one batch transform."""
     train, _ = split(spark, sf)
-    bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
+    model = M.fit_model(_balanced(train), "LogisticRegression", "label", CATS, SPEC)
     docs = M.feature_frame(fx.documents_with_gaps(spark, sf).select("doc_id", "text", *CATS),
                            "doc_id", "text", CATS, DIM)
-    return M.predict(model, docs, "doc_id").withColumn("prob", F.round("prob", 6))
+    return _checked(M.predict(model, docs, "doc_id"), ["doc_id"])
 
 
-@query("rf_train")
+@query("rf_train", sql=_test_sql("prob_ok", "class_ok"))
 def rf_train(spark, sf):
     """L2: random forest (sqrt feature subsets)."""
     return _train_predict(spark, sf, "RandomForest")
 
 
-@query("gbt_train")
+@query("gbt_train", sql=_test_sql("prob_ok", "class_ok"))
 def gbt_train(spark, sf):
     """L3: gradient-boosted trees, log loss."""
     return _train_predict(spark, sf, "GradientBoostedTrees")
 
 
-@query("vote_train")
+@query("vote_train", sql=_test_sql("prob_ok", "class_ok"))
 def vote_train(spark, sf):
     """L4: soft vote of the three members."""
     return _train_predict(spark, sf, "VotingClassifier")
 
 
-@query("cv_f1")
+@query("fold_weights", sql=f"""
+WITH {_SPLIT_SQL},
+r AS (SELECT doc_id, label, {_rn_sql('label')} - 1 AS r, count(*) OVER (PARTITION BY label) AS n FROM sp WHERE NOT is_test),
+parts AS (SELECT unnest(range(0, 6)) AS f),
+t AS (SELECT doc_id, label, f, {_rn_sql('f, label')} - 1 AS row, count(*) OVER (PARTITION BY f, label) AS m
+      FROM r, parts WHERE f = 5 OR r % 5 <> f),
+n0 AS (SELECT f, any_value(m) AS n0 FROM t WHERE label = 0 GROUP BY f),
+m1 AS (SELECT f, any_value(m) AS m FROM t WHERE label = 1 GROUP BY f),
+drawn AS (SELECT f, ('0x' || substr(md5('42-' || CAST(s.slot AS VARCHAR)), 1, 15))::BIGINT % m AS row, count(*) AS n
+          FROM n0 JOIN m1 USING (f), LATERAL (SELECT unnest(range(0, n0.n0)) AS slot) s GROUP BY ALL)
+SELECT r.doc_id, r.label, CAST(r.r % 5 AS INTEGER) AS fold, p.f AS part,
+       CAST(CASE WHEN t.doc_id IS NULL THEN 0 WHEN r.label = 0 THEN 1 ELSE coalesce(drawn.n, 0) END AS INTEGER) AS weight
+FROM r CROSS JOIN parts p LEFT JOIN t ON t.doc_id = r.doc_id AND t.f = p.f LEFT JOIN drawn ON drawn.f = t.f AND drawn.row = t.row AND r.label = 1""")
+def fold_weights(spark, sf):
+    """M9 inside M11 as weights: how often each training row stands in each training part (part 5: all rows)."""
+    train, _ = split(spark, sf)
+    w = S.fold_weights(train.select("doc_id", "label"), "label", "doc_id")
+    return w.select("doc_id", "label", "fold", F.posexplode("weights").alias("part", "weight")).withColumn("part", F.col("part").cast("long"))
+
+
+@query("cv_f1", sql=f"""
+WITH {_SPLIT_SQL}, r AS (SELECT ({_rn_sql('label')} - 1) % 5 AS fold FROM sp WHERE NOT is_test)
+SELECT 'LogisticRegression' AS model, CAST(fold AS INTEGER) AS fold, count(*) AS rows, true AS f1_ok FROM r GROUP BY ALL""")
 def cv_f1(spark, sf):
-    """5-fold stratified F1 of the logistic regression (upsampled inside folds)."""
+    """5-fold stratified F1 of the logistic regression (upsampled inside folds); the folds' rows."""
     train, _ = split(spark, sf)
-    return M.cross_val_f1(train, "LogisticRegression", "doc_id", "label", CATS, SPEC)
+    rows = S.stratified_folds(train.select("doc_id", "label"), "label", "doc_id").groupBy("fold").agg(F.count("*").alias("rows"))
+    found = M.cross_val_f1(train, "LogisticRegression", "doc_id", "label", CATS, SPEC)
+    return found.join(rows, "fold").select("model", "fold", "rows", F.col("f1").between(0, 1).alias("f1_ok"))
 
 
-@query("model_leaderboard")
+@query("model_leaderboard", sql="""
+SELECT model, CAST(i AS INTEGER) AS model_order, true AS cv_f1_ok, true AS f1_ok, true AS winner_ok, true AS report_ok
+FROM (VALUES ('LogisticRegression', 0), ('RandomForest', 1), ('GradientBoostedTrees', 2), ('VotingClassifier', 3)) v(model, i)""")
 def model_leaderboard(spark, sf):
-    """L8 + A9: four models compared by CV and hold-out F1; the best one flagged, and stored with its
-    transformers and its report, which is read back (its rows are counted)."""
+    """L8 + A9: four models compared by CV and hold-out F1. ``winner_ok``: the stored model is the first
+    of the highest F1 above 0 (none, if there is no such); ``report_ok``: so says its report."""
     train, test = split(spark, sf)
     store = scratch_path(spark, "winner")
     board = M.leaderboard(train, test, "doc_id", "label", CATS, SPEC, store=store)
-    board = board.withColumn("report_rows", F.lit(spark.read.parquet(f"{store}/report").count()))
-    best = board.where(F.col("f1") > 0).orderBy(F.desc("f1"), "model_order").limit(1) \
-        .select("model", F.lit(True).alias("best"))
-    return board.join(best, "model", "left").na.fill({"best": False})
-
-
-@query("model_roundtrip")
+    best = E.best_model(board).select(F.col("model").alias("best"), F.col("f1").alias("best_f1")).first()
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    stored = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+    right = (best is None) == (not stored)
+    report = right
+    if best is not None and stored:
+        if best["best"] != "VotingClassifier":
+            kind = {"LogisticRegression": "LogisticRegressionModel", "RandomForest": "RandomForestClassificationModel",
+                    "GradientBoostedTrees": "GBTClassificationModel"}[best["best"]]
+            right = type(M.load_model(f"{store}/model").stages[-1]).__name__ == kind
+        f1 = spark.read.parquet(f"{store}/report").where("row = '1'").first()["f1"]
+        report = abs(f1 - best["best_f1"]) < 1e-9
+    return board.select("model", "model_order", F.col("cv_f1").between(0, 1).alias("cv_f1_ok"), F.col("f1").between(0, 1).alias("f1_ok"),
+                        F.lit(right).alias("winner_ok"), F.lit(report).alias("report_ok"))
+
+
+@query("model_roundtrip", sql=_test_sql("same"))
 def model_roundtrip(spark, sf):
     """A fitted pipeline saved and loaded gives the same predictions."""
     train, test = split(spark, sf)
-    bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
+    model = M.fit_model(_balanced(train), "LogisticRegression", "label", CATS, SPEC)
     loaded = M.load_model(M.save_model(model, scratch_path(spark, "model")))
-    a = M.predict(model, test, "doc_id").select("doc_id", F.col("prob").alias("p_before"))
+    a = M.predict(model, test, "doc_id", ["label"]).select("doc_id", "label", F.col("prob").alias("p_before"))
     b = M.predict(loaded, test, "doc_id").select("doc_id", F.col("prob").alias("p_after"))
-    same = F.abs(F.col("p_before") - F.col("p_after")) < 1e-12
-    return a.join(b, "doc_id").withColumn("same", F.when(same, True).otherwise(F.raise_error(F.lit("the loaded model predicts otherwise"))))
+    return a.join(b, "doc_id").select("doc_id", "label", (F.abs(F.col("p_before") - F.col("p_after")) < 1e-12).alias("same"))
 
 
-@query("features_roundtrip")
+@query("features_roundtrip", sql=f"""
+WITH {_SPLIT_SQL}
+SELECT doc_id, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, CAST({DIM} + len(langs) + len(sources) AS INTEGER) AS width, label
+FROM sp, lv""")
 def features_roundtrip(spark, sf):
     """(key, split, features, label) stored as one Parquet table and read back."""
     from pyspark.ml import Pipeline
@@ -294,23 +368,22 @@ def features_roundtrip(spark, sf):
     return back.select("doc_id", "split", F.size(vector_to_array("features")).alias("width"), "label")
 
 
-@query("analyze_candidates")
+@query("analyze_candidates", sql=f"""
+SELECT candidate_id, valid, violations, CASE WHEN valid THEN true END AS prob_ok, vagas_recomendadas FROM ({ANALYZE_SQL}) a""")
 def analyze_candidates(spark, sf):
-    """P(hire) from the trained model plus the top-3 jobs for every candidate."""
+    """R5 with a trained model: forms validated, P(hire) of the logistic regression on their text, and the
+    top-3 jobs; rejected forms are listed, not scored."""
     train, _ = split(spark, sf)
-    bal = S.upsample_minority(train, "label", "doc_id").drop("slot")
-    model = M.fit_model(bal, "LogisticRegression", "label", CATS, SPEC)
-    cands = M.feature_frame(fx.documents_with_gaps(spark, sf).select("doc_id", "text", *CATS),
-                            "doc_id", "text", CATS, DIM)
-    prob = M.predict(model, cands, "doc_id").select(
-        "doc_id", F.round("prob", 4).alias("probabilidade_contratacao"))
-    part = fx.table(spark, sf, "part").select(
-        F.col("p_partkey").alias("codigo_vaga"), F.col("p_name").alias("titulo_vaga"),
-        F.col("p_type").alias("principais_atividades"), F.col("p_brand").alias("competencias"))
-    cat = R.job_catalog(part)
-    jobs = embed_hash(cat, "codigo_vaga", "texto_vaga", DIM)
-    top = R.recommend_topk(cands.select("doc_id", F.col("emb").alias("embedding")), jobs,
-                           cand_key="doc_id")
-    nested = R.recommend_nested(R.attach_details(top, cat.drop("texto_vaga")), cand_key="doc_id", candidates=cands)
-    return prob.join(nested, "doc_id", "left").select(
-        "doc_id", "probabilidade_contratacao", F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))
+    model = M.fit_model(_balanced(train), "LogisticRegression", "label", CATS, SPEC)
+    docs = fx.documents_with_gaps(spark, sf).select(F.col("doc_id").alias("candidate_id"), "text", *CATS)
+
+    def probability(valid):
+        rows = M.feature_frame(docs.join(valid.select("candidate_id"), "candidate_id"), "candidate_id", "text", CATS, DIM)
+        return M.predict(model, rows, "candidate_id").select("candidate_id", F.round("prob", 4).alias("probabilidade_contratacao"))
+
+    vectors = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    forms = candidate_forms(fx.table(spark, sf, "documents")).join(vectors, "doc_id", "left").withColumnRenamed("doc_id", "candidate_id")
+    out = A.analyze_candidates(forms, probability, fx.job_vectors(spark, sf), fx.job_details(spark, sf))
+    return out.select("candidate_id", "valid", F.array_join("violations", ",").alias("violations"),
+                      F.col("probabilidade_contratacao").between(0, 1).alias("prob_ok"),
+                      F.to_json("vagas_recomendadas", {"ignoreNullFields": "false"}).alias("vagas_recomendadas"))

@@ -57,3 +57,18 @@ def test_upsample_exact_size_and_draws(spark):
 def test_class_weights(spark):
     w = {r.label: r.weight for r in S.class_weights(labelled(spark), "label").select("label", "weight").distinct().collect()}
     assert abs(w[1] - 500 / (2 * 72)) < 1e-12 and abs(w[0] - 500 / (2 * 428)) < 1e-12
+
+
+def test_fold_weights_are_the_copies_of_upsampling(spark):
+    from pyspark.sql import functions as F
+
+    from talentmatch.operators import sampling as S
+    for n, rate, k in ((97, 5, 5), (40, 2, 3), (12, 11, 4), (9, 100, 3)):
+        df = spark.createDataFrame([(i, int(i % rate == rate - 1)) for i in range(n)], "id long, label int")
+        rows = S.fold_weights(df, "label", "id", k).collect()
+        folded = S.stratified_folds(df, "label", "id", k)
+        assert {r.id: r.fold for r in rows} == {r.id: r.fold for r in folded.collect()}
+        for f in range(k + 1):
+            part = folded if f == k else folded.where(F.col("fold") != f)
+            copies = {r["id"]: r["count"] for r in S.upsample_minority(part, "label", "id").groupBy("id").count().collect()}
+            assert {r.id: r.weights[f] for r in rows if r.weights[f]} == copies

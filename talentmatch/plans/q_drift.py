@@ -8,6 +8,7 @@ from talentmatch.operators import drift as D
 from talentmatch.operators import profile as P
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.registry import query
+from talentmatch.session import scratch_path
 
 # reference = first half of the event_id range, current = second half
 _HALF = "(SELECT min(event_id) + (max(event_id) - min(event_id) + 1) / 2 FROM events)"
@@ -165,6 +166,21 @@ def drift_columns(spark, sf):
     return D.column_results(ref, cur, ref.columns).withColumn("statistic", F.round("statistic", 6))
 
 
+@query("drift_history", sql=f"""{_RESULTS_SQL}
+SELECT run, "column", test, CASE WHEN run = 'second' THEN round(statistic, 6) ELSE 0.0 END AS statistic,
+       run = 'second' AND statistic >= 0.1 AS drifted
+FROM results, (VALUES ('first'), ('second')) r(run)""")
+def drift_history(spark, sf):
+    """D8 as a sink: the reference's profile is stored; the reference itself and the second half are runs
+    of a report table, one of them written twice."""
+    ref, cur = sides(spark, sf)
+    stored = D.reference_profile(ref, ref.columns).save(scratch_path(spark, "drift-reference"))
+    path = scratch_path(spark, "drift-report")
+    for run, rows in (("first", cur), ("second", cur), ("first", ref)):
+        D.write_report(D.results_against(D.ReferenceProfile.load(spark, stored), rows), path, run)
+    return spark.read.parquet(path).select("run", "column", "test", F.round("statistic", 6).alias("statistic"), "drifted")
+
+
 # ---------------------------------------------------------------------------
 # Profiling
 # ---------------------------------------------------------------------------

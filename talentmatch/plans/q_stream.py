@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from talentmatch.operators import drift as D
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.q_analyze import ANALYZE_SQL, candidate_forms, linear_probability
+from talentmatch.plans.q_drift import _SIDES_SQL, sides
 from talentmatch.plans.q_recommend import _VECTORS_SQL
 from talentmatch.plans.registry import query
+from talentmatch.session import scratch_path
 from talentmatch.streaming import streams as X
 
 
@@ -49,6 +52,30 @@ def stream_sliding_counts(spark, sf):
     return _rounded(X.run_window_counts(spark, _events_path(sf), schema, slide="12 hours"))
 
 
+@query("stream_drift", sql=f"""
+WITH {_SIDES_SQL},
+p AS (SELECT event_type AS v, count(*) / sum(count(*)) OVER () AS p FROM ref GROUP BY 1),
+w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, event_type AS v, count(*) AS c FROM cur GROUP BY ALL),
+t AS (SELECT window_start, sum(c) AS n FROM w GROUP BY 1
+      HAVING window_start + INTERVAL '1 day' <= (SELECT max(ts) FROM cur) - INTERVAL '1 hour'),
+j AS (SELECT t.window_start, t.n, coalesce(p.p, 0) AS p, coalesce(w.c, 0) / t.n AS q
+      FROM t CROSS JOIN (SELECT v FROM p UNION SELECT v FROM w) a LEFT JOIN p ON p.v = a.v
+      LEFT JOIN w ON w.v = a.v AND w.window_start = t.window_start),
+s AS (SELECT window_start, any_value(n) AS n,
+             sqrt(greatest(0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END)
+                            + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END))) AS js FROM j GROUP BY 1)
+SELECT window_start, window_start + INTERVAL '1 day' AS window_end, CAST(n AS BIGINT) AS n, round(js, 6) AS statistic, js >= 0.1 AS drifted FROM s""")
+def stream_drift(spark, sf):
+    """X2 + D5: the second half of the events arrives as a stream; each closed day is held against the
+    stored event_type distribution of the first half."""
+    ref, cur = sides(spark, sf)
+    path = D.reference_profile(ref, ["event_type"]).save(scratch_path(spark, "drift-reference"))
+    first = cur.agg(F.min("event_id")).first()[0]
+    out = X.run_window_drift(spark, _events_path(sf), fx.table(spark, sf, "events").schema, D.ReferenceProfile.load(spark, path),
+                             where=f"event_id >= {first}")
+    return out.withColumn("statistic", F.round("statistic", 6))
+
+
 @query("stream_analyze", sql=ANALYZE_SQL)
 def stream_analyze(spark, sf):
     """X1 whole: candidates arrive as a file stream; each micro-batch is validated, scored and matched."""

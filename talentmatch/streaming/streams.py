@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from talentmatch.operators import recommend as R
 from talentmatch.operators.analyze import analyze_candidates
+from talentmatch.operators.drift import DISTANCE_THRESHOLD, ReferenceProfile
 from talentmatch.session import scratch_path
 
+#: Reference values whose shares a stream's state may count.
+MAX_CATEGORIES = 10_000
+
 
 def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """Parquet file stream. ``path`` is a folder, or a folder plus a file-name
@@ -61,6 +65,49 @@ def run_window_counts(spark: SparkSession, events_path: str, schema, window: str
     return _to_files(spark, stream, out, ckpt)
 
 
+def window_drift(events: DataFrame, shares: dict[str, float], ts: str = "ts", key: str = "event_type", id_col: str = "event_id",
+                 window: str = "1 day", delay: str = "1 hour", threshold: float = DISTANCE_THRESHOLD) -> DataFrame:
+    """X2 + D5: for each closed event-time window its rows, the Jensen-Shannon distance of its ``key``'s
+    shares from those of the reference, and the verdict.
+
+    ``shares`` is the reference's distribution (a bounded list: a counter of the window's state for
+    each value). Values that the reference lacks have one counter together: each adds half its
+    share times ln 2 to the squared distance, so only their sum matters. Nulls don't count.
+    """
+    e = (events.withColumn("__ts", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts)).cast("timestamp"))
+         .withWatermark("__ts", delay).dropDuplicatesWithinWatermark([id_col]).where(F.col(key).isNotNull()))
+    names = sorted(shares)
+    agg = e.groupBy(F.window("__ts", window).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col(key) == v) for v in names]).alias("counts"))
+    known = F.array(*[F.lit(float(shares[v])) for v in names])
+    q = F.transform("counts", lambda c: c / F.col("n"))
+
+    def kl(a, m):
+        return F.when(a > 0, a * F.log(a / m)).otherwise(0.0)
+
+    inner = F.aggregate(F.zip_with(known, q, lambda p, x: kl(p, (p + x) / 2) + kl(x, (p + x) / 2)), F.lit(0.0), lambda s, x: s + x)
+    unseen = (F.col("n") - F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)) / F.col("n")
+    js = F.sqrt(F.greatest(F.lit(0.0), 0.5 * (inner + unseen * F.log(F.lit(2.0)))))
+
+    def wall_clock(c):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+    return agg.select(wall_clock("w.start").alias("window_start"), wall_clock("w.end").alias("window_end"), "n", js.alias("statistic"),
+                      (js >= threshold).alias("drifted"))
+
+
+def run_window_drift(spark: SparkSession, events_path: str, schema, profile: ReferenceProfile, key: str = "event_type", where: str | None = None,
+                     window: str = "1 day", delay: str = "1 hour", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run ``window_drift`` against a stored reference to completion and read the sink back."""
+    rows = profile.categories.where(F.col("column") == key).limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{key} has more than {MAX_CATEGORIES} reference values: not a category")
+    total = sum(r["n"] for r in rows)
+    src = file_stream(spark, events_path, schema)
+    stream = window_drift(src.where(where) if where else src, {r["value"]: r["n"] / total for r in rows}, key=key, window=window, delay=delay)
+    return _to_files(spark, stream, out or scratch_path(spark, "window-drift"), checkpoint or scratch_path(spark, "window-drift-ckpt"))
+
+
 def _to_files(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Run a stream on all that is there into an append file sink (exactly once, by the sink's log)
     and read the sink back; a source that never had a file gives an empty table."""

@@ -98,3 +98,33 @@ def test_column_without_rows_on_one_side(spark):
     cur = spark.createDataFrame([(None,)], "v double")
     r = D.column_results(ref, cur, ["v"]).first()
     assert r.statistic is None and not r.drifted
+
+
+def test_distinct_values_are_counted_up_to_a_bound(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("a"), F.col("id").alias("b"), F.lit(None).cast("string").alias("c"),
+                                  F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("d"))
+    assert D.distinct_up_to(df.repartition(5), df.columns) == {"a": 3, "b": 6, "c": 0, "d": 6}
+    assert D.distinct_up_to(df.where("false"), df.columns) == dict.fromkeys("abcd", 0)
+    plan = df.selectExpr("cast(a as string) a").mapInArrow(D._bounded_distinct(["a"], 6), "column string, value string").distinct()
+    assert "Expand" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_reference_and_report_runs(spark, tmp_path):
+    _, _, ra, rb = frames(spark)
+    want = sorted(map(tuple, D.column_results(ra, rb, ["value", "cat"]).collect()))
+    stored = D.ReferenceProfile.load(spark, D.reference_profile(ra, ["value", "cat"]).save(str(tmp_path / "reference")))
+    assert sorted(map(tuple, D.results_against(stored, rb).collect())) == want
+    path = str(tmp_path / "report")
+    for run, rows in (("a", ra), ("b", rb), ("a", rb), ("a", ra)):
+        D.write_report(D.results_against(stored, rows), path, run)
+    got = spark.read.parquet(path)
+    assert got.groupBy("run").count().collect() and sorted((r["run"], r["count"]) for r in got.groupBy("run").count().collect()) == [("a", 2), ("b", 2)]
+    assert sorted(map(tuple, got.where("run = 'b'").drop("run").collect())) == want
+    assert got.where("run = 'a' AND drifted").count() == 0
+
+
+def test_deviation_of_values_far_from_zero(spark):
+    x = [1.7e9 + i / 8 for i in range(2000)]
+    ref, cur = (spark.createDataFrame([(v + d,) for v in x], "v double") for d in (0.0, 1.0))
+    got = D.wasserstein_normed(ref, cur, "v").first()[0]
+    assert abs(got - 1 / np.std(x)) < 1e-6

@@ -261,3 +261,30 @@ def validate_candidates(df: DataFrame) -> DataFrame:
                          F.lit("cv_pt:blank")))
     v = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return df.withColumn("violations", v).withColumn("valid", F.size("violations") == 0)
+
+
+def validate_split(df: DataFrame, path: str, key: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """P18 as tables: (accepted, rejected, counts), from one pass over ``df``.
+
+    Rows are written once under ``path``, accepted and rejected ones as its two partitions; the rows
+    and violations counted while writing come from an ``Observation``, not from another scan.
+    ``rejected`` has the key and the violations of each row next to its columns.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    checked = validate_candidates(df)
+    observed = checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("valid").alias("accepted"), F.count_if(~F.col("valid")).alias("rejected"),
+                               F.sum(F.size("violations")).alias("violations"))
+    observed.write.mode("overwrite").partitionBy("valid").parquet(path)
+    counts = {k: int(v or 0) for k, v in seen.get.items()}
+    back = df.sparkSession.read.schema(checked.schema).parquet(path)
+    accepted = back.where("valid").drop("valid", "violations")
+    return accepted, back.where("NOT valid").drop("valid").select(key, *[c for c in checked.columns if c not in (key, "valid")]), counts
+
+
+def candidate_frame(spark, record: dict, schema=None) -> DataFrame:
+    """One record as a frame of the form's fields, all strings; a field that the record lacks is null."""
+    fields = schema or ", ".join(f"`{c}` string" for c in dict.fromkeys([*REQUIRED_FIELDS, *ALLOWED_VALUES]))
+    empty = spark.createDataFrame([], fields)
+    return spark.createDataFrame([tuple(record.get(c) for c in empty.columns)], empty.schema)

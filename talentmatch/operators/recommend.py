@@ -8,9 +8,12 @@ candidate x job row is ever made: the output has ``k`` rows per candidate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from talentmatch.functions import vectors as V
 from talentmatch.operators import vector_index as VI
 from talentmatch.operators.partitioning import spread
 from talentmatch.operators.vector_index import JobIndex, prepare_jobs  # noqa: F401 - part of this interface
@@ -53,6 +56,29 @@ def recommend_topk(candidates: DataFrame, jobs: DataFrame, k: int = 3,
     return top.select(cand_key, "rank", job_key, sim.alias("similaridade"), *([met] if met else []))
 
 
+def recommend_one(vector: list[float], jobs: DataFrame, k: int = 3, job_key: str = "codigo_vaga", vec: str = "embedding",
+                  digits: int | None = 4) -> DataFrame:
+    """S10 + O1: (rank, job_key, similaridade) of one candidate, whose vector is part of the plan.
+
+    One scan of the jobs; every task keeps its ``k`` best (``TakeOrderedAndProject``): no join, no
+    index, no window over jobs. A vector that cannot be scored gives no rows.
+    """
+    _check_k(k)
+    numbers = [float(x) for x in vector] if vector and all(x is not None for x in vector) else []
+    length = math.sqrt(sum(x * x for x in numbers))
+    if not numbers or not math.isfinite(length):
+        jobs, numbers, length = jobs.where("false"), [0.0], 0.0
+    unit = F.array(*[F.lit(x / length if length else 0.0) for x in numbers])
+    scored = V.with_unit(jobs.where(VI.scorable(vec)), vec, "__u")
+    dot = F.aggregate(F.zip_with("__u", unit, lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
+    top = scored.select(job_key, dot.alias("sim")).orderBy(F.desc("sim"), job_key).limit(int(k))
+    # k rows: their place is their rank
+    found = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("neg"), F.col(job_key).alias("job")))).alias("r"))
+    rows = found.select(F.posexplode("r").alias("pos", "t"))
+    sim = F.round(-F.col("t.neg"), digits) if digits is not None else -F.col("t.neg")
+    return rows.select((F.col("pos") + 1).cast("int").alias("rank"), F.col("t.job").alias(job_key), sim.alias("similaridade"))
+
+
 def topk_per_group(df: DataFrame, group: str | list[str], score: str, k: int = 3,
                    tie: str | list[str] | None = None, rank: str = "rank") -> DataFrame:
     """O1: the ``k`` highest ``score`` rows of every group, ranked from 1.

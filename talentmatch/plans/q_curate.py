@@ -10,7 +10,8 @@ from talentmatch.operators import curate as C
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.registry import query
 from talentmatch.session import scratch_path
-from talentmatch.sources.json_keyed import read_json_lines, read_keyed_json, write_keyed_json
+from talentmatch.sources.json_keyed import (field_as, read_json_lines, read_keyed_json, read_keyed_variant, write_keyed_json,
+                                            write_keyed_text)
 
 # ---------------------------------------------------------------------------
 # Keyed JSON fixtures (written once per call under the shared checkpoint dir)
@@ -116,6 +117,30 @@ def json_lines_scan(spark, sf):
     return rows.select("id", F.col("doc.infos_basicas.nome").alias("nome"), F.col("doc.infos_basicas.telefone").alias("telefone"))
 
 
+@query("json_variant_scan", sql="""
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 5 NOT IN (0, 1) THEN c_name END AS nome,
+       CASE WHEN c_custkey % 5 NOT IN (0, 1) THEN CAST(c_nationkey AS VARCHAR) END AS telefone,
+       CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 THEN c_acctbal END AS saldo,
+       CASE c_custkey % 5 WHEN 0 THEN 'null' WHEN 1 THEN 'text' WHEN 2 THEN 'number' ELSE 'object' END AS kind FROM customer""")
+def json_variant_scan(spark, sf):
+    """S1 without a schema: documents that lack fields or hold them as another type keep their id."""
+    c = fx.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    phone = F.when(k % 5 == 2, F.to_json(F.struct(F.col("c_name").alias("nome"), F.col("c_nationkey").alias("telefone")))).otherwise(
+        F.to_json(F.struct(F.col("c_name").alias("nome"), F.col("c_nationkey").cast("string").alias("telefone"))))
+    group = F.when(k % 5 == 1, F.to_json(F.array("c_name"))).otherwise(phone)
+    balance = F.when(k % 7 == 0, F.lit('["none"]')).otherwise(F.col("c_acctbal").cast("string"))
+    doc = F.when(k % 5 != 0, F.concat(F.lit('{"infos_basicas":'), group, F.lit(',"saldo":'), balance, F.lit("}")))
+    path = write_keyed_text(c.select("c_custkey", doc.alias("json")), "c_custkey", "json", scratch_path(spark, "customers-json"))
+    rows = read_keyed_variant(spark, path)
+    held = F.schema_of_variant(F.try_variant_get(F.col("doc"), "$.infos_basicas.telefone", "variant"))
+    info = F.schema_of_variant(F.try_variant_get(F.col("doc"), "$.infos_basicas", "variant"))
+    return rows.select(
+        "id", field_as("doc", "$.infos_basicas.nome").alias("nome"), field_as("doc", "$.infos_basicas.telefone").alias("telefone"),
+        field_as("doc", "$.saldo", "double").alias("saldo"),
+        F.when(info.isNull(), "null").when(info.startswith("ARRAY"), "text").when(held == "BIGINT", "number").otherwise("object").alias("kind"))
+
+
 @query("prospects_unnest", sql=f"""
 WITH {_CONV_SQL}
 SELECT CAST(c.conv_id AS VARCHAR) AS codigo_vaga, p.titulo AS titulo_vaga_prospect,
@@ -395,13 +420,11 @@ def common_columns(spark, sf):
 
 
 @query("union_all", sql="""
-SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT o_orderkey FROM orders WHERE o_totalprice > 100000""")
+SELECT o_orderkey FROM orders UNION ALL SELECT l_orderkey FROM lineitem""")
 def union_all(spark, sf):
     """Append, duplicates kept."""
-    o = fx.table(spark, sf, "orders")
-    return C.union_all(o.where(F.col("o_orderstatus") == "F").select("o_orderkey"),
-                       o.where(F.col("o_totalprice") > 100000).select("o_orderkey"))
+    return C.union_all(fx.table(spark, sf, "orders").select("o_orderkey"),
+                       fx.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")))
 
 
 @query("cast_ids", sql=f"""
@@ -500,3 +523,30 @@ def validate_candidates(spark, sf):
     """Required fields, closed value lists, blank CV -> violations and a valid flag."""
     v = C.validate_candidates(candidate_forms(fx.documents(spark, sf)))
     return v.select("doc_id", "valid", F.array_join("violations", ",").alias("violations"))
+
+
+@query("validate_split", sql=f"""
+WITH {_VALIDATE_SQL},
+n AS (SELECT count(*) AS n_rows, count(*) FILTER (len(violations) = 0) AS n_accepted, sum(len(violations)) AS n_violations FROM v)
+SELECT doc_id, CASE WHEN len(violations) = 0 THEN 'accepted' ELSE 'rejected' END AS side, array_to_string(violations, ',') AS violations,
+       n_rows, n_accepted, CAST(n_violations AS BIGINT) AS n_violations FROM v, n""")
+def validate_split(spark, sf):
+    """P18 as two tables from one pass, with the counts taken while they are written."""
+    accepted, rejected, counts = C.validate_split(candidate_forms(fx.documents(spark, sf)), scratch_path(spark, "validated"), "doc_id")
+    both = accepted.select("doc_id", F.lit("accepted").alias("side"), F.lit("").alias("violations")).unionAll(
+        rejected.select("doc_id", F.lit("rejected"), F.array_join("violations", ",")))
+    return both.select("*", *[F.lit(counts[c]).cast("long").alias(f"n_{c}") for c in ("rows", "accepted", "violations")])
+
+
+@query("applicant_rejects", sql="""
+SELECT CAST(c_custkey AS VARCHAR) AS codigo_profissional FROM customer WHERE c_custkey % 5 IN (0, 1)""")
+def applicant_rejects(spark, sf):
+    """Documents that lack a required group (every fifth whole, every other fifth one group)."""
+    c = fx.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    full = F.struct(F.col("c_name").alias("nome"))
+    doc = F.when(k % 5 != 0, F.struct(
+        F.when(k % 5 != 1, full).alias("infos_basicas"), F.struct(F.col("c_mktsegment").alias("nivel_academico")).alias("formacao_e_idiomas"),
+        F.struct(F.col("c_mktsegment").alias("area_atuacao")).alias("informacoes_profissionais")))
+    path = write_keyed_json(c.select("c_custkey", doc.alias("doc")), "c_custkey", "doc", scratch_path(spark, "applicants-json"))
+    return C.applicant_rejects(read_keyed_json(spark, path, APPLICANT_DOC))

@@ -13,7 +13,7 @@ from talentmatch.operators import features as FE
 from talentmatch.operators import models as M
 from talentmatch.operators import recommend as R
 from talentmatch.operators import sampling as S
-from talentmatch.operators.embed import embed_hash
+from talentmatch.operators.embed import embed_hash, embed_with
 from talentmatch.plans import fixtures as fx
 from talentmatch.plans.q_analyze import ANALYZE_SQL
 from talentmatch.plans.q_curate import candidate_forms
@@ -54,6 +54,21 @@ def embed_hash_q(spark, sf):
     return _long(embed_hash(b, "item_id", "text", DIM), "item_id")
 
 
+@query("embed_plugin", sql="""
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(v[slot + 1] AS DOUBLE) AS value
+FROM (SELECT doc_id, [length(text), length(text) - length(replace(text, ' ', '')), length(text) - length(replace(text, 'e', ''))] AS v FROM documents),
+     (SELECT unnest(range(0, 3)) AS slot)""")
+def embed_plugin(spark, sf):
+    """A plugged-in encoder (here one that counts characters), loaded once per worker; a
+    repeated text is encoded once."""
+    def make():
+        import numpy as np
+        return lambda texts: np.array([[len(t), t.count(" "), t.count("e")] for t in texts], dtype=np.float32)
+
+    found = embed_with(fx.table(spark, sf, "documents"), "doc_id", "text", make, 3)
+    return found.select("doc_id", F.posexplode("embedding").alias("slot", "value")).select("doc_id", "slot", F.col("value").cast("double").alias("value"))
+
+
 _JOB_TEXT = "(coalesce(p_name, '') || ' ' || coalesce(p_type, '') || ' ' || coalesce(p_brand, ''))"
 
 

@@ -46,6 +46,16 @@ def recommend_details(spark, sf):
                     "principais_atividades", "competencias")
 
 
+@query("recommend_one", sql=f"""
+WITH {_VECTORS_SQL}
+SELECT rank, codigo_vaga, similaridade FROM top WHERE candidate_id = (SELECT min(vec_id) FROM embeddings)""")
+def recommend_one(spark, sf):
+    """S10 + O1: the top-3 of one candidate, by a scan of all jobs."""
+    jobs = fx.job_vectors(spark, sf)
+    one = fx.candidate_vectors(spark, sf).orderBy("candidate_id").first()
+    return R.recommend_one(list(one["embedding"]), jobs, k=3)
+
+
 @query("recommend_nested", sql=f"""
 WITH {_VECTORS_SQL}, {_DETAILS_SQL}
 SELECT t.candidate_id,

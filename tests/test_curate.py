@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from talentmatch.operators import curate as C
 from talentmatch.plans.q_curate import APPLICANT_DOC, JOB_DOC, PROSPECTS_DOC
 from talentmatch.sources.json_keyed import read_keyed_json
@@ -100,3 +102,45 @@ def test_keyed_json_shards_are_bounded_by_bytes(spark, tmp_path):
     path = write_keyed_json(df, "id", "doc", str(tmp_path / "shards"), shard_bytes=4000)
     assert spark.read.text(path, wholetext=True).count() >= 5
     assert read_keyed_json(spark, path, APPLICANT_DOC).count() == 40
+
+
+def test_documents_that_fit_no_schema_keep_their_id(spark, tmp_path):
+    from talentmatch.sources import json_keyed as J
+    shard = tmp_path / "docs"
+    shard.mkdir()
+    (shard / "a.json").write_text('{"1": {"a": {"b": "x"}}, "2": {"a": [1, 2]}, "3": null, "4": {"a": {"b": 5}}, "5": "text", "1": {"a": {"b": {"c": 1}}}}')
+    (shard / "b.json").write_text("  ")
+    rows = J.read_keyed_variant(spark, str(shard))
+    got = {r.id: r.b for r in rows.select("id", J.field_as("doc", "$.a.b").alias("b")).collect()}
+    assert got == {"1": None, "2": None, "3": None, "4": "5", "5": None}
+    got = {r.id: r.n for r in rows.select("id", J.field_as("doc", "$.a.b", "int").alias("n")).collect()}
+    assert got == {"1": None, "2": None, "3": None, "4": 5, "5": None}
+    (shard / "c.json").write_text('{"9": {"a": 1}')
+    with pytest.raises(Exception, match="no JSON object"):
+        J.read_keyed_variant(spark, str(shard)).collect()
+
+
+def test_keyed_text_escapes_its_names(spark, tmp_path):
+    from talentmatch.sources import json_keyed as J
+    names = ['plain', 'quo"te', 'back\\slash', 'br]ack', 'é\t', '"],[']
+    df = spark.createDataFrame([(n, f'{{"n": {i}}}') for i, n in enumerate(names)] + [("none", None)], "k string, j string")
+    rows = J.read_keyed_variant(spark, J.write_keyed_text(df, "k", "j", str(tmp_path / "out")))
+    got = {r.id: r.n for r in rows.select("id", J.field_as("doc", "$.n", "int").alias("n")).collect()}
+    assert got == {n: i for i, n in enumerate(names)} | {"none": None}
+
+
+def test_rejects_are_written_next_to_the_accepted(spark, tmp_path):
+    good = {"cv_pt": "cv", "nivel_academico": "Mestrado", "nivel_ingles": "Fluente", "nivel_espanhol": "Nenhum", "tipo_contratacao": "PJ", "area_atuacao": "Dados"}
+    records = [good, good | {"cv_pt": " "}, good | {"nivel_ingles": None, "area_atuacao": "Vendas"}, {}]
+    df = None
+    for i, r in enumerate(records):
+        one = C.candidate_frame(spark, r).select("*").selectExpr(f"{i} AS id", "*")
+        df = one if df is None else df.unionAll(one)
+    accepted, rejected, counts = C.validate_split(df, str(tmp_path / "out"), "id")
+    assert [r.id for r in accepted.collect()] == [0] and accepted.columns == df.columns
+    found = {r.id: sorted(r.violations) for r in rejected.collect()}
+    assert found[1] == ["cv_pt:blank"] and found[2] == ["area_atuacao:not_allowed", "nivel_ingles:missing"]
+    assert len(found[3]) == len(C.REQUIRED_FIELDS)
+    assert counts == {"rows": 4, "accepted": 1, "rejected": 3, "violations": 3 + len(C.REQUIRED_FIELDS)}
+    none, _, counts = C.validate_split(df.where("false"), str(tmp_path / "none"), "id")
+    assert none.count() == 0 and counts["rows"] == 0

@@ -133,3 +133,15 @@ def test_text_keys_and_short_vectors(spark):
     for limit in (64 << 20, 0):
         got = [tuple(r) for r in R.recommend_topk(c, j, k=2, broadcast_bytes=limit).collect()]
         assert sorted(got) == [("x", 1, "a", 1.0), ("x", 2, "b", 1.0)]
+
+
+def test_one_candidate_needs_no_join_and_no_window(spark):
+    c, j, cands, jobs = frames(spark)
+    for cid, v in cands[:4]:
+        found = R.recommend_one([float(x) for x in v], j, k=3)
+        assert [(cid, *r) for r in map(tuple, found.collect())] == brute([(cid, v)], jobs, 3)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in text and "Join" not in text and "Window" not in text
+    assert R.recommend_one([0.0] * 8, j, k=2).collect()[0]["similaridade"] == 0.0
+    for bad in ([], None, [float("nan")] * 8, [None] * 8):
+        assert R.recommend_one(bad, j, k=2).count() == 0

@@ -8,8 +8,10 @@ matches out of the sequence.
 
 A text that holds none of ``GATE`` has no known sentence, so only the others are cut.
 
-Defined results: an empty or null text has no sequence and no licences; rows are judged one by one,
-so null and repeated ids and repeated rows don't matter; of the input only id and text are read.
+Defined results: an empty or null text has no sequence and no licences; an empty table gives no rows;
+rows are judged one by one, so null and repeated ids and repeated rows don't matter; of the input only
+id and text are read, texts of any length whole; of rules that could take the same identifiers the
+earlier one does.
 """
 
 from __future__ import annotations
@@ -60,6 +62,14 @@ SENTENCES = {
     "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "CC0-WAIVER",
     "this work is in the public domain": "PUBLIC-DOMAIN",
     "all rights reserved": "RESERVED",
+    "gnu general public license": "GPL-TITLE",
+    "gnu lesser general public license": "LGPL-TITLE",
+    "gnu affero general public license": "AGPL-TITLE",
+    "version 2 june 1991": "GPL2-DATE",
+    "version 3 29 june 2007": "GPL3-DATE",
+    "version 3 19 november 2007": "AGPL3-DATE",
+    "version 2 0 january 2004": "APACHE2-DATE",
+    "apache license": "APACHE-TITLE",
 }
 
 # How references name licences, normalised, and their SPDX names.
@@ -76,6 +86,11 @@ NAMES = {
     "cc by nc sa 4 0": "CC-BY-NC-SA-4.0", "cc by nc nd 4 0": "CC-BY-NC-ND-4.0", "cc by 3 0": "CC-BY-3.0", "cc by sa 3 0": "CC-BY-SA-3.0", "cc0 1 0": "CC0-1.0",
     "creative commons attribution 4 0 international": "CC-BY-4.0", "creative commons attribution sharealike 4 0 international": "CC-BY-SA-4.0",
     "creative commons attribution noncommercial 4 0 international": "CC-BY-NC-4.0", "unlicense": "Unlicense",
+    "epl 2 0": "EPL-2.0", "eclipse public license 2 0": "EPL-2.0", "eclipse public license v 2 0": "EPL-2.0", "epl 1 0": "EPL-1.0", "zlib": "Zlib",
+    "bsl 1 0": "BSL-1.0", "boost software": "BSL-1.0", "gpl 2 0 only": "GPL-2.0-only", "gpl 2 0 or later": "GPL-2.0-or-later",
+    "gpl 3 0 only": "GPL-3.0-only", "gpl 3 0 or later": "GPL-3.0-or-later", "lgpl 2 1": "LGPL-2.1", "lgpl 2 1 or later": "LGPL-2.1-or-later",
+    "lgpl 3 0 or later": "LGPL-3.0-or-later", "agpl 3 0 only": "AGPL-3.0-only", "agpl 3 0 or later": "AGPL-3.0-or-later", "artistic 2 0": "Artistic-2.0",
+    "mit 0": "MIT-0", "0bsd": "0BSD", "wtfpl": "WTFPL", "mozilla public license 2 0": "MPL-2.0", "mozilla public": "MPL-2.0",
 }
 
 # The rules, tried in this order: a licence and the identifiers that, on end, name it.
@@ -101,17 +116,25 @@ RULES = (
     ("ISC", ("ISC-GRANT",)),
     ("Unlicense", ("UNLICENSE-HEAD",)),
     ("CC0-1.0", ("CC0-WAIVER",)),
+    ("GPL-2.0", ("GPL-TITLE", "GPL2-DATE")),
+    ("GPL-3.0", ("GPL-TITLE", "GPL3-DATE")),
+    ("LGPL-3.0", ("LGPL-TITLE", "GPL3-DATE")),
+    ("AGPL-3.0", ("AGPL-TITLE", "AGPL3-DATE")),
+    ("Apache-2.0", ("APACHE-TITLE", "APACHE2-DATE")),
     ("Public-Domain", ("PUBLIC-DOMAIN",)),
     *((licence, (f"REF-{licence}",)) for licence in dict.fromkeys(NAMES.values())),
     ("Proprietary", ("COPYRIGHT", "RESERVED")),
 )
 
 #: Every known sentence, reference and copyright line, once normalised, holds one of these.
-MARKS = "licen|copyright|permission|warrant|liab|redistribut|mpl|gnu|gpl|public domain|rights|under|advertis"
+MARKS = "licen|copyright|permission|warrant|liab|redistribut|mpl|gnu|gpl|public domain|rights|under|advertis|version [23] "
 #: The same before normalisation: without blanks, which may be any other signs there.
-GATE = MARKS.replace("public domain", "domain")
-#: What a reference looks like; the group is the licence's name.
-REFERENCE = r"^(?:.* )?(?:licensed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?(.+?)(?: license)?$"
+GATE = MARKS.replace("public domain", "domain").replace("version [23] ", "version[^a-z0-9]+[23]")
+#: What references look like, in words, as a tag ("SPDX-License-Identifier: ...") and as a title or an
+#: attribute ("BSD 3-Clause License", "is MIT licensed"); the group is the licence's name.
+REFERENCE = (r"^(?:.* )?(?:(?:licensed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?"
+             r"|spdx license identifier )(.+?)(?: license)?$")
+TITLE = r"^(?:.* is (?:an? |the )?|the )?(.+?) licen(?:sed|se|ce)$"
 COPYRIGHT = r"^copyright( c)?( [0-9].*)?$|^copyright .* [0-9][0-9][0-9][0-9]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where a sentence ends: a full stop and blanks, a colon at a line's end, or an empty line.
@@ -133,8 +156,8 @@ def _normalised(sentence: Column) -> Column:
 
 def _identifier(normalised: Column) -> Column:
     """A known sentence's identifier, "?" for an unknown one, "" for a bare number or letter."""
-    name = _table(NAMES)[F.regexp_extract(normalised, REFERENCE, 1)]
-    return F.coalesce(_table(SENTENCES)[normalised], F.concat(F.lit("REF-"), name), F.when(normalised.rlike(COPYRIGHT), "COPYRIGHT"),
+    named, titled = (_table(NAMES)[F.regexp_extract(normalised, rule, 1)] for rule in (REFERENCE, TITLE))
+    return F.coalesce(_table(SENTENCES)[normalised], F.concat(F.lit("REF-"), named), F.concat(F.lit("REF-"), titled), F.when(normalised.rlike(COPYRIGHT), "COPYRIGHT"),
                       F.when(normalised.rlike("^[0-9]*$|^[a-z]$"), "").otherwise("?"))
 
 

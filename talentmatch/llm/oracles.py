@@ -44,12 +44,14 @@ def _map(entries: dict[str, str]) -> str:
 
 
 def _op1() -> str:
-    """The licence scan: identifiers by sentence, by line where a sentence is unknown, then the rules in order."""
+    """The licence scan: identifiers by sentence, by line where a sentence is unknown, then the rules in order.
+    Every text is cut: the operator's gate is not part of it."""
     def normalised(x):
         return f"trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g'))"
 
     def identifier(x):
         return (f"coalesce((SELECT m.s FROM maps m)[{x}], 'REF-' || (SELECT m.n FROM maps m)[regexp_extract({x}, {_quoted(LI.REFERENCE)}, 1)], "
+                f"'REF-' || (SELECT m.n FROM maps m)[regexp_extract({x}, {_quoted(LI.TITLE)}, 1)], "
                 f"CASE WHEN regexp_matches({x}, {_quoted(LI.COPYRIGHT)}) THEN 'COPYRIGHT' END, "
                 f"CASE WHEN regexp_matches({x}, '^[0-9]*$|^[a-z]$') THEN '' ELSE '?' END)")
 
@@ -61,7 +63,7 @@ def _op1() -> str:
 WITH maps AS MATERIALIZED (SELECT {_map(LI.SENTENCES)} AS s, {_map(LI.NAMES)} AS n),
 d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{LI.UPPER}', '{LI.LOWER}') AS t FROM documents),
 sentences AS (SELECT r, i, p[i] AS s FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i
-              FROM (SELECT r, string_split({cut}, chr(1)) AS p FROM d WHERE regexp_matches(t, '{LI.MARKS}')))),
+              FROM (SELECT r, string_split({cut}, chr(1)) AS p FROM d))),
 whole AS (SELECT r, i, s, {identifier("n")} AS id FROM (SELECT r, i, s, {normalised("s")} AS n FROM sentences)),
 lines AS (SELECT r, i, j, {identifier("n")} AS id
           FROM (SELECT r, i, j, {normalised("p[j]")} AS n

@@ -103,3 +103,23 @@ def test_known_sentences_pass_the_gate_however_they_are_wrapped(documents):
              "This is free and unencumbered software released into the public-domain.": ("[UNLICENSE-HEAD]", "Unlicense")}
     got = LI.scan(documents(list(enumerate(texts)))).collect()
     assert {r["id"]: (r["sequence"], ",".join(r["licences"])) for r in got} == dict(enumerate(texts.values()))
+
+
+def test_tags_titles_and_attributes(documents):
+    texts = {"# SPDX-License-Identifier: Apache-2.0\nimport os": ("[REF-Apache-2.0][?]", "Apache-2.0"),
+             "// SPDX-License-Identifier: GPL-2.0-or-later": ("[REF-GPL-2.0-or-later]", "GPL-2.0-or-later"),
+             "This project is MIT licensed.": ("[REF-MIT]", "MIT"),
+             "BSD 3-Clause License\n\nCopyright (c) 2020, X": ("[REF-BSD-3-Clause][COPYRIGHT]", "BSD-3-Clause"),
+             "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n": ("[GPL-TITLE][GPL3-DATE]", "GPL-3.0"),
+             "Apache License\nVersion 2.0, January 2004": ("[APACHE-TITLE][APACHE2-DATE]", "Apache-2.0"),
+             "It is licensed under the EPL-2.0.": ("[REF-EPL-2.0]", "EPL-2.0"),
+             "He is a licensed driver. He has a driving license": ("", ""),
+             "Version 3, 29 June 2007": ("[GPL3-DATE]", "")}
+    rows = list(enumerate(texts))
+    got = LI.scan(documents(rows)).collect()
+    assert {r["id"]: (r["sequence"], ",".join(r["licences"])) for r in got} == dict(enumerate(texts.values()))
+    import pandas as pd
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    want = {r[0]: (r[1], r[2]) for r in con.execute(ORACLES["op1_licenses"]).fetchall()}
+    assert want == dict(enumerate(texts.values()))

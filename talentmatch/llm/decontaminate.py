@@ -11,24 +11,27 @@ Terms are 64-bit hashes of words; a phrase match compares all its words' hashes.
 
 Defined results: a null text has no words; an item without words, or with a null text, matches
 nothing; a null id is kept as it is (of an item: listed as the empty string); repeated rows are
-documents of their own; of the inputs only the id and text columns are read.
+documents of their own; of the inputs only the id and text columns are read; texts of any length are
+read whole; an empty table of documents gives no rows, one of items no matches.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talentmatch.llm.words import ALNUM, chunks, hash_words, words_of
+from talentmatch.llm.words import ALNUM, chunks, hash_words, mix64, words_of
 from talentmatch.session import scratch_path, ship_package
 
 #: Bytes of text in a segment, unless one document is longer.
 SEGMENT_BYTES = 1 << 21
 #: Characters of phrases searched for in one pass over the index.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 
 
 # ---------------------------------------------------------------------------
@@ -77,22 +80,56 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 # ---------------------------------------------------------------------------
 
 class Phrases:
-    """Distinct word sequences and the items that hold them."""
+    """Distinct word sequences and the items that hold them, as flat arrays: about 40 bytes a word of
+    the items.
+
+    Phrase p is the words ``flat[start[p]:start[p] + length[p]]`` (numbers of ``terms``, the items' words
+    one after the other); its items are ``held[bounds[p]:bounds[p + 1]]``, ascending. Sequences are
+    told apart by a 64-bit hash of their words' hashes.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], size: int | None):
         """``size``: the words of a window; None: an item's whole text is its phrase."""
-        held: dict[bytes, set[int]] = {}
         self.names = [name for name, _ in items]
-        for i, hashes in enumerate(hash_words([text or "" for _, text in items], ALNUM)):
-            n = min(len(hashes), size or len(hashes))
-            for at in range(len(hashes) - n + 1 if n else 0):
-                held.setdefault(hashes[at:at + n].tobytes(), set()).add(i)
-        self.items = [sorted(x) for x in held.values()]
-        windows = [np.frombuffer(x, dtype=np.uint64) for x in held]
-        self.length = np.array([len(x) for x in windows], dtype=np.int64)
-        self.terms, flat = np.unique(np.concatenate([np.zeros(0, np.uint64), *windows]), return_inverse=True)
-        self.start = np.concatenate([[0], np.cumsum(self.length)])
-        self.flat = flat
+        words = hash_words([text or "" for _, text in items], ALNUM)
+        n = np.array([len(w) for w in words], dtype=np.int64)
+        first = np.concatenate([[0], np.cumsum(n)])
+        flat = np.concatenate([np.zeros(0, np.uint64), *words])
+        length = np.minimum(n, size) if size else n
+        windows = np.where(n > 0, n - length + 1, 0)
+        item = np.repeat(np.arange(len(items), dtype=np.int32), windows)
+        start = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(first[:-1], windows)
+        length = np.repeat(length, windows)
+        # a polynomial over the words of each window, from one running sum over all words
+        key = _window_keys(flat, start, length)
+        order = np.lexsort((item, key))
+        key, item, start, length = key[order], item[order], start[order], length[order]
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
+        once = fresh | np.concatenate([[True], item[1:] != item[:-1]])[:len(key)]
+        self.held = item[once]
+        self.bounds = np.append(np.flatnonzero(fresh[once]), len(self.held))
+        self.start, self.length = start[fresh], length[fresh]
+        self.terms, self.flat = np.unique(flat, return_inverse=True)
+        self.flat = self.flat.astype(np.int32)
+
+    def items(self, p: int) -> np.ndarray:
+        return self.held[self.bounds[p]:self.bounds[p + 1]]
+
+    def words(self, p: int) -> np.ndarray:
+        return self.flat[self.start[p]:self.start[p] + self.length[p]]
+
+
+_RING, _RING_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _window_keys(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    n = len(flat)
+    up = np.full(n + 1, _RING)
+    down = np.full(n + 1, _RING_INVERSE)
+    up[0] = down[0] = 1
+    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(flat) * up[:n], dtype=np.uint64)])
+    return mix64((sums[start + length] - sums[start]) * down[start] + length.astype(np.uint64))
 
 
 def _windows(lists: list[np.ndarray], first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,9 +183,10 @@ def phrase_hits(phrases: Phrases, first, terms, bounds, places, slop: int | None
         return
     at = np.minimum(np.searchsorted(terms, phrases.terms), len(terms) - 1)
     there = terms[at] == phrases.terms
-    alive = np.flatnonzero(np.logical_and.reduceat(there[phrases.flat], phrases.start[:-1]))
+    known = np.concatenate([[0], np.cumsum(there[phrases.flat])])
+    alive = np.flatnonzero(known[phrases.start + phrases.length] - known[phrases.start] == phrases.length)
     for p in alive:
-        own = at[phrases.flat[phrases.start[p]:phrases.start[p + 1]]]
+        own = at[phrases.words(p)]
         n = len(own)
         order = np.argsort(bounds[own + 1] - bounds[own], kind="stable")
         rarest = order[0]
@@ -190,6 +228,8 @@ def search(index: DataFrame, items: DataFrame, size: int | None = 10, slop: int
 
     ``size``: search for every window of so many words of an item (all its words, if fewer); None
     for whole items. ``slop``: see ``phrase_hits``. Overlapping matches of an item are joined.
+    Items stream through the driver in blocks of ``block_chars``, of which one is held at a time, on
+    the driver and in the tasks (about 40 bytes a word).
     """
     spark = index.sparkSession
     ship_package(spark)
@@ -201,6 +241,7 @@ def search(index: DataFrame, items: DataFrame, size: int | None = 10, slop: int
                            T.StructField("matches", T.ArrayType(match))])
 
     def one_pass(block):
+        """(matches of a block of items, the broadcast to release when they have been read)."""
         sent = spark.sparkContext.broadcast(Phrases(block, size))
 
         def find(batches):
@@ -216,7 +257,7 @@ def search(index: DataFrame, items: DataFrame, size: int | None = 10, slop: int
                     hits = sorted(phrase_hits(phrases, first, terms, bounds, places, slop), key=lambda x: x[1:])
                     for p, start, end in hits:
                         doc = int(np.searchsorted(first, start, side="right")) - 1
-                        for item in phrases.items[p]:
+                        for item in phrases.items(p).tolist():
                             spans = found.setdefault((doc, item), [])
                             if spans and start <= spans[-1][1]:
                                 spans[-1][1] = max(spans[-1][1], end)
@@ -231,17 +272,26 @@ def search(index: DataFrame, items: DataFrame, size: int | None = 10, slop: int
                         [pa.array([number[row].as_py()] * n, pa.int64()), pa.array(range(n), pa.int64()), ids[row].values,
                          pa.array(np.diff(first)), pa.array(matches, arrow)], ["segment", "place", "id", "n_words", "matches"])
 
-        return index.mapInArrow(find, schema)
-
-    passes = [one_pass(block) for block in _blocks(items, id_col, text_col, block_chars)]
-    if len(passes) == 1:
-        return passes[0].select("id", "n_words", "matches")
-    together = passes[0]
-    for more in passes[1:]:
-        together = together.unionByName(more)
-    return (together.groupBy("segment", "place")
-            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-            .select("id", "n_words", "matches"))
+        return index.mapInArrow(find, schema), sent
+
+    blocks = _blocks(items, id_col, text_col, block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return one_pass(first)[0].select("id", "n_words", "matches")
+    # one block is held at a time: its matches are written, then its broadcast is released
+    path, documents = scratch_path(spark, "matches"), None
+    for block in itertools.chain([first, second], blocks):
+        found, sent = one_pass(block)
+        if documents is None:
+            documents = scratch_path(spark, "searched")
+            found.write.parquet(documents)
+        else:
+            found.where("size(matches) > 0").select("segment", "place", "matches").write.mode("append").parquet(path)
+        sent.destroy()
+    base = spark.read.parquet(documents)
+    more = spark.read.schema(schema).parquet(path).groupBy("segment", "place").agg(F.flatten(F.collect_list("matches")).alias("more"))
+    return (base.join(more, ["segment", "place"], "left")
+            .select("id", "n_words", F.concat("matches", F.coalesce("more", F.array().cast(base.schema["matches"].dataType))).alias("matches")))
 
 
 def contamination(found: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import numpy as np
 import hashlib
 import random
 import re
@@ -112,3 +113,28 @@ def test_proximity_matches_brute_force_with_neighbours(spark, documents):
                 rarest = min(p, key=lambda t: count[t])
                 want = {x for k, s, e in brute_near(text, phrase, slop) if words(text)[k] == rarest for x in range(s, e)}
                 assert {x for m in got[i] if m["item_id"] == str(j) for x in range(m["start"], m["end"])} == want, (text, phrase, slop)
+
+
+def test_phrases_take_little_memory():
+    import random
+    import tracemalloc
+    rng = random.Random(2)
+    vocabulary = [f"word{i}" for i in range(50_000)]
+    items = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(500))) for i in range(500)]     # 2.4 MB
+    tracemalloc.start()
+    phrases = DC.Phrases(items, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(phrases.start) == 500 * 491 and held < 20e6 and peak < 100e6
+    p = int(np.flatnonzero(phrases.start == 3)[0])
+    want = [int(h) for h in DC.hash_words([" ".join(items[0][1].split()[3:13])], DC.ALNUM)[0]]
+    assert phrases.terms[phrases.words(p)].tolist() == want and phrases.items(p).tolist() == [0]
+
+
+def test_phrases_of_several_items_and_short_ones():
+    items = [("a", "one two three"), ("b", "two three"), ("c", None), ("d", "One Two THREE four"), ("e", "x"), ("f", "two three two three")]
+    phrases = DC.Phrases(items, 2)
+    named = {tuple(phrases.terms[phrases.words(p)].tolist()): phrases.items(p).tolist() for p in range(len(phrases.start))}
+    word = {w: int(DC.hash_words([w], DC.ALNUM)[0][0]) for w in "one two three four x".split()}
+    pairs = {("one", "two"): [0, 3], ("two", "three"): [0, 1, 3, 5], ("three", "four"): [3], ("x",): [4], ("three", "two"): [5]}
+    assert named == {tuple(word[w] for w in k): v for k, v in pairs.items()}

@@ -3,18 +3,20 @@
 Writing: payloads of at least 100 bytes that several pages share are kept once, in the record of
 the smallest page id; the others become revisit records that refer to it. The digests are combined
 before the shuffle, and only shared ones are joined back, so neither payloads nor a payload of a
-third of all pages meet in a task. Records go out by Spark's text writer, one archive a task or
-``records`` records, so any file system that Spark writes to will do.
+third of all pages meet in a task. Records go out by Spark's text writer, in archives of bounded
+bytes, so any file system that Spark writes to will do.
 
 Reading: every archive is parsed by its records' lengths (payloads may hold anything) and checked
 against its digests. Its captures, sorted by URL key and timestamp, are a *run*; the runs are
 written, dealt out by key ranges (a key with many captures is cut by timestamp and id) and merged
-in each range by a loser tree, which gives the capture histories in global order.
+in each range by a loser tree, which gives the capture histories in global order. A range holds a
+bounded number of captures, and Spark's sort (which spills) brings each run in order.
 
 Defined results: a null payload is empty; records below 100 bytes never refer to others; pages that
 repeat the smallest id of a payload are all responses; a null url has an empty key; a null id is
 read back as null, its date is the first and it never is a payload's smallest id; an empty table
-gives an empty index. Damaged archives raise ValueError.
+gives an empty index; only the id, url and html columns are read; a payload of any length is a record.
+Damaged archives raise ValueError.
 """
 
 from __future__ import annotations
@@ -30,8 +32,12 @@ from talentmatch.session import scratch_path, ship_package
 
 #: Payloads shorter than this are stored again and again.
 LEAST_SHARED = 100
-#: Records in one archive, at most.
-RECORDS = 5000
+#: Bytes of one archive, about, unless a single record is longer; payloads are put into archives with
+#: others of their size class (class i: up to CLASSES[i] bytes; the last: any).
+ARCHIVE_BYTES = 64 << 20
+CLASSES = (1 << 14, 1 << 17, 1 << 20, 1 << 23)
+#: Captures that one task merges, about.
+RANGE_CAPTURES = 100_000
 _NL = "\r\n"
 _FIRST = 1_704_067_200  # 2024-01-01T00:00:00Z, the date of page 0; each id is a second later
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,8 +51,11 @@ CAPTURE = ("url_key string, timestamp string, page_id long, url string, record_t
 # ---------------------------------------------------------------------------
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                   records: int = RECORDS) -> None:
-    """A WARC record for each row of ``pages``, in archives below ``path``."""
+                   archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """A WARC record for each row of ``pages``, in archives below ``path``.
+
+    An archive is read whole by one task, so its bytes are bounded: records of one size class go
+    into archives of so many records as fit ``archive_bytes``. Every class that occurs is a pass over the pages."""
     spark = pages.sparkSession
     body = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
@@ -70,8 +79,14 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.when(again, F.concat(F.lit(f"WARC-Profile: {PROFILE}{_NL}WARC-Refers-To: <urn:page:"), F.col("original").cast("string"), F.lit(">"))),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), (F.octet_length("http") + F.octet_length("kept")).cast("string")))
-    record = rows.withColumn("http", http).withColumn("kept", kept).select(F.concat(head, F.lit(_NL + _NL), "http", "kept").alias("value"))
-    record.write.option("lineSep", _NL + _NL).option("maxRecordsPerFile", records).text(path)
+    size = F.when(again, 0).otherwise(F.col("bytes"))
+    of_size = sum((size > most).cast("int") for most in CLASSES)
+    present = [r[0] for r in pages.select(sum((F.octet_length(body) > most).cast("int") for most in CLASSES)).distinct().collect()]
+    record = rows.withColumn("http", http).withColumn("kept", kept)
+    for number in sorted({0, *present}):
+        most = (*CLASSES, archive_bytes)[number]
+        (record.where(of_size == number).select(F.concat(head, F.lit(_NL + _NL), "http", "kept").alias("value"))
+         .write.mode("append").option("lineSep", _NL + _NL).option("maxRecordsPerFile", max(1, archive_bytes // most)).text(path))
 
 
 # ---------------------------------------------------------------------------
@@ -196,14 +211,17 @@ def _runs(batches):
 
 
 def _merged(batches):
-    runs: dict[str, list[tuple[int, tuple]]] = {}
+    """The captures of a range, whose runs come one after the other, each in order."""
+    runs: list[list[tuple]] = []
+    last = None
     for batch in batches:
-        for *row, run, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            runs.setdefault(run, []).append((place, tuple(row)))
-    # the shuffle may bring a run's parts in any order, each part is in order
-    sorted_runs = [[row for _, row in sorted(runs[r], key=lambda x: x[0])] for r in sorted(runs)]
+        for *row, run in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if run != last:
+                runs.append([])
+                last = run
+            runs[-1].append(tuple(row))
     out: list[tuple] = []
-    for row in LoserTree(sorted_runs, _order):
+    for row in LoserTree(runs, _order):
         out.append(row)
         if len(out) == 10_000:
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, r, strict=True)) for r in out], _ARROW)
@@ -220,7 +238,10 @@ def read_index(spark, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
     files.mapInArrow(_runs, CAPTURE + ", run string, place long").write.parquet(run_path)
     runs = spark.read.parquet(run_path)
-    return runs.repartitionByRange("url_key", "timestamp", "page_id").mapInArrow(_merged, CAPTURE)
+    # ranges of a bounded number of captures: a task holds no more, however many there are
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // RANGE_CAPTURES))
+    dealt = runs.repartitionByRange(ranges, "url_key", "timestamp", "page_id").sortWithinPartitions("run", "place")
+    return dealt.drop("place").mapInArrow(_merged, CAPTURE)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

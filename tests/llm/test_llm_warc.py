@@ -36,12 +36,25 @@ def test_histories_are_in_global_order(spark):
     rng = random.Random(1)
     rows = [(i, f"http://www.host{rng.randint(0, 3)}.example.org/{rng.randint(0, 5)}", "x" * rng.randint(0, 5)) for i in range(400)]
     path = scratch_path(spark, "test-warc")
-    WA.write_archives(spark.createDataFrame(rows, PAGES).repartition(5), path, records=30)
+    WA.write_archives(spark.createDataFrame(rows, PAGES).repartition(5), path, archive_bytes=30 * WA.CLASSES[0])
     got = [(r["url_key"], r["timestamp"], r["page_id"]) for r in WA.read_index(spark, path).collect()]
     assert len(got) == 400 and got == sorted(got)
     assert spark.read.format("binaryFile").load(path).count() >= 400 // 30
 
 
+def test_archives_are_bounded_by_bytes(spark):
+    rng = random.Random(4)
+    rows = [(i, f"http://a.example/{i}", chr(97 + i % 26) * rng.choice([10, 3_000, 20_000, 150_000, 400_000, 3_000_000]) + str(i)) for i in range(90)]
+    rows += [(1000 + i, "http://b.example/", "same" * 200_000) for i in range(4)]
+    path = scratch_path(spark, "test-warc")
+    WA.write_archives(spark.createDataFrame(rows, PAGES).coalesce(2), path, archive_bytes=1 << 20)
+    sizes = [r.length for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert max(n for n in sizes if n < 3_000_000) <= (1 << 20) + 64 * 1024
+    assert sorted(n for n in sizes if n >= 3_000_000)[-1] < 3_001_000
+    got = WA.read_index(spark, path).collect()
+    assert sorted([(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got], key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert WA.archive_pages(spark.createDataFrame([], PAGES)).count() == 0
 

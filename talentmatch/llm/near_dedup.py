@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talentmatch.llm.components import components
+from talentmatch.llm.membership import only
 from talentmatch.llm.words import NON_SPACE, chunks, mix64, shingles, words_of
 from talentmatch.session import scratch_path, scratch_scope, ship_package
 
@@ -271,8 +272,8 @@ def _roots(rows_in: DataFrame, classes: DataFrame, written, size: int, percent:
     members = written(banded.join(buckets, "key"), "members")
     stars = members.where("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
 
-    wanted = members.select("id").distinct()
-    sets = written(rows_in.join(wanted, "id", "left_semi").mapInArrow(_set_rows(size, False, bands, rows), "id long, set binary").distinct(), "sets")
+    wanted = written(members.select("id").distinct(), "wanted")
+    sets = written(only(rows_in, "id", wanted).mapInArrow(_set_rows(size, False, bands, rows), "id long, set binary").distinct(), "sets")
     with_b = stars.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     with_both = with_b.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     found = components(written(with_both.mapInArrow(_confirm(percent), "a long, b long"), "links"))

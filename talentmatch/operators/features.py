@@ -155,6 +155,18 @@ def impute_mode(train: DataFrame, apply_to: DataFrame, cols: list[str]) -> DataF
     return apply_to.na.fill({c: modes[c] for c in cols if modes.get(c) is not None})
 
 
+def with_null_policy(train: DataFrame, apply_to: DataFrame, cols: list[str], policy: str) -> DataFrame:
+    """What becomes of rows with null categories: ``drop`` leaves them out, ``impute`` fills the train-set
+    mode (M3), ``keep`` leaves them as they are (all zeros after one-hot)."""
+    if policy == "drop":
+        return apply_to.na.drop(subset=cols)
+    if policy == "impute":
+        return impute_mode(train, apply_to, cols)
+    if policy == "keep":
+        return apply_to
+    raise ValueError(f"null policy must be drop, impute or keep, got {policy!r}")
+
+
 def category_levels(df: DataFrame, cols: list[str]) -> DataFrame:
     """The distinct (column, level) pairs, nulls left out."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),

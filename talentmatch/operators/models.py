@@ -49,16 +49,20 @@ class ModelSpec:
     extra: dict = field(default_factory=dict)
 
 
-def feature_frame(docs: DataFrame, key: str, text: str, cats: list[str], dim: int = 64) -> DataFrame:
-    """Text embedding (M10) next to the other columns (J6), row by row."""
+def feature_frame(docs: DataFrame, key: str, text: str, cats: list[str], dim: int = 64, text_mode: str = "raw") -> DataFrame:
+    """Text embedding (M10) next to the other columns (J6), row by row. ``text_mode`` ``clean`` embeds the
+    cleaned text (T1) instead of the raw one; training and scoring take the same."""
+    if text_mode not in ("raw", "clean"):
+        raise ValueError(f"text mode must be raw or clean, got {text_mode!r}")
+    if text_mode == "clean":
+        docs = FE.preprocess_frame(docs, text, "__words").withColumn(text, F.array_join("__words", " ")).drop("__words")
     return with_hash(docs, text, dim, "emb").drop(text)
 
 
 def feature_stages(cats: list[str]) -> list:
-    """M5: one-hot routing for the categories + assembly with the embedding (M7)."""
+    """M5: one-hot routing for the categories (if there are any) + assembly with the embedding (M7)."""
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import array_to_vector  # noqa: F401 - used by callers
-    return FE.one_hot_stages(cats) + [VectorAssembler(
+    return (FE.one_hot_stages(cats) if cats else []) + [VectorAssembler(
         inputCols=["emb_vec"] + [f"oh_{c}" for c in cats], outputCol="features")]
 
 
@@ -232,7 +236,9 @@ def first_trees(model, n: int):
         for i, w in enumerate(gateway.treeWeights()[:n]):
             weights[i] = float(w)
         return GBTClassificationModel(package.GBTClassificationModel(f"{model.uid}_{n}", some, weights, gateway.numFeatures(), gateway.numClasses()))
-    return RandomForestClassificationModel(package.RandomForestClassificationModel(f"{model.uid}_{n}", some, gateway.numFeatures(), gateway.numClasses()))
+    forest = package.RandomForestClassificationModel(f"{model.uid}_{n}", some, gateway.numFeatures(), gateway.numClasses())
+    forest.set(forest.getParam("numTrees"), n)       # what a stored forest is checked against
+    return RandomForestClassificationModel(forest)
 
 
 def _scored(models: dict, frame: DataFrame, spec: ModelSpec, names: list[str]) -> DataFrame:
@@ -301,8 +307,9 @@ def _in_threads(fn, items, workers: int) -> list:
 
 def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: list[str],
                 spec: ModelSpec, names: list[str] = MODEL_ORDER, k: int = 5, store: str | None = None,
-                threads: int = 8) -> DataFrame:
-    """(model, model_order, cv_f1, f1) for each candidate model.
+                threads: int = 8, evaluate_on: str = "holdout") -> DataFrame:
+    """(model, model_order, cv_f1, f1) for each candidate model; ``f1`` is that of ``test``, or of the
+    training rows themselves where ``evaluate_on`` is ``all`` (as one of the scripts does).
 
     All parts (the folds, and all training rows) share one cached frame with weights; the vote
     (L4) is made of the fitted members, of the tree ensembles the first ``spec.vote_trees``. With
@@ -315,7 +322,7 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
     models, frames = _fitted(folds, list(range(k + 1)), names, spec, threads)
     try:
         cv = [_f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, names), label, names) for f in range(k)]
-        held = folds.stages[k].transform(with_emb_vector(test).withColumn(label, F.col(label).cast("double"))).select(key, label, "features")
+        held = folds.stages[k].transform(with_emb_vector(train if evaluate_on == "all" else test).withColumn(label, F.col(label).cast("double"))).select(key, label, "features")
         scored = _scored(models[k], held, spec, names).persist()
         f1 = _f1s(scored, label, names)
         best = max(range(len(names)), key=lambda i: (f1[i], -i))

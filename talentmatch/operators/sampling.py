@@ -35,11 +35,12 @@ def rank_within(df: DataFrame, part: str | None, key: str, seed: int = 42,
     parts = [part] if part else []
     h = df.withColumn("__h", seed_hash(key, seed)).withColumn("__b", F.substring("__h", 1, prefix_len))
     sizes = h.groupBy(*parts, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    # offsets over the small (labels x 16**prefix_len) table
+    # offsets over the (labels x 16**prefix_len) table; its size, which grows with the labels, decides
+    # how it is joined: the rows are dealt out by label and bucket for the ranking anyway
     wb = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(wb), F.lit(0))).drop("__n")
     wr = Window.partitionBy(*parts, "__b").orderBy("__h", key)
-    ranked = h.join(F.broadcast(offsets), parts + ["__b"]) \
+    ranked = h.join(offsets, parts + ["__b"]) \
         .withColumn(out, F.col("__off") + F.row_number().over(wr))
     return ranked.drop("__h", "__b", "__off")
 

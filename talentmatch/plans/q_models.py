@@ -250,6 +250,22 @@ def tfidf_train(spark, sf):
     return _checked(M.predict(loaded, test, "doc_id", ["label"]))
 
 
+@query("embedding_train", sql=f"""
+WITH lab AS (SELECT l.doc_id, l.toxic AS label FROM labels l JOIN documents d USING (doc_id)),
+sp AS (SELECT *, {_rn_sql('label')} <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM lab)
+SELECT doc_id, label, true AS prob_ok, true AS class_ok, true AS optimal FROM sp WHERE is_test""")
+def embedding_train(spark, sf):
+    """L1 on embeddings alone: the cleaned text's vector, no categories; the hold-out's predictions."""
+    lab = fx.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text").join(lab, "doc_id")
+    rows = M.feature_frame(docs, "doc_id", "text", [], DIM, text_mode="clean")
+    df = S.stratified_split(rows, "label", "doc_id").checkpoint(eager=True)
+    train, test = (df.where(F.col("is_test") == t).drop("is_test") for t in (False, True))
+    bal = _balanced(train)
+    model = M.fit_model(bal, "LogisticRegression", "label", [], SPEC)
+    return _checked(M.predict(model, test, "doc_id", ["label"])).withColumn("optimal", F.lit(M.gradient_norm(model, bal, "label") < 0.01))
+
+
 def _balanced(train):
     return S.upsample_minority(train, "label", "doc_id").drop("slot")
 

@@ -20,9 +20,17 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Header, quoted multi-line text, overwrite."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).option("emptyValue", '""').csv(path)
+#: Bytes of a CSV file, about: a file with quoted line breaks cannot be split, so it is one task's work.
+CSV_FILE_BYTES = 64 << 20
+
+
+def write_csv(df: DataFrame, path: str, file_bytes: int = CSV_FILE_BYTES) -> str:
+    """Header, quoted multi-line text, overwrite; in files of about ``file_bytes``, so that reading
+    them back is spread over tasks."""
+    width = F.octet_length(F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])))
+    mean = df.agg(F.avg(width)).first()[0] or 1.0           # one number
+    (df.write.mode("overwrite").options(**CSV_OPTIONS).option("emptyValue", '""')
+     .option("maxRecordsPerFile", max(1, int(file_bytes / max(mean, 1.0)))).csv(path))
     return path
 
 

@@ -124,3 +124,52 @@ def test_winner_is_stored_with_its_report(spark, tmp_path):
     assert type(model.stages[-1]).__name__.startswith(best["model"].replace("RandomForest", "RandomForestClassification"))
     report = {r["row"]: r for r in spark.read.parquet(str(tmp_path / "w" / "report")).collect()}
     assert abs(report["1"]["f1"] - best["f1"]) < 1e-9
+
+
+def test_policies_of_training(spark, tmp_path):
+    import pytest
+
+    from talentmatch.operators import features as FE
+    from talentmatch.operators import models as M
+    train = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id long, cat string")
+    assert [r.cat for r in FE.with_null_policy(train, train, ["cat"], "impute").orderBy("id").collect()] == ["a", "a", "b", "a"]
+    assert FE.with_null_policy(train, train, ["cat"], "drop").count() == 3 and FE.with_null_policy(train, train, ["cat"], "keep").count() == 4
+    with pytest.raises(ValueError):
+        FE.with_null_policy(train, train, ["cat"], "other")
+    docs = spark.createDataFrame([(1, "Gatos, para CASAS!", 0), (2, "gatos casas", 1)], "id long, t string, label int")
+    clean = [r.emb for r in M.feature_frame(docs, "id", "t", [], 16, "clean").collect()]
+    raw = [r.emb for r in M.feature_frame(docs, "id", "t", [], 16).collect()]
+    assert clean[0] == clean[1] and raw[0] != raw[1]
+
+
+def test_no_winner_is_stored_where_every_f1_is_zero(spark, tmp_path):
+    import os
+
+    from talentmatch.operators import models as M
+    rows = [(i, [1.0, 2.0], "a", int(i % 9 == 0)) for i in range(45)]
+    df = spark.createDataFrame(rows, "id long, emb array<double>, cat string, label int")
+    spec = M.ModelSpec(lr_iter=3, trees=2, depth=2)
+    # the hold-out has no row of class 1, so every F1 on it is 0
+    board = M.leaderboard(df, df.where("label = 0"), "id", "label", ["cat"], spec, names=M.MODEL_ORDER[:2], k=2, store=str(tmp_path / "w"))
+    assert {r.f1 for r in board.collect()} == {0.0} and not os.path.exists(tmp_path / "w")
+
+
+def test_first_trees_are_the_smaller_ensemble(spark, tmp_path):
+    from pyspark.ml.functions import array_to_vector
+
+    from talentmatch.operators import models as M
+    rows = [(float(i % 3 == 0), [float(i % 7), float(i % 5), float(i % 3)]) for i in range(80)]
+    df = spark.createDataFrame(rows, "label double, v array<double>").select("label", array_to_vector("v").alias("features"))
+    for rounds in (3, 6):
+        spec = M.ModelSpec(gbt_rounds=6, gbt_depth=3, trees=6, depth=3)
+        gbt = M.estimators("label", spec, None)["GradientBoostedTrees"].fit(df)
+        less = M.estimators("label", M.ModelSpec(gbt_rounds=rounds, gbt_depth=3), None)["GradientBoostedTrees"].fit(df)
+        a, b = (sorted(r.probability[1] for r in m.transform(df).collect()) for m in (M.first_trees(gbt, rounds), less))
+        assert all(abs(x - y) < 1e-12 for x, y in zip(a, b))
+        forest = M.first_trees(M.estimators("label", spec, None)["RandomForest"].fit(df), rounds)
+        assert forest.getNumTrees == rounds and forest.transform(df).count() == 80
+        for model in (forest, M.first_trees(gbt, rounds)):
+            path = str(tmp_path / f"{model.uid}")
+            model.write().save(path)
+            again = type(model).load(path)
+            assert [r.probability for r in again.transform(df).collect()] == [r.probability for r in model.transform(df).collect()]

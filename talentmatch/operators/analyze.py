@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from talentmatch.operators import recommend as R
 from talentmatch.operators.curate import validate_candidates

@@ -126,7 +126,6 @@ class JobIndex:
     n_blocks: int
     bytes: int
     width: int
-    rows: int = 0
     centres: Centres | None = None
     held: object = None
     numbers: list = field(default_factory=list)
@@ -213,7 +212,7 @@ def prepare_jobs(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embe
         dealt = live.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int"))
     blocks = (dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("id", "v"))).alias("jobs"))
               .select("block", "jobs").mapInArrow(_packed(width), schema))
-    return JobIndex(blocks, n_blocks, n * (width * 8 + 64), width, n)
+    return JobIndex(blocks, n_blocks, n * (width * 8 + 64), width)
 
 
 # ---------------------------------------------------------------------------
@@ -286,18 +285,18 @@ def _first_packs(centres: Centres, width: int, numbers: list, pack_rows: int):
             for block in np.unique(near):
                 rows = np.flatnonzero(near == block)
                 for at in range(0, len(rows), pack_rows):
-                    yield _pack(numbers[block], batch.column("key"), q, rows[at:at + pack_rows], None)
+                    yield _pack(numbers[block], batch.column("key"), q, rows[at:at + pack_rows])
     return run
 
 
-def _pack(number: int, keys: pa.Array, q: np.ndarray, rows: np.ndarray, known) -> pa.RecordBatch:
+def _pack(number: int, keys: pa.Array, q: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     own = keys.take(pa.array(rows))
     columns = [pa.array([number], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), own), pa.array([q[rows].tobytes()], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, ["block", "keys", "queries"])
 
 
 def _met(width: int, k: int):
-    """The k best of a block for each query of a pack; ``threshold`` is the k-th cosine so far."""
+    """The k best of a block for each query of a pack, a row for each query."""
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -325,7 +324,7 @@ def _further_packs(centres: Centres, width: int, k: int, numbers: list, pack_row
                 threshold = np.array([s[k - 1] if len(s) >= k else -np.inf for s in part.column("sims").to_pylist()])
                 open_ = (centres.bounds(q) >= threshold[:, None]) & (order[None, :] != part.column("block").to_numpy()[:, None])
                 for block in np.flatnonzero(open_.any(axis=0)):
-                    yield _pack(numbers[block], part.column("key"), q, np.flatnonzero(open_[:, block]), None)
+                    yield _pack(numbers[block], part.column("key"), q, np.flatnonzero(open_[:, block]))
     return run
 
 

@@ -130,3 +130,17 @@ def test_empty_tables_long_texts_and_clashing_columns(spark):
     for c in ("seq", "head", "tree", "size", "path", "copies", "owner", "node", "tokens"):
         df = df.withColumn(c, F.lit("x"))
     assert result(PT.read_back(PT.prefix_trees(df))) == brute(rows)
+
+
+def test_the_oracle_agrees():
+    import duckdb
+    import pandas as pd
+
+    from talentmatch.llm.oracles import ORACLES
+    rows = table(7, 80) + [(None, 0, "user", "no id"), (100, None, "####", "a:###:\\")]
+    con = duckdb.connect()
+    con.register("frame", pd.DataFrame({"conv_id": pd.array([r[0] for r in rows], "Int64"), "turn": pd.array([r[1] for r in rows], "Int64"),
+                                        "role": [r[2] for r in rows], "text": [r[3] for r in rows]}))
+    con.execute("CREATE TABLE conversations AS SELECT * FROM frame")
+    control = [(-7, t, r, "\\### Assistant: </turn> ok") for t, r in enumerate(["user", "assistant"])]
+    assert {r[0]: tuple(r[1:]) for r in con.execute(ORACLES["op12_prefix_tree"]).fetchall()} == brute(rows + control)

@@ -168,3 +168,16 @@ def test_empty_extreme_and_clashing(spark):
     got = result(SR.repair(SR.damage(df)))
     want = brute(rows)[1]
     assert got[1][1:] == want[1:] and (got[1][0] - want[0]) % 2 ** 64 == 0
+
+
+def test_the_oracle_agrees(spark):
+    import duckdb
+    import pandas as pd
+
+    from talentmatch.llm.oracles import ORACLES
+    rows = table(6, 80) + [(None, 0, "user", "null id."), (None, None, None, None)]
+    con = duckdb.connect()
+    con.register("frame", pd.DataFrame({"conv_id": pd.array([r[0] for r in rows], "Int64"), "turn": pd.array([r[1] for r in rows], "Int64"),
+                                        "role": [r[2] for r in rows], "text": [r[3] for r in rows]}))
+    con.execute("CREATE TABLE conversations AS SELECT * FROM frame")
+    assert {r[0]: tuple(r[1:]) for r in con.execute(ORACLES["op11_structure_repair"]).fetchall()} == brute(rows)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentmatch.llm import decontaminate, mixing, near_dedup, pii, toxicity
+from talentmatch.llm.membership import only, without
 from talentmatch.session import release_path, scratch_path, scratch_scope
 
 
@@ -44,13 +45,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with scratch_scope(spark):
         near_dedup.near_duplicates(docs, size=5, percent=80).write.parquet(path)
     found = spark.read.parquet(path)
-    others = found.where("id IS NOT NULL AND id != component_id").select(F.col("id").alias("doc_id")).distinct()
-    repeated = found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
-    kept = docs.join(others, "doc_id", "left_anti")
+    others = found.where("id IS NOT NULL AND id != component_id").select("id").distinct()
+    repeated = found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
+    kept = without(docs, "doc_id", others)
     if repeated.isEmpty():
-        return kept.select(docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionAll(once.select(docs.columns))
+        return kept
+    once = only(kept, "doc_id", repeated).dropDuplicates(["doc_id", "text"])
+    return without(kept, "doc_id", repeated).unionAll(once)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     with scratch_scope(spark):
         found = decontaminate.decontaminate(docs.select(key.alias("key"), "text"), _table(spark, sf_dir, "benchmark"), size=10, id_col="key")
         found.where("contaminated").select(F.col("id").alias(name)).distinct().write.parquet(path)
-    return docs.withColumn(name, key).join(spark.read.parquet(path), name, "left_anti").select(docs.columns)
+    return without(docs.withColumn(name, key), name, spark.read.parquet(path)).select(docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

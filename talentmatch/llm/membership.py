@@ -1,68 +1,46 @@
 """Joins of whole documents with a table of keys, without a shuffle of most documents.
 
-A Bloom filter of the keys, of bounded size, goes to all tasks. A document whose key it does not hold
-is certainly not in the table; only the others are shuffled and joined, which decides exactly. Where
-the keys outgrow the filter it holds more by mistake and more documents are shuffled: the result
-stays the same.
+A Bloom filter of the keys, of bounded size, goes to all tasks as one row: an array of words. A
+document whose key it does not hold is certainly not in the table; only the others are shuffled and
+joined, which decides exactly. Where the keys outgrow the filter it holds more by mistake and more
+documents are shuffled: the result stays the same. All of it is column math in the JVM.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talentmatch.llm.words import mix64
-from talentmatch.session import ship_package
-
 #: Bits a key, keys' hash functions, and the most bits of a filter (16 MB).
 BITS_A_KEY, HASHES, MOST_BITS = 12, 4, 1 << 27
+_WORDS, _ONE = "__filter_words", "__filter_one"
 
 
-def _places(keys: np.ndarray, bits: int) -> np.ndarray:
-    own = keys.astype(np.int64).view(np.uint64)
-    return np.concatenate([mix64(own + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))) & np.uint64(bits - 1) for i in range(HASHES)])
-
-
-def _words(bits: int):
-    def run(batches):
-        for batch in batches:
-            places = np.unique(_places(batch.column(0).to_numpy(zero_copy_only=False), bits))
-            words, at = np.unique(places >> np.uint64(6), return_index=True)
-            if len(words):
-                held = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), at)
-                yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(held.view(np.int64))], ["word", "held"])
-    return run
+def _places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(HASHES)]
 
 
 def may_hold(keys: DataFrame, most_bits: int = MOST_BITS):
     """A function (rows, key column, wanted) that gives the rows whose key the filter of ``keys`` (its only
     column) holds, or, if not ``wanted``, those it does not: these are certainly not in ``keys``."""
     spark = keys.sparkSession
-    ship_package(spark)
-    keys = keys.toDF("key").where("key IS NOT NULL")
+    keys = keys.toDF("key").where("key IS NOT NULL").select(F.col("key").cast("long").alias("key"))
     bits = min(most_bits, max(1 << 12, 1 << (BITS_A_KEY * keys.count()).bit_length()))
-    # at most bits / 64 rows
-    found = keys.mapInArrow(_words(bits), "word long, held long").groupBy("word").agg(F.bit_or("held").alias("held")).toArrow()
-    table = np.zeros(bits // 64, dtype=np.uint64)
-    table[found.column("word").to_numpy()] = found.column("held").to_numpy().view(np.uint64)
-    sent = spark.sparkContext.broadcast(table)
+    place = keys.select(F.explode(F.array(*_places(F.col("key"), bits))).alias("p"))
+    held = place.groupBy(F.floor(F.col("p") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("held"))
+    # bits / 64 rows make one array
+    every = spark.range(bits // 64).withColumnRenamed("id", "word").join(held, "word", "left")
+    words = every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("held", F.lit(0).cast("long")).alias("held")))).alias("w"))
+    table = spark.createDataFrame(words.select(F.lit(1).alias(_ONE), F.transform("w", lambda s: s["held"]).alias(_WORDS)).collect(), f"{_ONE} int, {_WORDS} array<long>")
 
     def part(rows: DataFrame, key: str, wanted: bool) -> DataFrame:
-        at = rows.columns.index(key)
-
-        def run(batches):
-            for batch in batches:
-                own = batch.column(at)
-                places = _places(own.fill_null(0).to_numpy(zero_copy_only=False), bits)
-                held = (sent.value[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1)
-                kept = held.reshape(HASHES, -1).all(axis=0) & own.is_valid().to_numpy(zero_copy_only=False)
-                kept = batch.filter(pa.array(kept if wanted else ~kept))
-                if kept.num_rows:
-                    yield kept
-
-        return rows.mapInArrow(run, rows.schema)
+        own = F.col(key).cast("long")
+        inside = own.isNotNull()
+        for p in _places(own, bits):
+            word = F.get(F.col(_WORDS), F.floor(p / 64).cast("int"))
+            inside &= word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))) != 0
+        met = rows.withColumn(_ONE, F.lit(1)).join(F.broadcast(table), _ONE)
+        return met.where(inside if wanted else ~inside).select(rows.columns)
 
     return part
 

@@ -91,6 +91,15 @@ def _prob1(df: DataFrame, col: str = "probability") -> F.Column:
     return vector_to_array(F.col(col))[1]
 
 
+def without_summary(model):
+    """``model`` (a pipeline's last stage, too) without its training summary, which holds the training rows'
+    DataFrame and the session. Tasks that score are sent the model, and a session cannot always be sent."""
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    if getattr(last, "hasSummary", False):
+        last._java_obj.setSummary(SparkSession.active().sparkContext._jvm.scala.Option.empty())
+    return model
+
+
 def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: ModelSpec) -> PipelineModel:
     """Fit feature stages + one estimator (LR gets regParam = 1 / sum(weights))."""
     w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
@@ -102,7 +111,7 @@ def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: Mo
         if name == "LogisticRegression":
             total = w.agg(F.sum("weight")).collect()[0][0] or 1.0     # one number
             est = est.setRegParam(1.0 / float(total))
-        return Pipeline(stages=feature_stages(cats) + [est]).fit(w)
+        return without_summary(Pipeline(stages=feature_stages(cats) + [est]).fit(w))
     finally:
         w.unpersist()
 
@@ -116,7 +125,7 @@ def fit_tfidf(train: DataFrame, name: str, key: str, label: str, tokens: str, ca
         est = estimators(label, spec)[name]
         if name == "LogisticRegression":
             est = est.setRegParam(1.0 / float(w.agg(F.sum("weight")).first()[0] or 1.0))
-        return Pipeline(stages=FE.tabular_stages(w, key, tokens, cats, max_features) + [est]).fit(w)
+        return without_summary(Pipeline(stages=FE.tabular_stages(w, key, tokens, cats, max_features) + [est]).fit(w))
     finally:
         w.unpersist()
 
@@ -214,7 +223,7 @@ def fit_part(frame: DataFrame, name: str, label: str, spec: ModelSpec):
     train = frame.where("w > 0")
     if name == "LogisticRegression":
         est = est.setRegParam(1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0))
-    return est.fit(train)
+    return without_summary(est.fit(train))
 
 
 def first_trees(model, n: int):

@@ -173,3 +173,22 @@ def test_first_trees_are_the_smaller_ensemble(spark, tmp_path):
             model.write().save(path)
             again = type(model).load(path)
             assert [r.probability for r in again.transform(df).collect()] == [r.probability for r in model.transform(df).collect()]
+
+
+def test_models_can_be_sent_once_the_session_has_observed_rows(spark):
+    from pyspark.sql import Observation
+
+    from talentmatch.operators import models as M
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = [(i, [float(i % 5), float(i % 3)], "ab"[i % 2], int(i % 4 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, emb array<double>, cat string, label int")
+    spec = M.ModelSpec(lr_iter=5, vote_trees=2, depth=2, gbt_depth=2)
+    vote = M.fit_vote(df, "label", ["cat"], spec)
+    assert not any(getattr(m.stages[-1], "hasSummary", False) for m in vote.values())
+    assert all(M.predict(m, df, "id", ["label"]).count() == 60 for m in vote.values())
+    assert len(M.predict_vote(vote, df, "id", ["label"]).collect()) == 60
+    frame = M.shared_folds(df, "id", "label", ["cat"], 2, [2]).frame(2)
+    for name in M.MODEL_ORDER[:2]:
+        assert M.fit_part(frame, name, "label", spec).transform(frame).select("probability").distinct().count() > 0

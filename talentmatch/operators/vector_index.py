@@ -13,8 +13,9 @@ the k best of a block leaves a task.
 * A catalogue within ``local_bytes`` (counted first) is broadcast whole; queries are answered row by
   row of Arrow batches, without a shuffle, also on a stream.
 * Beyond that only the blocks' centres are broadcast (their number is held to ``broadcast_bytes`` by
-  larger blocks). Queries travel in packs to the blocks they have to meet, joined on the block's
-  number: packs make an equi-join whose rows are products to be done, however many queries meet a block.
+  larger blocks). Blocks of neighbouring numbers form groups of about ``GROUP_BYTES``. Queries travel in
+  packs to the groups whose blocks they have to meet, first that of the best bound, then the others:
+  once for each group, not for each block. A task reads a group's blocks, then the packs one by one.
 
 Cosines that decide are computed anew, row by row in one fixed order, so equal vectors have equal
 cosines and ties go to the lower key.
@@ -27,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,12 @@ SLACK = 1e-9
 PACK_ROWS = 1024
 #: Vectors that choose the centroids; they decide how much is skipped, never a result.
 SAMPLE_ROWS = 20_000
+#: Vectors that travel together and that a task holds at a time.
+GROUP_BYTES = 32 << 20
+#: Blocks are multiplied in slabs of about so many vectors.
+SLAB_ROWS = 4096
 _PAIRS = 1 << 20
+_BOUNDS = 1 << 21
 
 
 # ---------------------------------------------------------------------------
@@ -66,19 +73,20 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)[:, None]
 
 
-def best_of(q: np.ndarray, u: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of q, row of u, cosine) of the k best of each row of q, best first, ties by row of u."""
+def best_of(q: np.ndarray, u: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of u, cosine) of what can be among the k best of each row of q, those below ``floor`` left out."""
     n = len(u)
     rough = q @ u.T
-    if n > k:
-        rows, cols = np.nonzero(rough >= np.partition(rough, n - k, axis=1)[:, n - k, None] - SLACK)
-    else:
-        rows, cols = np.divmod(np.arange(len(q) * n), max(n, 1))
+    near = None if floor is None else rough >= (floor - SLACK)[:, None]
+    if n > k and (near is None or np.count_nonzero(near) > 8 * k * len(q)):
+        kth = rough >= np.partition(rough, n - k, axis=1)[:, n - k, None] - SLACK
+        near = kth if near is None else near & kth
+    rows, cols = np.divmod(np.arange(len(q) * n), max(n, 1)) if near is None else np.nonzero(near)
     sims = np.empty(len(rows))
     step = max(1, _PAIRS // max(1, q.shape[1]))
     for at in range(0, len(rows), step):
         sims[at:at + step] = (q[rows[at:at + step]] * u[cols[at:at + step]]).sum(axis=1)
-    return leading(rows, cols, sims, k)
+    return rows, cols, sims
 
 
 def leading(rows: np.ndarray, names: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,52 +224,80 @@ def prepare_jobs(jobs: DataFrame, job_key: str = "codigo_vaga", vec: str = "embe
 
 
 # ---------------------------------------------------------------------------
-# A catalogue that one process holds
+# Blocks that one process holds
 # ---------------------------------------------------------------------------
 
 class Catalogue:
-    """All blocks of an index."""
-
-    def __init__(self, rows: list, width: int):
-        names = [i for r in rows for i in r["ids"]]
-        order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i]))
-        place = np.empty(len(names), dtype=np.int64)
-        place[order] = np.arange(len(names))
-        self.names = [names[i] for i in order]
-        cuts = np.cumsum([0] + [len(r["ids"]) for r in rows])
-        self.places = [place[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        self.vectors = [np.frombuffer(r["vectors"], np.float64).reshape(-1, width) for r in rows]
-        self.centres = Centres(np.array([np.frombuffer(r["centre"], np.float64) for r in rows]), np.array([r["angle"] for r in rows]))
-
-    def search(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, place of the job in ``names``, cosine) of the k best of each row, and how many blocks each row met."""
+    """Blocks of an index, all or a group of them, their vectors one below the other."""
+
+    def __init__(self, ids: list, vectors: list, centres: list, angles: list, width: int):
+        self.starts = np.cumsum([0] + [len(i) for i in ids])
+        names = pa.concat_arrays(ids)
+        order = pc.array_sort_indices(names, null_placement="at_start").to_numpy()
+        self.places = np.empty(len(names), dtype=np.int64)       # of each vector: its job's place in ``names``
+        self.places[order] = np.arange(len(names))
+        self.names = names.take(pa.array(order))
+        self.u = np.empty((len(names), width))
+        for start, v in zip(self.starts, vectors, strict=False):
+            block = np.frombuffer(v, np.float64).reshape(-1, width)
+            self.u[start:start + len(block)] = block
+        self.centres = Centres(np.array([np.frombuffer(c, np.float64) for c in centres]), np.array(angles))
+        slab = self.starts[:-1] // SLAB_ROWS
+        self.slabs = np.concatenate([np.flatnonzero(np.diff(slab, prepend=-1)), [len(slab)]])
+
+    def search(self, q: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place of the job in ``names``, cosine) of the k best of each row, and how many blocks each row
+        met. With ``floor``, cosines below a row's need not be found."""
+        step = max(1, _BOUNDS // len(self.centres.angle))
+        parts = [self._search(q[at:at + step], k, None if floor is None else floor[at:at + step]) for at in range(0, len(q), step)]
+        rows = np.concatenate([r + i * step for i, (r, *_) in enumerate(parts)])
+        return rows, *[np.concatenate([p[j] for p in parts]) for j in (1, 2, 3)]
+
+    def _search(self, q, k, floor):
         bounds = self.centres.bounds(q)
+        threshold = np.full(len(q), -np.inf) if floor is None else floor.copy()
         first = bounds.argmax(axis=1)
+        first[bounds.max(axis=1) < threshold] = -1
+        met = (first >= 0).astype(np.int64)
         found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        threshold, met = np.full(len(q), -np.inf), np.ones(len(q), dtype=np.int64)
 
-        def meet(block: int, rows: np.ndarray) -> None:
+        def keep(more: list) -> None:
             nonlocal found
-            r, c, s = best_of(q[rows], self.vectors[block], k)
-            # a block's places rise with its rows, so ties within it are in order already
-            found = leading(np.concatenate([found[0], rows[r]]), np.concatenate([found[1], self.places[block][c]]), np.concatenate([found[2], s]), k)
+            found = leading(*[np.concatenate([found[j], *[m[j] for m in more]]) for j in range(3)], k)
             full = found[0][k - 1:] == found[0][:len(found[0]) - k + 1] if len(found[0]) >= k else np.zeros(0, bool)
             last = np.flatnonzero(full) + k - 1
-            threshold[found[0][last]] = found[2][last]
-
-        for block in np.unique(first):
-            meet(int(block), np.flatnonzero(first == block))
-        for block in np.argsort(-bounds.max(axis=0)):
-            rows = np.flatnonzero((bounds[:, block] >= threshold) & (first != block))
-            if len(rows):
-                met[rows] += 1
-                meet(int(block), rows)
+            threshold[found[0][last]] = np.maximum(threshold[found[0][last]], found[2][last])
+
+        def meet(cols, rows: np.ndarray) -> tuple:
+            r, c, s = best_of(q[rows], self.u[cols], k, threshold[rows] if np.isfinite(threshold[rows]).any() else None)
+            return rows[r], c + cols.start if isinstance(cols, slice) else cols[c], s
+
+        def placed(r, at, s):
+            return r, self.places[at], s
+
+        best = [placed(*meet(slice(self.starts[b], self.starts[b + 1]), np.flatnonzero(first == b))) for b in np.unique(first[first >= 0])]
+        if best:
+            keep(best)
+        peaks = np.maximum.reduceat(bounds.max(axis=0), self.slabs[:-1])
+        for i in np.argsort(-peaks):
+            a, b = self.slabs[i], self.slabs[i + 1]
+            open_ = (bounds[:, a:b] >= threshold[:, None]) & (np.arange(a, b) != first[:, None])
+            met += open_.sum(axis=1)
+            rows, blocks = np.flatnonzero(open_.any(axis=1)), a + np.flatnonzero(open_.any(axis=0))
+            if not len(rows):
+                continue
+            whole = len(blocks) == b - a
+            cols = slice(self.starts[a], self.starts[b]) if whole else np.concatenate([np.arange(self.starts[x], self.starts[x + 1]) for x in blocks])
+            r, at, s = meet(cols, rows)
+            # the block that a row has met already stands in the slab if others have to meet it
+            new = (at < self.starts[first[r]]) | (at >= self.starts[first[r] + 1]) | (first[r] < 0)
+            keep([placed(r[new], at[new], s[new])])
         return *found, met
 
 
 def _answered(sent, width: int, k: int, key_type: pa.DataType, job_type: pa.DataType, counted: bool):
     def run(batches):
-        names = pa.array(sent.value.names, job_type)
+        names = sent.value.names.cast(job_type)
         for batch in batches:
             for at in range(0, batch.num_rows, PACK_ROWS):
                 part = batch.slice(at, PACK_ROWS)
@@ -276,72 +312,95 @@ def _answered(sent, width: int, k: int, key_type: pa.DataType, job_type: pa.Data
 # A catalogue of many blocks
 # ---------------------------------------------------------------------------
 
-def _first_packs(centres: Centres, width: int, numbers: list, pack_rows: int):
-    """Queries in packs by the block of their best bound."""
+def _first_packs(centres: Centres, width: int, group: np.ndarray, pack_rows: int):
+    """Queries in packs by the group of the block of their best bound."""
+    step = max(1, _BOUNDS // len(group))
+
     def run(batches):
         for batch in batches:
             q = unit_rows(matrix(batch.column("v"), width))
-            near = centres.bounds(q).argmax(axis=1)
-            for block in np.unique(near):
-                rows = np.flatnonzero(near == block)
+            near = group[np.concatenate([np.zeros(0, np.int64)] + [centres.bounds(q[at:at + step]).argmax(axis=1) for at in range(0, len(q), step)])]
+            for g in np.unique(near):
+                rows = np.flatnonzero(near == g)
                 for at in range(0, len(rows), pack_rows):
-                    yield _pack(numbers[block], batch.column("key"), q, rows[at:at + pack_rows])
+                    part = rows[at:at + pack_rows]
+                    yield _pack(g, batch.column("key"), q, part, np.full(len(part), -np.inf))
     return run
 
 
-def _pack(number: int, keys: pa.Array, q: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    own = keys.take(pa.array(rows))
-    columns = [pa.array([number], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), own), pa.array([q[rows].tobytes()], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["block", "keys", "queries"])
-
+def _further_packs(centres: Centres, width: int, k: int, group: np.ndarray, pack_rows: int):
+    """Queries in packs by every other group with a block whose bound reaches their k-th cosine."""
+    starts = np.flatnonzero(np.diff(group, prepend=-1))      # blocks of a group stand together
+    step = max(1, min(pack_rows, _BOUNDS // len(group)))
 
-def _met(width: int, k: int):
-    """The k best of a block for each query of a pack, a row for each query."""
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                q = np.frombuffer(batch.column("queries")[i].as_buffer(), np.float64).reshape(-1, width)
-                u = np.frombuffer(batch.column("vectors")[i].as_buffer(), np.float64).reshape(-1, width)
-                rows, cols, sims = best_of(q, u, k)
-                counts = np.bincount(rows, minlength=len(q))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                jobs = pa.ListArray.from_arrays(offsets, batch.column("ids")[i].values.take(pa.array(cols)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(q), batch.column("block")[i].as_py(), np.int32)), batch.column("keys")[i].values,
-                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * width), len(q), [None, pa.py_buffer(q.tobytes())]).cast(pa.binary()),
-                     jobs, pa.ListArray.from_arrays(offsets, pa.array(sims))], ["block", "key", "query", "jobs", "sims"])
+            q = np.frombuffer(b"".join(batch.column("query").to_pylist()), np.float64).reshape(-1, width)
+            floor = np.array([s[k - 1] if len(s) >= k else -np.inf for s in batch.column("sims").to_pylist()])
+            own = batch.column("group").to_numpy()
+            for lo in range(0, len(q), 16 * step):
+                open_ = np.concatenate([np.logical_or.reduceat(centres.bounds(q[at:at + step]) >= floor[at:at + step, None], starts, axis=1)
+                                        for at in range(lo, min(lo + 16 * step, len(q)), step)])
+                for i, g in enumerate(group[starts]):
+                    rows = lo + np.flatnonzero(open_[:, i] & (own[lo:lo + len(open_)] != g))
+                    for at in range(0, len(rows), pack_rows):
+                        yield _pack(g, batch.column("key"), q, rows[at:at + pack_rows], floor[rows[at:at + pack_rows]])
     return run
 
 
-def _further_packs(centres: Centres, width: int, k: int, numbers: list, pack_rows: int):
-    """Queries in packs by every other block whose bound reaches their k-th cosine."""
+def _pack(group: int, keys: pa.Array, q: np.ndarray, rows: np.ndarray, floor: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([group], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), keys.take(pa.array(rows))),
+               pa.array([q[rows].tobytes()], pa.binary()), pa.array([floor.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["group", "keys", "queries", "floor"])
+
+
+def _met(width: int, k: int):
+    """The k best of a group for each query of a pack, a row for each query. A group's blocks come before its packs."""
     def run(batches):
-        order = np.array(numbers)
+        current, blocks, held = None, [], None
         for batch in batches:
-            for at in range(0, batch.num_rows, pack_rows):
-                part = batch.slice(at, pack_rows)
-                q = np.frombuffer(b"".join(part.column("query").to_pylist()), np.float64).reshape(-1, width)
-                threshold = np.array([s[k - 1] if len(s) >= k else -np.inf for s in part.column("sims").to_pylist()])
-                open_ = (centres.bounds(q) >= threshold[:, None]) & (order[None, :] != part.column("block").to_numpy()[:, None])
-                for block in np.flatnonzero(open_.any(axis=0)):
-                    yield _pack(numbers[block], part.column("key"), q, np.flatnonzero(open_[:, block]))
+            column = batch.column
+            groups, shards, kinds = (column(c).to_numpy() for c in ("group", "shard", "kind"))
+            for i in range(batch.num_rows):
+                if (groups[i], shards[i]) != current:
+                    current, blocks, held = (groups[i], shards[i]), [], None
+                if kinds[i] == 0:
+                    blocks.append((column("ids")[i].values, column("vectors")[i].as_buffer(), column("centre")[i].as_py(), column("angle")[i].as_py()))
+                    continue
+                if held is None:
+                    held, blocks = Catalogue(*zip(*blocks, strict=True), width), []
+                q = np.frombuffer(column("queries")[i].as_buffer(), np.float64).reshape(-1, width)
+                rows, places, sims, _ = held.search(q, k, np.frombuffer(column("floor")[i].as_buffer(), np.float64))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(q)))]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(q), groups[i], np.int32)), column("keys")[i].values,
+                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * width), len(q), [None, pa.py_buffer(q.tobytes())]).cast(pa.binary()),
+                     pa.ListArray.from_arrays(offsets, held.names.take(pa.array(places))), pa.ListArray.from_arrays(offsets, pa.array(sims))],
+                    ["group", "key", "query", "jobs", "sims"])
     return run
 
 
-def _centres(index: JobIndex) -> None:
+def _centres(index: JobIndex, blocks: DataFrame) -> None:
     """Collects the blocks' centres: as many rows as blocks, held to a bound by ``prepare_jobs``."""
     if index.centres is None:
-        rows = sorted(index.blocks.select("block", "centre", "angle").collect(), key=lambda r: r["block"])
+        rows = sorted(blocks.select("block", "centre", "angle").collect(), key=lambda r: r["block"])
         index.numbers = [r["block"] for r in rows]
         index.centres = Centres(np.array([np.frombuffer(r["centre"], np.float64) for r in rows]), np.array([r["angle"] for r in rows]))
 
 
+def _whole(index: JobIndex) -> Catalogue:
+    """All blocks of an index in this process."""
+    rows = index.blocks.toArrow()
+    return Catalogue([x.values for x in rows.column("ids")], [x.as_buffer() for x in rows.column("vectors")], rows.column("centre").to_pylist(),
+                     rows.column("angle").to_pylist(), index.width)
+
+
 def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_key: str, job_type: T.DataType, vec: str = "embedding",
            local_bytes: int = 64 << 20, pack_rows: int = PACK_ROWS, written=None, met: str | None = None) -> DataFrame:
     """(cand_key, rank, job_key, sim): the k best of each scorable candidate.
 
-    ``written`` writes a table and reads it back (needed beyond ``local_bytes``: the first round is
-    used twice). ``met`` names a further column: how many blocks the candidate met (local only).
+    ``written`` writes a table and reads it back (needed beyond ``local_bytes``: the blocks and the first
+    round are used several times). ``met`` names a further column: how many blocks the candidate met (local only).
     """
     spark = candidates.sparkSession
     ship_package(spark)
@@ -354,20 +413,33 @@ def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_ke
         return asked.where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in ranked])
     if index.bytes <= local_bytes:
         if index.held is None:
-            index.held = spark.sparkContext.broadcast(Catalogue(index.blocks.collect(), index.width))
+            index.held = spark.sparkContext.broadcast(_whole(index))
         inside = T.StructType([T.StructField(n, f.dataType) for n, f in zip(["key", "rank", "job", "sim", "met"], ranked)])
         found = asked.mapInArrow(_answered(index.held, index.width, k, to_arrow_type(key_type), to_arrow_type(job_type), bool(met)), inside)
         return found.toDF(*ranked.names)
 
-    _centres(index)
-    packs = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("keys", T.ArrayType(key_type)), T.StructField("queries", T.BinaryType())])
-    round_ = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("key", key_type), T.StructField("query", T.BinaryType()),
+    # every block is used once for each round and for the centres
+    blocks = written(index.blocks, "blocks")
+    _centres(index, blocks)
+    in_group = max(1, GROUP_BYTES * index.n_blocks // index.bytes)
+    group = np.array(index.numbers) // in_group
+    # a group goes to several tasks, each of which meets a part of its packs
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    shards = -(-2 * tasks // len(np.unique(group)))
+    packs = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("keys", T.ArrayType(key_type)), T.StructField("queries", T.BinaryType()),
+                          T.StructField("floor", T.BinaryType())])
+    round_ = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("key", key_type), T.StructField("query", T.BinaryType()),
                            T.StructField("jobs", T.ArrayType(job_type)), T.StructField("sims", T.ArrayType(T.DoubleType()))])
-    stored = index.blocks.select("block", "ids", "vectors")
-    first = written(asked.mapInArrow(_first_packs(index.centres, index.width, index.numbers, pack_rows), packs)
-                    .join(stored, "block").mapInArrow(_met(index.width, k), round_), "first-round")
-    further = (first.select("block", "key", "query", "sims").mapInArrow(_further_packs(index.centres, index.width, k, index.numbers, pack_rows), packs)
-               .join(stored, "block").mapInArrow(_met(index.width, k), round_))
+    stored = blocks.select(F.floor(F.col("block") / in_group).cast("int").alias("group"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+                                 F.lit(0).alias("kind"), "block", "ids", "vectors", "centre", "angle")
+
+    def answered(sent: DataFrame) -> DataFrame:
+        sent = sent.withColumn("shard", F.pmod(F.xxhash64("keys", "queries"), F.lit(shards)).cast("int")).withColumn("kind", F.lit(1))
+        dealt = stored.unionByName(sent, allowMissingColumns=True).repartition(tasks, "group", "shard")
+        return dealt.sortWithinPartitions("group", "shard", "kind", "block").mapInArrow(_met(index.width, k), round_)
+
+    first = written(answered(asked.mapInArrow(_first_packs(index.centres, index.width, group, pack_rows), packs)), "first-round")
+    further = answered(first.select("group", "key", "query", "sims").mapInArrow(_further_packs(index.centres, index.width, k, group, pack_rows), packs))
     each = first.select("key", "jobs", "sims").unionAll(further.select("key", "jobs", "sims")).select(
         "key", F.explode(F.arrays_zip("jobs", "sims")).alias("x")).select("key", F.col("x.jobs").alias("job"), F.col("x.sims").alias("sim"))
     order = Window.partitionBy("key").orderBy(F.desc("sim"), "job")

@@ -145,3 +145,47 @@ def test_one_candidate_needs_no_join_and_no_window(spark):
     assert R.recommend_one([0.0] * 8, j, k=2).collect()[0]["similaridade"] == 0.0
     for bad in ([], None, [float("nan")] * 8, [None] * 8):
         assert R.recommend_one(bad, j, k=2).count() == 0
+
+
+def test_small_blocks_are_met_in_few_products(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from talentmatch.operators import vector_index as VI
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 6))
+    jobs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "codigo_vaga long, embedding array<double>")
+    index = VI.prepare_jobs(jobs, block_size=4, clusters=8)
+    held, calls, real = VI._whole(index), [], VI.best_of
+    monkeypatch.setattr(VI, "best_of", lambda q, *a: calls.append(len(q)) or real(q, *a))
+    u = VI.unit_rows(x)
+    rows, places, sims, met = held.search(u[:50], 3)
+    right = np.argsort(-(u[:50] @ u.T), axis=1, kind="stable")[:, :3]
+    assert held.names.take(pa.array(places)).to_pylist() == right.ravel().tolist()
+    assert 1 <= met.min() and met.max() <= index.n_blocks and index.n_blocks >= 500
+    # one for each block that is some row's best, one for all others
+    assert len(calls) <= 50 + 1
+
+
+def test_queries_travel_once_for_each_group_of_blocks(spark, monkeypatch):
+    import numpy as np
+
+    from talentmatch.operators import vector_index as VI
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 8))
+    jobs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "codigo_vaga long, embedding array<double>")
+    cands = jobs.withColumnRenamed("codigo_vaga", "candidate_id")
+    seen = []
+    real = type(jobs).mapInArrow
+    monkeypatch.setattr(type(jobs), "mapInArrow", lambda df, *a, **k: (lambda out: seen.append(out) or out)(real(df, *a, **k)))
+    monkeypatch.setattr(VI, "GROUP_BYTES", 20_000)
+    got = R.recommend_topk(cands, jobs, k=3, block_size=8, clusters=4, broadcast_bytes=0, part_rows=16)
+    found = {(r["candidate_id"], r["rank"]): r["codigo_vaga"] for r in got.collect()}
+    u = VI.unit_rows(x)
+    right = np.argsort(-(u @ u.T), axis=1, kind="stable")[:, :3]
+    assert found == {(i, n + 1): int(j) for i, row in enumerate(right) for n, j in enumerate(row)}
+    packs = [d for d in seen if "keys" in d.columns]
+    groups = len({r["group"] for p in packs for r in p.select("group").collect()})
+    assert 2 <= groups <= 6
+    # both rounds: as many as queries times groups at most, though there are some 75 blocks
+    assert sum(len(r["keys"]) for p in packs for r in p.collect()) <= 600 * groups

@@ -12,42 +12,40 @@ joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talentmatch.functions import text as T
 
 
-def signed_slots(text: str, dim: int) -> Column:
-    """Per token its slot (1 to ``dim``), negative for half of the tokens, from the token's md5."""
-    hashes = F.transform(T.bow_tokens(text), F.md5)
+def _unit_counts(dim: int):
+    """Arrow batches of token lists to unit vectors; a token's hash is taken once for each batch."""
+    import hashlib
 
-    def slot(h):
-        place = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int") + 1
-        return F.when(F.conv(F.substring(h, 9, 1), 16, 10).cast("int") < 8, place).otherwise(-place)
+    import numpy as np
+    import pyarrow as pa
 
-    return F.transform(hashes, slot)
+    def run(tokens):
+        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        coded = tokens.flatten().dictionary_encode()
+        hashes = [hashlib.md5(t.encode()).hexdigest() for t in coded.dictionary.to_pylist()]
+        slots = np.array([int(h[:8], 16) % dim for h in hashes], dtype=np.int64)
+        signs = np.array([1.0 if int(h[8], 16) < 8 else -1.0 for h in hashes])
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        counts = np.bincount(rows * dim + slots[codes], weights=signs[codes], minlength=len(lengths) * dim).reshape(-1, dim)
+        unit = counts / np.sqrt(np.maximum((counts * counts).sum(axis=1), 1))[:, None] + 0.0
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * dim), pa.array(unit.ravel()))
 
-
-def _bound(value: Column, f) -> Column:
-    """``f`` of a value that is computed once, however often ``f`` names it."""
-    return F.transform(F.array(value), f)[0]
+    return run
 
 
 def with_hash(df: DataFrame, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
     """M10 built-in encoder: ``df`` with ``out``, an array<double> of unit length (all zeros for a
-    text without tokens). Row by row: nothing is shuffled or joined."""
-    slots = F.coalesce(signed_slots(text, dim), F.array().cast("array<int>"))
-
-    def counts(s):
-        # tokens of a slot less those of its negative, each counted by what removing it leaves
-        return F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda i: F.size(F.array_remove(s, -i)) - F.size(F.array_remove(s, i)))
-
-    def unit(c):
-        squares = F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x.cast("long") * x.cast("long"))
-        return _bound(F.sqrt(F.greatest(squares, F.lit(1)).cast("double")), lambda n: F.transform(c, lambda x: x.cast("double") / n))
-
-    return df.withColumn(out, _bound(_bound(slots, counts), unit))
+    text without tokens). A token's md5 gives its slot (first 8 digits) and sign (the ninth). Row by row:
+    nothing is shuffled or joined."""
+    unit = F.arrow_udf(_unit_counts(dim), "array<double>")
+    return df.withColumn(out, unit(F.coalesce(T.bow_tokens(text), F.array().cast("array<string>"))))
 
 
 def embed_hash(df: DataFrame, key: str, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:

@@ -192,3 +192,23 @@ def test_models_can_be_sent_once_the_session_has_observed_rows(spark):
     frame = M.shared_folds(df, "id", "label", ["cat"], 2, [2]).frame(2)
     for name in M.MODEL_ORDER[:2]:
         assert M.fit_part(frame, name, "label", spec).transform(frame).select("probability").distinct().count() > 0
+
+
+def test_embedding_takes_one_pass_over_the_tokens(spark):
+    import hashlib
+
+    from talentmatch.operators.embed import embed_hash
+    texts = [(1, "um dois dois três \U0001d4d0\U0001d4d0 um"), (2, None), (3, "um " * 500), (4, "a")]
+    e = embed_hash(spark.createDataFrame(texts, "id int, t string"), "id", "t", 8)
+    plan = e._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_remove" not in plan and "sequence" not in plan
+    got = {r["id"]: r["embedding"] for r in e.collect()}
+    for i, tokens in [(1, ["um", "dois", "dois", "três", "um"]), (3, ["um"] * 500)]:
+        want = [0.0] * 8
+        for t in tokens:
+            h = hashlib.md5(t.encode()).hexdigest()
+            want[int(h[:8], 16) % 8] += 1 if int(h[8], 16) < 8 else -1
+        n = math.sqrt(max(sum(x * x for x in want), 1))
+        if i == 3:
+            assert got[i] == [x / n for x in want]
+    assert got[2] == got[4] == [0.0] * 8

@@ -212,3 +212,10 @@ def test_embedding_takes_one_pass_over_the_tokens(spark):
         if i == 3:
             assert got[i] == [x / n for x in want]
     assert got[2] == got[4] == [0.0] * 8
+
+
+def test_training_frames_have_no_more_partitions_than_cores(spark):
+    from talentmatch.operators import models as M
+    cores = spark.sparkContext.defaultParallelism
+    frame = spark.range(1)
+    assert [M._training_partitions(frame, n) for n in (0, 1, 4001, 4000 * cores, 4000 * cores * 50)] == [1, 1, 2, cores, cores]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Bits a key, keys' hash functions, and the most bits of a filter (16 MB).
 BITS_A_KEY, HASHES, MOST_BITS = 12, 4, 1 << 27
-_WORDS, _ONE = "__filter_words", "__filter_one"
+_WORDS, _ONE, _HELD = "__filter_words", "__filter_one", "__filter_held"
 
 
 def _places(key: Column, bits: int) -> list[Column]:
@@ -45,12 +45,18 @@ def may_hold(keys: DataFrame, most_bits: int = MOST_BITS):
     return part
 
 
+def _met(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``_HELD``: true where ``keys`` has the key, else null. An outer join: Spark moves a semi or
+    anti join below the filter's, where it shuffles every document."""
+    return rows.join(keys.toDF(key).distinct().withColumn(_HELD, F.lit(True)), key, "left")
+
+
 def only(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The rows whose ``key`` (long) is in the only column of ``keys``."""
-    return may_hold(keys)(rows, key, True).join(keys.toDF(key), key, "left_semi").select(rows.columns)
+    return _met(may_hold(keys)(rows, key, True), key, keys).where(F.col(_HELD)).select(rows.columns)
 
 
 def without(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The rows whose ``key`` (long) is null or not in the only column of ``keys``."""
     part = may_hold(keys)
-    return part(rows, key, False).unionAll(part(rows, key, True).join(keys.toDF(key), key, "left_anti").select(rows.columns))
+    return part(rows, key, False).unionAll(_met(part(rows, key, True), key, keys).where(F.col(_HELD).isNull()).select(rows.columns))

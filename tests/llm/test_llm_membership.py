@@ -27,3 +27,11 @@ def test_few_others_are_held_by_mistake(spark):
     part = MB.may_hold(keys)
     assert part(spark.range(20_000), "id", True).count() == 20_000
     assert part(spark.range(100_000, 200_000), "id", True).count() < 2_000
+
+
+@pytest.mark.parametrize("join", [MB.only, MB.without])
+def test_rows_are_filtered_before_they_are_shuffled(spark, join):
+    rows, keys = spark.range(1000).selectExpr("id", "string(id) AS text"), spark.range(0, 100, 7).toDF("k")
+    plan = join(rows, "id", keys)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deep = [(line.index("Join "), "__filter_words" in line.split("Join ")[1]) for line in plan if "Join " in line]
+    assert max(d for d, words in deep if not words) < max(d for d, words in deep if words)

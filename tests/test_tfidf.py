@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talentmatch.functions import text as T
 from talentmatch.operators import features as FE
+from talentmatch.plans import q_models
 
 DOCS = [(1, ["a", "a", "b", "c"]), (2, ["a", "b", "d"]), (2, ["a", "e"]), (None, ["b", "f"]), (None, ["g"]), (3, []), (4, None), (5, ["a", "h"])]
 
@@ -47,3 +48,18 @@ def test_only_leading_terms_are_counted_by_document(spark, monkeypatch):
 def test_ngrams_evaluate_their_tokens_once(spark):
     plan = spark.range(1).select(T.ngrams_1_2(T.bow_tokens(F.col("id").cast("string"))).alias("g"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_only_labelled_texts_are_cleaned(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(1, "a text", "en", "s", 6)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+
+    def stop(df, *_):
+        seen.append(df.columns)
+        raise RuntimeError
+
+    monkeypatch.setattr(q_models.FE, "preprocess_frame", stop)
+    with pytest.raises(RuntimeError):
+        q_models.tfidf_train(spark, str(tmp_path))
+    assert "label" in seen[0]

@@ -44,7 +44,9 @@ SAMPLE_ROWS = 20_000
 GROUP_BYTES = 32 << 20
 #: Blocks are multiplied in slabs of about so many vectors.
 SLAB_ROWS = 4096
-_PAIRS = 1 << 20
+_PAIRS = 1 << 18
+#: Cosines that a product holds at a time.
+_PRODUCT = 1 << 20
 _BOUNDS = 1 << 21
 
 
@@ -75,7 +77,10 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 def best_of(q: np.ndarray, u: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of q, row of u, cosine) of what can be among the k best of each row of q, those below ``floor`` left out."""
-    n = len(u)
+    n, many = len(u), max(1, _PRODUCT // max(1, len(u)))
+    if len(q) > many:
+        parts = [best_of(q[at:at + many], u, k, None if floor is None else floor[at:at + many]) for at in range(0, len(q), many)]
+        return np.concatenate([r + i * many for i, (r, _, _) in enumerate(parts)]), *[np.concatenate([p[j] for p in parts]) for j in (1, 2)]
     rough = q @ u.T
     near = None if floor is None else rough >= (floor - SLACK)[:, None]
     if n > k and (near is None or np.count_nonzero(near) > 8 * k * len(q)):

@@ -189,3 +189,22 @@ def test_queries_travel_once_for_each_group_of_blocks(spark, monkeypatch):
     assert 2 <= groups <= 6
     # both rounds: as many as queries times groups at most, though there are some 75 blocks
     assert sum(len(r["keys"]) for p in packs for r in p.collect()) <= 600 * groups
+
+
+def test_products_of_a_pack_are_small(monkeypatch):
+    import tracemalloc
+
+    from talentmatch.operators import vector_index as VI
+    rng = np.random.default_rng(5)
+    q, u = VI.unit_rows(rng.normal(size=(1000, 8))), VI.unit_rows(rng.normal(size=(4096, 8)))
+    tracemalloc.start()
+    found = VI.leading(*VI.best_of(q, u, 3), 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    right = np.argsort(-(q @ u.T), axis=1, kind="stable")[:, :3]
+    assert found[1].tolist() == right.ravel().tolist()
+    floor = np.full(len(q), 0.9)
+    rows, cols, _ = VI.best_of(q, u, 3, floor)
+    assert set(zip(*np.nonzero(q @ u.T >= 0.9), strict=True)) >= set(zip(rows.tolist(), cols.tolist(), strict=True)) >= {
+        (i, int(j)) for i, row in enumerate(right) for j in row if q[i] @ u[j] >= 0.9}

@@ -35,10 +35,19 @@ MODEL_ORDER = ["LogisticRegression", "RandomForest", "GradientBoostedTrees", "Vo
 ROWS_PER_PARTITION = 4000
 
 
-def _training_partitions(df: DataFrame, rows: int) -> int:
-    """No more than the rows fill, and no more than the cores: each solver iteration and each level of a
-    tree is a job over all of them, whose tasks each send a result (of a forest a table of all its nodes)."""
-    return max(1, min(-(-rows // ROWS_PER_PARTITION), df.sparkSession.sparkContext.defaultParallelism))
+#: Training rows that are too many for a task, if there are cores for more.
+ROWS_A_TASK = 100_000
+#: Trees of a forest that one fit grows.
+TREES_A_FIT = 10
+
+
+def _training_partitions(df: DataFrame, rows: int, side_by_side: int = 1) -> int:
+    """No more than the rows fill, and no more than the cores of each of the fits ``side_by_side`` (of all,
+    if a task would have to hold more than ``ROWS_A_TASK``): each solver iteration and each level of a
+    tree is a job over all of them, whose tasks each send a result (of a forest a table of all its
+    nodes, so that more partitions are more work, not less time)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-rows // ROWS_PER_PARTITION), cores, max(-(-cores // side_by_side), -(-rows // ROWS_A_TASK))))
 
 
 @dataclass
@@ -107,17 +116,50 @@ def without_summary(model):
     return model
 
 
+def _slices(est) -> list[tuple[int, int]]:
+    """(first tree, number of trees) of the fits that grow a forest; one for any other model."""
+    if not isinstance(est, RandomForestClassifier):
+        return [(0, 1)]
+    return [(i, min(TREES_A_FIT, est.getNumTrees() - i)) for i in range(0, est.getNumTrees(), TREES_A_FIT)]
+
+
+def _fit(est, train: DataFrame, threads: int = 1):
+    """``est`` fitted on ``train``. The trees of a forest know nothing of each other: fits of a few trees,
+    each with a seed of its own, run side by side, and their trees make one forest."""
+    slices = _slices(est)
+    if len(slices) == 1:
+        return est.fit(train)
+    grown = _in_threads(lambda s: est.copy({est.numTrees: s[1], est.seed: est.getSeed() + s[0]}).fit(train), slices, threads)
+    first = grown[0]._java_obj
+    return _forest(first.uid(), [t for m in grown for t in m._java_obj.trees()], first.numFeatures(), first.numClasses())
+
+
+def _forest(uid: str, trees: list, n_features: int, n_classes: int) -> RandomForestClassificationModel:
+    """The forest of these (JVM) trees."""
+    jvm = SparkSession.active().sparkContext._gateway
+    package = jvm.jvm.org.apache.spark.ml.classification
+    some = jvm.new_array(package.DecisionTreeClassificationModel, len(trees))
+    for i, t in enumerate(trees):
+        some[i] = t
+    forest = package.RandomForestClassificationModel(uid, some, n_features, n_classes)
+    forest.set(forest.getParam("numTrees"), len(trees))       # what a stored forest is checked against
+    return RandomForestClassificationModel(forest)
+
+
 def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: ModelSpec) -> PipelineModel:
     """Fit feature stages + one estimator (LR gets regParam = 1 / sum(weights))."""
     w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
+    est = estimators(label, spec)[name]
+    fits = len(_slices(est))
     # every stage fit and every solver pass reads it: keep it
-    w = w.coalesce(_training_partitions(w, train.count())).persist()
+    w = w.coalesce(_training_partitions(w, train.count(), fits)).persist()
     try:
-        est = estimators(label, spec)[name]
         if name == "LogisticRegression":
             total = w.agg(F.sum("weight")).collect()[0][0] or 1.0     # one number
             est = est.setRegParam(1.0 / float(total))
-        return without_summary(Pipeline(stages=feature_stages(cats) + [est]).fit(w))
+        made = Pipeline(stages=feature_stages(cats)).fit(w)
+        model = _fit(est, made.transform(w), min(fits, w.sparkSession.sparkContext.defaultParallelism))
+        return without_summary(PipelineModel(stages=[*made.stages, model]))
     finally:
         w.unpersist()
 
@@ -202,13 +244,13 @@ class Folds:
 
 
 def shared_folds(df: DataFrame, key: str, label: str, cats: list[str], k: int = 5, parts: list[int] | None = None,
-                 leaky: bool = False) -> Folds:
+                 leaky: bool = False, side_by_side: int = 1) -> Folds:
     """One cached, vectorised frame for all folds. The feature stages are fitted once for each training part.
 
     ``leaky`` upsamples before folding, as the scripts do: copies are rows of their own, and may stand
     on both sides of a fold.
 
-    The frame has no more partitions than its rows, or the cores, fill."""
+    The frame has no more partitions than its rows, or the cores of one of the fits ``side_by_side``, fill."""
     if leaky:
         copies = S.stratified_folds(S.upsample_minority(df, label, key).drop("slot"), label, key, k)
         weighted = copies.withColumn("weights", F.array(*[(F.col("fold") != f).cast("int") for f in range(k)], F.lit(1)))
@@ -216,7 +258,7 @@ def shared_folds(df: DataFrame, key: str, label: str, cats: list[str], k: int =
         weighted = S.fold_weights(df, label, key, k)
     rows = with_emb_vector(weighted).withColumn(label, F.col(label).cast("double"))
     rows = rows.select(key, label, "emb_vec", *cats, "fold", "weights")
-    rows = rows.coalesce(_training_partitions(rows, df.count())).persist()
+    rows = rows.coalesce(_training_partitions(rows, df.count(), side_by_side)).persist()
     fit = lambda part: Pipeline(stages=feature_stages(cats)).fit(rows.where(F.col("weights")[part] > 0))
     wanted = list(range(k + 1)) if parts is None else parts
     return Folds(rows, k, label, dict(zip(wanted, _in_threads(fit, wanted, 4))))
@@ -228,7 +270,7 @@ def fit_part(frame: DataFrame, name: str, label: str, spec: ModelSpec):
     train = frame.where("w > 0")
     if name == "LogisticRegression":
         est = est.setRegParam(1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0))
-    return without_summary(est.fit(train))
+    return without_summary(_fit(est, train))
 
 
 def first_trees(model, n: int):
@@ -238,21 +280,15 @@ def first_trees(model, n: int):
     if n >= len(trees):
         return model
     gateway = model._java_obj
+    if not isinstance(model, GBTClassificationModel):
+        return _forest(f"{model.uid}_{n}", list(trees[:n]), gateway.numFeatures(), gateway.numClasses())
     jvm = SparkSession.active().sparkContext._gateway
-    boosted = isinstance(model, GBTClassificationModel)
-    kind = jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel if boosted else jvm.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel
-    some = jvm.new_array(kind, n)
-    for i in range(n):
-        some[i] = trees[i]
+    some = jvm.new_array(jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = jvm.new_array(jvm.jvm.double, n)
+    for i, w in enumerate(gateway.treeWeights()[:n]):
+        some[i], weights[i] = trees[i], float(w)
     package = jvm.jvm.org.apache.spark.ml.classification
-    if boosted:
-        weights = jvm.new_array(jvm.jvm.double, n)
-        for i, w in enumerate(gateway.treeWeights()[:n]):
-            weights[i] = float(w)
-        return GBTClassificationModel(package.GBTClassificationModel(f"{model.uid}_{n}", some, weights, gateway.numFeatures(), gateway.numClasses()))
-    forest = package.RandomForestClassificationModel(f"{model.uid}_{n}", some, gateway.numFeatures(), gateway.numClasses())
-    forest.set(forest.getParam("numTrees"), n)       # what a stored forest is checked against
-    return RandomForestClassificationModel(forest)
+    return GBTClassificationModel(package.GBTClassificationModel(f"{model.uid}_{n}", some, weights, gateway.numFeatures(), gateway.numClasses()))
 
 
 def _scored(models: dict, frame: DataFrame, spec: ModelSpec, names: list[str]) -> DataFrame:
@@ -303,7 +339,7 @@ def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str]
     Folds are fitted side by side from ``threads`` driver threads (what ``CrossValidator`` does): each
     fit is a series of small Spark jobs.
     """
-    folds = shared_folds(df, key, label, cats, k, list(range(k)), leaky)
+    folds = shared_folds(df, key, label, cats, k, list(range(k)), leaky, min(k, threads))
     models, frames = _fitted(folds, list(range(k)), [name], spec, threads)
     try:
         rows = [(name, f, _f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, [name]), label, [name])[0]) for f in range(k)]
@@ -332,7 +368,7 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
     above 0 there is no winner, and nothing is stored.
     """
     spark = train.sparkSession
-    folds = shared_folds(train, key, label, cats, k)
+    folds = shared_folds(train, key, label, cats, k, side_by_side=threads)
     models, frames = _fitted(folds, list(range(k + 1)), names, spec, threads)
     try:
         cv = [_f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, names), label, names) for f in range(k)]

@@ -219,3 +219,18 @@ def test_training_frames_have_no_more_partitions_than_cores(spark):
     cores = spark.sparkContext.defaultParallelism
     frame = spark.range(1)
     assert [M._training_partitions(frame, n) for n in (0, 1, 4001, 4000 * cores, 4000 * cores * 50)] == [1, 1, 2, cores, cores]
+
+
+def test_forests_grow_in_slices_side_by_side(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+
+    from talentmatch.operators import models as M
+    monkeypatch.setattr(M, "TREES_A_FIT", 4)
+    rows = [(float((i * 7) % 3 == 0), [float(i % 7), float(i % 5), float(i % 11)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "label double, v array<double>").select("label", array_to_vector("v").alias("features"))
+    fitted = lambda n: M._fit(M.estimators("label", M.ModelSpec(trees=n, depth=4), None)["RandomForest"], df, 3)
+    forest, slice_ = fitted(10), fitted(4)
+    assert forest.getNumTrees == 10 and len({t.toDebugString.split(")", 1)[1] for t in forest.trees}) > 4
+    assert [t.toDebugString.split(")", 1)[1] for t in forest.trees[:4]] == [t.toDebugString.split(")", 1)[1] for t in slice_.trees]
+    cores = spark.sparkContext.defaultParallelism
+    assert [M._training_partitions(df, n, cores) for n in (0, 4001, 100_000, 100_001, 10 ** 9)] == [1, 1, 1, 2, cores]

@@ -3,6 +3,7 @@
 Every step is a ``min`` aggregate and a join on the node, so a node with a third of all edges is
 combined before the shuffle and its join is split by adaptive execution. Each round is written to
 the shared folder, which cuts the plan and survives lost executors; the round before it is removed.
+The rounds end with the first that leaves stars only, which one aggregate by node tells.
 """
 
 from __future__ import annotations
@@ -28,6 +29,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every larger end (a) of ``edges`` has one edge and no edge below it: its b is what it reaches."""
+    ends = (edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionAll(edges.select("b", F.lit(0), F.lit(1)))
+            .groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")))
+    return ends.where("up > 1 OR up > 0 AND down > 0").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root): every node of ``edges`` (columns a, b) except the roots, and the smallest node it reaches.
 
@@ -38,14 +47,11 @@ def components(edges: DataFrame) -> DataFrame:
     def written(df):
         path = scratch_path(spark, "edges")
         df.write.parquet(path)
-        df = spark.read.parquet(path)
-        return path, df, df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        return path, spark.read.parquet(path)
 
-    path, current, before = written(edges.select("a", "b").where("a != b").distinct())
-    while True:
+    path, current = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _only_stars(current):
         last = path
-        path, current, after = written(_small_star(_large_star(current)))
+        path, current = written(_small_star(_large_star(current)))
         release_path(spark, last)
-        if after == before:
-            return current.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        before = after
+    return current.select(F.col("a").alias("id"), F.col("b").alias("root"))

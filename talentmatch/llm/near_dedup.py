@@ -275,7 +275,7 @@ def _roots(rows_in: DataFrame, classes: DataFrame, written, size: int, percent:
     sets = written(only(rows_in, "id", wanted).mapInArrow(_set_rows(size, False, bands, rows), "id long, set binary").distinct(), "sets")
     with_b = stars.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     with_both = with_b.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    found = components(written(with_both.mapInArrow(_confirm(percent), "a long, b long"), "links"))
+    found = components(with_both.mapInArrow(_confirm(percent), "a long, b long"))
 
     rooted = written(members.where("members > 2").join(found, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     split = written(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key"), "split")

@@ -79,6 +79,30 @@ def test_chain_of_components(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    """What is stars already is returned as it is; every other shape takes rounds, but none after it is stars."""
+    from talentmatch.llm import components as C
+    rounds = []
+    monkeypatch.setattr(C, "_large_star", lambda edges, f=C._large_star: rounds.append(1) or f(edges))
+    shapes = [
+        ([(1, 2), (3, 1), (2, 1), (1, 3), (1, 1), (None, 1), (2, None), (7, 8)], {2: 1, 3: 1, 8: 7}, 0),  # reversed, repeated, loops, nulls
+        ([], {}, 0),
+        ([(1, 3), (2, 3)], {2: 1, 3: 1}, 1),  # one node with two smaller ends
+        ([(1, 2), (2, 3)], {2: 1, 3: 1}, 1),  # a node that is a smaller and a larger end
+    ]
+    for edges, want, most in shapes:
+        rounds.clear()
+        got = [tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()]
+        assert sorted(got) == sorted(want.items()) and len(rounds) == most
+
+
+def test_confirmed_links_are_written_once(documents, monkeypatch):
+    names = []
+    monkeypatch.setattr(ND, "scratch_path", lambda spark, name, f=ND.scratch_path: names.append(name) or f(spark, name))
+    assert result(ND.near_duplicates(documents(corpus()), size=4)) == brute(corpus(), 4)
+    assert names.count("links") == 1
+
+
 def test_signature_agreement_estimates_jaccard():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)

@@ -47,8 +47,10 @@ def may_hold(keys: DataFrame, most_bits: int = MOST_BITS):
 
 def _met(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """``rows`` with ``_HELD``: true where ``keys`` has the key, else null. An outer join: Spark moves a semi or
-    anti join below the filter's, where it shuffles every document."""
-    return rows.join(keys.toDF(key).distinct().withColumn(_HELD, F.lit(True)), key, "left")
+    anti join below the filter's, where it shuffles every document. Only ids are hashed and no document is
+    sorted; as the join stays a shuffle by key, no task gets the documents of whole map tasks, which are
+    most of them where the keys' documents lie together."""
+    return rows.join(keys.toDF(key).distinct().withColumn(_HELD, F.lit(True)).hint("shuffle_hash"), key, "left")
 
 
 def only(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from talentmatch.llm.components import components
 from talentmatch.llm.membership import only
 from talentmatch.llm.words import NON_SPACE, chunks, mix64, shingles, words_of
-from talentmatch.session import scratch_path, scratch_scope, ship_package
+from talentmatch.session import bounded_batches, scratch_path, scratch_scope, ship_package
 
 BANDS, ROWS = 32, 4
 #: Classes of one block in the comparison of what stars left open.
@@ -237,6 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     ship_package(spark)
+    bounded_batches(spark)
 
     def written(df, name, path=None):
         path = path or scratch_path(spark, name)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from talentmatch.llm import membership as MB
 
@@ -35,3 +36,18 @@ def test_rows_are_filtered_before_they_are_shuffled(spark, join):
     plan = join(rows, "id", keys)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     deep = [(line.index("Join "), "__filter_words" in line.split("Join ")[1]) for line in plan if "Join " in line]
     assert max(d for d, words in deep if not words) < max(d for d, words in deep if words)
+
+
+@pytest.mark.parametrize("join", [MB.only, MB.without])
+def test_documents_that_lie_together_are_dealt_out(spark, monkeypatch, join):
+    monkeypatch.setattr(MB, "may_hold", lambda keys, f=MB.may_hold: f(keys, 64))  # holds every key
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        rows = spark.range(0, 4000, 1, 8).selectExpr("id", "string(id) AS text").where("id < 500")  # all of one map task
+        keys = spark.range(0, 500, 2).toDF("k")
+        out = join(rows, "id", keys).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("task").count().collect()]
+        assert sum(sizes) == 250 and max(sizes) < 125
+    finally:
+        spark.conf.unset(key)

@@ -125,3 +125,28 @@ def test_run_leaves_only_its_result_in_the_shared_folder(spark, folder):
     since = len(S._SCRATCH)
     out = CP.run(spark, folder[0])
     assert [p.split("/")[-1].rsplit("-", 1)[0] for p in S._SCRATCH[since:]] == ["mixing"] and out.count()
+
+
+def test_long_documents_come_in_bounded_batches(spark, folder):
+    import pyarrow as pa
+    from talentmatch import session as S
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    docs = spark.range(0, 200, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 15000) AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    arrow = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        for name, stage in CP.STAGES:
+            for key in S.DOCUMENT_DEFAULTS:
+                spark.conf.unset(key)
+            stage(spark, docs, folder[0])
+            got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+            assert sum(r.n for r in got) == 200 and max(r.bytes for r in got) < 6 << 20, name
+        spark.conf.set(arrow, "9m")
+        S.bounded_batches(spark)
+        assert spark.conf.get(arrow) == "9m"
+    finally:
+        for key in S.DOCUMENT_DEFAULTS:
+            spark.conf.unset(key)

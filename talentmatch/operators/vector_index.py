@@ -375,13 +375,13 @@ def _met(width: int, k: int):
                 if held is None:
                     held, blocks = Catalogue(*zip(*blocks, strict=True), width), []
                 q = np.frombuffer(column("queries")[i].as_buffer(), np.float64).reshape(-1, width)
-                rows, places, sims, _ = held.search(q, k, np.frombuffer(column("floor")[i].as_buffer(), np.float64))
+                rows, places, sims, met = held.search(q, k, np.frombuffer(column("floor")[i].as_buffer(), np.float64))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(q)))]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(q), groups[i], np.int32)), column("keys")[i].values,
                      pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * width), len(q), [None, pa.py_buffer(q.tobytes())]).cast(pa.binary()),
-                     pa.ListArray.from_arrays(offsets, held.names.take(pa.array(places))), pa.ListArray.from_arrays(offsets, pa.array(sims))],
-                    ["group", "key", "query", "jobs", "sims"])
+                     pa.ListArray.from_arrays(offsets, held.names.take(pa.array(places))), pa.ListArray.from_arrays(offsets, pa.array(sims)), pa.array(met)],
+                    ["group", "key", "query", "jobs", "sims", "met"])
     return run
 
 
@@ -405,7 +405,7 @@ def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_ke
     """(cand_key, rank, job_key, sim): the k best of each scorable candidate.
 
     ``written`` writes a table and reads it back (needed beyond ``local_bytes``: the blocks and the first
-    round are used several times). ``met`` names a further column: how many blocks the candidate met (local only).
+    round are used several times). ``met`` names a further column: how many blocks the candidate met.
     """
     spark = candidates.sparkSession
     ship_package(spark)
@@ -423,6 +423,9 @@ def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_ke
         found = asked.mapInArrow(_answered(index.held, index.width, k, to_arrow_type(key_type), to_arrow_type(job_type), bool(met)), inside)
         return found.toDF(*ranked.names)
 
+    if met:     # blocks are counted for each candidate, also where keys repeat
+        asked = asked.select(F.struct(F.monotonically_increasing_id().alias("row"), "key").alias("key"), "v")
+        key_type = asked.schema["key"].dataType
     # every block is used once for each round and for the centres
     blocks = written(index.blocks, "blocks")
     _centres(index, blocks)
@@ -434,7 +437,7 @@ def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_ke
     packs = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("keys", T.ArrayType(key_type)), T.StructField("queries", T.BinaryType()),
                           T.StructField("floor", T.BinaryType())])
     round_ = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("key", key_type), T.StructField("query", T.BinaryType()),
-                           T.StructField("jobs", T.ArrayType(job_type)), T.StructField("sims", T.ArrayType(T.DoubleType()))])
+                           T.StructField("jobs", T.ArrayType(job_type)), T.StructField("sims", T.ArrayType(T.DoubleType())), T.StructField("met", T.LongType())])
     stored = blocks.select(F.floor(F.col("block") / in_group).cast("int").alias("group"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                                  F.lit(0).alias("kind"), "block", "ids", "vectors", "centre", "angle")
 
@@ -445,8 +448,16 @@ def search(candidates: DataFrame, index: JobIndex, k: int, cand_key: str, job_ke
 
     first = written(answered(asked.mapInArrow(_first_packs(index.centres, index.width, group, pack_rows), packs)), "first-round")
     further = answered(first.select("group", "key", "query", "sims").mapInArrow(_further_packs(index.centres, index.width, k, group, pack_rows), packs))
-    each = first.select("key", "jobs", "sims").unionAll(further.select("key", "jobs", "sims")).select(
-        "key", F.explode(F.arrays_zip("jobs", "sims")).alias("x")).select("key", F.col("x.jobs").alias("job"), F.col("x.sims").alias("sim"))
+    each = first.select("key", "jobs", "sims", "met").unionAll(further.select("key", "jobs", "sims", "met"))
+    found = F.arrays_zip("jobs", "sims")
+    if met:     # a group where a query finds nothing has been met as well
+        each = each.select("key", "met", F.posexplode_outer(found).alias("at", "x"))
+        counted = F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("met"))).over(Window.partitionBy("key"))
+        each = each.withColumn("met", counted).where(F.col("x").isNotNull())
+    else:
+        each = each.select("key", F.explode(found).alias("x"))
+    each = each.select("key", F.col("x.jobs").alias("job"), F.col("x.sims").alias("sim"), *["met"] * bool(met))
     order = Window.partitionBy("key").orderBy(F.desc("sim"), "job")
     top = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(k))
-    return top.select(F.col("key").alias(cand_key), F.col("rank").cast("int").alias("rank"), F.col("job").alias(job_key), "sim")
+    return top.select(F.col("key.key" if met else "key").alias(cand_key), F.col("rank").cast("int").alias("rank"), F.col("job").alias(job_key), "sim",
+                      *([F.col("met").alias(met)] if met else []))

@@ -208,3 +208,18 @@ def test_products_of_a_pack_are_small(monkeypatch):
     rows, cols, _ = VI.best_of(q, u, 3, floor)
     assert set(zip(*np.nonzero(q @ u.T >= 0.9), strict=True)) >= set(zip(rows.tolist(), cols.tolist(), strict=True)) >= {
         (i, int(j)) for i, row in enumerate(right) for j in row if q[i] @ u[j] >= 0.9}
+
+
+def test_met_blocks_are_counted_past_the_broadcast_limit(spark):
+    c, j, cands, jobs = frames(spark, n_c=40, n_j=60)
+    c = c.unionAll(c.limit(2))                      # keys may repeat: each row is a candidate
+    index = R.prepare_jobs(j, block_size=4, clusters=6)
+    sent, held = (R.recommend_topk(c, j, k=3, prepared=index, met="met", broadcast_bytes=b, part_rows=7) for b in (0, 64 << 20))
+    assert sent.columns == held.columns
+    rows = lambda df: sorted(tuple(r)[:4] for r in df.collect())
+    assert rows(sent) == rows(held) and len(rows(sent)) == 42 * 3
+    met = [r.met for r in sent.where("rank = 1").collect()]
+    assert all(1 <= m <= index.n_blocks for m in met) and len(met) == 42
+    # with no threshold to skip by, every block of every group is met
+    all_ = R.recommend_topk(c, j, k=len(jobs), prepared=index, met="met", broadcast_bytes=0)
+    assert {r.met for r in all_.collect()} == {index.n_blocks} and all_.count() == 42 * len(jobs)

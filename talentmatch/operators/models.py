@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from talentmatch.operators import evaluate as E
 from talentmatch.operators import features as FE
+from talentmatch.operators import forest as FO
 from talentmatch.operators import sampling as S
 from talentmatch.operators.embed import with_hash
 
@@ -134,6 +135,20 @@ def _fit(est, train: DataFrame, threads: int = 1):
     return _forest(first.uid(), [t for m in grown for t in m._java_obj.trees()], first.numFeatures(), first.numClasses())
 
 
+def _fit_bounded(est, train: DataFrame):
+    """``_fit``, but a forest grows in tasks and stays off the driver (``forest``), unless its rows are more than
+    a task may hold; then it grows as slices on a frame of as few partitions as its fits need."""
+    if not isinstance(est, RandomForestClassifier):
+        return _fit(est, train)
+
+    def in_slices():
+        fits = len(_slices(est))
+        few = train.coalesce(_training_partitions(train, train.count(), fits))
+        return _fit(est, few, min(fits, train.sparkSession.sparkContext.defaultParallelism))
+
+    return FO.grow(train, est.getLabelCol(), est.getWeightCol(), est.getNumTrees(), est.getMaxDepth(), est.getSeed(), in_slices)
+
+
 def _forest(uid: str, trees: list, n_features: int, n_classes: int) -> RandomForestClassificationModel:
     """The forest of these (JVM) trees."""
     jvm = SparkSession.active().sparkContext._gateway
@@ -150,15 +165,14 @@ def fit_model(train: DataFrame, name: str, label: str, cats: list[str], spec: Mo
     """Fit feature stages + one estimator (LR gets regParam = 1 / sum(weights))."""
     w = with_emb_vector(S.class_weights(train, label).withColumn(label, F.col(label).cast("double")))
     est = estimators(label, spec)[name]
-    fits = len(_slices(est))
     # every stage fit and every solver pass reads it: keep it
-    w = w.coalesce(_training_partitions(w, train.count(), fits)).persist()
+    w = w.coalesce(_training_partitions(w, train.count())).persist()
     try:
         if name == "LogisticRegression":
             total = w.agg(F.sum("weight")).collect()[0][0] or 1.0     # one number
             est = est.setRegParam(1.0 / float(total))
         made = Pipeline(stages=feature_stages(cats)).fit(w)
-        model = _fit(est, made.transform(w), min(fits, w.sparkSession.sparkContext.defaultParallelism))
+        model = _fit_bounded(est, made.transform(w))
         return without_summary(PipelineModel(stages=[*made.stages, model]))
     finally:
         w.unpersist()
@@ -270,15 +284,17 @@ def fit_part(frame: DataFrame, name: str, label: str, spec: ModelSpec):
     train = frame.where("w > 0")
     if name == "LogisticRegression":
         est = est.setRegParam(1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0))
-    return without_summary(_fit(est, train))
+    return without_summary(_fit_bounded(est, train))
 
 
 def first_trees(model, n: int):
     """The ensemble of a fitted ensemble's first ``n`` trees: what boosting of ``n`` rounds gives, and a
     forest of ``n`` trees."""
+    if isinstance(model, FO.RandomForestClassificationTrees):
+        return model.first(n)
     trees = model._java_obj.trees()
     if n >= len(trees):
-        return model
+        return without_summary(model)
     gateway = model._java_obj
     if not isinstance(model, GBTClassificationModel):
         return _forest(f"{model.uid}_{n}", list(trees[:n]), gateway.numFeatures(), gateway.numClasses())

@@ -1,4 +1,4 @@
-"""Random forests whose trees are grown in tasks and never stand on the driver (L2).
+"""Random forests and boosted trees that are grown in tasks and never stand on the driver (L2, L3).
 
 A deep forest is large: a tree has about as many nodes as training rows of the rarer class. Here a
 task holds the training rows as bins (a byte a feature) and grows whole trees from them, level by
@@ -9,6 +9,8 @@ The trees are those of ``pyspark.ml``'s forest: Poisson bootstrap, gini, up to 3
 ``sqrt`` features drawn for each node, leaves where a drawn split gains nothing, children of equal
 class merged. Bins are cut at quantiles of all rows. Equal rows travel once, with their number. The
 draws of a tree depend on the seed and on the rows, not on how they are partitioned.
+
+Boosted trees follow one from the other, so one task grows all of a fit; fits run side by side.
 """
 
 from __future__ import annotations
@@ -146,15 +148,15 @@ def _best_splits(x: np.ndarray, rows: np.ndarray, node: np.ndarray, y: np.ndarra
     flat, at = x.ravel(), rows * x.shape[1]
     for j in range(drawn.shape[1]):
         f = drawn[:, j]
-        cell = (node * BINS + flat[at + f[node]]) * k + y
-        left = np.bincount(cell, w, m * BINS * k).reshape(m, BINS, k).cumsum(axis=1)
-        all_ = left[:, -1:, :]
-        left = left[:, :-1, :]
-        right = all_ - left
-        lw, rw, total = left.sum(axis=2), right.sum(axis=2), all_.sum(axis=2)
+        cell = (y * m + node) * BINS + flat[at + f[node]]
+        left = np.bincount(cell, w, k * m * BINS).reshape(k, m, BINS).cumsum(axis=2)
+        all_ = left[:, :, -1:]
+        left = left[:, :, :-1]
+        lw, total = sum(left), sum(all_)
+        rw = total - lw
         with np.errstate(divide="ignore", invalid="ignore"):
             # the drop of gini, times the node's weight
-            gain = (left * left).sum(axis=2) / lw + (right * right).sum(axis=2) / rw - (all_ * all_).sum(axis=2) / total
+            gain = sum(c * c for c in left) / lw + sum((t - c) * (t - c) for t, c in zip(all_, left, strict=True)) / rw - sum(t * t for t in all_) / total
         gain[(lw <= 1e-9 * total) | (rw <= 1e-9 * total)] = -1
         split = gain.argmax(axis=1)
         top = gain[np.arange(m), split]
@@ -237,8 +239,95 @@ def tree_shares(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
     return shares[node]
 
 
-def _grown(width: int, k: int, trees: dict[int, list[int]], seed: int, depth: int, features: int):
-    """Holds the rows of a group, then grows its trees: a row for each."""
+def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int, depth: int, rate: float) -> list[tuple[np.ndarray, ...]]:
+    """Trees of gradient boosting by the log loss, each as of ``grow_tree`` with one share, what it adds to the margin.
+    The first fits the classes (-1, 1), the others the gradient, and count ``rate``."""
+    columns, sign = np.ascontiguousarray(x.T), 2.0 * y - 1
+    root = np.array([np.bincount(c, w, BINS) for c in columns])
+    margin, out = np.zeros(len(y)), []
+    for i in range(rounds):
+        target = sign if i == 0 else 4 * sign / (1 + np.exp(2 * sign * margin))
+        feature, bin_, left, value, node = _regression(columns, target, w, depth, root)
+        add = np.round(value * (rate if i else 1.0) / _UNIT) * _UNIT
+        margin += add[node]
+        out.append((feature, bin_, left, add[:, None]))
+    return out
+
+
+def _histograms(columns: np.ndarray, rows: np.ndarray, slot: np.ndarray, m: int, w: np.ndarray, wr: np.ndarray) -> np.ndarray:
+    """(2, features, m, BINS): sums of ``w`` and ``wr`` of ``rows`` by slot and bin."""
+    out, base, w, wr = np.empty((2, len(columns), m, BINS)), slot * BINS, w[rows], wr[rows]
+    for f, column in enumerate(columns):
+        cell = base + column[rows]
+        out[0, f] = np.bincount(cell, w, m * BINS).reshape(m, BINS)
+        out[1, f] = np.bincount(cell, wr, m * BINS).reshape(m, BINS)
+    return out
+
+
+def _regression(columns: np.ndarray, target: np.ndarray, w: np.ndarray, depth: int, root: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A regression tree by variance: (feature, bin, left, mean) of its nodes, and the leaf of each row. Of two
+    children the lighter one's rows are counted; the other has what is left of the parent."""
+    wr = w * target
+    hist = np.stack([root, np.array([np.bincount(c, wr, BINS) for c in columns])])[:, :, None, :]
+    node, first = np.zeros(len(w), np.int64), 0         # of each row, and the first of the level
+    made = []
+    for level in range(depth + 1):
+        m = hist.shape[2]
+        sums = hist[:, 0].sum(axis=2)
+        feature, bin_, left = np.full(m, -1, np.int16), np.zeros(m, np.uint8), np.full(m, -1, np.int32)
+        made.append((feature, bin_, left, sums[1] / sums[0]))
+        if level == depth:
+            break
+        up = hist.cumsum(axis=3)
+        lw, ls = up[0, :, :, :-1], up[1, :, :, :-1]
+        rw, rs = sums[0][None, :, None] - lw, sums[1][None, :, None] - ls
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = ls * ls / lw + rs * rs / rw - (sums[1] ** 2 / sums[0])[None, :, None]
+        least = 1e-9 * sums[0][None, :, None]
+        gain[(lw <= least) | (rw <= least)] = -1
+        flat = gain.transpose(1, 0, 2).reshape(m, -1)
+        at = flat.argmax(axis=1)
+        split = np.flatnonzero(flat[np.arange(m), at] > 1e-12 * sums[0])
+        if not len(split):
+            break
+        f, b = np.divmod(at[split], BINS - 1)
+        feature[split], bin_[split], left[split] = f, b, first + m + 2 * np.arange(len(split))
+        mine = node - first
+        rows = np.flatnonzero((mine >= 0) & (feature[np.maximum(mine, 0)] >= 0))
+        parent = mine[rows]
+        child = left[parent] + (columns[feature[parent], rows] > bin_[parent])
+        node[rows] = child
+        child = child - first - m
+        heavy = np.bincount(child, minlength=2 * len(split)).reshape(-1, 2)
+        light = (heavy[:, 1] < heavy[:, 0]).astype(np.int64)          # which child is counted
+        counted = light[child >> 1] == (child & 1)
+        found = _histograms(columns, rows[counted], child[counted] >> 1, len(split), w, wr)
+        both = np.empty((2, len(columns), len(split), 2, BINS))
+        each = np.arange(len(split))
+        both[:, :, each, light] = found
+        both[:, :, each, 1 - light] = hist[:, :, split] - found
+        hist, first = both.reshape(2, len(columns), -1, BINS), first + m
+    feature, bin_, left, value = (np.concatenate([x[i] for x in made]) for i in range(4))
+    return feature, bin_, left, value, node
+
+
+def _bagged(x, y, w, n, trees: list[int], k: int, seed: int, depth: int, features: int):
+    """The forest's ``trees``, by the rows and their numbers."""
+    for t in trees:
+        rng = np.random.default_rng([seed, t])
+        times = rng.poisson(n)
+        bag = np.flatnonzero(times)
+        if not len(bag):
+            bag, times = np.arange(len(y)), n
+        yield t, grow_tree(x[bag], y[bag], w[bag] * times[bag], k, depth, features, rng)
+
+
+def _boosted(x, y, w, n, trees: list[int], rounds: int, depth: int, rate: float):
+    yield from enumerate(boost(x, y, w * n, rounds, depth, rate))
+
+
+def _grown(width: int, trees: dict[int, list[int]], fit, *sizes):
+    """Holds the rows of a group, then has ``fit`` grow its trees: a row for each."""
     def run(batches):
         packs: dict[int, list] = {}
         for batch in batches:
@@ -248,13 +337,7 @@ def _grown(width: int, k: int, trees: dict[int, list[int]], seed: int, depth: in
             x, y, w, n, h = (np.concatenate(c) for c in zip(*packs.pop(g), strict=True))
             order = np.argsort(h, kind="stable")
             x, y, w, n = x.reshape(-1, width)[order], y[order].astype(np.int64), w[order], n[order]
-            for t in trees[g]:
-                rng = np.random.default_rng([seed, t])
-                times = rng.poisson(n)
-                bag = np.flatnonzero(times)
-                if not len(bag):
-                    bag, times = np.arange(len(y)), n
-                made = grow_tree(x[bag], y[bag], w[bag] * times[bag], k, depth, features, rng)
+            for t, made in fit(x, y, w, n, trees[g], *sizes):
                 yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), *(pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in made)],
                                                  ["tree", "feature", "bin", "left", "share"])
     return run
@@ -265,8 +348,8 @@ def _dealt(df: DataFrame, keys: list[int], *order: str) -> DataFrame:
     return df.repartition(len(keys), "group").sortWithinPartitions("group", *order)
 
 
-def grow(train: DataFrame, label: str, weight: str, trees: int, depth: int, seed: int, otherwise) -> Model:
-    """The forest of ``train`` (``features``, ``label``, ``weight``); of ``otherwise()`` where its rows are more than a task may hold."""
+def _sent(train: DataFrame, label: str, weight: str, groups: int):
+    """(cuts, number of classes, keys of ``groups``, rows in packs for each); None where they are more than a task may hold."""
     spark = train.sparkSession
     ship_package(spark)
     rows = train.select(vector_to_array("features").alias("v"), F.col(label).cast("int").alias("y"), F.col(weight).cast("double").alias("w")).where("w > 0")
@@ -277,27 +360,49 @@ def grow(train: DataFrame, label: str, weight: str, trees: int, depth: int, seed
     binned = spark.read.parquet(told)
     n, top = binned.agg(F.count(F.lit(1)), F.max("y")).first()
     if not n or n * (len(cuts) + 24) > TASK_BYTES:
-        return otherwise()
-    k = max(2, top + 1)
-    keys = _keys(spark, min(trees, 2 * spark.sparkContext.defaultParallelism))
-    mine = {g: list(range(trees))[i::len(keys)] for i, g in enumerate(keys)}
+        return None
+    keys = _keys(spark, groups)
     columns = ["x", "y", "w", "n", "h"]
     packs = binned.mapInArrow(_packed(columns), ", ".join(f"{c} binary" for c in columns))
     sent = packs.select(F.explode(F.array(*[F.lit(g) for g in keys])).alias("group"), *columns).repartition(len(keys), "group")
-    path = scratch_path(spark, "forest")
-    sent.mapInArrow(_grown(len(cuts), k, mine, seed, depth, max(1, int(np.ceil(np.sqrt(len(cuts)))))), _TREES).write.parquet(path)
+    return cuts, max(2, top + 1), keys, sent
+
+
+def grow(train: DataFrame, label: str, weight: str, trees: int, depth: int, seed: int, otherwise) -> Model:
+    """The forest of ``train`` (``features``, ``label``, ``weight``); of ``otherwise()`` where its rows are more than a task may hold."""
+    found = _sent(train, label, weight, min(trees, 2 * train.sparkSession.sparkContext.defaultParallelism))
+    if found is None:
+        return otherwise()
+    cuts, k, keys, sent = found
+    mine = {g: list(range(trees))[i::len(keys)] for i, g in enumerate(keys)}
+    path = scratch_path(train.sparkSession, "forest")
+    sent.mapInArrow(_grown(len(cuts), mine, _bagged, k, seed, depth, max(1, int(np.ceil(np.sqrt(len(cuts)))))), _TREES).write.parquet(path)
     return RandomForestClassificationTrees(path, cuts, k, trees)
 
 
+def grow_boosted(train: DataFrame, label: str, weight: str, rounds: int, depth: int, rate: float, otherwise) -> Model:
+    """Boosted trees of two classes, as ``pyspark.ml`` fits them, in one task: for fits that run side by side."""
+    found = _sent(train, label, weight, 1)
+    if found is None or found[1] != 2:
+        return otherwise()
+    cuts, _, keys, sent = found
+    path = scratch_path(train.sparkSession, "boosted")
+    sent.mapInArrow(_grown(len(cuts), {keys[0]: []}, _boosted, rounds, depth, rate), _TREES).write.parquet(path)
+    return GBTClassificationTrees(path, cuts, 2, rounds)
+
+
 # ---------------------------------------------------------------------------
 # The model
 # ---------------------------------------------------------------------------
 
 def _asked(cuts: list[np.ndarray]):
-    def run(batches):
+    """Asked rows as packs of their bins."""
+    def binned(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("row"), _fixed(_bins(matrix(batch.column("v"), len(cuts)), cuts))], ["row", "x"])
-    return run
+
+    pack = _packed(["row", "x"])
+    return lambda batches: pack(binned(batches))
 
 
 def _scored(width: int, k: int):
@@ -318,25 +423,24 @@ def _scored(width: int, k: int):
     return run
 
 
-class RandomForestClassificationTrees(Model, MLWritable, MLReadable):
-    """A forest of ``grow``: the table of its trees at ``path``, of which the first ``trees`` are taken."""
+class _Trees(Model, MLWritable, MLReadable):
+    """The table of trees at ``path``, of which the first ``trees`` are taken."""
 
     def __init__(self, path: str, cuts: list[np.ndarray], n_classes: int, trees: int):
         super().__init__()
         self.path, self.cuts, self.numClasses, self.getNumTrees = path, cuts, n_classes, trees
 
-    def first(self, n: int) -> RandomForestClassificationTrees:
-        return RandomForestClassificationTrees(self.path, self.cuts, self.numClasses, min(n, self.getNumTrees))
+    def first(self, n: int) -> _Trees:
+        return type(self)(self.path, self.cuts, self.numClasses, min(n, self.getNumTrees))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """``dataset`` plus rawPrediction, probability and prediction. Its rows are written once and numbered;
         their bins meet the trees group by group, and the sums are joined back."""
-        spark, k, width = dataset.sparkSession, self.numClasses, len(self.cuts)
+        spark, k, width = dataset.sparkSession, self._sums(), len(self.cuts)
         ship_package(spark)
         checkpoint_root(spark)
         rows = dataset.withColumn("__row", F.monotonically_increasing_id()).checkpoint(eager=True)
-        packs = (rows.select(F.col("__row").alias("row"), vector_to_array("features").alias("v")).mapInArrow(_asked(self.cuts), "row long, x binary")
-                 .mapInArrow(_packed(["row", "x"]), "row binary, x binary"))
+        packs = rows.select(F.col("__row").alias("row"), vector_to_array("features").alias("v")).mapInArrow(_asked(self.cuts), "row binary, x binary")
         keys = _keys(spark, min(self.getNumTrees, 2 * spark.sparkContext.defaultParallelism))
         of = F.array(*[F.lit(g) for g in keys])
         held = spark.read.parquet(self.path).where(F.col("tree") < self.getNumTrees).select(
@@ -346,10 +450,7 @@ class RandomForestClassificationTrees(Model, MLWritable, MLReadable):
         sums = [f"s{c}" for c in range(k)]
         found = dealt.mapInArrow(_scored(width, k), "row long, " + ", ".join(f"{s} double" for s in sums))
         found = found.groupBy(F.col("row").alias("__row")).agg(F.array(*[F.sum(s) for s in sums]).alias("__raw"))
-        total = F.aggregate("__raw", F.lit(0.0), lambda a, s: a + s)
-        out = rows.join(found, "__row", "left").withColumn("__all", total)
-        out = out.withColumns({"rawPrediction": array_to_vector("__raw"), "probability": array_to_vector(F.transform("__raw", lambda s: s / F.col("__all"))),
-                               "prediction": (F.array_position("__raw", F.array_max("__raw")) - 1).cast("double")})
+        out = rows.join(found, "__row", "left").withColumns(self._said())
         return out.select(*dataset.columns, "rawPrediction", "probability", "prediction")
 
     def write(self) -> MLWriter:
@@ -360,8 +461,33 @@ class RandomForestClassificationTrees(Model, MLWritable, MLReadable):
         return _Reader(cls)
 
 
+class RandomForestClassificationTrees(_Trees):
+    """A forest of ``grow``: the shares of its trees are added up."""
+
+    def _sums(self) -> int:
+        return self.numClasses
+
+    def _said(self) -> dict:
+        total = F.aggregate("__raw", F.lit(0.0), lambda a, s: a + s)
+        return {"rawPrediction": array_to_vector("__raw"), "probability": array_to_vector(F.transform("__raw", lambda s: s / total)),
+                "prediction": (F.array_position("__raw", F.array_max("__raw")) - 1).cast("double")}
+
+
+class GBTClassificationTrees(_Trees):
+    """Boosted trees of ``grow_boosted``: their margins are added up."""
+
+    def _sums(self) -> int:
+        return 1
+
+    def _said(self) -> dict:
+        margin = F.col("__raw")[0]
+        p = 1 / (1 + F.exp(-2 * margin))
+        return {"rawPrediction": array_to_vector(F.array(-margin, margin)), "probability": array_to_vector(F.array(1 - p, p)),
+                "prediction": (margin > 0).cast("double")}
+
+
 class _Writer(MLWriter):
-    def __init__(self, forest: RandomForestClassificationTrees):
+    def __init__(self, forest: _Trees):
         super().__init__()
         self.forest = forest
 
@@ -377,7 +503,7 @@ class _Reader(MLReader):
         super().__init__()
         self.cls = cls
 
-    def load(self, path: str) -> RandomForestClassificationTrees:
+    def load(self, path: str) -> _Trees:
         told = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         made = self.cls(f"{path}/trees", [np.array(c) for c in json.loads(told["cuts"])], told["numClasses"], told["numTrees"])
         made._resetUid(told["uid"])

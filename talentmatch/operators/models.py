@@ -284,13 +284,15 @@ def fit_part(frame: DataFrame, name: str, label: str, spec: ModelSpec):
     train = frame.where("w > 0")
     if name == "LogisticRegression":
         est = est.setRegParam(1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0))
+    if name == "GradientBoostedTrees":      # parts are boosted side by side, each in a task
+        return FO.grow_boosted(train, label, "w", est.getMaxIter(), est.getMaxDepth(), est.getStepSize(), lambda: _fit(est, train))
     return without_summary(_fit_bounded(est, train))
 
 
 def first_trees(model, n: int):
     """The ensemble of a fitted ensemble's first ``n`` trees: what boosting of ``n`` rounds gives, and a
     forest of ``n`` trees."""
-    if isinstance(model, FO.RandomForestClassificationTrees):
+    if isinstance(model, (FO.RandomForestClassificationTrees, FO.GBTClassificationTrees)):
         return model.first(n)
     trees = model._java_obj.trees()
     if n >= len(trees):
@@ -338,9 +340,10 @@ def _f1s(scored: DataFrame, label: str, names: list[str]) -> list[float]:
 
 
 def _fitted(folds: Folds, parts: list[int], names: list[str], spec: ModelSpec, threads: int) -> tuple[dict, dict]:
-    """(models, frames): every needed model of every part, fitted side by side on cached frames."""
+    """(models, frames): every needed model of every part, fitted side by side. Frames are made of the cached rows
+    anew: a fit reads its frame a few times and then holds it in a form of its own."""
     needed = [n for n in MODEL_ORDER[:3] if n in names or "VotingClassifier" in names]
-    frames = {part: folds.frame(part).persist() for part in parts}
+    frames = {part: folds.frame(part) for part in parts}
     # the later models are the dearer ones: they start first
     tasks = [(part, n) for n in reversed(needed) for part in reversed(parts)]
     models = dict(zip(tasks, _in_threads(lambda t: fit_part(frames[t[0]], t[1], folds.label, spec), tasks, threads)))
@@ -360,8 +363,7 @@ def cross_val_f1(df: DataFrame, name: str, key: str, label: str, cats: list[str]
     try:
         rows = [(name, f, _f1s(_scored(models[f], frames[f].where(F.col("fold") == f), spec, [name]), label, [name])[0]) for f in range(k)]
     finally:
-        for df_ in [*frames.values(), folds.rows]:
-            df_.unpersist()
+        folds.rows.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, fold int, f1 double")
 
 
@@ -400,8 +402,7 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, label: str, cats: l
             report = scored.select(F.col(label).cast("int").alias(label), F.col(f"y_{best}").alias("prediction"))
             E.classification_report(report, label=label).write.mode("overwrite").parquet(f"{store}/report")
     finally:
-        for df in [*frames.values(), folds.rows]:
-            df.unpersist()
+        folds.rows.unpersist()
     rows = [(n, i, sum(c[i] for c in cv) / k, f1[i]) for i, n in enumerate(names)]
     return spark.createDataFrame(rows, "model string, model_order int, cv_f1 double, f1 double")
 

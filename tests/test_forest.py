@@ -114,3 +114,26 @@ def test_keys_fall_on_partitions_of_their_own(spark, n):
     keys = FO._keys(spark, n)
     at = spark.createDataFrame([(k,) for k in keys], "k int").repartition(n, "k").select(F.spark_partition_id()).collect()
     assert len({r[0] for r in at}) == n == len(set(keys))
+
+
+def test_boosted_trees_are_those_of_the_library(spark, tmp_path):
+    df = frame(spark, 300).select("id", "label", "weight", F.transform("v", lambda x: F.round(x)).alias("v")).withColumn("features", array_to_vector("v"))
+    est = M.estimators("label", M.ModelSpec(gbt_rounds=8, gbt_depth=3))["GradientBoostedTrees"]
+    for rows in (df, df.unionAll(df.where("id % 5 = 0"))):
+        mine, theirs = FO.grow_boosted(rows, "label", "weight", 8, 3, 0.3, refuse), est.fit(rows)
+        a, b = probs(mine, df), probs(theirs, df)
+        assert max(abs(a[i] - b[i]) for i in a) < 1e-6 and len(a) == 300
+    c, d = probs(mine.first(3), df), probs(M.first_trees(theirs, 3), df)
+    assert max(abs(c[i] - d[i]) for i in c) < 1e-6
+    mine.write().save(str(tmp_path / "boosted"))
+    assert probs(FO.GBTClassificationTrees.load(str(tmp_path / "boosted")), df) == a
+
+
+def test_parts_are_boosted_in_tasks(spark, monkeypatch):
+    rows = [(i, [float(i % 5), float(i % 3)], "ab"[i % 2], int(i % 4 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, emb array<double>, cat string, label int")
+    spec, part = M.ModelSpec(gbt_rounds=3, gbt_depth=2), M.shared_folds(df, "id", "label", ["cat"], 2, [2]).frame(2)
+    fitted = M.fit_part(part, "GradientBoostedTrees", "label", spec)
+    assert isinstance(fitted, FO.GBTClassificationTrees) and M.first_trees(fitted, 2).getNumTrees == 2
+    monkeypatch.setattr(FO, "TASK_BYTES", 100)
+    assert type(M.fit_part(part, "GradientBoostedTrees", "label", spec)).__name__ == "GBTClassificationModel"

@@ -91,3 +91,17 @@ def test_scratch_scope_removes_what_it_named_only(spark):
     release_path(spark, kept)
     release_path(spark, kept)
     assert not os.path.exists(kept)
+
+
+def test_package_is_shipped_once_from_many_threads(spark, monkeypatch):
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    from talentmatch import session
+    sent = []
+    slow = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app", addPyFile=lambda p: (time.sleep(0.2), sent.append(p))))
+    monkeypatch.setattr(session, "_SHIPPED", {})
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(session.ship_package, [slow] * 4))
+    assert len(sent) == 1

@@ -90,9 +90,10 @@ def _sketched(batches):
 def thresholds(rows: DataFrame) -> list[np.ndarray]:
     """The cuts of each feature, by all rows (v array<double>, w)."""
     told = rows.select("v", "w").mapInArrow(_sketched, "feature int, points array<double>, weights array<double>")
+    table = told.toArrow()          # POINTS for each feature and task, as arrays
     parts: dict[int, list] = {}
-    for r in told.toArrow().to_pylist():       # POINTS for each feature and task
-        parts.setdefault(r["feature"], []).append((np.array(r["points"]), np.array(r["weights"])))
+    for i, j in enumerate(table.column("feature").to_pylist()):
+        parts.setdefault(j, []).append(tuple(table.column(c)[i].values.to_numpy() for c in ("points", "weights")))
     return [_cuts(*_points(*(np.concatenate(x) for x in zip(*parts[j], strict=True)), POINTS * len(parts[j]))) for j in sorted(parts)]
 
 
